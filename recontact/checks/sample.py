@@ -44,7 +44,7 @@ SELECT o_orderkey AS id, cast(o_orderkey AS string) AS case_id, o_custkey, o_ord
   CASE WHEN o_totalprice > 450000 THEN true WHEN o_totalprice > 440000 THEN NULL ELSE false END AS goodwill,
   CASE WHEN c_mktsegment = 'HOUSEHOLD' AND o_orderstatus = 'P' THEN NULL
     ELSE cast(cast(floor(o_totalprice) AS bigint) % 11 AS int) END AS provider_nps,
-  CASE WHEN o_orderstatus = 'F' THEN NULL
+  CASE WHEN o_orderstatus = 'F' OR c_mktsegment = 'HOUSEHOLD' THEN NULL
     ELSE cast(cast(floor(o_totalprice / 7) AS bigint) % 11 AS int) END AS medic_nps,
   CASE c_mktsegment WHEN 'MACHINERY' THEN 'Befragung vollständig durchgeführt'
     WHEN 'BUILDING' THEN CASE o_orderstatus WHEN 'F' THEN 'Interner Grund - Sonstige'
@@ -156,6 +156,11 @@ SELECT cam_id, cam_name,
 FROM (SELECT CASE n_nationkey WHEN 20 THEN 56 WHEN 21 THEN 97 WHEN 22 THEN 76 ELSE n_nationkey END AS cam_id,
   'call ' || n_name AS cam_name FROM nation) AS campaigns"""
 
+# Read by the SQL checks only.
+VIEWS["contact_ledger"] = """
+SELECT case_id, cam_id, batch_id, batch_selection_date, cam_category
+FROM cam_select LEFT JOIN cam_batch USING (batch_id) LEFT JOIN cam_cam USING (cam_id)"""
+
 VIEWS["suppression"] = """
 SELECT cast(o_orderkey AS string) AS case_id,
   CASE o_orderstatus WHEN 'F' THEN 'objection' ELSE 'contact person' END AS reason

@@ -80,9 +80,10 @@ def contacts(
     return out if when is None else out.filter(when)
 
 
-def with_patients(contacted: DataFrame, cube: DataFrame) -> DataFrame:
-    """Lift contacts from case to patient through the case cube."""
-    return contacted.join(cube.select("case_id", "patient_id").distinct(), "case_id", "left")
+def contacted_patients(contacted: DataFrame, cube: DataFrame) -> DataFrame:
+    """Patients of contacted cases: the cube filtered by the contacts, without a distinct over it."""
+    cases = contacted.select("case_id").filter("case_id IS NOT NULL").distinct()
+    return cube.select("case_id", "patient_id").join(cases, "case_id", "left_semi").select("patient_id")
 
 
 def suppress(
@@ -100,7 +101,7 @@ def suppress(
     """Drop rows whose case (or, with ``cube``, whose patient) has a matching contact."""
     hits = contacts(ledger, cam_ids=cam_ids, not_cam_ids=not_cam_ids, categories=categories, when=when)
     if cube is not None:
-        hits = with_patients(hits, cube)
+        hits = contacted_patients(hits, cube)
     return exclude_keys(df, hits, key, nulls=nulls)
 
 
