@@ -384,20 +384,26 @@ def keyring(spark: SparkSession) -> DataFrame:
     )
 
 
+_OPEN: dict[tuple[str, str], Warehouse] = {}
+
+
 def sample_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The derived tables as frames over the Parquet files in ``sf_dir``."""
+    """The derived tables as frames over the Parquet files in ``sf_dir``, opened once per session."""
+    opened = (spark.sparkContext.applicationId, sf_dir)
+    if opened not in _OPEN:
+        _OPEN[opened] = _open_warehouse(spark, sf_dir)
+    return _OPEN[opened]
+
 
+def _open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     def load(name: str) -> DataFrame:
         if name in GIVEN:
             return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        body = with_views(view_text(name, "spark"), "spark")
-        files = [
-            f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)"
-            for t in GIVEN
-            if re.search(rf"\b{t}\b", body)
-        ]
-        text = body[5:] if body.startswith("WITH ") else f"result AS ({body}) SELECT * FROM result"
-        df = spark.sql(f"WITH {', '.join(files)}, {text}")
+        text = view_text(name, "spark").replace("{", "{{").replace("}", "}}")
+        views = {v: warehouse[v] for v in (*GIVEN, *VIEWS) if re.search(rf"\b(FROM|JOIN)\s+{v}\b", text)}
+        for view in views:
+            text = re.sub(rf"\b(FROM|JOIN)(\s+){view}\b", rf"\1\2{{{view}}}", text)
+        df = spark.sql(text, **views)
         if name in ENCRYPTED:
             keys = keyring(spark)
             df = df.withColumns(
@@ -405,4 +411,5 @@ def sample_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             )
         return df
 
-    return Warehouse(spark, load)
+    warehouse = Warehouse(spark, load)
+    return warehouse

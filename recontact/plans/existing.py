@@ -13,6 +13,7 @@ from recontact.functions.dates import before, parse_day_first
 from recontact.functions.nested import first_item, json_text, score_rank, second_item
 from recontact.functions.pii import decrypt_columns
 from recontact.functions.text import (
+    all_of,
     concat_skip_nulls,
     flag,
     is_true,
@@ -372,9 +373,7 @@ def existing_customer_unified(
     """
     window = F.col("result_date").between(before(as_of, months=48), before(as_of, months=24))
     cases = inquiry_cases(wh).filter(window).unionByName(service_cases(wh).filter(window))
-    kept = _client_roles(cases, wh["client_groups"])
-    for condition in _unified_rule(anonymised, reason_guard):
-        kept = kept.filter(condition)
+    kept = _client_roles(cases, wh["client_groups"]).filter(all_of(_unified_rule(anonymised, reason_guard)))
     ledger = ledger_of(wh)
     earlier = [fv.CAM_EXISTING_CUSTOMER_CALL, fv.CAM_EXISTING_CUSTOMER_MAIL]
     kept = suppress(kept, ledger, cam_ids=earlier, nulls=nulls)
