@@ -173,7 +173,9 @@ SELECT id, case_id, case_id || ':' || product AS service_id,
   CASE o_orderstatus WHEN 'F' THEN 'waiting_q3' WHEN 'P' THEN 'completed'
     ELSE CASE c_mktsegment WHEN 'MACHINERY' THEN 'waiting_q3' WHEN 'BUILDING' THEN 'waiting_q4'
       WHEN 'FURNITURE' THEN 'waiting_q5' ELSE 'waiting_q6' END END AS state,
-  inquiry_type AS treatment_type, o_orderdate AS results_sent_at, voucher_ids,
+  inquiry_type AS treatment_type, voucher_ids,
+  CASE c_mktsegment WHEN 'MACHINERY' THEN cast(date_trunc('year', o_orderdate) + interval '9' month AS date)
+    ELSE cast(o_orderdate AS date) END AS results_sent_at,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'internal_reason' WHEN 'AUTOMOBILE' THEN 'survey_inappropriate'
     ELSE NULL END AS completion_reason_main,
   CASE WHEN o_totalprice > 450000 THEN 'patient_difficult' WHEN o_totalprice > 300000 THEN 'none'
@@ -193,13 +195,13 @@ FROM case_wide LEFT JOIN (SELECT l_orderkey, {array} AS voucher_ids FROM lineite
 }
 
 VIEWS["inquiry_results"] = """
-SELECT case_id || ':' || product AS service_id, cast(date_trunc('quarter', o_orderdate) AS date)
+SELECT case_id || ':' || product AS service_id, cast(date_trunc('year', o_orderdate) AS date)
   AS least_result_date FROM case_wide"""
 
 VIEWS["appointments"] = """
 SELECT l_orderkey AS inquiry_id,
-  CASE WHEN l_linenumber = 7 THEN '4' WHEN l_linenumber > 2 THEN '3' ELSE cast(l_linenumber AS string) END
-    AS appointment_type,
+  CASE WHEN l_linenumber = 7 THEN CASE l_linestatus WHEN 'O' THEN '4' ELSE '2' END
+    WHEN l_linenumber IN (3, 4) THEN '3' ELSE '1' END AS appointment_type,
   CASE WHEN l_returnflag = 'A' THEN CASE l_linestatus WHEN 'F' THEN 'call_patient' ELSE 'sent' END
     WHEN l_returnflag = 'N' THEN CASE l_linestatus WHEN 'F' THEN 'sent' ELSE 'ready_to_send_pdf' END
     ELSE CASE l_linestatus WHEN 'F' THEN 'completed' ELSE 'deleted' END END AS state,
