@@ -11,6 +11,8 @@ WEEK = date(1999, 2, 10)
 SURVEY_WEEK = date(1999, 2, 3)
 CALL_WEEK = date(1999, 11, 10)
 CALL_DAY = "DATE '1999-11-10'"
+POST_WEEK = date(1996, 6, 26)
+POST_DAY = "DATE '1996-06-26'"
 AS_OF = date(2000, 1, 1)
 NOW = "DATE '2000-01-01'"
 
@@ -117,16 +119,16 @@ register(
 )
 register(
     "weekly_de_postal",
-    lambda wh: ledger_columns(plans.weekly_de_postal(wh, WEEK)),
+    lambda wh: ledger_columns(plans.weekly_de_postal(wh, POST_WEEK)),
     numbered_sql(
-        f"{postal_ctes(DAY)},{POSTAL_CHOICE}",
+        f"{postal_ctes(POST_DAY)},{POSTAL_CHOICE}",
         "postal", "client_name", "code", "NULL", "app_state", "korb", "'de'", new_batch=0,
     ),
 )
 register(
     "postal_to_complete",
-    lambda wh: plans.postal_to_complete(wh, WEEK),
-    f"""WITH {postal_ctes(DAY)}
+    lambda wh: plans.postal_to_complete(wh, POST_WEEK),
+    f"""WITH {postal_ctes(POST_DAY)}
 SELECT case_id, client_name, app_state, treatment_type FROM letters
 WHERE client_name NOT LIKE '%DAK%' AND treatment_type NOT IN ('second_opinion_before_surgery', 'surgery')
 QUALIFY row_number() OVER (PARTITION BY case_id

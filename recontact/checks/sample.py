@@ -299,7 +299,7 @@ SELECT case_id, product, CASE product WHEN 'PMS' THEN '["feedback_follow_up"]'
 FROM case_wide WHERE o_totalprice > 400000"""
 
 VIEWS["feedbacks"] = """
-SELECT l_orderkey AS service_id, CASE WHEN l_quantity > 48 THEN 'not_specified'
+SELECT l_orderkey AS service_id, CASE WHEN l_quantity > 48 THEN 'not_specified' WHEN l_quantity > 28 THEN NULL
   ELSE cast(cast(l_quantity AS int) % 11 AS string) END AS nps,
   CASE WHEN l_discount > 0.095 THEN l_shipdate ELSE NULL END AS deleted_at
 FROM lineitem"""

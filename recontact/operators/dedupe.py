@@ -38,4 +38,4 @@ def latest_per_key(df: DataFrame, key: str, at: str, value: Column, name: str) -
 
 def stable_shuffle_order(seed: int, *cols: str) -> Column:
     """A repeatable random-looking order: the same seed gives the same order on every retry."""
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *cols))
