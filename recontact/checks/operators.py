@@ -31,7 +31,7 @@ def from_view(view: str, build):
 
 def columns(view: str, sql: str, **out):
     """A projection of one view: named expressions beside the key, with the SQL twin."""
-    return lambda wh: wh[view].select("case_id", *[e.alias(k) for k, e in out.items()]), sql
+    return lambda wh: wh[view].select("case_id", *[build().alias(k) for k, build in out.items()]), sql
 
 
 # Sources.
@@ -220,8 +220,8 @@ register(
         """SELECT case_id, CASE gender WHEN 'F' THEN 'Frau' WHEN 'M' THEN 'Herr' END AS short_form,
   CASE WHEN gender IN ('F', 'female') THEN 'Frau' WHEN gender IN ('M', 'male') THEN 'Herr' ELSE gender END AS long_form
 FROM case_cube""",
-        short_form=t.salutation(c("gender")),
-        long_form=t.salutation(c("gender"), keep_unknown=True),
+        short_form=lambda: t.salutation(c("gender")),
+        long_form=lambda: t.salutation(c("gender"), keep_unknown=True),
     ),
 )
 register(
@@ -230,7 +230,7 @@ register(
         "case_cube",
         """SELECT case_id, CASE WHEN admission_channel IN ('online_marketing', 'partner_funnel') THEN 1 ELSE 0 END
   AS om_flag FROM case_cube""",
-        om_flag=t.flag(c("admission_channel").isin("online_marketing", "partner_funnel")),
+        om_flag=lambda: t.flag(c("admission_channel").isin("online_marketing", "partner_funnel")),
     ),
 )
 register(
@@ -246,56 +246,56 @@ FROM inquiries AS i JOIN appointments AS a ON a.inquiry_id = i.id""",
 
 # Filters: each keeps the case ids that pass.
 def kept(name: str, view: str, condition, where: str, key: str = "case_id") -> None:
-    register(name, lambda wh: wh[view].filter(condition).select(key), f"SELECT {key} FROM {view} WHERE {where}")
+    register(name, lambda wh: wh[view].filter(condition()).select(key), f"SELECT {key} FROM {view} WHERE {where}")
 
 
-kept("filter_equality", "case_cube", (c("product") == "MSS") & (c("payer_group") != "other"),
+kept("filter_equality", "case_cube", lambda: (c("product") == "MSS") & (c("payer_group") != "other"),
      "product = 'MSS' AND payer_group <> 'other'")
-kept("filter_in_lists", "case_cube", c("payer_group").isin("gkv", "pkv") & ~c("voucher_code").isin("GADS-LF22", "STD-3"),
+kept("filter_in_lists", "case_cube", lambda: c("payer_group").isin("gkv", "pkv") & ~c("voucher_code").isin("GADS-LF22", "STD-3"),
      "payer_group IN ('gkv', 'pkv') AND voucher_code NOT IN ('GADS-LF22', 'STD-3')")
-kept("filter_like", "case_cube", t.like_none(c("voucher_code"), ["VRTC%", "%-11"]) & c("payer_name").like("%ION_1%"),
+kept("filter_like", "case_cube", lambda: t.like_none(c("voucher_code"), ["VRTC%", "%-11"]) & c("payer_name").like("%ION_1%"),
      "NOT starts_with(voucher_code, 'VRTC') AND NOT ends_with(voucher_code, '-11') AND contains(payer_name, 'ION_1')")
-kept("filter_ilike", "phone_cube", c("product_v2").ilike("%MSN%"), "contains(lower(product_v2), 'msn')")
+kept("filter_ilike", "phone_cube", lambda: c("product_v2").ilike("%MSN%"), "contains(lower(product_v2), 'msn')")
 kept("filter_ilike_any_or_null", "case_cube",
-     t.ilike_none_or_null(c("completion_reason"), ["%keine weitere%", "%Interner GRUND%"]),
+     lambda: t.ilike_none_or_null(c("completion_reason"), ["%keine weitere%", "%Interner GRUND%"]),
      "completion_reason IS NULL OR NOT regexp_matches(completion_reason, 'keine weitere|interner grund', 'i')")
 kept("filter_boolean_tests", "phone_cube",
-     t.is_false(c("hard_exclusion")) & t.is_not_true(c("questioning_inappropriate")) & t.is_false(c("prem_return")),
+     lambda: t.is_false(c("hard_exclusion")) & t.is_not_true(c("questioning_inappropriate")) & t.is_false(c("prem_return")),
      "NOT hard_exclusion AND coalesce(questioning_inappropriate, false) = false AND coalesce(prem_return, true) = false")
 kept("filter_null_tolerant", "phone_cube",
-     t.null_or(c("prem_latest_sent_at"), c("prem_latest_sent_at") < d.before(AS_OF, weeks=2)),
+     lambda: t.null_or(c("prem_latest_sent_at"), c("prem_latest_sent_at") < d.before(AS_OF, weeks=2)),
      f"coalesce(prem_latest_sent_at < {NOW} - 14, true)")
 kept("filter_score_bands", "case_cube",
-     (c("provider_nps") >= 7) & t.not_detractor(c("medic_nps"), [0, 2, 3, 4, 5, 6]),
+     lambda: (c("provider_nps") >= 7) & t.not_detractor(c("medic_nps"), [0, 2, 3, 4, 5, 6]),
      "provider_nps BETWEEN 7 AND 10 AND (medic_nps IS NULL OR medic_nps IN (1, 7, 8, 9, 10))")
-kept("filter_text_scores", "feedbacks", c("nps").isin("10", "9", "8", "7"), "try_cast(nps AS int) >= 7", "service_id")
-kept("filter_static_dates", "case_cube", c("result_date").between(F.lit(date(1996, 1, 1)), F.lit(date(1997, 9, 30))),
+kept("filter_text_scores", "feedbacks", lambda: c("nps").isin("10", "9", "8", "7"), "try_cast(nps AS int) >= 7", "service_id")
+kept("filter_static_dates", "case_cube", lambda: c("result_date").between(F.lit(date(1996, 1, 1)), F.lit(date(1997, 9, 30))),
      "result_date >= DATE '1996-01-01' AND result_date < DATE '1997-10-01'")
 kept("filter_rolling_window", "case_cube",
-     c("result_date").between(d.before(AS_OF, months=6), d.before(AS_OF, weeks=6)),
+     lambda: c("result_date").between(d.before(AS_OF, months=6), d.before(AS_OF, weeks=6)),
      "result_date BETWEEN DATE '1999-07-01' AND DATE '1999-11-20'")
-kept("filter_age_in_days", "case_cube", d.days_since(c("result_date"), AS_OF).between(16, 210),
+kept("filter_age_in_days", "case_cube", lambda: d.days_since(c("result_date"), AS_OF).between(16, 210),
      f"date_diff('day', result_date, {NOW}) BETWEEN 16 AND 210")
-kept("filter_week_due_calendar_year", "case_cube", d.iso_week_due(c("result_date"), 5, AS_OF),
+kept("filter_week_due_calendar_year", "case_cube", lambda: d.iso_week_due(c("result_date"), 5, AS_OF),
      f"""weekofyear(result_date + INTERVAL 35 DAY) = weekofyear({NOW})
   AND year(result_date + INTERVAL 35 DAY) = year({NOW})""")
-kept("filter_week_due_monday", "case_cube", d.iso_week_due(c("result_date"), 5, AS_OF, mode="week_start"),
+kept("filter_week_due_monday", "case_cube", lambda: d.iso_week_due(c("result_date"), 5, AS_OF, mode="week_start"),
      "result_date + INTERVAL 35 DAY BETWEEN DATE '1999-12-27' AND DATE '2000-01-02'")
-kept("filter_previous_week", "appointments", d.in_previous_iso_week(c("scheduled_date"), date(1999, 6, 16)),
+kept("filter_previous_week", "appointments", lambda: d.in_previous_iso_week(c("scheduled_date"), date(1999, 6, 16)),
      "scheduled_date BETWEEN DATE '1999-06-07' AND DATE '1999-06-13'", "inquiry_id")
-kept("filter_current_week", "appointments", d.in_iso_week_of(c("scheduled_date"), F.lit(date(1999, 6, 16))),
+kept("filter_current_week", "appointments", lambda: d.in_iso_week_of(c("scheduled_date"), F.lit(date(1999, 6, 16))),
      "scheduled_date BETWEEN DATE '1999-06-14' AND DATE '1999-06-20'", "inquiry_id")
 kept("filter_state_ranges", "appointments",
-     ((c("state") == "sent") & c("scheduled_date").between(d.before(AS_OF, months=6), d.before(AS_OF, weeks=5)))
+     lambda: ((c("state") == "sent") & c("scheduled_date").between(d.before(AS_OF, months=6), d.before(AS_OF, weeks=5)))
      | ((c("state") == "call_patient") & (c("scheduled_date") < d.before(AS_OF, weeks=6))),
      f"""CASE state WHEN 'sent' THEN scheduled_date BETWEEN {NOW} - INTERVAL 6 MONTH AND {NOW} - 35
   WHEN 'call_patient' THEN scheduled_date < {NOW} - 42 ELSE false END""", "inquiry_id")
-kept("filter_not_blank", "case_cube", t.not_blank(c("voucher_code")) & (F.length("voucher_code") >= 5),
+kept("filter_not_blank", "case_cube", lambda: t.not_blank(c("voucher_code")) & (F.length("voucher_code") >= 5),
      "voucher_code <> '' AND length(voucher_code) >= 5")
-kept("filter_json_list_empty", "insurance_data", n.json_list_empty(c("options")), "options = '[]'", "inquiry_id")
-kept("filter_substring", "pii", F.contains("email", F.lit("googlemail")), "email LIKE '%googlemail%'", "service_id")
+kept("filter_json_list_empty", "insurance_data", lambda: n.json_list_empty(c("options")), "options = '[]'", "inquiry_id")
+kept("filter_substring", "pii", lambda: F.contains("email", F.lit("googlemail")), "email LIKE '%googlemail%'", "service_id")
 kept("filter_product_event", "workflow_events",
-     services.product_matches_event(c("service"), n.json_text(c("event_body"), "$.properties.product")),
+     lambda: services.product_matches_event(c("service"), n.json_text(c("event_body"), "$.properties.product")),
      """CASE WHEN service = 'MSS' THEN event_body LIKE '%"product":"Spezi%'
   WHEN service LIKE '%PMS%' THEN event_body LIKE '%"product":"Erst%' ELSE false END""")
 
@@ -679,7 +679,7 @@ FROM (SELECT case_id, 'mail' AS branch FROM case_cube WHERE product = 'MSS'
 register(
     "lower_upper",
     *columns("case_cube", "SELECT case_id, lower(payer_name) AS low, upper(inquiry_type) AS up FROM case_cube",
-             low=F.lower("payer_name"), up=F.upper("inquiry_type")),
+             low=lambda: F.lower("payer_name"), up=lambda: F.upper("inquiry_type")),
 )
 register(
     "concat_both_ways",
@@ -687,14 +687,14 @@ register(
         "case_cube",
         """SELECT case_id, coalesce(voucher_code, '') || ':' || product AS skipping,
   voucher_code || ':' || product AS strict FROM case_cube""",
-        skipping=t.concat_skip_nulls("voucher_code", F.lit(":"), "product"),
-        strict=t.concat_strict(c("voucher_code"), F.lit(":"), c("product")),
+        skipping=lambda: t.concat_skip_nulls("voucher_code", F.lit(":"), "product"),
+        strict=lambda: t.concat_strict(c("voucher_code"), F.lit(":"), c("product")),
     ),
 )
 register(
     "coalesce_values",
     *columns("case_cube", "SELECT case_id, ifnull(completion_reason, ifnull(voucher_code, '-')) AS value FROM case_cube",
-             value=F.coalesce("completion_reason", "voucher_code", F.lit("-"))),
+             value=lambda: F.coalesce("completion_reason", "voucher_code", F.lit("-"))),
 )
 register(
     "greatest_of_dates",
@@ -702,7 +702,7 @@ register(
         "phone_cube",
         """SELECT case_id, CASE WHEN prem_latest_sent_at IS NULL OR prem_latest_planned_at > prem_latest_sent_at
   THEN prem_latest_planned_at ELSE prem_latest_sent_at END AS latest FROM phone_cube""",
-        latest=F.greatest("prem_latest_planned_at", "prem_latest_sent_at"),
+        latest=lambda: F.greatest("prem_latest_planned_at", "prem_latest_sent_at"),
     ),
 )
 register(
@@ -719,13 +719,13 @@ register(
     *columns(
         "workflow_events",
         """SELECT case_id, event_date AS result_date FROM workflow_events""",
-        result_date=d.parse_day_first(n.json_text(c("event_body"), "$.properties.date")),
+        result_date=lambda: d.parse_day_first(n.json_text(c("event_body"), "$.properties.date")),
     ),
 )
 register(
     "date_text",
     *columns("case_cube", "SELECT case_id, strftime(result_date, '%Y-%m-%d') AS day_text FROM case_cube",
-             day_text=F.date_format("result_date", "yyyy-MM-dd")),
+             day_text=lambda: F.date_format("result_date", "yyyy-MM-dd")),
 )
 register(
     "week_and_year",
@@ -733,7 +733,7 @@ register(
         "case_cube",
         """SELECT case_id, cast(week(result_date) AS int) AS week, cast(year(result_date) AS int) AS year,
   cast(date_trunc('week', result_date) AS date) AS monday FROM case_cube""",
-        week=F.weekofyear("result_date"), year=F.year("result_date"), monday=F.trunc("result_date", "week"),
+        week=lambda: F.weekofyear("result_date"), year=lambda: F.year("result_date"), monday=lambda: F.trunc("result_date", "week"),
     ),
 )
 register(
@@ -742,7 +742,7 @@ register(
         "case_cube",
         f"""SELECT case_id, cast(result_date + 30 AS date) AS stop, cast(result_date - INTERVAL 6 MONTH AS date) AS earlier,
   cast({NOW} - result_date AS int) AS age FROM case_cube""",
-        stop=F.date_add("result_date", 30), earlier=F.add_months("result_date", -6), age=d.days_since(c("result_date"), AS_OF),
+        stop=lambda: F.date_add("result_date", 30), earlier=lambda: F.add_months("result_date", -6), age=lambda: d.days_since(c("result_date"), AS_OF),
     ),
 )
 register(
@@ -751,7 +751,7 @@ register(
         "case_cube",
         f"""SELECT case_id, CASE WHEN {NOW} - result_date < 364 THEN 'prom_6' WHEN {NOW} - result_date > 720 THEN 'prom_24'
   ELSE 'prom_12' END AS kind FROM case_cube""",
-        kind=d.prom_age_bucket(d.days_since(c("result_date"), AS_OF)),
+        kind=lambda: d.prom_age_bucket(d.days_since(c("result_date"), AS_OF)),
     ),
 )
 register(
@@ -764,7 +764,7 @@ register(
     *columns(
         "inquiries",
         "SELECT case_id, voucher_ids[1] AS first_id, voucher_ids[2] AS second_id FROM inquiries",
-        first_id=n.first_item(c("voucher_ids")), second_id=n.second_item(c("voucher_ids")),
+        first_id=lambda: n.first_item(c("voucher_ids")), second_id=lambda: n.second_item(c("voucher_ids")),
     ),
 )
 register(
