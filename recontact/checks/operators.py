@@ -392,8 +392,23 @@ register(
     "anti_join_unguarded_null",
     lambda wh: suppress.suppress(
         wh["case_cube"].select("case_id"), common.ledger_of(wh), cam_ids=[2], nulls="sql"
+    ).agg(F.count("case_id").alias("cases_kept")),
+    """SELECT count(*) AS cases_kept FROM case_cube
+WHERE case_id NOT IN (SELECT case_id FROM contact_ledger WHERE cam_id = 2)""",
+)
+register(
+    "anti_join_union_of_sets",
+    lambda wh: suppress.exclude_any(
+        wh["case_cube"].select("case_id", "product"),
+        [wh["suppression"], services.ended(wh), suppress.contacts(common.ledger_of(wh), cam_ids=[97])],
+        "case_id",
+        nulls="sql",
     ),
-    "SELECT case_id FROM case_cube WHERE case_id NOT IN (SELECT case_id FROM contact_ledger WHERE cam_id = 2)",
+    """SELECT case_id, product FROM case_cube
+WHERE case_id NOT IN (SELECT case_id FROM suppression)
+  AND case_id NOT IN (SELECT case_id FROM workflow_events
+    WHERE event_type LIKE '%DID_CLOSE%' OR event_type LIKE '%DID_RECEIVE%')
+  AND case_id NOT IN (SELECT case_id FROM contact_ledger WHERE cam_id = 97)""",
 )
 register(
     "anti_join_patient",

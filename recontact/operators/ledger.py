@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recontact.fixed_values import CATEGORY_CALL, OPEN_END
 from recontact.sources.schemas import CAM_BATCH, CAM_CAM, CAM_SELECT
-from recontact.sources.storage import materialized
+from recontact.sources.storage import written_once
 
 
 def max_id(df: DataFrame, col: str) -> Column:
@@ -18,18 +18,14 @@ def max_id(df: DataFrame, col: str) -> Column:
     return df.agg(F.coalesce(F.max(col), F.lit(0)).cast("long")).scalar()
 
 
-def assign_ids(
-    df: DataFrame, ledger: DataFrame, key: Sequence[str], batch: str = "new", compute_once: bool = False
-) -> DataFrame:
+def assign_ids(df: DataFrame, ledger: DataFrame, key: Sequence[str], batch: str = "new") -> DataFrame:
     """Dense ``select_id`` above the ledger's maximum, and the ``batch_id``.
 
     The reference order is open, so the order is chosen for scale: 4096 even buckets by the MD5 of
     the unique key, then the key. Buckets are numbered in parallel and shifted by the running bucket
-    sizes, at most 4096 rows. Recomputed tasks give the same numbers. ``compute_once`` checkpoints
-    the rows first, for inputs that are expensive to evaluate for sizes and for rows.
+    sizes, at most 4096 rows. Recomputed tasks give the same numbers. The input is read twice, for
+    sizes and for rows; ``numbered_rows`` writes it once before.
     """
-    if compute_once:
-        df = materialized(df)
     bucketed = df.withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", *key)), 1, 3))
     order = [F.col(k).asc_nulls_last() for k in key]
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -47,21 +43,27 @@ def assign_ids(
     ).drop("_bucket", "_shift", "_step")
 
 
-def to_ledger(df: DataFrame, mapping: Mapping[str, Column] | None = None) -> DataFrame:
-    """Project to the 16 ledger columns: mapped or equally named input, else the default."""
+def to_ledger(
+    df: DataFrame, mapping: Mapping[str, Column] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Project to the 16 ledger columns: mapped or equally named input, else the default.
+
+    Columns named in ``keep`` that the ledger lacks stay behind the ledger columns.
+    """
     mapping = dict(mapping or {})
     defaults = {"control_flag": F.lit(0), "count_cases_patient": F.lit(1)}
+    given = set(df.columns)
     out = []
     for field in CAM_SELECT.fields:
         name = field.name
         if name in mapping:
             col = mapping[name]
-        elif name in df.columns:
+        elif name in given:
             col = F.col(name)
         else:
             col = defaults.get(name, F.lit(None))
         out.append(col.cast(field.dataType).alias(name))
-    return df.select(*out)
+    return df.select(*out, *[k for k in keep if k not in CAM_SELECT.names])
 
 
 def numbered_rows(
@@ -70,10 +72,11 @@ def numbered_rows(
     mapping: Mapping[str, Column] | None = None,
     key: Sequence[str] = ("case_id",),
     batch: str = "new",
-    compute_once: bool = False,
 ) -> DataFrame:
-    """Chosen rows as ledger rows with their ids."""
-    return to_ledger(assign_ids(df, cam_select, key, batch, compute_once), mapping)
+    """Chosen rows as ledger rows with their ids; the selection runs once and is written narrow."""
+    rows = to_ledger(df, mapping, keep=key).drop("select_id", "batch_id")
+    numbered = assign_ids(written_once(rows, "chosen"), cam_select, key, batch)
+    return numbered.select(*CAM_SELECT.names)
 
 
 def as_ledger_width(df: DataFrame) -> DataFrame:
@@ -159,14 +162,14 @@ def commit(
 ) -> DataFrame | None:
     """Write a selection: ledger rows first, then the batch row. Returns the written rows.
 
-    ``chosen`` are ledger rows of a selection. They are checkpointed before the write, because the
-    selection reads the very ledger that grows. One writer per ledger is assumed, as ids are read
-    as maxima. Without rows nothing is written.
+    ``chosen`` are ledger rows of a selection. They are written aside before the append, because
+    their ids read the very ledger that grows. One writer per ledger is assumed, as ids are read as
+    maxima. Without rows nothing is written.
     """
     batches = spark.read.schema(CAM_BATCH).parquet(f"{root}/cam_batch")
     if weekly:
         current_week_guard(batches, cam_id, as_of)
-    rows = materialized(chosen)
+    rows = written_once(chosen, "commit")
     if not append_select(rows, f"{root}/cam_select"):
         return None
     open_batch(spark, rows, cam_id, acceptor, as_of).write.mode("append").parquet(f"{root}/cam_batch")

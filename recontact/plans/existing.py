@@ -374,11 +374,10 @@ def existing_customer_unified(
     window = F.col("result_date").between(before(as_of, months=48), before(as_of, months=24))
     cases = inquiry_cases(wh).filter(window).unionByName(service_cases(wh).filter(window))
     kept = _client_roles(cases, wh["client_groups"]).filter(all_of(_unified_rule(anonymised, reason_guard)))
-    ledger = ledger_of(wh)
     earlier = [fv.CAM_EXISTING_CUSTOMER_CALL, fv.CAM_EXISTING_CUSTOMER_MAIL]
-    kept = suppress(kept, ledger, cam_ids=earlier, nulls=nulls)
     old = F.col("batch_selection_date") < before(as_of, weeks=4)
-    kept = suppress(kept, ledger, cam_ids=[fv.CAM_REVIEW_REQUEST], when=old, nulls=nulls)
+    asked = (F.col("cam_id") == fv.CAM_REVIEW_REQUEST) & old
+    kept = suppress(kept, ledger_of(wh), when=F.col("cam_id").isin(*earlier) | asked, nulls=nulls)
     people = kept.join(wh["patient_ids"], "case_id", "left")
     order = newest_case() + [F.col("system"), F.col("service_id"), F.col("product").asc_nulls_last()]
     order += [F.col("client_1").asc_nulls_last(), F.col("first_voucher_code").asc_nulls_last()]

@@ -20,7 +20,7 @@ from recontact.functions.nested import json_list_empty
 from recontact.functions.text import any_of, flag, null_or
 from recontact.operators.dedupe import first_per_key
 from recontact.operators.ledger import numbered_rows
-from recontact.operators.suppress import exclude_keys, suppress
+from recontact.operators.suppress import contacts, exclude_any, exclude_keys, suppress
 from recontact.operators.vouchers import allowed_voucher, first_voucher, head_voucher
 from recontact.plans.common import ledger_of
 from recontact.sources.warehouse import Warehouse
@@ -304,10 +304,9 @@ def _second_survey_cases(wh: Warehouse, nulls: str) -> DataFrame:
         (F.col("preferred_communication_channel") == "email") & F.col("status_survey_reminder_sent_at").isNull()
     )
     cases = wh["inquiries"].filter(F.col("state") == "waiting_q3")
-    cases = exclude_keys(cases, answered(wh), "id", nulls="sql")
-    cases = exclude_keys(cases, moved_on, "id", nulls="sql")
-    cases = exclude_keys(cases, cases_with(wh, later), "case_id", nulls="sql")
-    cases = suppress(cases, ledger_of(wh), not_cam_ids=[1, 2, 3, -1], nulls=nulls)
+    cases = exclude_any(cases, [answered(wh), moved_on], "id", nulls="sql")
+    called = contacts(ledger_of(wh), not_cam_ids=[1, 2, 3, -1])
+    cases = exclude_any(cases, [cases_with(wh, later), called], "case_id", nulls=nulls)
     return cases.join(mail.select(F.col("inquiry_id").alias("id")), "id", "left_semi").join(waiting, "id")
 
 
@@ -424,10 +423,10 @@ def call_legacy(
     """Calls by payer with a date window per state, without earlier calls or a second survey this week."""
     rows = _call_candidates(wh, payer, excluded_clients)
     chosen = first_per_key(rows, ["case_id"], appointment_order()).filter(_in_windows(windows or rolling_windows(as_of)))
-    ledger = ledger_of(wh)
-    fresh = suppress(chosen, ledger, not_cam_ids=[1, 2, 3, -1, 8], nulls=nulls)
     this_week = F.col("batch_selection_date") >= F.trunc(F.lit(as_of), "week")
-    fresh = suppress(fresh, ledger, cam_ids=[fv.CAM_SECOND_STATUS_SURVEY], when=this_week, nulls=nulls)
+    surveyed = (F.col("cam_id") == fv.CAM_SECOND_STATUS_SURVEY) & this_week
+    taken = contacts(ledger_of(wh), when=~F.col("cam_id").isin(1, 2, 3, -1, 8) | surveyed)
+    fresh = exclude_keys(chosen, taken, "case_id", nulls=nulls)
     return inquiry_rows(fresh.drop("korb"), wh)
 
 
@@ -555,14 +554,14 @@ def status_vs_card_cleaning(
     later = every.filter(F.col("appointment_type").isin("4", "5", "6"))
     unfinished = every.filter(F.col("app_state") != "completed")
     cases = wh["inquiries"].filter(F.col("state") == "waiting_q3")
-    cases = exclude_keys(with_open_entry(cases, wh), cases_with(wh, later), "case_id", nulls="sql")
-    cases = exclude_keys(cases, cases_with(wh, unfinished), "case_id", nulls="sql")
+    created_cards = wh["card_log"].filter(
+        (F.col("board") == board) & (F.col("list") == card_list) & (F.col("transaction_name") == transaction)
+    )
+    gone = [cases_with(wh, later.unionByName(unfinished)), created_cards]
+    cases = exclude_any(with_open_entry(cases, wh), gone, "case_id", nulls="sql")
     done = every.filter((F.col("appointment_type") == "3") & (F.col("app_state") == "completed"))
     keep = allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS)
     order = [F.col(c).asc_nulls_last() for c in ("app_state", "id")]
     chosen = first_voucher(cases.join(done, "id"), wh["voucher_dim"], keep, order)
-    cards = wh["card_log"].filter(
-        (F.col("board") == board) & (F.col("list") == card_list) & (F.col("transaction_name") == transaction)
-    )
     late = chosen.filter(F.col("results_sent_at").cast("date") > F.lit(since))
-    return inquiry_rows(exclude_keys(late, cards, "case_id", nulls="sql"), wh)
+    return inquiry_rows(late, wh)

@@ -14,7 +14,7 @@ from recontact.functions.nested import json_text
 from recontact.functions.text import any_of, like_any, null_or
 from recontact.operators.dedupe import first_per_key, latest_per_key
 from recontact.operators.ledger import numbered_rows
-from recontact.operators.suppress import contacts, exclude_keys, suppress
+from recontact.operators.suppress import contacts, exclude_any
 from recontact.operators.surveys import pivot_events, presence_flag, survey_class, titled_links
 from recontact.plans.common import ledger_of
 from recontact.plans.inquiries import vip_inquiries
@@ -31,13 +31,35 @@ def responded(links: DataFrame) -> DataFrame:
     return links.filter(F.col("title").like(fv.FOLLOW_UP_TITLE) & F.col("response_status").isNotNull())
 
 
-def events_like(wh: Warehouse, *parts: str) -> DataFrame:
-    return wh["workflow_events"].filter(any_of(F.contains("event_type", F.lit(p)) for p in parts))
+def surveyed(links: DataFrame) -> DataFrame:
+    """Cases with an answered follow-up or any outcome survey."""
+    answered = F.col("title").like(fv.FOLLOW_UP_TITLE) & F.col("response_status").isNotNull()
+    return links.filter(answered | F.contains("title", F.lit("PROM")))
+
 
+def ended(wh: Warehouse) -> DataFrame:
+    """Cases closed or with a reply."""
+    return events_like(wh, "DID_CLOSE", "DID_RECEIVE")
 
-def closed_for_good(wh: Warehouse) -> DataFrame:
+
+def refused(wh: Warehouse) -> DataFrame:
+    """Cases with a reply or closed for a reason that forbids further questions."""
     reason = json_text(F.col("event_body"), "$.properties.reason")
-    return events_like(wh, "DID_CLOSE").filter(like_any(reason, fv.CLOSE_REASONS))
+    event = F.col("event_type")
+    closed = F.contains(event, F.lit("DID_CLOSE")) & like_any(reason, fv.CLOSE_REASONS)
+    return wh["workflow_events"].filter(F.contains(event, F.lit("DID_RECEIVE")) | closed)
+
+
+def talked(wh: Warehouse, topic: str) -> DataFrame:
+    return wh["conversations_ref"].filter(F.col("topics") == f'["{topic}"]')
+
+
+def called(wh: Warehouse, not_cam_ids: Sequence[int]) -> DataFrame:
+    return contacts(ledger_of(wh), not_cam_ids=not_cam_ids)
+
+
+def events_like(wh: Warehouse, *parts: str) -> DataFrame:
+    return wh["workflow_events"].filter(any_of(F.contains("event_type", F.lit(p)) for p in parts))
 
 
 def service_rows(
@@ -87,13 +109,12 @@ def _per_case(df: DataFrame) -> DataFrame:
     return first_per_key(df, ["case_id"], order)
 
 
-def _mss_follow_up(wh: Warehouse, as_of: date, payers: Column) -> DataFrame:
+def _mss_follow_up(wh: Warehouse, as_of: date, payers: Column, exclusions: Sequence[DataFrame]) -> DataFrame:
     """Unanswered follow-up surveys of first-product cases with the age of the invitation."""
     links = links_of(wh)
     follow_up = links.filter(F.col("title").like(fv.FOLLOW_UP_TITLE)).select("case_id", "title", "created_at")
     services = final_services(wh).filter(payers & F.contains("service_id", F.lit(":MSS")))
-    services = exclude_keys(services, responded(links), "case_id", nulls="sql")
-    services = exclude_keys(services, links.filter(F.contains("title", F.lit("PROM"))), "case_id", nulls="sql")
+    services = exclude_any(services, [surveyed(links), *exclusions], "case_id", nulls="sql")
     return (
         services.join(follow_up, "case_id")
         .join(survey_class(links), "case_id", "left")
@@ -110,10 +131,7 @@ def ch_survey_legacy(
     wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWISS_SURVEY_PAYERS, topic: str = "feedback_follow_up_mss"
 ) -> DataFrame:
     """Swiss cases 16 to 21 days after an unanswered invitation."""
-    rows = _mss_follow_up(wh, as_of, like_any(F.col("payer_name"), payers))
-    rows = exclude_keys(rows, events_like(wh, "DID_CLOSE", "DID_RECEIVE"), "case_id", nulls="sql")
-    talked = wh["conversations_ref"].filter(F.col("topics") == f'["{topic}"]')
-    rows = exclude_keys(rows, talked, "case_id", nulls="sql")
+    rows = _mss_follow_up(wh, as_of, like_any(F.col("payer_name"), payers), [ended(wh), talked(wh, topic)])
     due = _waited(rows).filter(F.col("survey_age") <= 21)
     return service_rows(_per_case(due).withColumn("app_state", ledger_state()), wh)
 
@@ -150,10 +168,6 @@ def ch_postal_legacy(wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWIS
     return service_rows(dated, wh, "append", key=("case_id", "app_date", "visit_date", "event_time"))
 
 
-def _not_called(df: DataFrame, wh: Warehouse, not_cam_ids: Sequence[int]) -> DataFrame:
-    return suppress(df, ledger_of(wh), not_cam_ids=not_cam_ids, nulls="sql")
-
-
 def _moved_cards(wh: Warehouse, board: str, card_list: str, first: str, last: str) -> DataFrame:
     """Cards moved into a list of a board within a time span."""
     return wh["card_log"].filter(
@@ -174,34 +188,35 @@ def call_services_mss(
     moved: tuple[str, str, str, str] | None = None,
 ) -> DataFrame:
     """Calls by payer for first-product cases whose survey stayed unanswered for 16 days."""
-    rows = _mss_follow_up(wh, as_of, F.col("payer_name").like(payer))
-    rows = exclude_keys(rows, events_like(wh, "DID_RECEIVE"), "case_id", nulls="sql")
-    rows = exclude_keys(rows, closed_for_good(wh), "case_id", nulls="sql")
-    talked = wh["conversations_ref"].filter(F.col("topics") == f'["{topic}"]')
-    rows = exclude_keys(rows, talked, "case_id", nulls="sql")
-    chosen = _per_case(_waited(_not_called(rows, wh, [1, 2, 3, 8])))
+    exclusions = [refused(wh), talked(wh, topic), called(wh, [1, 2, 3, 8])]
     if moved is not None:
-        chosen = exclude_keys(chosen, _moved_cards(wh, *moved), "case_id", nulls="sql")
+        exclusions.append(_moved_cards(wh, *moved))
+    chosen = _per_case(_waited(_mss_follow_up(wh, as_of, F.col("payer_name").like(payer), exclusions)))
     return service_rows(chosen.withColumn("app_state", ledger_state()), wh)
 
 
 def _pms_cases(
-    wh: Warehouse, as_of: date, services: DataFrame, not_cam_ids: Sequence[int], oldest_months: int, topic: str
+    wh: Warehouse,
+    as_of: date,
+    services: DataFrame,
+    not_cam_ids: Sequence[int],
+    oldest_months: int,
+    topic: str = "feedback_follow_up",
+    more_exclusions: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Second-product cases without answer, by survey age or, without own survey, result age."""
     links = links_of(wh)
     finals = wh["workflow_events"].filter(F.col("event_type").startswith("DID_SEND_FINAL"))
     latest = latest_per_key(finals, "case_id", "event_time", F.col("event_time"), "final_at")
+    exclusions = [
+        surveyed(links),
+        refused(wh),
+        talked(wh, topic).filter(F.col("product").startswith("PMS")),
+        called(wh, not_cam_ids),
+        *more_exclusions,
+    ]
     rows = services.filter(F.contains("service_id", F.lit(":PMS")))
-    rows = exclude_keys(rows, responded(links), "case_id", nulls="sql")
-    rows = exclude_keys(rows, events_like(wh, "DID_RECEIVE"), "case_id", nulls="sql")
-    rows = exclude_keys(rows, closed_for_good(wh), "case_id", nulls="sql")
-    rows = exclude_keys(rows, links.filter(F.contains("title", F.lit("PROM"))), "case_id", nulls="sql")
-    talked = wh["conversations_ref"].filter(
-        F.col("product").startswith("PMS") & (F.col("topics") == f'["{topic}"]')
-    )
-    rows = exclude_keys(rows, talked, "case_id", nulls="sql")
-    rows = _not_called(rows, wh, not_cam_ids)
+    rows = exclude_any(rows, exclusions, "case_id", nulls="sql")
     title = F.col("title")
     age = F.when(F.contains(title, F.lit("PMS")), days_since(F.col("created_at"), as_of)).when(
         ~F.contains(title, F.lit("PMS")), days_since(F.col("final_at"), as_of)
@@ -222,15 +237,14 @@ def _pms_cases(
 def call_services_pms(wh: Warehouse, as_of: date, payer: str, moved: tuple[str, str, str, str] | None = None) -> DataFrame:
     """Calls by payer for second-product cases; their classes name no state, so it stays empty."""
     services = final_services(wh).filter(F.col("payer_name").like(payer))
-    chosen = _pms_cases(wh, as_of, services, [1, 2, 3, 8], 12, "feedback_follow_up")
-    if moved is not None:
-        chosen = exclude_keys(chosen, _moved_cards(wh, *moved), "case_id", nulls="sql")
+    more = [_moved_cards(wh, *moved)] if moved is not None else []
+    chosen = _pms_cases(wh, as_of, services, [1, 2, 3, 8], 12, more_exclusions=more)
     return service_rows(chosen.withColumn("app_state", ledger_state()), wh)
 
 
 def vip_services(wh: Warehouse, as_of: date) -> DataFrame:
     services = final_services(wh).filter(F.contains("voucher_code", F.lit(fv.VIP_VOUCHER)))
-    return _pms_cases(wh, as_of, services, [1, 2, 3, 8, -1], 5, "feedback_follow_up").withColumn(
+    return _pms_cases(wh, as_of, services, [1, 2, 3, 8, -1], 5).withColumn(
         "app_state", ledger_state()
     )
 
@@ -264,10 +278,9 @@ def weekly_ch_cases(wh: Warehouse, as_of: date) -> DataFrame:
         & F.col("inquiry_type").isin(*fv.WEEKLY_TREATMENTS)
     )
     cube = cube.select("case_id", "service_id", "voucher_code", "inquiry_type", "payer_name", "result_date")
-    cube = exclude_keys(cube, contacts(ledger_of(wh), cam_ids=[fv.CAM_WEEKLY_CH]), "case_id")
     answered = links_of(wh).filter(F.col("title").ilike(fv.FOLLOW_UP_TITLE) & F.col("response_status").isNotNull())
-    cube = exclude_keys(cube, answered, "case_id")
-    cube = exclude_keys(cube, events_like(wh, "DID_CLOSE", "DID_RECEIVE"), "case_id")
+    started = contacts(ledger_of(wh), cam_ids=[fv.CAM_WEEKLY_CH])
+    cube = exclude_any(cube, [started, answered, ended(wh)], "case_id")
     sends = pivot_events(
         wh["workflow_events"].filter(F.col("case_id").isNotNull()),
         {"status_sent": "DID_SEND_STATUS_SURVEY", "prem_sent": "DID_SEND_PREM_SURVEY"},
@@ -294,10 +307,7 @@ def ch_survey_list(
     wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWISS_SURVEY_PAYERS, topic: str = "feedback_follow_up_mss"
 ) -> DataFrame:
     """Oldest form of the Swiss survey list: card rows instead of ledger rows."""
-    rows = _mss_follow_up(wh, as_of, like_any(F.col("payer_name"), payers))
-    rows = exclude_keys(rows, events_like(wh, "DID_CLOSE", "DID_RECEIVE"), "case_id", nulls="sql")
-    talked = wh["conversations_ref"].filter(F.col("topics") == f'["{topic}"]')
-    rows = exclude_keys(rows, talked, "case_id", nulls="sql")
+    rows = _mss_follow_up(wh, as_of, like_any(F.col("payer_name"), payers), [ended(wh), talked(wh, topic)])
     due = _per_case(_waited(rows).filter(F.col("survey_age") <= 21))
     return due.select(
         "case_id",

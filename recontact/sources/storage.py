@@ -21,7 +21,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a reliable checkpoint, so the rows are computed once."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written_once(df: DataFrame, label: str = "rows") -> DataFrame:
+    """Rows computed once and read back from a table in the shared folder, without lineage.
+
+    A lost executor costs a re-read, and later passes read only the columns they need.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
