@@ -289,7 +289,7 @@ register(
     "existing_customer_simple_a",
     lambda wh: existing.existing_customer_simple_a(wh, ["%NATION_7%"]),
     """
-SELECT s.case_id, p.name AS payer_brand, s.voucher_code, f.nps AS provider_nps
+SELECT DISTINCT s.case_id, p.name AS payer_brand, s.voucher_code, f.nps AS provider_nps
 FROM services AS s JOIN contracts AS c ON c.id = s.contract_id JOIN payers AS p ON p.id = c.payer_id
   JOIN workflow_events AS e USING (case_id) LEFT JOIN feedbacks AS f ON f.service_id = s.id
 WHERE e.event_type LIKE '%DID_SEND_FINAL%' AND (s.product = 'RSO' OR s.product LIKE '%PMS%')

@@ -333,9 +333,15 @@ register(
 register(
     "join_chain_then_first",
     lambda wh: dedupe.first_per_key(
-        services.final_services(wh).join(services.links_of(wh), "case_id", "left"),
+        services.final_services(wh).join(
+            dedupe.first_per_key(
+                services.links_of(wh), ["case_id"], [c("created_at").desc_nulls_last(), c("survey_id").asc_nulls_last()]
+            ),
+            "case_id",
+            "left",
+        ),
         ["case_id"],
-        [c("created_at").desc_nulls_last(), c("survey_id").asc_nulls_last()],
+        [c("created_at").desc_nulls_last(), c("survey_id").asc_nulls_last(), c("service_id")],
     ).select("case_id", "payer_name", "title", "created_at"),
     """SELECT s.case_id, p.name AS payer_name, v.title, l.created_at
 FROM services AS s LEFT JOIN contracts AS c ON c.id = s.contract_id LEFT JOIN payers AS p ON p.id = c.payer_id
@@ -656,12 +662,12 @@ FROM inquiries AS i LEFT JOIN voucher_dim AS v ON v.id = i.voucher_ids[1]
   LEFT JOIN (SELECT DISTINCT inquiry_id, supplementary FROM insurance_data WHERE main) AS m ON m.inquiry_id = i.id
 WHERE i.id NOT IN (SELECT inquiry_id FROM contact_entries WHERE quality IN (0, 2, 3, 4, 5, 6) AND contact_type <> 'Q1')
 UNION ALL
-SELECT 'service', s.case_id, s.service_id, pr.name,
-  cast(strptime(json_extract_string(f.event_body, '$.properties.date'), '%d-%m-%Y') AS date), pa.name, false
-FROM services AS s JOIN workflow_events AS f ON f.case_id || ':' || f.service = s.service_id
-  AND f.event_type LIKE '%DID_SEND_FINAL%' AND f.deleted_at IS NULL
-  LEFT JOIN workflow_events AS x ON x.case_id || ':' || x.service = s.service_id
-    AND x.event_type LIKE '%DID_CLOSE%' AND x.deleted_at IS NULL
+SELECT 'service', s.case_id, s.service_id, pr.name, f.result_date, pa.name, false
+FROM services AS s JOIN (
+    SELECT case_id || ':' || service AS service_id,
+      max(cast(strptime(json_extract_string(event_body, '$.properties.date'), '%d-%m-%Y') AS date)) AS result_date
+    FROM workflow_events WHERE event_type LIKE '%DID_SEND_FINAL%' AND deleted_at IS NULL GROUP BY ALL) AS f
+    USING (service_id)
   LEFT JOIN contracts AS c ON c.id = s.contract_id LEFT JOIN payers AS pa ON pa.id = c.payer_id
   LEFT JOIN products AS pr ON pr.id = s.product_id
 WHERE s.deleted_at IS NULL AND s.case_id NOT IN (SELECT case_id FROM visits

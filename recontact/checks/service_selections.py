@@ -122,9 +122,9 @@ cases AS (
   WHERE regexp_matches(p.name, 'Assura|ÖKK|EGK|Helsana|Atupri|^Aquilana|^CSS|^Agrisano|^KPT|Visana')
     AND e.event_type LIKE '%DID_SEND_FINAL%' AND e.service = 'MSS'
     AND (f.channel_recommendation = 'postal' OR coalesce(f.email, '') = '')),
-chosen AS (SELECT DISTINCT * FROM cases WHERE {in_week('app_date', 0, "DATE '1999-06-23'")})""",
+chosen AS (SELECT DISTINCT case_id, payer, voucher_code, preferred_language, app_date FROM cases WHERE {in_week('app_date', 0, "DATE '1999-06-23'")})""",
         "chosen", "payer", "voucher_code", app_state="app_date", language="preferred_language",
-        key=("case_id", "app_date", "visit_date", "event_time"), new_batch=0,
+        key=("case_id", "app_date"), new_batch=0,
     ),
 )
 

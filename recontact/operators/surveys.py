@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,16 @@ def titled_links(links: DataFrame, surveys: DataFrame) -> DataFrame:
     return links.join(surveys.select(F.col("id").alias("survey_id"), "title"), "survey_id", "left")
 
 
+def survey_class_of(classes: Mapping[str, str]) -> Column:
+    """Aggregate: the first class, in order, whose title pattern any survey of the group matches."""
+    return F.coalesce(
+        *[
+            F.when(F.bool_or(F.col("title").like(pattern)), F.lit(label))
+            for label, pattern in classes.items()
+        ]
+    )
+
+
 def survey_class(links: DataFrame, classes: Mapping[str, str] | None = None) -> DataFrame:
     """Class of each case by its survey titles: one aggregation instead of a lookup per class.
 
@@ -20,13 +30,7 @@ def survey_class(links: DataFrame, classes: Mapping[str, str] | None = None) ->
     default, so a case is PREM only without a status survey.
     """
     classes = classes or {"SS": "%Status%", "PREM": "%PREM%"}
-    pick = F.coalesce(
-        *[
-            F.when(F.bool_or(F.col("title").like(pattern)), F.lit(label))
-            for label, pattern in classes.items()
-        ]
-    )
-    return links.groupBy("case_id").agg(pick.alias("case_class"))
+    return links.groupBy("case_id").agg(survey_class_of(classes).alias("case_class"))
 
 
 def pivot_events(events: DataFrame, types: Mapping[str, str], at: str = "event_time") -> DataFrame:

@@ -33,9 +33,12 @@ def head_voucher(df: DataFrame, vouchers: DataFrame, ids: str = "voucher_ids") -
 
 
 def first_voucher(
-    df: DataFrame, vouchers: DataFrame, keep: Column, order: Sequence[Column] = (), ids: str = "voucher_ids"
+    df: DataFrame, vouchers: DataFrame, keep: Column, key: str = "case_id", ids: str = "voucher_ids"
 ) -> DataFrame:
-    """Smallest voucher id per case among those that pass ``keep``; cases without one disappear."""
+    """Smallest voucher id per key among those that pass ``keep``; a key without one disappears.
+
+    Apply it before joins that multiply rows: the voucher does not depend on them.
+    """
     exploded = df.withColumn("voucher_id", F.explode(ids)).drop(ids)
     kept = exploded.join(voucher_columns(vouchers), "voucher_id").filter(keep)
-    return first_per_key(kept, ["case_id"], [F.col("voucher_id").asc_nulls_last(), *order])
+    return first_per_key(kept, [key], [F.col("voucher_id").asc_nulls_last()])

@@ -257,8 +257,12 @@ def best_known_score(feedbacks: DataFrame) -> DataFrame:
     return first_per_key(ranked, ["service_id"], order)
 
 
-def service_cases(wh: Warehouse) -> DataFrame:
-    """Cases of the case system in the unified shape; a case appears once per final result event."""
+def service_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> DataFrame:
+    """Services of the case system in the unified shape, each with its latest result within ``days``.
+
+    Result and closing events are cut to one row per service before they meet: the latest result,
+    and a closing reason that does not forbid contact if there is one.
+    """
     bad_visits = not_deleted(wh["visits"]).filter(
         (F.col("visit_timing") == 1) & F.col("visit_nps").isin("0", "1", "2", "3", "4", "5", "6")
     )
@@ -269,11 +273,16 @@ def service_cases(wh: Warehouse) -> DataFrame:
     events = not_deleted(wh["workflow_events"]).withColumn(
         "service_id", concat_skip_nulls("case_id", F.lit(":"), "service")
     )
-    results = events.filter(F.contains("event_type", F.lit("DID_SEND_FINAL"))).select(
-        "service_id", parse_day_first(json_text(F.col("event_body"), "$.properties.date")).alias("result_date")
-    )
-    closed = events.filter(F.contains("event_type", F.lit("DID_CLOSE"))).select(
-        "service_id", json_text(F.col("event_body"), "$.properties.reason").alias("completion_reason_main")
+    day = parse_day_first(json_text(F.col("event_body"), "$.properties.date"))
+    results = events.filter(F.contains("event_type", F.lit("DID_SEND_FINAL"))).select("service_id", day.alias("_day"))
+    if days is not None:
+        results = results.filter(F.col("_day").between(*days))
+    results = results.groupBy("service_id").agg(F.max("_day").alias("result_date"))
+    reason = json_text(F.col("event_body"), "$.properties.reason")
+    closed = events.filter(F.contains("event_type", F.lit("DID_CLOSE"))).select("service_id", reason.alias("_reason"))
+    harmless = null_or(F.col("_reason"), ~F.col("_reason").isin(*fv.UNIFIED_MAIN_REASONS))
+    closed = closed.groupBy("service_id").agg(
+        F.min_by("_reason", F.when(harmless, 0).otherwise(1)).alias("completion_reason_main")
     )
     marker = F.col("markers")
     excluded = F.when(
@@ -371,8 +380,9 @@ def existing_customer_unified(
     ``reason_guard='main'`` keeps the reference's guard of the additional reason by the main reason;
     ``'additional'`` guards it by itself. With a keyring the inquiry system's columns are opened.
     """
-    window = F.col("result_date").between(before(as_of, months=48), before(as_of, months=24))
-    cases = inquiry_cases(wh).filter(window).unionByName(service_cases(wh).filter(window))
+    days = before(as_of, months=48), before(as_of, months=24)
+    recent = inquiry_cases(wh).filter(F.col("result_date").between(*days))
+    cases = recent.unionByName(service_cases(wh, days))
     kept = _client_roles(cases, wh["client_groups"]).filter(all_of(_unified_rule(anonymised, reason_guard)))
     earlier = [fv.CAM_EXISTING_CUSTOMER_CALL, fv.CAM_EXISTING_CUSTOMER_MAIL]
     old = F.col("batch_selection_date") < before(as_of, weeks=4)
@@ -404,12 +414,12 @@ def existing_customer_unified(
 
 
 def existing_customer_simple_a(wh: Warehouse, staff_patterns: Sequence[str] = ()) -> DataFrame:
-    """Case-system list by product, payer brand and voucher; one row per final result and score."""
+    """Case-system list by product, payer brand and voucher; one row per case and score."""
     contracts = wh["contracts"].select(F.col("id").alias("contract_id"), "payer_id")
     payers = wh["payers"].select(F.col("id").alias("payer_id"), F.col("name").alias("payer_brand"))
     services = wh["services"].select("id", "case_id", "product", "contract_id", "voucher_code")
     finals = wh["workflow_events"].filter(F.contains("event_type", F.lit("DID_SEND_FINAL"))).select("case_id")
-    scores = wh["feedbacks"].select(F.col("service_id").alias("id"), "nps")
+    scores = wh["feedbacks"].select(F.col("service_id").alias("id"), "nps").distinct()
     brands = fv.SIMPLE_A_EXCLUDED_BRANDS + tuple(staff_patterns)
     return (
         services.filter((F.col("product") == "RSO") | F.contains("product", F.lit("PMS")))
@@ -417,7 +427,7 @@ def existing_customer_simple_a(wh: Warehouse, staff_patterns: Sequence[str] = ()
         .join(contracts, "contract_id")
         .join(payers, "payer_id")
         .filter(like_none(F.col("payer_brand"), brands))
-        .join(finals, on="case_id")
+        .join(finals, "case_id", "left_semi")
         .join(scores, "id", "left")
         .select("case_id", "payer_brand", "voucher_code", F.col("nps").alias("provider_nps"))
     )

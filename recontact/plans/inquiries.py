@@ -23,6 +23,7 @@ from recontact.operators.ledger import numbered_rows
 from recontact.operators.suppress import contacts, exclude_any, exclude_keys, suppress
 from recontact.operators.vouchers import allowed_voucher, first_voucher, head_voucher
 from recontact.plans.common import ledger_of
+from recontact.sources.history import not_deleted
 from recontact.sources.warehouse import Warehouse
 
 
@@ -233,21 +234,29 @@ def weekly_de_postal(wh: Warehouse, as_of: date, mode: str = "parity") -> DataFr
     return inquiry_rows(postal_cases(wh, as_of, mode), wh, batch="append", language="de")
 
 
-def _exploded_weekly(
-    wh: Warehouse, keep: Column, states: Sequence[str], inquiry_states: Sequence[str], finished_out: bool
-) -> DataFrame:
-    inquiries = wh["inquiries"].filter(
-        F.col("state").isin(*inquiry_states) & (F.col("treatment_type") == "second_opinion_before_surgery")
-    )
-    open_cases = with_open_entry(inquiries, wh)
-    if finished_out:
-        open_cases = without_completed(open_cases, wh)
-    rows = open_cases.join(call_appointments(wh, states), "id")
+def voucher_first() -> list[Column]:
+    return [F.col(n).asc_nulls_last() for n in ("voucher_id", "app_state", "app_date")]
+
+
+def dated_by_sending(rows: DataFrame) -> DataFrame:
+    """Appointment date with the day of sending as the day of the result."""
     sent = F.col("results_sent_at").cast("date")
-    dated = rows.withColumns(
-        {"app_date": appointment_date(F.col("app_state"), sent, F.col("scheduled_date")), "korb": F.col("state")}
+    date_column = appointment_date(F.col("app_state"), sent, F.col("scheduled_date"))
+    return rows.withColumns({"app_date": date_column, "korb": F.col("state")})
+
+
+def _by_first_voucher(wh: Warehouse, cases: DataFrame, found: DataFrame, keep: Column) -> DataFrame:
+    """First allowed voucher of a case with its first appointment. The voucher is chosen per inquiry
+    before the appointments join, so vouchers and appointments never multiply."""
+    vouchered = first_voucher(cases, wh["voucher_dim"], keep, key="id")
+    return first_per_key(dated_by_sending(vouchered.join(found, "id")), ["case_id"], voucher_first())
+
+
+def _open_second_opinions(wh: Warehouse) -> DataFrame:
+    inquiries = wh["inquiries"].filter(
+        (F.col("state") == "waiting_q3") & (F.col("treatment_type") == "second_opinion_before_surgery")
     )
-    return first_voucher(dated, wh["voucher_dim"], keep, appointment_order()[:1] + [F.col("app_date").asc_nulls_last()])
+    return without_completed(with_open_entry(inquiries, wh), wh)
 
 
 def telephone_follow_up(
@@ -258,17 +267,13 @@ def telephone_follow_up(
 ) -> DataFrame:
     """Earlier weekly form over all vouchers of a case: the first allowed voucher counts."""
     keep = allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS)
-    rows = _exploded_weekly(wh, keep, ("sent", "call_patient"), ("waiting_q3",), finished_out=True)
+    rows = _by_first_voucher(wh, _open_second_opinions(wh), call_appointments(wh), keep)
     return inquiry_rows(rows.filter(weekly_due(as_of, mode)).drop("korb"), wh)
 
 
 def vip_inquiries(wh: Warehouse, as_of: date, mode: str = "parity") -> DataFrame:
     """VIP cases by the weekly rule, never with a completed appointment."""
-    inquiries = wh["inquiries"].filter(
-        (F.col("state") == "waiting_q3") & (F.col("treatment_type") == "second_opinion_before_surgery")
-    )
-    open_cases = without_completed(with_open_entry(inquiries, wh), wh)
-    rows = with_result_date(open_cases, wh).join(call_appointments(wh), "id")
+    rows = with_result_date(_open_second_opinions(wh), wh).join(call_appointments(wh), "id")
     keep = F.contains("voucher_code", F.lit(fv.VIP_VOUCHER)) & allowed_voucher((), fv.WEEKLY_EXCLUDED_VOUCHERS)
     vip = head_voucher(rows, wh["voucher_dim"]).filter(keep)
     dated = vip.withColumns({"app_date": weekly_date(), "korb": F.col("state")})
@@ -278,7 +283,7 @@ def vip_inquiries(wh: Warehouse, as_of: date, mode: str = "parity") -> DataFrame
 def vip_vouchers(wh: Warehouse, as_of: date, mode: str = "parity") -> DataFrame:
     """Earlier VIP form over all vouchers of a case."""
     keep = F.contains("voucher_code", F.lit(fv.VIP_VOUCHER)) & allowed_voucher((), fv.WEEKLY_EXCLUDED_VOUCHERS)
-    rows = _exploded_weekly(wh, keep, ("sent", "call_patient"), ("waiting_q3",), finished_out=True)
+    rows = _by_first_voucher(wh, _open_second_opinions(wh), call_appointments(wh), keep)
     return inquiry_rows(rows.filter(weekly_due(as_of, mode)).drop("korb"), wh)
 
 
@@ -291,15 +296,12 @@ FINISHED_STATES = ("ready_to_send_pdf", "send_manually", "sent", "deleted")
 
 
 def _second_survey_cases(wh: Warehouse, nulls: str) -> DataFrame:
-    """Mail cases still waiting for a call appointment and without later appointments."""
+    """Mail cases without answer, later appointments or calls."""
     all_appointments = appointments(wh)
     moved_on = all_appointments.filter(
         (F.col("appointment_type") == "3") & F.col("app_state").isin(*FINISHED_STATES)
     )
     later = all_appointments.filter(F.col("appointment_type").isin("4", "5", "6"))
-    waiting = all_appointments.filter(
-        (F.col("appointment_type") == "3") & ~F.col("app_state").isin(*FINISHED_STATES, "completed", "waiting")
-    )
     mail = wh["patient_data"].filter(
         (F.col("preferred_communication_channel") == "email") & F.col("status_survey_reminder_sent_at").isNull()
     )
@@ -307,7 +309,13 @@ def _second_survey_cases(wh: Warehouse, nulls: str) -> DataFrame:
     cases = exclude_any(cases, [answered(wh), moved_on], "id", nulls="sql")
     called = contacts(ledger_of(wh), not_cam_ids=[1, 2, 3, -1])
     cases = exclude_any(cases, [cases_with(wh, later), called], "case_id", nulls=nulls)
-    return cases.join(mail.select(F.col("inquiry_id").alias("id")), "id", "left_semi").join(waiting, "id")
+    return cases.join(mail.select(F.col("inquiry_id").alias("id")), "id", "left_semi")
+
+
+def _unfinished_calls(wh: Warehouse) -> DataFrame:
+    return appointments(wh).filter(
+        (F.col("appointment_type") == "3") & ~F.col("app_state").isin(*FINISHED_STATES, "completed", "waiting")
+    )
 
 
 def second_status_survey(
@@ -318,7 +326,8 @@ def second_status_survey(
     excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
 ) -> DataFrame:
     """Second status survey five weeks after the first result."""
-    rows = head_voucher(with_result_date(_second_survey_cases(wh, nulls), wh), wh["voucher_dim"])
+    cases = with_result_date(_second_survey_cases(wh, nulls), wh)
+    rows = head_voucher(cases.join(_unfinished_calls(wh), "id"), wh["voucher_dim"])
     rows = rows.filter(allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS))
     order = [F.col(c).asc_nulls_last() for c in ("least_result_date", "app_state", "id")]
     chosen = first_per_key(rows, ["case_id"], order)
@@ -334,9 +343,7 @@ def reminder_status_survey(
 ) -> DataFrame:
     """Earlier form of the second survey: first allowed voucher, five weeks after sending."""
     keep = allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS)
-    rows = first_voucher(
-        _second_survey_cases(wh, nulls), wh["voucher_dim"], keep, [F.col("app_state").asc_nulls_last(), F.col("id")]
-    )
+    rows = _by_first_voucher(wh, _second_survey_cases(wh, nulls), _unfinished_calls(wh), keep).drop("korb")
     return inquiry_rows(rows.filter(iso_week_due(F.col("results_sent_at").cast("date"), 5, as_of, mode)), wh)
 
 
@@ -355,37 +362,32 @@ def second_try_weekly(
         & willing
     )
     fresh = suppress(with_open_entry(inquiries, wh), ledger_of(wh), cam_ids=[fv.CAM_SECOND_TRY], nulls=nulls)
-    rows = fresh.join(call_appointments(wh, ("completed", "sent", "call_patient")), "id")
-    sent = F.col("results_sent_at").cast("date")
-    dated = rows.withColumn("app_date", appointment_date(F.col("app_state"), sent, F.col("scheduled_date")))
     keep = allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS)
-    order = [F.col(c).asc_nulls_last() for c in ("app_state", "app_date")]
-    chosen = first_voucher(dated, wh["voucher_dim"], keep, order).filter(
+    found = call_appointments(wh, ("completed", "sent", "call_patient"))
+    chosen = _by_first_voucher(wh, fresh, found, keep).filter(
         (F.col("app_date") < before(as_of, weeks=9))
         & (F.col("app_date") > before(as_of, months=6))
         & ~F.col("voucher_code").isin(*fv.GOODWILL_VOUCHERS)
     )
-    return inquiry_rows(chosen, wh)
+    return inquiry_rows(chosen.drop("korb"), wh)
 
 
-def _call_candidates(wh: Warehouse, payer: str, excluded_clients: Sequence[str]) -> DataFrame:
+def _callable_inquiries(wh: Warehouse) -> DataFrame:
+    """Waiting or completed cases without answer that may be asked."""
     reason = F.col("completion_reason_main")
     inquiries = wh["inquiries"].filter(
         F.col("state").isin("waiting_q3", "completed")
         & (F.col("treatment_type") != "second_opinion_before_surgery")
         & null_or(reason, reason == "internal_reason")
     )
-    open_cases = exclude_keys(inquiries, answered(wh), "id", nulls="sql")
-    waiting = appointments(wh).filter(
+    return exclude_keys(inquiries, answered(wh), "id", nulls="sql")
+
+
+def _callable_appointments(wh: Warehouse) -> DataFrame:
+    return appointments(wh).filter(
         (F.col("appointment_type") == "3")
         & ~F.col("app_state").isin("ready_to_send_pdf", "send_manually", "completed", "waiting")
     )
-    rows = head_voucher(open_cases.join(waiting, "id"), wh["voucher_dim"])
-    rows = rows.filter(allowed_voucher(excluded_clients, fv.CALL_EXCLUDED_VOUCHERS))
-    sent = F.col("results_sent_at").cast("date")
-    return rows.filter(F.col("voucher_client").ilike(payer)).withColumns(
-        {"app_date": appointment_date(F.col("app_state"), sent, F.col("scheduled_date")), "korb": F.col("state")}
-    )
 
 
 def rolling_windows(as_of: date) -> dict[str, tuple[Column, Column]]:
@@ -421,7 +423,9 @@ def call_legacy(
     excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
 ) -> DataFrame:
     """Calls by payer with a date window per state, without earlier calls or a second survey this week."""
-    rows = _call_candidates(wh, payer, excluded_clients)
+    rows = head_voucher(_callable_inquiries(wh).join(_callable_appointments(wh), "id"), wh["voucher_dim"])
+    rows = rows.filter(allowed_voucher(excluded_clients, fv.CALL_EXCLUDED_VOUCHERS))
+    rows = dated_by_sending(rows.filter(F.col("voucher_client").ilike(payer)))
     chosen = first_per_key(rows, ["case_id"], appointment_order()).filter(_in_windows(windows or rolling_windows(as_of)))
     this_week = F.col("batch_selection_date") >= F.trunc(F.lit(as_of), "week")
     surveyed = (F.col("cam_id") == fv.CAM_SECOND_STATUS_SURVEY) & this_week
@@ -438,27 +442,12 @@ def call_fixed_dates(
     excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
 ) -> DataFrame:
     """Oldest form of the call list: fixed windows, first allowed voucher, no ledger."""
-    reason = F.col("completion_reason_main")
-    inquiries = wh["inquiries"].filter(
-        F.col("state").isin("waiting_q3", "completed")
-        & (F.col("treatment_type") != "second_opinion_before_surgery")
-        & null_or(reason, reason == "internal_reason")
-    )
-    waiting = appointments(wh).filter(
-        (F.col("appointment_type") == "3")
-        & ~F.col("app_state").isin("ready_to_send_pdf", "send_manually", "completed", "waiting")
-    )
     channel = wh["patient_data"].select(
         F.col("inquiry_id").alias("id"), F.col("preferred_communication_channel").alias("channel")
     )
-    rows = exclude_keys(inquiries, answered(wh), "id", nulls="sql").join(waiting, "id").join(channel, "id", "left")
-    sent = F.col("results_sent_at").cast("date")
-    dated = rows.withColumns(
-        {"app_date": appointment_date(F.col("app_state"), sent, F.col("scheduled_date")), "korb": F.col("state")}
-    )
     keep = allowed_voucher(excluded_clients, fv.CALL_EXCLUDED_VOUCHERS)
-    order = [F.col(c).asc_nulls_last() for c in ("app_state", "app_date")]
-    chosen = first_voucher(dated, wh["voucher_dim"], keep, order)
+    chosen = _by_first_voucher(wh, _callable_inquiries(wh), _callable_appointments(wh), keep)
+    chosen = chosen.join(channel, "id", "left")
     return chosen.filter(F.col("voucher_client").like(payer) & _in_windows(windows)).select(
         "case_id",
         F.col("voucher_client").alias("voucher_client_name"),
@@ -510,16 +499,10 @@ def weekly_de_fixed_dates(
     excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
 ) -> DataFrame:
     """Weekly process by given weeks and a minimum age, before it followed the calendar."""
-    inquiries = wh["inquiries"].filter(
-        (F.col("state") == "waiting_q3")
-        & (F.col("treatment_type") == "second_opinion_before_surgery")
-        & F.col("deleted_at").isNull()
-    )
-    open_cases = without_completed(with_open_entry(inquiries, wh), wh)
+    open_cases = not_deleted(_open_second_opinions(wh))
     rows = head_voucher(open_cases.join(call_appointments(wh), "id"), wh["voucher_dim"])
     rows = rows.filter(allowed_voucher(excluded_clients, fv.CALL_EXCLUDED_VOUCHERS))
-    sent = F.col("results_sent_at").cast("date")
-    dated = rows.withColumn("app_date", appointment_date(F.col("app_state"), sent, F.col("scheduled_date")))
+    dated = dated_by_sending(rows)
     age, day, state = days_since(F.col("app_date"), as_of), F.col("app_date"), F.col("app_state")
     due = ((state == "call_patient") & (age > 35) & day.between(*map(F.lit, call_week))) | (
         (state == "sent") & (age > 28) & day.between(*map(F.lit, sent_week))
@@ -561,7 +544,6 @@ def status_vs_card_cleaning(
     cases = exclude_any(with_open_entry(cases, wh), gone, "case_id", nulls="sql")
     done = every.filter((F.col("appointment_type") == "3") & (F.col("app_state") == "completed"))
     keep = allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS)
-    order = [F.col(c).asc_nulls_last() for c in ("app_state", "id")]
-    chosen = first_voucher(cases.join(done, "id"), wh["voucher_dim"], keep, order)
+    chosen = _by_first_voucher(wh, cases, done, keep).drop("korb")
     late = chosen.filter(F.col("results_sent_at").cast("date") > F.lit(since))
     return inquiry_rows(late, wh)

@@ -15,7 +15,7 @@ from recontact.functions.text import any_of, like_any, null_or
 from recontact.operators.dedupe import first_per_key, latest_per_key
 from recontact.operators.ledger import numbered_rows
 from recontact.operators.suppress import contacts, exclude_any
-from recontact.operators.surveys import pivot_events, presence_flag, survey_class, titled_links
+from recontact.operators.surveys import pivot_events, presence_flag, survey_class_of, titled_links
 from recontact.plans.common import ledger_of
 from recontact.plans.inquiries import vip_inquiries
 from recontact.sources.history import not_deleted
@@ -62,6 +62,10 @@ def events_like(wh: Warehouse, *parts: str) -> DataFrame:
     return wh["workflow_events"].filter(any_of(F.contains("event_type", F.lit(p)) for p in parts))
 
 
+STATUS_CLASSES = {"SS": "%Status%", "PREM": "%PREM%"}
+PMS_CLASSES = {"Allrounder": "%Allrounder%", "Reha": "%Reha%"}
+
+
 def service_rows(
     df: DataFrame, wh: Warehouse, batch: str = "new", language: bool = True, key: Sequence[str] = ("case_id",)
 ) -> DataFrame:
@@ -95,77 +99,86 @@ def ledger_state() -> Column:
     return F.when(F.col("case_class") == "SS", "call_patient").when(F.col("case_class") == "PREM", "sent")
 
 
-def _own_survey() -> Column:
-    """The invitation belongs to the survey that names the class of the case."""
-    title, cls = F.col("title"), F.col("case_class")
-    return (F.contains(title, F.lit("PREM")) & (cls == "PREM")) | (
-        F.contains(title, F.lit("Status")) & (cls == "SS")
+def _survey_facts(links: DataFrame, as_of: date, oldest_days: int | None = None) -> DataFrame:
+    """One row per case: survey class, and the oldest due invitation of the survey that names it.
+
+    Due is a follow-up invitation of at least 16 and at most ``oldest_days`` days. One aggregation
+    replaces the join of all invitations, whose number per case has no bound.
+    """
+    title, age = F.col("title"), days_since(F.col("created_at"), as_of)
+    due = title.like(fv.FOLLOW_UP_TITLE) & (age >= 16)
+    if oldest_days is not None:
+        due = due & (age <= oldest_days)
+    status, prem = F.contains(title, F.lit("Status")), F.contains(title, F.lit("PREM"))
+    facts = links.groupBy("case_id").agg(
+        survey_class_of(STATUS_CLASSES).alias("case_class"),
+        F.min(F.when(due & status, F.col("created_at"))).alias("_status_at"),
+        F.min(F.when(due & prem, F.col("created_at"))).alias("_prem_at"),
+    )
+    own = F.when(F.col("case_class") == "SS", F.col("_status_at")).when(
+        F.col("case_class") == "PREM", F.col("_prem_at")
     )
+    return facts.select("case_id", "case_class", own.alias("invited_at"))
 
 
 def _per_case(df: DataFrame) -> DataFrame:
-    """One row per case: the longest waiting invitation."""
+    """One service per case: the longest waiting one."""
     order = [F.col("survey_age").desc_nulls_last(), F.col("service_id"), F.col("case_class").asc_nulls_last()]
     return first_per_key(df, ["case_id"], order)
 
 
-def _mss_follow_up(wh: Warehouse, as_of: date, payers: Column, exclusions: Sequence[DataFrame]) -> DataFrame:
-    """Unanswered follow-up surveys of first-product cases with the age of the invitation."""
+def _mss_follow_up(
+    wh: Warehouse, as_of: date, payers: Column, exclusions: Sequence[DataFrame], oldest_days: int | None = None
+) -> DataFrame:
+    """First-product cases with a due, unanswered invitation, one row per case."""
     links = links_of(wh)
-    follow_up = links.filter(F.col("title").like(fv.FOLLOW_UP_TITLE)).select("case_id", "title", "created_at")
     services = final_services(wh).filter(payers & F.contains("service_id", F.lit(":MSS")))
     services = exclude_any(services, [surveyed(links), *exclusions], "case_id", nulls="sql")
-    return (
-        services.join(follow_up, "case_id")
-        .join(survey_class(links), "case_id", "left")
-        .withColumn("survey_age", days_since(F.col("created_at"), as_of))
-    )
-
-
-def _waited(df: DataFrame, at_least: int = 16) -> DataFrame:
-    classed = F.col("case_class").isin("PREM", "SS")
-    return df.filter(_own_survey() & ~(classed & (F.col("survey_age") < at_least)))
+    facts = _survey_facts(links, as_of, oldest_days).filter(F.col("invited_at").isNotNull())
+    rows = services.join(facts, "case_id").withColumn("survey_age", days_since(F.col("invited_at"), as_of))
+    return _per_case(rows).withColumn("app_state", ledger_state())
 
 
 def ch_survey_legacy(
     wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWISS_SURVEY_PAYERS, topic: str = "feedback_follow_up_mss"
 ) -> DataFrame:
     """Swiss cases 16 to 21 days after an unanswered invitation."""
-    rows = _mss_follow_up(wh, as_of, like_any(F.col("payer_name"), payers), [ended(wh), talked(wh, topic)])
-    due = _waited(rows).filter(F.col("survey_age") <= 21)
-    return service_rows(_per_case(due).withColumn("app_state", ledger_state()), wh)
+    exclusions = [ended(wh), talked(wh, topic)]
+    return service_rows(_mss_follow_up(wh, as_of, like_any(F.col("payer_name"), payers), exclusions, 21), wh)
 
 
 def ch_postal_legacy(wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWISS_POSTAL_PAYERS, mode: str = "parity") -> DataFrame:
     """Swiss postal cases in the week of their first visit, or two weeks after the final result.
 
-    The date goes into the state column, as the ledger's older rows have it there.
+    One row per case and date. Visits and result events are reduced to dates of the week before they
+    meet the cases, so they never multiply. The date goes into the state column, as the ledger's
+    older rows have it there.
     """
     contracts = wh["contracts"].select(F.col("id").alias("contract_id"), "payer_id")
     named = wh["payers"].select(F.col("id").alias("payer_id"), F.col("name").alias("payer_name"))
     facts = wh["communication_facts"].filter(
         (F.col("channel_recommendation") == "postal") | F.col("email").isNull() | (F.col("email") == "")
     )
-    finals = events_like(wh, "DID_SEND_FINAL").filter(F.col("service") == "MSS").select("case_id", "event_time")
-    visits = wh["visits"].select("case_id", "visit_timing", "visit_date")
-    first_visit = (F.col("visit_timing") == 1) & F.col("visit_date").isNotNull()
-    app_date = F.when(first_visit, F.col("visit_date")).otherwise(F.date_add(F.col("event_time").cast("date"), 14))
+    finals = events_like(wh, "DID_SEND_FINAL").filter(F.col("service") == "MSS")
+    first_visit = F.coalesce((F.col("visit_timing") == 1) & F.col("visit_date").isNotNull(), F.lit(False))
+    only_first = wh["visits"].groupBy("case_id").agg(F.bool_and(first_visit).alias("_only")).filter("_only")
+    in_week = in_iso_week_of(F.col("app_date"), F.lit(as_of), mode)
+    by_visit = wh["visits"].filter(first_visit).select("case_id", F.col("visit_date").alias("app_date"))
+    by_visit = by_visit.filter(in_week).join(finals.select("case_id"), "case_id", "left_semi")
+    by_result = finals.select("case_id", F.date_add(F.col("event_time").cast("date"), 14).alias("app_date"))
+    by_result = by_result.filter(in_week).join(only_first.select("case_id"), "case_id", "left_anti")
+    dates = by_visit.unionByName(by_result).distinct()
     cases = (
         wh["services"]
         .select("case_id", "contract_id", "voucher_code")
         .join(contracts, "contract_id")
         .join(named.filter(like_any(F.col("payer_name"), payers)), "payer_id")
         .join(facts.select("case_id", "preferred_language"), "case_id")
-        .join(finals, "case_id")
-        .join(visits, "case_id", "left")
-        .withColumn("app_date", app_date)
-        .filter(in_iso_week_of(F.col("app_date"), F.lit(as_of), mode))
-    )
-    grouped = cases.dropDuplicates(
-        ["case_id", "payer_name", "voucher_code", "visit_date", "event_time", "app_date", "preferred_language"]
+        .join(dates, "case_id")
     )
-    dated = grouped.withColumn("app_state", F.col("app_date").cast("string"))
-    return service_rows(dated, wh, "append", key=("case_id", "app_date", "visit_date", "event_time"))
+    chosen = first_per_key(cases, ["case_id", "app_date"], [F.col("payer_name"), F.col("voucher_code").asc_nulls_last()])
+    dated = chosen.withColumn("app_state", F.col("app_date").cast("string"))
+    return service_rows(dated, wh, "append", key=("case_id", "app_date"))
 
 
 def _moved_cards(wh: Warehouse, board: str, card_list: str, first: str, last: str) -> DataFrame:
@@ -191,8 +204,8 @@ def call_services_mss(
     exclusions = [refused(wh), talked(wh, topic), called(wh, [1, 2, 3, 8])]
     if moved is not None:
         exclusions.append(_moved_cards(wh, *moved))
-    chosen = _per_case(_waited(_mss_follow_up(wh, as_of, F.col("payer_name").like(payer), exclusions)))
-    return service_rows(chosen.withColumn("app_state", ledger_state()), wh)
+    chosen = _mss_follow_up(wh, as_of, F.col("payer_name").like(payer), exclusions)
+    return service_rows(chosen, wh)
 
 
 def _pms_cases(
@@ -204,7 +217,10 @@ def _pms_cases(
     topic: str = "feedback_follow_up",
     more_exclusions: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """Second-product cases without answer, by survey age or, without own survey, result age."""
+    """Second-product cases without answer, by survey age or, without own survey, result age.
+
+    Cases to be reached by mail count follow-up surveys only, others every survey.
+    """
     links = links_of(wh)
     finals = wh["workflow_events"].filter(F.col("event_type").startswith("DID_SEND_FINAL"))
     latest = latest_per_key(finals, "case_id", "event_time", F.col("event_time"), "final_at")
@@ -218,16 +234,22 @@ def _pms_cases(
     rows = services.filter(F.contains("service_id", F.lit(":PMS")))
     rows = exclude_any(rows, exclusions, "case_id", nulls="sql")
     title = F.col("title")
-    age = F.when(F.contains(title, F.lit("PMS")), days_since(F.col("created_at"), as_of)).when(
-        ~F.contains(title, F.lit("PMS")), days_since(F.col("final_at"), as_of)
+    own, follow_up = F.contains(title, F.lit("PMS")), title.like(fv.FOLLOW_UP_TITLE)
+    facts = links.groupBy("case_id").agg(
+        survey_class_of(PMS_CLASSES).alias("case_class"),
+        F.min(F.when(own, F.col("created_at"))).alias("_any_at"),
+        F.min(F.when(own & follow_up, F.col("created_at"))).alias("_follow_up_at"),
+        F.bool_or(~own).alias("_any_other"),
+        F.bool_or(~own & follow_up).alias("_other_follow_up"),
     )
-    classes = survey_class(links, {"Allrounder": "%Allrounder%", "Reha": "%Reha%"})
+    not_by_mail = F.col("channel_recommendation") != "email"
+    invited = F.when(not_by_mail, F.col("_any_at")).otherwise(F.col("_follow_up_at"))
+    other = F.when(not_by_mail, F.col("_any_other")).otherwise(F.col("_other_follow_up"))
+    final_age = F.when(other, days_since(F.col("final_at"), as_of))
     joined = (
-        rows.join(links.select("case_id", "title", "created_at"), "case_id", "left")
-        .filter(title.like(fv.FOLLOW_UP_TITLE) | (F.col("channel_recommendation") != "email"))
-        .join(latest, "case_id", "left")
-        .join(classes, "case_id", "left")
-        .withColumn("survey_age", age)
+        rows.join(latest, "case_id")
+        .join(facts, "case_id", "left")
+        .withColumn("survey_age", F.greatest(days_since(invited, as_of), final_age))
     )
     final_day = F.col("final_at").cast("date")
     in_window = final_day.between(before(as_of, months=oldest_months), before(as_of, months=1))
@@ -307,14 +329,14 @@ def ch_survey_list(
     wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWISS_SURVEY_PAYERS, topic: str = "feedback_follow_up_mss"
 ) -> DataFrame:
     """Oldest form of the Swiss survey list: card rows instead of ledger rows."""
-    rows = _mss_follow_up(wh, as_of, like_any(F.col("payer_name"), payers), [ended(wh), talked(wh, topic)])
-    due = _per_case(_waited(rows).filter(F.col("survey_age") <= 21))
+    exclusions = [ended(wh), talked(wh, topic)]
+    due = _mss_follow_up(wh, as_of, like_any(F.col("payer_name"), payers), exclusions, 21)
     return due.select(
         "case_id",
         F.col("payer_name").alias("voucher_client_name"),
         F.col("voucher_code").alias("first_voucher_code"),
-        ledger_state().alias("app_state"),
-        F.col("created_at").cast("date").alias("app_date"),
+        "app_state",
+        F.col("invited_at").cast("date").alias("app_date"),
         F.lit("Tel. Nachbefragung").alias("parameter"),
         F.lit(as_of).alias("card_created"),
         F.lit("waiting_q3").alias("korb"),
@@ -336,7 +358,7 @@ def partial_feedback(wh: Warehouse, product: str = "%MSS%") -> DataFrame:
         "case_id",
         json_text(body, "$.properties.product").alias("event_product"),
         parse_day_first(json_text(body, "$.properties.date")).alias("results_date"),
-    )
+    ).distinct()
     services = (
         not_deleted(wh["services"])
         .filter(F.col("product").like(product))
@@ -365,29 +387,25 @@ def partial_feedback(wh: Warehouse, product: str = "%MSS%") -> DataFrame:
 
 
 def latest_prom(wh: Warehouse, payer: str = fv.PROM_PAYER) -> DataFrame:
-    """Cases whose latest outcome survey is unanswered, with its age class."""
+    """Cases whose latest outcome survey is unanswered, with its age class.
+
+    Surveys and results are cut to the latest per case before they are joined.
+    """
     contracts = wh["contracts"].select(F.col("id").alias("contract_id"), "payer_id")
     payers = wh["payers"].select(F.col("id").alias("payer_id"), F.col("name").alias("payer_brand"))
-    finals = events_like(wh, "DID_SEND_FINAL").select(
-        "case_id", parse_day_first(json_text(F.col("event_body"), "$.properties.date")).alias("result_day")
-    )
-    proms = links_of(wh).filter(F.contains("title", F.lit("PROM")))
-    rows = (
+    result_day = parse_day_first(json_text(F.col("event_body"), "$.properties.date"))
+    finals = events_like(wh, "DID_SEND_FINAL").groupBy("case_id").agg(F.max(result_day).alias("result_day"))
+    order = [F.col("created_at").desc_nulls_first(), F.col("response_status").asc_nulls_last(), F.col("title")]
+    newest = first_per_key(links_of(wh).filter(F.contains("title", F.lit("PROM"))), ["case_id"], order)
+    latest = (
         not_deleted(wh["services"])
         .filter(F.col("product") == "MSS")
         .select("case_id", "product", "contract_id")
         .join(contracts, "contract_id")
         .join(payers.filter(F.col("payer_brand").like(payer)), "payer_id")
-        .join(finals, on="case_id")
-        .join(proms.select("case_id", "title", "created_at", "response_status"), on="case_id")
+        .join(newest.filter(F.col("response_status").isNull()), "case_id")
+        .join(finals, "case_id")
         .withColumn("time_diff", F.datediff(F.col("created_at"), F.col("result_day")))
     )
-    order = [
-        F.col("created_at").desc_nulls_first(),
-        F.col("time_diff").asc_nulls_last(),
-        F.col("response_status").asc_nulls_last(),
-        F.col("title"),
-    ]
-    latest = first_per_key(rows, ["case_id"], order).filter(F.col("response_status").isNull())
     kind = prom_age_bucket(F.col("time_diff"))
     return latest.select("case_id", "product", "payer_brand", "time_diff", kind.alias("prom_type"), "title")
