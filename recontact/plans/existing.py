@@ -275,9 +275,10 @@ def service_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> D
     )
     day = parse_day_first(json_text(F.col("event_body"), "$.properties.date"))
     results = events.filter(F.contains("event_type", F.lit("DID_SEND_FINAL"))).select("service_id", day.alias("_day"))
+    counted = F.col("_day") if days is None else F.when(F.col("_day").between(*days), F.col("_day"))
+    results = results.groupBy("service_id").agg(F.max(counted).alias("result_date"))
     if days is not None:
-        results = results.filter(F.col("_day").between(*days))
-    results = results.groupBy("service_id").agg(F.max("_day").alias("result_date"))
+        results = results.filter(F.col("result_date").isNotNull())
     reason = json_text(F.col("event_body"), "$.properties.reason")
     closed = events.filter(F.contains("event_type", F.lit("DID_CLOSE"))).select("service_id", reason.alias("_reason"))
     harmless = null_or(F.col("_reason"), ~F.col("_reason").isin(*fv.UNIFIED_MAIN_REASONS))

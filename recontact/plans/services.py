@@ -350,21 +350,33 @@ def product_matches_event(product: Column, event_product: Column) -> Column:
 
 
 def partial_feedback(wh: Warehouse, product: str = "%MSS%") -> DataFrame:
-    """Cases of a product with a final result and neither service nor medic score."""
+    """Cases of a product with a final result and neither service nor medic score.
+
+    Each event body is opened once: a case and date get one flag per product name.
+    """
     contracts = wh["contracts"].select(F.col("id").alias("contract_id"), "payer_id")
     payers = wh["payers"].select(F.col("id").alias("payer_id"), F.col("name").alias("payer_brand"))
     body = F.col("event_body")
-    finals = events_like(wh, "DID_SEND_FINAL").select(
-        "case_id",
-        json_text(body, "$.properties.product").alias("event_product"),
-        parse_day_first(json_text(body, "$.properties.date")).alias("results_date"),
-    ).distinct()
+    named = F.col("event_product")
+    finals = (
+        events_like(wh, "DID_SEND_FINAL")
+        .select(
+            "case_id",
+            json_text(body, "$.properties.product").alias("event_product"),
+            parse_day_first(json_text(body, "$.properties.date")).alias("results_date"),
+        )
+        .groupBy("case_id", "results_date")
+        .agg(*[F.bool_or(named.like(e)).alias(f"names_{i}") for i, (_, e) in enumerate(fv.PRODUCT_EVENTS)])
+    )
+    product_named = any_of(
+        F.col("product").like(p) & F.col(f"names_{i}") for i, (p, _) in enumerate(fv.PRODUCT_EVENTS)
+    )
     services = (
         not_deleted(wh["services"])
         .filter(F.col("product").like(product))
         .select("id", "case_id", "product", "contract_id")
-        .join(finals, on="case_id")
-        .filter(product_matches_event(F.col("product"), F.col("event_product")))
+        .join(finals, "case_id")
+        .filter(product_named)
         .join(contracts, "contract_id", "left")
         .join(payers, "payer_id", "left")
         .select("case_id", "id", "product", "payer_brand", "results_date")
