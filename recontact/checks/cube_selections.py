@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from recontact import fixed_values as fv
 from recontact.checks.registry import ledger_columns, numbered_sql, register
 from recontact.checks.sample import keyring
 from recontact.functions.pii import encrypt_text
@@ -146,8 +147,7 @@ customers AS (
     AND c.voucher_code NOT IN ('KULANZ-MSSNICHTKOOPP', 'GADS-LF22') AND c.voucher_code NOT LIKE '%VRTC%'
     AND c.payer_group IN ('gkv', 'pkv') AND c.product <> 'RSO' AND c.admission_channel <> 'proactive_steering'
     AND c.country_code = 'de'
-    AND (c.completion_reason IS NULL OR c.completion_reason IN ('Befragung vollständig durchgeführt',
-      'Patient mehrfach nicht erreicht', 'Spezialist nicht aufgesucht - Patient meldet sich bei Bedarf'))
+    AND (c.completion_reason IS NULL OR c.completion_reason IN {fv.CUBE_ALLOWED_REASONS})
     AND NOT regexp_matches(c.payer_name, 'Allianz|BIG|Generali|Audi BKK') AND c.payer_name <> 'AOK Plus'
     AND c.case_id NOT IN (SELECT case_id FROM subsidised)
     AND c.case_id NOT IN (SELECT case_id FROM suppression))"""
@@ -250,22 +250,15 @@ kept AS (
     LEFT JOIN groups AS g3 ON g3.client_name = u.insurance
   WHERE u.result_date BETWEEN {NOW} - INTERVAL 48 MONTH AND {NOW} - INTERVAL 24 MONTH
     AND u.country = 'de' AND u.nps IN ('7', '8', '9', '10') AND coalesce(u.exclude, 'false') = 'false'
-    AND coalesce(u.main_reason, '') NOT IN ('survey_inappropriate', 'survey_aborted_by_patient',
-      'patient_not_contactable', 'employee_request', 'internal_reason', 'other', 'Sonstige',
-      'Befragung unangebracht - Sonstige', 'Interner Grund - Kunde, keine Befragung', 'Interner Grund - Sonstige',
-      'Keine weitere Befragung gewünscht', 'Patient mehrfach nicht erreicht',
-      'Spezialist nicht aufgesucht - Entfernung nicht passend')
-    AND (u.main_reason IS NULL OR u.more_reason NOT IN ('patient_difficult', 'patient_critically_ill_or_dead',
-      'cost_for_physician', 'distance_does_not_match', 'problems_making_an_appointment', 'b2b_no_survey',
-      'not_satisfied_with_recommendations_had_other_expectations_regarding_the_service', 'test_inquiry', 'rerun',
-      'doc_inquiry', 'other'))
+    AND coalesce(u.main_reason, '') NOT IN {fv.UNIFIED_MAIN_REASONS}
+    AND (u.main_reason IS NULL OR u.more_reason NOT IN {fv.UNIFIED_ADDITIONAL_REASONS})
     AND coalesce(u.details, '') = '' AND (u.system <> 'inquiry' OR u.code IS NOT NULL)
     AND NOT (regexp_matches(coalesce(u.code, ''), 'MA4L') OR regexp_matches(coalesce(u.code, ''), 'pilot|kulanz', 'i')
-      OR coalesce(u.code, '') IN ('AX91-FLA3', 'ruecken2015', 'AXAU-CM11', 'AXAU-22GS', 'AXAP-22GS', 'ARAG-CM22', 'NUBU-7777'))
+      OR coalesce(u.code, '') IN {fv.UNIFIED_EXCLUDED_VOUCHERS})
     AND g1.client_group NOT IN ('vip', 'other', 'swiss_kv')
     AND NOT contains(lower(coalesce(u.description, '')), 'vip')
-    AND u.client_1 NOT IN ('Allianz Private Krankenversicherungs-AG', 'Generali Versicherung AG', 'BIG direkt gesund')
-    AND coalesce(u.insurance, '') NOT IN ('Allianz Private Krankenversicherung', 'BIG direkt gesund')
+    AND u.client_1 NOT IN {fv.UNIFIED_EXCLUDED_CLIENTS}
+    AND coalesce(u.insurance, '') NOT IN {fv.UNIFIED_EXCLUDED_INSURANCES}
     AND coalesce(g3.client_group, 'gkv') IN ('gkv', 'pkv', 'corporate') AND coalesce(g3.coop_status, true)
     AND u.subsidy IS NOT NULL
     AND NOT (u.subsidy AND NOT contains(lower(u.client_1), 'axa pkv') AND g1.client_group <> 'corporate')

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from recontact import fixed_values as fv
 from recontact.checks.registry import ledger_columns, numbered_sql, register
 from recontact.plans import inquiries as plans
 
@@ -231,11 +232,7 @@ register(
 )
 
 # C20: second try.
-MAIN = """('survey_inappropriate', 'survey_aborted_by_patient', 'patient_did_not_visit_recommended_physician',
-      'employee_request', 'patient_not_contactable', 'survey_completed')"""
-MORE = """('patient_critically_ill_or_dead', 'patient_difficult', 'doc_inquiry', 'free_of_pain', 'b2b_no_survey',
-      'not_satisfied_with_recommendations_had_other_expectations_regarding_the_service', 'test_inquiry',
-      'got_recommendations_as_precaution', 'treated_by_a_non_bd_physician')"""
+MAIN, MORE = fv.SECOND_TRY_MAIN_REASONS, fv.SECOND_TRY_ADDITIONAL_REASONS
 register(
     "second_try_weekly",
     lambda wh: ledger_columns(plans.second_try_weekly(wh, AS_OF)),

@@ -85,8 +85,11 @@ def export_csv(df: DataFrame, folder: str, label: str, as_of: date) -> str:
 
 
 def export_sheets(df: DataFrame, folder: str, patterns: Sequence[str] = ("%gmail%", "%googlemail%")) -> DataFrame:
-    """Write the whole list and its mail-provider subset as ``sheet=all|provider`` of one dataset."""
-    subset = df.filter(like_any(F.col("email"), patterns)).withColumn("sheet", F.lit("provider"))
-    both = df.withColumn("sheet", F.lit("all")).unionByName(subset)
+    """Write the whole list and its mail-provider subset as ``sheet=all|provider`` of one dataset.
+
+    A row of the subset is repeated within its task, so the list is computed once.
+    """
+    subset = F.when(like_any(F.col("email"), patterns), F.lit("provider"))
+    both = df.withColumn("sheet", F.explode(F.array_compact(F.array(F.lit("all"), subset))))
     both.write.mode("overwrite").partitionBy("sheet").parquet(folder)
     return df.sparkSession.read.parquet(folder)

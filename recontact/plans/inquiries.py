@@ -24,6 +24,7 @@ from recontact.operators.suppress import contacts, exclude_any, exclude_keys, su
 from recontact.operators.vouchers import allowed_voucher, first_voucher, head_voucher
 from recontact.plans.common import ledger_of
 from recontact.sources.history import not_deleted
+from recontact.sources.storage import written_once
 from recontact.sources.warehouse import Warehouse
 
 
@@ -209,24 +210,35 @@ def postal_window(wh: Warehouse, as_of: date, days: int = 8) -> DataFrame:
 LEDGER_INPUT = ["case_id", "voucher_client", "voucher_code", "app_state", "korb"]
 
 
-def weekly_de_cases(
+def weekly_de_chosen(
     wh: Warehouse,
     as_of: date,
     mode: str = "parity",
     excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
 ) -> DataFrame:
-    """Calls and postal cases of the week, one row per case, with what the cards need."""
-    calls = weekly_calls(wh, as_of, mode, excluded_clients).select(*LEDGER_INPUT, F.lit(None).cast("string").alias("post"))
-    postal = postal_cases(wh, as_of, mode).select(*LEDGER_INPUT, F.lit("post").alias("post"))
-    both = first_per_key(calls.unionByName(postal), ["case_id"], [F.col("post").asc_nulls_first()])
-    cube = wh["case_cube"].filter(F.col("product") == "MSS").select("case_id", "admission_channel", "inquiry_type", "service_id")
-    cube = first_per_key(cube, ["case_id"], [F.col("service_id").asc_nulls_last()]).drop("service_id")
-    online = flag(F.col("admission_channel").isin(*fv.ONLINE_CHANNELS))
-    return both.join(cube, "case_id", "left").withColumn("om_flag", online)
+    """Calls and postal cases of the week, one row per case."""
+    none, post = F.lit(None).cast("string").alias("post"), F.lit("post").alias("post")
+    calls = weekly_calls(wh, as_of, mode, excluded_clients).select(*LEDGER_INPUT, none)
+    postal = postal_cases(wh, as_of, mode).select(*LEDGER_INPUT, post)
+    return first_per_key(calls.unionByName(postal), ["case_id"], [F.col("post").asc_nulls_first()])
 
 
 def weekly_de(wh: Warehouse, as_of: date, mode: str = "parity", **rules) -> DataFrame:
-    return inquiry_rows(weekly_de_cases(wh, as_of, mode, **rules), wh, language="de")
+    return inquiry_rows(weekly_de_chosen(wh, as_of, mode, **rules), wh, language="de")
+
+
+def weekly_de_cases(wh: Warehouse, as_of: date, mode: str = "parity", **rules) -> DataFrame:
+    """The week's cases with what their cards need from the cube.
+
+    The few chosen cases are written once and filter the cube before its rows are compared.
+    """
+    chosen = written_once(weekly_de_chosen(wh, as_of, mode, **rules), "weekly")
+    cube = wh["case_cube"].filter(F.col("product") == "MSS")
+    cube = cube.select("case_id", "admission_channel", "inquiry_type", "service_id")
+    cube = cube.join(chosen.select("case_id"), "case_id", "left_semi")
+    cube = first_per_key(cube, ["case_id"], [F.col("service_id").asc_nulls_last()]).drop("service_id")
+    online = flag(F.col("admission_channel").isin(*fv.ONLINE_CHANNELS))
+    return chosen.join(cube, "case_id", "left").withColumn("om_flag", online)
 
 
 def weekly_de_postal(wh: Warehouse, as_of: date, mode: str = "parity") -> DataFrame:
