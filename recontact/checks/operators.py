@@ -581,7 +581,7 @@ register(
             df.filter("case_id IS NOT NULL").distinct(), ["case_id"], [c("select_id").asc(), c("batch_id").asc()]
         ),
     ),
-    """SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY select_id, batch_id) AS rn
+    """SELECT *, cast(row_number() OVER (PARTITION BY case_id ORDER BY select_id, batch_id) AS int) AS rn
 FROM (SELECT DISTINCT * FROM cam_select WHERE case_id IS NOT NULL)""",
 )
 register(

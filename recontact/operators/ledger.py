@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recontact.fixed_values import CATEGORY_CALL, OPEN_END
-from recontact.sources.schemas import CAM_BATCH, CAM_CAM, CAM_SELECT
+from recontact.sources.schemas import CAM_BATCH, CAM_CAM, CAM_SELECT, CAMPAIGN_TABLES
 from recontact.sources.storage import written_once
 
 
@@ -84,6 +84,15 @@ def as_ledger_width(df: DataFrame) -> DataFrame:
     return to_ledger(df)
 
 
+def create_tables(spark: SparkSession, root: str) -> None:
+    """Empty ledger, batch and registry tables where none exist."""
+    for name, schema in CAMPAIGN_TABLES.items():
+        writer = spark.createDataFrame([], schema).write.mode("ignore")
+        if name == "cam_select":
+            writer = writer.partitionBy("batch_id")
+        writer.parquet(f"{root}/{name}")
+
+
 def append_select(rows: DataFrame, path: str) -> bool:
     """Append ledger rows, one folder per batch; nothing is written for an empty selection."""
     if rows.isEmpty():

@@ -62,13 +62,14 @@ def _admit_null_keys(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 
 def campaign_ledger(cam_select: DataFrame, cam_batch: DataFrame, cam_cam: DataFrame | None = None) -> DataFrame:
-    """Ledger rows with campaign id, selection date and, given the registry, the category."""
-    out = cam_select.select("case_id", "batch_id").join(
-        cam_batch.select("batch_id", "cam_id", "batch_selection_date"), "batch_id", "left"
-    )
+    """Ledger rows with campaign id, selection date and, given the registry, the category.
+
+    The small tables meet first, so the ledger is joined once.
+    """
+    batches = cam_batch.select("batch_id", "cam_id", "batch_selection_date")
     if cam_cam is not None:
-        out = out.join(cam_cam.select("cam_id", "cam_category"), "cam_id", "left")
-    return out
+        batches = batches.join(cam_cam.select("cam_id", "cam_category"), "cam_id", "left")
+    return cam_select.select("case_id", "batch_id").join(batches, "batch_id", "left")
 
 
 def contacts(

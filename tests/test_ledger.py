@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from recontact.functions.pii import decrypt_columns, encrypt_text
 from recontact.operators import delivery, ledger
 from recontact.operators.suppress import campaign_ledger, suppress
-from recontact.sources.schemas import CAM_BATCH, CAM_SELECT
+from recontact.sources.schemas import CAM_SELECT
 from recontact.sources.warehouse import frame_warehouse, parquet_warehouse
 
 AS_OF = date(2024, 5, 15)
@@ -17,8 +17,7 @@ AS_OF = date(2024, 5, 15)
 @pytest.fixture()
 def store(spark, tmp_path):
     root = str(tmp_path)
-    spark.createDataFrame([], CAM_SELECT).write.parquet(f"{root}/cam_select")
-    spark.createDataFrame([], CAM_BATCH).write.parquet(f"{root}/cam_batch")
+    ledger.create_tables(spark, root)
     return root
 
 
@@ -50,6 +49,7 @@ def test_commit_then_second_run_selects_nothing(spark, store):
     batch = wh["cam_batch"].collect()
     assert [(r.cam_id, r.batch_id, r.batch_stop) for r in batch] == [(4, 1, date(2024, 6, 14))]
     assert ledger.commit(spark, choose(spark, store), store, 4, "phone", AS_OF) is None
+    ledger.create_tables(spark, store)
     assert parquet_warehouse(spark, store)["cam_batch"].count() == 1
 
 
