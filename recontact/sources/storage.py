@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,12 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder the cluster names in ``spark.checkpoint.dir``; a local one only where none is set."""
+    """Folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is set, a session whose executors run in the driver's own process gets a temporary
+    one; any other is refused, as its executors would not see it.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if configured:
+        return configured
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="recontact-"))
-    return configured or sc.getCheckpointDir()
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="recontact-"))
+    return sc.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

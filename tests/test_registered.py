@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from recontact.checks import registry
 from tests.compare import difference, duckdb_over
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -20,11 +21,12 @@ def con(small_dir):
     return duckdb_over(small_dir)
 
 
-def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLE)
+def test_every_selection_has_a_twin():
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_matches_sql(spark, con, small_dir, name):
     problem, _ = difference(QUERIES[name](spark, small_dir), con, ORACLE[name])
     assert problem is None, problem
