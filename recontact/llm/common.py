@@ -32,13 +32,13 @@ def chunk_count(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BY
     return max(1, -(-(total or 0) // chunk_bytes))
 
 
-def chunked(docs: DataFrame, chunks: int) -> DataFrame:
-    """Columns ``doc_id``, ``text`` (bytes) and ``chunk``, a number that depends on the row alone.
+def chunked(docs: DataFrame, chunks: int, *more: str) -> DataFrame:
+    """Columns ``doc_id``, ``text`` (bytes), those named, and ``chunk``, which the row alone decides.
 
     Copies of a text spread over the chunks by their ids, and rows without id by their texts.
     """
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
-    return docs.select("doc_id", whole_text().alias("text"), chunk.alias("chunk"))
+    return docs.select("doc_id", whole_text().alias("text"), *more, chunk.alias("chunk"))
 
 
 class WordHashes(dict):

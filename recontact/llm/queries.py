@@ -9,10 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recontact.llm import bpe, mixing, quality
+from recontact.llm import bpe, chat, fixity, lattice, mixing, quality, substring
 from recontact.llm.common import reachable
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE, BYTE_PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +39,28 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
-_RUNS = [op1_bpe, op3_mixing, op5_quality]
+def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of an archive, and what the audit says of a damaged replica."""
+    return fixity.audited_pages(table(spark, sf_dir, "pages"))
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and read back from its token ids."""
+    turns = chat.with_sample(table(spark, sf_dir, "conversations"))
+    return chat.digests(turns, BYTE_BPE, BYTE_PATTERN)
+
+
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of words that occur elsewhere."""
+    return substring.digests(table(spark, sf_dir, "documents"))
+
+
+def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document."""
+    return lattice.scored(table(spark, sf_dir, "documents"), PIECES)
+
+
+_RUNS = [op1_bpe, op3_mixing, op5_quality, op6_fixity, op8_chat, op9_substring, op10_lattice]
 
 
 def _registered(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -49,4 +72,4 @@ def _registered(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 QUERIES = {run.__name__: _registered(run) for run in _RUNS}
-ORACLE = {"op3_mixing": mixing.mixing_sql()}
+ORACLE = {"op3_mixing": mixing.mixing_sql(), "op6_fixity": fixity.audit_sql()}
