@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recontact.llm import bpe, mixing, quality
+from recontact.llm import bpe, line_dedup, mixing, ngram_join, quality
 from recontact.llm.common import reachable
 from recontact.llm.queries import WORD_BPE
 from recontact.sources.storage import written_once
@@ -16,6 +16,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the line runs that came before; those that consist of them go."""
+    reachable(spark)
+    return line_dedup.without_repeats(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    reachable(spark)
+    return ngram_join.one_of_each(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target weight asks, in shuffled order."""
     reachable(spark)
@@ -29,7 +41,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.decoded(ids, WORD_BPE)
 
 
-STAGES = [("quality_rules", quality_rules), ("mix", mix), ("encode", encode)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_runs),
+    ("ngram_join", near_duplicates),
+    ("mixing", mix),
+    ("bpe", encode),
+]
 ORACLE_SQL = None  # encoding is not expressible; tests hold each stage against a brute-force version
 
 

@@ -48,7 +48,7 @@ def _one_of(chars: Iterable[str]) -> re.Pattern:
 
 
 #: Characters of text that are encoded at a time, and pieces of text whose ids a task remembers.
-SLICE, MEMORY = 4 << 20, 150_000
+SLICE, MEMORY = 1 << 20, 100_000
 
 
 def byte_symbols() -> list[str]:

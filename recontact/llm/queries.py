@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recontact.llm import bpe, chat, fixity, lattice, mixing, quality, substring
+from recontact.llm import (
+    bpe,
+    chat,
+    cover_tree,
+    fixity,
+    lattice,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality,
+    substring,
+)
 from recontact.llm.common import reachable
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +37,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes and numbers of links of every document."""
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents replicated to the target weights, in shuffled order."""
     return mixing.mixed_sources(table(spark, sf_dir, "documents")).select(
@@ -34,6 +50,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of every embedding."""
+    return cover_tree.linked(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdict of every document."""
     return quality.judged(table(spark, sf_dir, "documents"))
@@ -44,6 +65,11 @@ def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity.audited_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line runs that came before."""
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and read back from its token ids."""
     turns = chat.with_sample(table(spark, sf_dir, "conversations"))
@@ -60,7 +86,18 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.scored(table(spark, sf_dir, "documents"), PIECES)
 
 
-_RUNS = [op1_bpe, op3_mixing, op5_quality, op6_fixity, op8_chat, op9_substring, op10_lattice]
+_RUNS = [
+    op1_bpe,
+    op2_ngram_join,
+    op3_mixing,
+    op4_cover_tree,
+    op5_quality,
+    op6_fixity,
+    op7_line_dedup,
+    op8_chat,
+    op9_substring,
+    op10_lattice,
+]
 
 
 def _registered(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -72,4 +109,4 @@ def _registered(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 QUERIES = {run.__name__: _registered(run) for run in _RUNS}
-ORACLE = {"op3_mixing": mixing.mixing_sql(), "op6_fixity": fixity.audit_sql()}
+ORACLE = {"op3_mixing": mixing.mixing_sql(), "op6_fixity": fixity.audit_sql(), "op7_line_dedup": line_dedup.SQL}
