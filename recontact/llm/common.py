@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator, Sequence
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
@@ -83,10 +84,9 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 def by_bucket(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
     """Slices of a sorted array, one for each bucket that has rows."""
     own = bucket_of(hashes, buckets)
-    cuts = np.flatnonzero(np.diff(own)) + 1
-    starts = np.concatenate(([0], cuts)) if len(own) else cuts
-    for start, end in zip(starts, np.append(starts[1:], len(own)), strict=True):
-        yield int(own[start]), slice(int(start), int(end))
+    edges = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)] if len(own) else []
+    for start, end in pairwise(edges):
+        yield int(own[start]), slice(start, end)
 
 
 def at_most_twice(values: np.ndarray) -> np.ndarray:

@@ -56,7 +56,7 @@ def _ahead(rows: DataFrame, lines: int) -> DataFrame:
 
 
 def repeated_starts(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """``_doc``, ``_text`` and ``starts``: where runs of ``min_lines`` lines begin that came before.
+    """``_doc``, ``_text`` and ``_starts``: where runs of ``min_lines`` lines begin that came before.
 
     Places count lines with a word. Documents come in the order of their ids.
     """
@@ -73,7 +73,7 @@ def repeated_starts(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         # The first and the last ``length`` lines of a run overlap and tell it.
         rows = written_once(ranked(_ahead(rows, min_lines - length), ["rank", "next"]), "suffixes")
     later = rows.filter(F.struct(*_KEY, "at") != F.col("first"))
-    return later.groupBy(*_KEY).agg(F.sort_array(F.collect_list("at")).alias("starts"))
+    return later.groupBy(*_KEY).agg(F.sort_array(F.collect_list("at")).alias("_starts"))
 
 
 def deduped(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
@@ -100,10 +100,10 @@ def deduped(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                at = {n: part.schema.get_field_index(n) for n in (*names, "starts")}
+                at = {n: part.schema.get_field_index(n) for n in (*names, "_starts")}
                 told = [
                     _cut(t, s, min_lines)
-                    for t, s in zip(part.column(at["text"]).to_pylist(), part.column(at["starts"]).to_pylist(), strict=True)
+                    for t, s in zip(part.column(at["text"]).to_pylist(), part.column(at["_starts"]).to_pylist(), strict=True)
                 ]
                 columns = [part.column(at[n]) if n != "text" else pa.array([x[0] for x in told], pa.string()) for n in names]
                 yield pa.RecordBatch.from_arrays(
