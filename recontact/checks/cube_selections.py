@@ -129,6 +129,7 @@ QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY result_date DESC NUL
 
 # Existing customers of the cube, with and without the ledger rule.
 FIRST, LAST = date(1995, 6, 1), date(1999, 9, 30)
+CHANNELS = (*fv.CUBE_EXCLUDED_CHANNELS, "staff_program")
 
 
 def cube_ctes(score: str) -> str:
@@ -145,7 +146,7 @@ customers AS (
     AND c.result_date BETWEEN DATE '1995-06-01' AND DATE '1999-09-30'
     AND {score}
     AND c.voucher_code NOT IN ('KULANZ-MSSNICHTKOOPP', 'GADS-LF22') AND c.voucher_code NOT LIKE '%VRTC%'
-    AND c.payer_group IN ('gkv', 'pkv') AND c.product <> 'RSO' AND c.admission_channel <> 'proactive_steering'
+    AND c.payer_group IN ('gkv', 'pkv') AND c.product <> 'RSO' AND c.admission_channel NOT IN ('proactive_steering', 'staff_program')
     AND c.country_code = 'de'
     AND (c.completion_reason IS NULL OR c.completion_reason IN {fv.CUBE_ALLOWED_REASONS})
     AND NOT regexp_matches(c.payer_name, 'Allianz|BIG|Generali|Audi BKK') AND c.payer_name <> 'AOK Plus'
@@ -172,7 +173,7 @@ QUALIFY row_number() OVER (PARTITION BY c.patient_id ORDER BY c.result_date DESC
 
 register(
     "existing_customer_cube",
-    lambda wh: existing.existing_customer_cube(wh, AS_OF, FIRST, LAST),
+    lambda wh: existing.existing_customer_cube(wh, AS_OF, FIRST, LAST, excluded_channels=CHANNELS),
     cube_sql(
         ANY_SCORE,
         """AND c.case_id NOT IN (FROM mailed) AND c.patient_id NOT IN (
@@ -181,14 +182,14 @@ register(
 )
 register(
     "existing_customer_cube_scored",
-    lambda wh: existing.existing_customer_cube(wh, AS_OF, FIRST, LAST, scores_required=True, use_ledger=False),
+    lambda wh: existing.existing_customer_cube(wh, AS_OF, FIRST, LAST, excluded_channels=CHANNELS, scores_required=True, use_ledger=False),
     cube_sql(BOTH_SCORES, ""),
 )
 
 # Contact in either case system, decrypted after the selection.
 register(
     "existing_customer_two_system",
-    lambda wh: existing.existing_customer_two_system(wh, keyring(wh.spark), FIRST, LAST),
+    lambda wh: existing.existing_customer_two_system(wh, keyring(wh.spark), FIRST, LAST, excluded_channels=CHANNELS),
     f"""
 WITH {cube_ctes(BOTH_SCORES)}
 SELECT {CUSTOMER_SQL}, p.first_name AS case_first_name, p.last_name AS case_last_name, p.email AS case_email,
@@ -213,7 +214,7 @@ inquiry_side AS (
     cast(NULL AS string) AS title, p.first_name, p.last_name, cast(NULL AS string) AS county,
     lower(p.country_code) AS country, p.email, cast(i.provider_nps AS string) AS nps,
     i.completion_reason_main AS main_reason, i.completion_reason_additional AS more_reason,
-    i.completion_details AS details, cast(NULL AS string) AS exclude
+    i.completion_details AS details, cast(i.exclude_from_reporting AS string) AS exclude
   FROM happy_inquiries AS i LEFT JOIN patient_data AS p ON p.inquiry_id = i.id
     LEFT JOIN voucher_dim AS v1 ON v1.id = i.voucher_ids[1]
     LEFT JOIN voucher_dim AS v2 ON v2.id = i.voucher_ids[2]
@@ -229,7 +230,7 @@ live_events AS (
 service_side AS (
   SELECT 'service' AS system, s.case_id, s.service_id, pr.name AS product,
     cast(strptime(f.day, '%d-%m-%Y') AS date) AS result_date, s.voucher_code AS code, pa.name AS client_1,
-    cast(NULL AS string) AS client_2, cast(NULL AS string) AS insurance, false AS subsidy,
+    cast(NULL AS string) AS client_2, co.title AS insurance, false AS subsidy,
     cast(NULL AS string) AS description, q.gender, q.title, q.first_name, q.last_name, q.county,
     q.country_code AS country, q.email, n.nps, x.reason AS main_reason, cast(NULL AS string) AS more_reason,
     cast(NULL AS string) AS details,
@@ -241,6 +242,8 @@ service_side AS (
     LEFT JOIN scores AS n ON n.service_id = s.id
     LEFT JOIN live_events AS x ON x.service_id = s.service_id AND x.event_type LIKE '%DID_CLOSE%'
     LEFT JOIN case_markers AS k ON k.case_id = s.case_id
+    LEFT JOIN primary_insurance_selections AS ps ON ps.case_id = s.case_id
+    LEFT JOIN insurance_companies AS co ON co.id = ps.insurance_company_id
   WHERE s.deleted_at IS NULL AND NOT EXISTS (FROM visits AS v WHERE v.case_id = s.case_id
     AND v.deleted_at IS NULL AND v.visit_timing = 1 AND v.visit_nps IN ('0', '1', '2', '3', '4', '5', '6'))),
 groups AS (SELECT DISTINCT client_name, client_group, coop_status FROM client_groups),
@@ -249,7 +252,7 @@ kept AS (
   SELECT u.* FROM united AS u JOIN groups AS g1 ON g1.client_name = u.client_1
     LEFT JOIN groups AS g3 ON g3.client_name = u.insurance
   WHERE u.result_date BETWEEN {NOW} - INTERVAL 48 MONTH AND {NOW} - INTERVAL 24 MONTH
-    AND u.country = 'de' AND u.nps IN ('7', '8', '9', '10') AND coalesce(u.exclude, 'false') = 'false'
+    AND u.case_id NOT IN (SELECT case_id FROM suppression) AND u.country = 'de' AND u.nps IN ('7', '8', '9', '10') AND coalesce(u.exclude, 'false') = 'false'
     AND coalesce(u.main_reason, '') NOT IN {fv.UNIFIED_MAIN_REASONS}
     AND (u.main_reason IS NULL OR u.more_reason NOT IN {fv.UNIFIED_ADDITIONAL_REASONS})
     AND coalesce(u.details, '') = '' AND (u.system <> 'inquiry' OR u.code IS NOT NULL)
@@ -273,7 +276,7 @@ QUALIFY row_number() OVER (PARTITION BY p.patient_id ORDER BY k.result_date DESC
 
 register(
     "existing_customer_unified",
-    lambda wh: existing.existing_customer_unified(wh, AS_OF, keyring(wh.spark), nulls="guarded"),
+    lambda wh: existing.existing_customer_unified(wh, AS_OF, keyring(wh.spark)),
     UNIFIED_SQL,
 )
 
@@ -292,14 +295,14 @@ WHERE e.event_type LIKE '%DID_SEND_FINAL%' AND (s.product = 'RSO' OR s.product L
 )
 register(
     "existing_customer_simple_b",
-    lambda wh: existing.existing_customer_simple_b(wh),
+    lambda wh: existing.existing_customer_simple_b(wh, ["%Staff%"]),
     """
 SELECT i.case_id, v.client_name AS voucher_client, g.client_group, v.value AS first_voucher_code,
   p.country_code, i.provider_nps
 FROM inquiries AS i JOIN voucher_dim AS v ON v.id = i.voucher_ids[1]
   JOIN client_groups AS g ON g.client_name = v.client_name LEFT JOIN patient_data AS p ON p.inquiry_id = i.id
 WHERE i.results_sent_at IS NOT NULL AND g.client_group <> 'Corporate'
-  AND NOT regexp_matches(v.client_name, 'Allianz|Assura|VIP|Promo|Test|Patient')
+  AND NOT regexp_matches(v.client_name, 'Allianz|Assura|VIP|Promo|Test|Patient|Staff')
   AND v.value NOT IN ('B1-L7 KULANZ', 'AX91-FLA3', 'ARAG-CM22', 'AXAU-22GS', 'AXAP-22GS')
   AND v.value NOT LIKE '%MA4L%' AND (upper(p.country_code) = 'DE' OR p.country_code IS NULL)
   AND coalesce(i.provider_nps, 7) >= 7""",

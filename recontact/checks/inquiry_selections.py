@@ -16,10 +16,11 @@ POST_WEEK = date(1996, 6, 26)
 POST_DAY = "DATE '1996-06-26'"
 AS_OF = date(2000, 1, 1)
 NOW = "DATE '2000-01-01'"
+CLIENTS = (*fv.WEEKLY_EXCLUDED_CLIENTS, "Own Staff")
 
-ALLOWED = """v.client_name NOT IN ('VIP GELB', 'VIP ROT')
+ALLOWED = """v.client_name NOT IN ('VIP GELB', 'VIP ROT', 'Own Staff')
     AND NOT regexp_matches(v.value, '-MSSNACHRSO$|-BDTC$|AXAP-') AND v.value NOT IN ('NUBU-7777', 'ARAG-CM22')"""
-CALL_ALLOWED = """v.client_name NOT IN ('VIP GELB', 'VIP ROT')
+CALL_ALLOWED = """v.client_name NOT IN ('VIP GELB', 'VIP ROT', 'Own Staff')
     AND NOT regexp_matches(v.value, '-MSSNACHRSO$|-BDTC$') AND v.value <> 'NUBU-7777'"""
 VIP_ALLOWED = """contains(v.value, 'VRTC') AND v.client_name IS NOT NULL
     AND NOT regexp_matches(v.value, '-MSSNACHRSO$|-BDTC$|AXAP-') AND v.value NOT IN ('NUBU-7777', 'ARAG-CM22')"""
@@ -93,12 +94,12 @@ chosen AS (SELECT * FROM both_parts
 DAY = "DATE '1999-02-10'"
 register(
     "weekly_de",
-    lambda wh: ledger_columns(plans.weekly_de(wh, WEEK)),
+    lambda wh: ledger_columns(plans.weekly_de(wh, WEEK, excluded_clients=CLIENTS)),
     numbered_sql(weekly_de_sql(DAY), "chosen", "client_name", "code", "NULL", "app_state", "korb", "'de'"),
 )
 register(
     "weekly_de_cards_input",
-    lambda wh: plans.weekly_de_cases(wh, WEEK).select("case_id", "post", "om_flag", "inquiry_type"),
+    lambda wh: plans.weekly_de_cases(wh, WEEK, excluded_clients=CLIENTS).select("case_id", "post", "om_flag", "inquiry_type"),
     f"""WITH {weekly_de_sql(DAY)}
 SELECT w.case_id, w.post, CASE WHEN c.admission_channel IN ('online_marketing', 'partner_funnel') THEN 1 ELSE 0 END
   AS om_flag, c.inquiry_type
@@ -106,7 +107,7 @@ FROM chosen AS w LEFT JOIN (SELECT * FROM case_cube WHERE product = 'MSS') AS c
 )
 register(
     "weekly_de_week_start",
-    lambda wh: ledger_columns(plans.weekly_de(wh, date(1999, 12, 29), mode="week_start")),
+    lambda wh: ledger_columns(plans.weekly_de(wh, date(1999, 12, 29), mode="week_start", excluded_clients=CLIENTS)),
     numbered_sql(
         weekly_de_sql("DATE '1999-12-29'")
         .replace("(week((app_date + INTERVAL 5 WEEK)) = week(DATE '1999-12-29') AND year((app_date + INTERVAL 5 WEEK))"
@@ -171,7 +172,7 @@ OPEN_SECOND_OPINION = f"""i.state = 'waiting_q3' AND i.treatment_type = 'second_
     AND {OPEN_ENTRY} AND {NEVER_COMPLETED}"""
 register(
     "telephone_follow_up",
-    lambda wh: ledger_columns(plans.telephone_follow_up(wh, CALL_WEEK)),
+    lambda wh: ledger_columns(plans.telephone_follow_up(wh, CALL_WEEK, excluded_clients=CLIENTS)),
     numbered_sql(
         exploded_sql(OPEN_SECOND_OPINION, ALLOWED, "'sent', 'call_patient'")
         + f", chosen AS (SELECT * FROM firsts WHERE {due(CALL_DAY)})",
@@ -204,7 +205,7 @@ def second_survey_rules() -> str:
 
 register(
     "second_status_survey",
-    lambda wh: ledger_columns(plans.second_status_survey(wh, SURVEY_WEEK)),
+    lambda wh: ledger_columns(plans.second_status_survey(wh, SURVEY_WEEK, excluded_clients=CLIENTS)),
     numbered_sql(
         f"""
 candidates AS (
@@ -221,7 +222,7 @@ chosen AS (SELECT * FROM firsts WHERE {in_week('app_date', 5, "DATE '1999-02-03'
 )
 register(
     "reminder_status_survey",
-    lambda wh: ledger_columns(plans.reminder_status_survey(wh, date(1999, 11, 3))),
+    lambda wh: ledger_columns(plans.reminder_status_survey(wh, date(1999, 11, 3), excluded_clients=CLIENTS)),
     numbered_sql(
         exploded_sql(second_survey_rules(), ALLOWED, "'call_patient'")
         + ", chosen AS (SELECT * FROM firsts WHERE "
@@ -235,7 +236,7 @@ register(
 MAIN, MORE = fv.SECOND_TRY_MAIN_REASONS, fv.SECOND_TRY_ADDITIONAL_REASONS
 register(
     "second_try_weekly",
-    lambda wh: ledger_columns(plans.second_try_weekly(wh, AS_OF)),
+    lambda wh: ledger_columns(plans.second_try_weekly(wh, AS_OF, excluded_clients=CLIENTS)),
     numbered_sql(
         exploded_sql(
             f"""i.state IN ('waiting_q3', 'completed') AND i.treatment_type = 'second_opinion_before_surgery'
@@ -253,7 +254,8 @@ register(
 
 # Calls by payer.
 CALL_RULES = f"""i.state IN ('waiting_q3', 'completed') AND i.treatment_type <> 'second_opinion_before_surgery'
-    AND coalesce(i.completion_reason_main, 'internal_reason') = 'internal_reason' AND NOT {ANSWERED}"""
+    AND coalesce(i.completion_reason_main, 'internal_reason') = 'internal_reason' AND NOT {ANSWERED}
+    AND i.case_id NOT IN (SELECT case_id FROM suppression)"""
 
 
 def windows_sql(start: str, deleted: str, call: str, sent: str) -> str:
@@ -264,7 +266,7 @@ def windows_sql(start: str, deleted: str, call: str, sent: str) -> str:
 
 register(
     "call_legacy",
-    lambda wh: ledger_columns(plans.call_legacy(wh, AS_OF, "%CLIENT%")),
+    lambda wh: ledger_columns(plans.call_legacy(wh, AS_OF, "%CLIENT%", excluded_clients=CLIENTS)),
     numbered_sql(
         f"""
 candidates AS (
@@ -290,12 +292,14 @@ register(
         plans.fixed_windows(date(1999, 1, 1), date(1999, 10, 30), date(1999, 9, 25), date(1999, 10, 2)),
         "%Client%",
         AS_OF,
-    ).select("case_id", "voucher_client_name", "first_voucher_code", "channel", "app_state", "app_date", "korb",
-             "completion_reason_main"),
+        excluded_clients=CLIENTS,
+    ),
     f"""
 WITH {exploded_sql(CALL_RULES, CALL_ALLOWED, "'call_patient', 'sent', 'deleted'")}
 SELECT f.case_id, f.client_name AS voucher_client_name, f.code AS first_voucher_code,
-  p.preferred_communication_channel AS channel, f.app_state, f.app_date, f.korb, i.completion_reason_main
+  p.preferred_communication_channel AS channel, f.app_state, f.app_date, 'Anrufaktion' AS parameter,
+  {NOW} AS card_created, f.korb, i.completion_reason_main, i.completion_reason_additional, i.completion_details,
+  'de' AS preferred_language
 FROM firsts AS f JOIN inquiries AS i USING (case_id) LEFT JOIN patient_data AS p ON p.inquiry_id = i.id
 WHERE f.client_name LIKE '%Client%'
   AND {windows_sql("DATE '1999-01-01'", "DATE '1999-10-30'", "DATE '1999-09-25'", "DATE '1999-10-02'")}""",
@@ -308,7 +312,7 @@ register(
     numbered_sql(
         """
 chosen AS (
-  SELECT DISTINCT i.case_id, a.scheduled_date, i.voucher_ids[1] AS voucher, i.treatment_type, i.state AS korb,
+  SELECT DISTINCT i.id, i.case_id, a.scheduled_date, i.voucher_ids[1] AS voucher, i.treatment_type, i.state AS korb,
     a.appointment_type, a.state AS app_state, v.client_name, v.value AS code
   FROM inquiries AS i JOIN appointments AS a ON a.inquiry_id = i.id
     JOIN insurance_data AS d ON d.inquiry_id = i.id AND d.options = '[]'
@@ -316,7 +320,7 @@ chosen AS (
   WHERE i.state IN ('waiting_q4', 'waiting_q5', 'waiting_q6') AND a.appointment_type NOT IN ('1', '2')
     AND a.state = 'sent' AND v.client_name LIKE '%Client%')""",
         "chosen", "client_name", "code", "NULL", "app_state", "korb", "'de'",
-        key=("case_id", "scheduled_date", "appointment_type"), new_batch=0,
+        key=("case_id", "id", "scheduled_date", "appointment_type"), new_batch=0,
     ),
 )
 
@@ -324,7 +328,7 @@ chosen AS (
 register(
     "status_vs_card_cleaning",
     lambda wh: ledger_columns(
-        plans.status_vs_card_cleaning(wh, date(1997, 1, 1), "intake board", "inbox")
+        plans.status_vs_card_cleaning(wh, date(1997, 1, 1), "intake board", "inbox", excluded_clients=CLIENTS)
     ),
     numbered_sql(
         exploded_sql(
@@ -345,11 +349,12 @@ register(
 register(
     "weekly_de_fixed_dates",
     lambda wh: plans.weekly_de_fixed_dates(
-        wh, AS_OF, (date(1999, 9, 27), date(1999, 11, 14)), (date(1999, 11, 1), date(1999, 11, 28))
-    ).drop("parameter", "card_created", "preferred_language"),
+        wh, AS_OF, (date(1999, 9, 27), date(1999, 11, 14)), (date(1999, 11, 1), date(1999, 11, 28)), excluded_clients=CLIENTS
+    ),
     f"""
 SELECT DISTINCT i.case_id, v.client_name AS voucher_client_name, v.value AS first_voucher_code,
-  a.state AS app_state, {SENT_DAY} AS app_date, i.state AS korb
+  a.state AS app_state, {SENT_DAY} AS app_date, i.state AS korb, 'Tel. Nachbefragung' AS parameter,
+  {NOW} AS card_created, 'de' AS preferred_language
 FROM inquiries AS i JOIN appointments AS a ON a.inquiry_id = i.id JOIN voucher_dim AS v ON v.id = i.voucher_ids[1]
 WHERE {OPEN_SECOND_OPINION} AND i.deleted_at IS NULL AND a.appointment_type = '3' AND {CALL_ALLOWED}
   AND ((a.state = 'call_patient' AND {NOW} - {SENT_DAY} > 35

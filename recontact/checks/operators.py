@@ -16,9 +16,9 @@ from recontact.functions.pii import decrypt_columns, encrypt_text
 from recontact.operators import dedupe, delivery, ledger, suppress, surveys, vouchers
 from recontact.plans import common, existing, services
 from recontact.sources.history import current_version, not_deleted
-from recontact.sources.schemas import CAM_SELECT
+from recontact.sources.schemas import CAM_CAM, CAM_SELECT
 from recontact.sources.storage import fresh_path
-from recontact.sources.warehouse import Warehouse
+from recontact.sources.warehouse import Warehouse, parquet_warehouse
 
 c = F.col
 AS_OF = date(2000, 1, 1)
@@ -62,22 +62,68 @@ register(
 
 
 # Sinks, read back after the write.
-def ledger_round_trip(wh: Warehouse) -> DataFrame:
-    chosen = wh["case_cube"].filter((c("payer_group") == "gkv") & (c("product") == "RSO"))
+def case_rows(cases: DataFrame, cam_select: DataFrame, batch: str = "new") -> DataFrame:
     mapping = {"client_name": c("payer_name"), "first_voucher_code": c("voucher_code")}
+    return ledger.numbered_rows(cases, cam_select, mapping, batch=batch)
+
+
+def ledger_round_trip(wh: Warehouse) -> DataFrame:
     path = fresh_path(wh.spark, "cam_select")
-    ledger.append_select(ledger.numbered_rows(chosen, wh["cam_select"], mapping), path)
+    ledger.append_select(case_rows(wh["case_cube"], wh["cam_select"]), path)
     return ledger_columns(wh.spark.read.schema(CAM_SELECT).parquet(path))
 
 
+def new_then_append(wh: Warehouse) -> DataFrame:
+    """Two commits into one batch, read back through the ledger view."""
+    root, spark = fresh_path(wh.spark, "warehouse"), wh.spark
+    ledger.create_tables(spark, root)
+    for group, batch in (("gkv", "new"), ("pkv", "append")):
+        chosen = wh["case_cube"].filter(c("payer_group") == group)
+        rows = case_rows(chosen, parquet_warehouse(spark, root)["cam_select"], batch)
+        ledger.commit(spark, rows, root, 97, "bd_nachtelefonie", AS_OF)
+    written = parquet_warehouse(spark, root)
+    seen = suppress.campaign_ledger(written["cam_select"], written["cam_batch"])
+    return seen.groupBy("case_id").agg(
+        F.count(F.lit(1)).alias("contacts"), F.max("batch_id").alias("batch_id"), F.max("cam_id").alias("cam_id"),
+        F.max("batch_selection_date").alias("batch_selection_date"),
+    )
+
+
+def registered_twice(wh: Warehouse) -> DataFrame:
+    """The registry after two campaigns were appended to it."""
+    root = fresh_path(wh.spark, "warehouse")
+    ledger.create_tables(wh.spark, root)
+    ledger.append_campaign(wh.spark, root, "spring calls")
+    ledger.append_campaign(wh.spark, root, "autumn mail", channel="mail", category=None)
+    payers = wh["payers"].select(c("name").alias("cam_name"))
+    return wh.spark.read.schema(CAM_CAM).parquet(f"{root}/cam_cam").withColumn(
+        "payers", payers.agg(F.count(F.lit(1))).scalar()
+    )
+
+
 register(
     "ledger_append",
     ledger_round_trip,
     numbered_sql(
-        "chosen AS (SELECT * FROM case_cube WHERE payer_group = 'gkv' AND product = 'RSO')",
+        "chosen AS (SELECT * FROM case_cube)",
         "chosen", "payer_name", "voucher_code", "patient_id", language="preferred_language",
     ),
 )
+register(
+    "commit_new_then_append",
+    new_then_append,
+    f"""SELECT case_id, 1 AS contacts, cast(1 AS bigint) AS batch_id, cast(97 AS int) AS cam_id,
+  {NOW} AS batch_selection_date FROM case_cube WHERE payer_group IN ('gkv', 'pkv')""",
+)
+register(
+    "registry_append",
+    registered_twice,
+    """SELECT n AS cam_id, channel AS cam_channel, name AS cam_name,
+  'extra call campaign for our follow ups - ' || name AS cam_description, 'bd_patients' AS cam_audience,
+  'information' AS cam_type, DATE '2022-01-01' AS valid_from, DATE '2999-12-31' AS valid_to, category AS cam_category,
+  (SELECT count(*) FROM payers) AS payers
+FROM (VALUES (1, 'phone', 'spring calls', 'Anrufaktion'), (2, 'mail', 'autumn mail', NULL)) AS t(n, channel, name, category)""",
+)
 register(
     "open_batch",
     lambda wh: ledger.open_batch(wh.spark, wh["cam_select"], 97, "bd_nachtelefonie", AS_OF),
@@ -101,7 +147,7 @@ register(
 
 
 def csv_round_trip(wh: Warehouse) -> DataFrame:
-    rows = wh["case_cube"].filter(c("product") == "MSN").select("case_id", "payer_name", "voucher_code")
+    rows = wh["case_cube"].select("case_id", "payer_name", "voucher_code")
     path = delivery.export_csv(rows, fresh_path(wh.spark, "csv"), "second_survey", AS_OF)
     return wh.spark.read.schema(rows.schema).option("header", True).csv(path)
 
@@ -109,7 +155,7 @@ def csv_round_trip(wh: Warehouse) -> DataFrame:
 register(
     "export_csv",
     csv_round_trip,
-    "SELECT case_id, payer_name, nullif(voucher_code, '') AS voucher_code FROM case_cube WHERE product = 'MSN'",
+    "SELECT case_id, payer_name, nullif(voucher_code, '') AS voucher_code FROM case_cube",
 )
 register(
     "export_sheets",
@@ -675,25 +721,23 @@ WHERE s.deleted_at IS NULL AND s.case_id NOT IN (SELECT case_id FROM visits
 )
 register(
     "union_branches",
-    lambda wh: wh["case_cube"].filter("product = 'MSS'").select("case_id", F.lit("mail").alias("branch")).unionByName(
-        wh["phone_cube"].filter("hard_exclusion").select("case_id", F.lit("phone").alias("branch"))
+    lambda wh: wh["case_cube"].select("case_id", F.lit("mail").alias("branch")).unionByName(
+        wh["phone_cube"].select("case_id", F.lit("phone").alias("branch"))
     ),
-    """SELECT case_id, 'mail' AS branch FROM case_cube WHERE product = 'MSS'
-UNION ALL SELECT case_id, 'phone' FROM phone_cube WHERE hard_exclusion""",
+    """SELECT case_id, 'mail' AS branch FROM case_cube UNION ALL SELECT case_id, 'phone' FROM phone_cube""",
 )
 register(
     "union_then_number",
     lambda wh: ledger.assign_ids(
-        wh["case_cube"].filter("product = 'MSS'").select("case_id", F.lit("mail").alias("branch")).unionByName(
-            wh["phone_cube"].filter("hard_exclusion").select("case_id", F.lit("phone").alias("branch"))
+        wh["case_cube"].select("case_id", F.lit("mail").alias("branch")).unionByName(
+            wh["phone_cube"].select("case_id", F.lit("phone").alias("branch"))
         ),
         wh["cam_select"],
         ["case_id", "branch"],
     ).select("select_id", "case_id", "branch"),
     """SELECT (SELECT max(select_id) FROM cam_select) + row_number() OVER (ORDER BY
   substr(md5(case_id || '|' || branch), 1, 3), case_id, branch) AS select_id, case_id, branch
-FROM (SELECT case_id, 'mail' AS branch FROM case_cube WHERE product = 'MSS'
-  UNION ALL SELECT case_id, 'phone' FROM phone_cube WHERE hard_exclusion)""",
+FROM (SELECT case_id, 'mail' AS branch FROM case_cube UNION ALL SELECT case_id, 'phone' FROM phone_cube)""",
 )
 
 # Scalar functions.
@@ -800,6 +844,8 @@ def sealed_names(wh: Warehouse) -> DataFrame:
     people = wh["customer"].select(
         c("c_custkey").alias("person"),
         F.when(c("c_acctbal") < 0, "").when(c("c_acctbal") > 9000, F.concat("c_name", F.lit("@example.org")))
+        .when(c("c_acctbal") > 8000, "Dr.").when(c("c_acctbal") > 7000, "Anna").when(c("c_acctbal") > 6000, F.lit(None))
+        .when(c("c_acctbal") > 5000, F.lit("AAAAAAAAAAAAAAAAAAAAAA=="))
         .otherwise(encrypt_text(c("c_name"), keys)).alias("name"),
         encrypt_text(c("c_mktsegment"), keys).alias("segment"),
         c("c_mktsegment").isin("BUILDING").alias("clear"),
@@ -811,7 +857,8 @@ register(
     "decrypt_columns",
     sealed_names,
     """SELECT c_custkey AS person, CASE WHEN c_acctbal < 0 THEN '' WHEN c_acctbal > 9000 THEN c_name || '@example.org'
-  ELSE c_name END AS name, CASE c_mktsegment WHEN 'BUILDING' THEN 'open' ELSE c_mktsegment END AS segment,
+  WHEN c_acctbal > 8000 THEN 'Dr.' WHEN c_acctbal > 7000 THEN 'Anna' WHEN c_acctbal > 6000 THEN NULL
+  WHEN c_acctbal > 5000 THEN 'AAAAAAAAAAAAAAAAAAAAAA==' ELSE c_name END AS name, CASE c_mktsegment WHEN 'BUILDING' THEN 'open' ELSE c_mktsegment END AS segment,
   c_mktsegment = 'BUILDING' AS clear FROM customer""",
 )
 
@@ -821,8 +868,8 @@ register(
     lambda wh: ledger.to_ledger(
         wh["case_cube"].withColumn("select_id", c("case_id").cast("long")).withColumn("batch_id", F.lit(1)),
         {"client_name": c("payer_name"), "first_voucher_code": c("voucher_code")},
-    ).drop("reached_patient_flag", "opt_out"),
-    """SELECT cast(case_id AS bigint) AS select_id, cast(1 AS bigint) AS batch_id, case_id, payer_name AS client_name,
+    ).withColumns({k: c(k).cast("int") for k in ("reached_patient_flag", "opt_out")}),
+    """SELECT cast(NULL AS int) AS reached_patient_flag, cast(NULL AS int) AS opt_out, cast(case_id AS bigint) AS select_id, cast(1 AS bigint) AS batch_id, case_id, payer_name AS client_name,
   voucher_code AS first_voucher_code, cast(patient_id AS string) AS patient_id, 0 AS control_flag,
   1 AS count_cases_patient, cast(NULL AS date) AS reached_date, cast(NULL AS string) AS refusal_reason,
   cast(NULL AS string) AS new_case_id, cast(NULL AS string) AS app_state, cast(NULL AS string) AS korb,

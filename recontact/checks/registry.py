@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recontact.checks.sample import sample_warehouse, with_views
 from recontact.sources.warehouse import Warehouse
@@ -22,24 +23,9 @@ def register(name: str, run: Callable[[Warehouse], DataFrame], sql: str | None =
         ORACLE[name] = with_views(sql)
 
 
-# Ledger columns that carry values; the other five are typed nulls in every selection.
-LEDGER_COLUMNS = [
-    "select_id",
-    "batch_id",
-    "case_id",
-    "client_name",
-    "first_voucher_code",
-    "patient_id",
-    "control_flag",
-    "count_cases_patient",
-    "app_state",
-    "korb",
-    "preferred_language",
-]
-
-
 def ledger_columns(df: DataFrame) -> DataFrame:
-    return df.select(*LEDGER_COLUMNS)
+    """All 16 ledger columns; the two decimals as whole numbers, as both engines print them alike."""
+    return df.withColumns({c: F.col(c).cast("int") for c in ("reached_patient_flag", "opt_out")})
 
 
 def numbered_sql(
@@ -62,5 +48,7 @@ SELECT (SELECT coalesce(max(select_id), 0) FROM cam_select) + row_number() OVER
   (SELECT coalesce(max(batch_id), 0) FROM cam_select) + {new_batch} AS batch_id, case_id,
   {client} AS client_name, {voucher} AS first_voucher_code, cast({patient} AS string) AS patient_id,
   0 AS control_flag, 1 AS count_cases_patient, cast({app_state} AS string) AS app_state,
-  cast({korb} AS string) AS korb, cast({language} AS string) AS preferred_language
+  cast({korb} AS string) AS korb, cast({language} AS string) AS preferred_language,
+  cast(NULL AS int) AS reached_patient_flag, cast(NULL AS date) AS reached_date, cast(NULL AS string) AS refusal_reason,
+  cast(NULL AS int) AS opt_out, cast(NULL AS string) AS new_case_id
 FROM {chosen}"""

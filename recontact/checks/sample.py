@@ -51,7 +51,7 @@ SELECT o_orderkey AS id, cast(o_orderkey AS string) AS case_id, o_custkey, o_ord
       WHEN 'O' THEN 'keine weitere befragung gewünscht' ELSE 'Patient mehrfach nicht erreicht' END
     ELSE NULL END AS completion_reason,
   CASE o_orderstatus WHEN 'F' THEN 'online_marketing' WHEN 'O' THEN 'partner_funnel'
-    ELSE CASE WHEN o_totalprice > 400000 THEN 'proactive_steering' ELSE 'hotline' END
+    ELSE CASE WHEN o_totalprice > 400000 THEN 'proactive_steering' WHEN o_totalprice > 350000 THEN 'staff_program' ELSE 'hotline' END
     END AS admission_channel,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'second_opinion_before_surgery' WHEN '2-HIGH' THEN 'surgery'
     WHEN '3-MEDIUM' THEN 'surgery' WHEN '4-NOT SPECIFIED' THEN 'conservative' ELSE 'other'
@@ -141,7 +141,7 @@ BATCH_OF_LINE = f"(year(l_shipdate) * 12 + month(l_shipdate)) * 100 + {CAM_OF_LI
 
 VIEWS["cam_select"] = f"""
 SELECT cast(l_orderkey * 10 + l_linenumber AS bigint) AS select_id, cast({BATCH_OF_LINE} AS bigint) AS batch_id,
-  CASE WHEN l_linenumber = 2 AND l_quantity = 1 AND l_shipdate < cast('1997-01-01' AS date) THEN NULL ELSE cast(l_orderkey AS string) END AS case_id
+  CASE WHEN l_linenumber = 1 AND l_quantity = 1 AND l_shipdate > cast('2000-06-01' AS date) THEN NULL ELSE cast(l_orderkey AS string) END AS case_id
 FROM lineitem WHERE l_returnflag = 'R'"""
 
 VIEWS["cam_batch"] = f"""
@@ -187,6 +187,8 @@ SELECT id, case_id, case_id || ':' || product AS service_id,
   CASE WHEN o_totalprice > 485000 THEN 'a Vip case' ELSE NULL END AS description,
   CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE cast(cast(floor(o_totalprice) AS bigint) % 11 AS int) END
     AS provider_nps,
+  CASE WHEN o_totalprice > 230000 AND o_totalprice < 260000 THEN true
+    WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE false END AS exclude_from_reporting,
   CASE WHEN o_totalprice > 495000 THEN o_orderdate ELSE NULL END AS deleted_at
 FROM case_wide LEFT JOIN (SELECT l_orderkey, {array} AS voucher_ids FROM lineitem GROUP BY l_orderkey)
   AS lines ON l_orderkey = id"""
@@ -237,7 +239,7 @@ SELECT p_partkey AS id,
   CASE WHEN p_type = 'PROMO' THEN 'VRTC-' || p_brand
     WHEN p_type = 'SMALL' AND p_size < 10 THEN 'X-BDTC' WHEN p_type = 'SMALL' AND p_size < 20 THEN 'NUBU-7777'
     ELSE p_brand || '-' || cast(p_size AS string) END AS value,
-  CASE WHEN p_size < 5 THEN 'VIP ROT' WHEN p_size < 8 THEN 'VIP GELB' WHEN p_type = 'LARGE' THEN 'DAK'
+  CASE WHEN p_size = 46 THEN 'Own Staff' WHEN p_size < 5 THEN 'VIP ROT' WHEN p_size < 8 THEN 'VIP GELB' WHEN p_type = 'LARGE' THEN 'DAK'
     WHEN p_size > 47 THEN 'AXA Haftpflichtversicherung' ELSE 'Client ' || p_type END AS client_name
 FROM part"""
 
@@ -340,6 +342,12 @@ SELECT case_id, c_name AS first_name, CASE WHEN o_totalprice < 55000 THEN NULL E
   email, country_code, gender, CASE o_orderstatus WHEN 'P' THEN 'Dr.' ELSE NULL END AS title, r_name AS county
 FROM case_wide"""
 
+VIEWS["primary_insurance_selections"] = """
+SELECT case_id, o_custkey % 25 AS insurance_company_id FROM case_wide WHERE o_totalprice > 100000"""
+
+VIEWS["insurance_companies"] = """
+SELECT n_nationkey AS id, CASE n_nationkey WHEN 3 THEN 'BIG direkt gesund' ELSE n_name END AS title FROM nation"""
+
 VIEWS["patient_ids"] = "SELECT case_id, patient_id FROM case_wide"
 
 VIEWS["client_groups"] = """

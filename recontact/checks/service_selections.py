@@ -51,7 +51,7 @@ waiting AS (
   SELECT x.*, l.title, k.class, l.created_at, {NOW} - cast(l.created_at AS date) AS age
   FROM live AS x JOIN links AS l ON l.case_id = x.case_id AND l.title LIKE '%Nachbefragung%'
     LEFT JOIN classes AS k ON k.case_id = x.case_id
-  WHERE {payers} AND x.service_id LIKE '%:MSS%' AND {UNANSWERED} AND {rules}),
+  WHERE {payers} AND x.case_id NOT IN (SELECT case_id FROM suppression) AND x.service_id LIKE '%:MSS%' AND {UNANSWERED} AND {rules}),
 chosen AS (
   SELECT * FROM waiting
   WHERE ((title LIKE '%PREM%' AND class = 'PREM') OR (title LIKE '%Status%' AND class = 'SS')) AND {age_rule}
@@ -100,10 +100,11 @@ register(
 )
 register(
     "ch_survey_list",
-    lambda wh: plans.ch_survey_list(wh, AS_OF, payers=["%NATION%"]).drop("parameter", "card_created", "korb"),
+    lambda wh: plans.ch_survey_list(wh, AS_OF, payers=["%NATION%"]),
     f"""WITH {mss_ctes("x.payer LIKE '%NATION%'", f"{NOT_ENDED} AND {MSS_TOPIC}", "age BETWEEN 16 AND 21")}
 SELECT case_id, payer AS voucher_client_name, voucher_code AS first_voucher_code, {STATE} AS app_state,
-  cast(created_at AS date) AS app_date, preferred_language FROM chosen""",
+  cast(created_at AS date) AS app_date, 'Tel. Nachbefragung' AS parameter, {NOW} AS card_created,
+  'waiting_q3' AS korb, preferred_language FROM chosen""",
 )
 
 # C17: Swiss postal cases.
@@ -129,9 +130,9 @@ chosen AS (SELECT DISTINCT case_id, payer, voucher_code, preferred_language, app
 )
 
 # Calls by payer, both products.
-MOVED = ("follow-up board", "inbox", "1999-01-01 00:00:00", "1999-12-31 00:00:00")
+MOVED = ("follow-up board", "inbox", "1999-01-01 00:00:00", "1999-12-31 00:00:00", "1")
 NOT_MOVED = """x.case_id NOT IN (SELECT case_id FROM card_log WHERE action_type = 'moveCardToBoard'
-      AND board = 'follow-up board' AND list = 'inbox'
+      AND board = 'follow-up board' AND list = 'inbox' AND case_id LIKE '1%'
       AND card_create_timestamp BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '1999-12-31')"""
 register(
     "call_services_mss",
@@ -155,7 +156,7 @@ finals AS (SELECT case_id, max(event_time) AS final_at FROM workflow_events
 classes AS (SELECT case_id, CASE WHEN bool_or(title LIKE '%Allrounder%') THEN 'Allrounder'
     WHEN bool_or(title LIKE '%Reha%') THEN 'Reha' END AS class FROM links GROUP BY case_id),
 waiting AS (
-  SELECT x.*, k.class, cast(t.final_at AS date) AS final_day,
+  SELECT x.*, k.class, t.final_at,
     CASE WHEN l.title LIKE '%PMS%' THEN {NOW} - cast(l.created_at AS date)
       WHEN l.title NOT LIKE '%PMS%' THEN {NOW} - cast(t.final_at AS date) END AS age
   FROM live AS x LEFT JOIN links AS l ON l.case_id = x.case_id LEFT JOIN finals AS t ON t.case_id = x.case_id
@@ -165,7 +166,7 @@ waiting AS (
     AND (l.title LIKE '%Nachbefragung%' OR x.channel_recommendation NOT LIKE 'email')),
 pms AS (
   SELECT * FROM waiting WHERE age > 16
-    AND final_day BETWEEN {NOW} - INTERVAL {months} MONTH AND {NOW} - INTERVAL 1 MONTH
+    AND final_at BETWEEN {NOW} - INTERVAL {months} MONTH AND {NOW} - INTERVAL 1 MONTH
   QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY age DESC NULLS LAST, service_id, class) = 1)"""
 
 
@@ -173,7 +174,7 @@ register(
     "call_services_pms",
     lambda wh: ledger_columns(plans.call_services_pms(wh, AS_OF, "%NATION%", moved=MOVED)),
     numbered_sql(
-        pms_ctes(f"x.payer LIKE '%NATION%' AND {NOT_MOVED}", "1, 2, 3, 8", 12),
+        pms_ctes(f"x.payer LIKE '%NATION%' AND {NOT_MOVED} AND x.case_id NOT IN (SELECT case_id FROM suppression)", "1, 2, 3, 8", 12),
         "pms", "payer", "voucher_code", language="preferred_language",
     ),
 )
@@ -205,18 +206,19 @@ register(
     lambda wh: plans.partial_feedback(wh),
     """
 WITH finals AS (
-  SELECT DISTINCT s.case_id, s.id, s.product, p.name AS payer_brand,
+  SELECT DISTINCT s.case_id, s.product, p.name AS payer_brand,
     cast(strptime(json_extract_string(e.event_body, '$.properties.date'), '%d-%m-%Y') AS date) AS results_date
   FROM services AS s JOIN workflow_events AS e ON e.case_id = s.case_id AND e.event_type LIKE '%DID_SEND_FINAL%'
     LEFT JOIN contracts AS c ON c.id = s.contract_id LEFT JOIN payers AS p ON p.id = c.payer_id
   WHERE s.deleted_at IS NULL AND s.product LIKE '%MSS%'
     AND ((s.product = 'MSS' AND json_extract_string(e.event_body, '$.properties.product') LIKE 'Spezi%')
-      OR (s.product LIKE 'MSS_%' AND json_extract_string(e.event_body, '$.properties.product') LIKE 'Weit%')))
+      OR (s.product LIKE 'MSS_%' AND json_extract_string(e.event_body, '$.properties.product') LIKE 'Weit%'))),
+scored AS (SELECT s.case_id, b.nps FROM feedbacks AS b JOIN services AS s ON s.id = b.service_id)
 SELECT f.case_id, f.product, f.payer_brand, f.results_date, cast(NULL AS string) AS service_score_flag,
   cast(NULL AS string) AS medic_score_flag, o.flag AS opinion_flag
 FROM finals AS f LEFT JOIN (SELECT DISTINCT case_id, CASE WHEN therapy_decision IS NULL THEN NULL ELSE 'yes' END AS flag
   FROM opinions) AS o USING (case_id)
-WHERE (f.id NOT IN (SELECT service_id FROM feedbacks) OR f.id IN (SELECT service_id FROM feedbacks WHERE nps IS NULL))
+WHERE (f.case_id NOT IN (SELECT case_id FROM scored) OR f.case_id IN (SELECT case_id FROM scored WHERE nps IS NULL))
   AND f.case_id NOT IN (SELECT case_id FROM visits WHERE visit_nps IS NOT NULL)""",
 )
 

@@ -20,6 +20,7 @@ ACCEPTOR_SECOND_SURVEY = "bd_second_status_survey"
 CATEGORY_CALL = "Anrufaktion"
 CATEGORY_WEEKLY = "Regelprozess"
 OPEN_END = "2999-12-31"
+CAMPAIGN_DESCRIPTION = "extra call campaign for our follow ups - {}"
 
 # Review requests.
 REVIEW_MAIL_DOMAINS = ("@gmail.com", "@googlemail.com")
@@ -43,7 +44,6 @@ VIP_VOUCHER = "VRTC"
 MAIL_EXCLUDED_PAYERS = (
     "Allianz Unfall/Haftpflicht",
     "Allianz Private Krankenversicherungs-AG",
-    "Frau Hauck, Allianz Global",
     "BIG direkt gesund",
     "Generali Versicherung AG",
     "Generali Health Solutions GmbH (GHS) (Unternehmenskunden)",
@@ -184,6 +184,8 @@ SWISS_SURVEY_PAYERS = (
     "Agrisano%",
     "KPT%",
 )
+# The older card list.
+SWISS_LIST_PAYERS = ("%ÖKK%", "%EGK%", "Sanitas%", "%Helsana%", "%Atupri%")
 SWISS_POSTAL_PAYERS = SWISS_SURVEY_PAYERS + ("%Assura%", "%Visana%")
 PRODUCT_EVENTS = (
     ("MSS", "Spezi%"),

@@ -13,13 +13,18 @@ def _part(keyring: DataFrame, name: str) -> Column:
 
 
 def decrypt_columns(
-    df: DataFrame, columns: Iterable[str], keyring: DataFrame, clear_when: Column | None = None
+    df: DataFrame,
+    columns: Iterable[str],
+    keyring: DataFrame,
+    clear_when: Column | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Replace base64 AES-CBC texts by their clear text.
 
     ``keyring`` is a one-row frame with binary columns ``key`` and ``iv`` that the caller loads from
     a secret store. It enters as a scalar subquery, so the key shows neither in plan nor in UI.
-    Null, blank and already clear values (an ``@`` in them, or ``clear_when``) pass unchanged.
+    Null, blank and already clear values (an ``@`` in them, or ``clear_when``) pass unchanged. So does
+    a text that does not open; with ``strict`` it fails the job.
     """
     key, iv = _part(keyring, "key"), _part(keyring, "iv")
     out = {}
@@ -28,8 +33,14 @@ def decrypt_columns(
         clear = (col == "") | F.contains(col, F.lit("@"))
         if clear_when is not None:
             clear = clear | F.coalesce(clear_when, F.lit(False))
-        plain = F.aes_decrypt(F.concat(iv, F.unbase64(col)), key, F.lit("CBC"), F.lit("PKCS"))
-        out[name] = F.when(col.isNull() | clear, col).otherwise(plain.cast("string"))
+        if strict:
+            opened = F.aes_decrypt(F.concat(iv, F.unbase64(col)), key, F.lit("CBC"), F.lit("PKCS")).cast("string")
+        else:
+            sealed = F.concat(iv, F.try_to_binary(col, F.lit("base64")))
+            opened = F.try_aes_decrypt(sealed, key, F.lit("CBC"), F.lit("PKCS"))
+            # A wrong text can open to bytes that are no text.
+            opened = F.coalesce(F.when(F.is_valid_utf8(opened.cast("string")), opened.cast("string")), col)
+        out[name] = F.when(col.isNull() | clear, col).otherwise(opened)
     return df.withColumns(out)
 
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recontact.fixed_values import CATEGORY_CALL, OPEN_END
+from recontact.fixed_values import CAMPAIGN_DESCRIPTION, CATEGORY_CALL, OPEN_END
 from recontact.sources.schemas import CAM_BATCH, CAM_CAM, CAM_SELECT, CAMPAIGN_TABLES
-from recontact.sources.storage import written_once
+
+
+# Hex digits that name a numbering bucket: 4096 buckets.
+BUCKET_DIGITS = 3
 
 
 def max_id(df: DataFrame, col: str) -> Column:
@@ -18,22 +23,24 @@ def max_id(df: DataFrame, col: str) -> Column:
     return df.agg(F.coalesce(F.max(col), F.lit(0)).cast("long")).scalar()
 
 
-def assign_ids(df: DataFrame, ledger: DataFrame, key: Sequence[str], batch: str = "new") -> DataFrame:
+def assign_ids(
+    df: DataFrame, ledger: DataFrame, key: Sequence[str], batch: str = "new", digits: int = BUCKET_DIGITS
+) -> DataFrame:
     """Dense ``select_id`` above the ledger's maximum, and the ``batch_id``.
 
-    The reference order is open, so the order is chosen for scale: 4096 even buckets by the MD5 of
-    the unique key, then the key. Buckets are numbered in parallel and shifted by the running bucket
-    sizes, at most 4096 rows. Recomputed tasks give the same numbers. The input is read twice, for
-    sizes and for rows; ``numbered_rows`` writes it once before.
+    The reference order is open, so the order is chosen for scale: 16^digits even buckets by the MD5
+    of the unique key, then the key. Buckets are numbered in parallel and shifted by the running
+    bucket sizes; ``digits`` grows with the selection, and the sizes stay small beside it. Recomputed
+    tasks give the same numbers. Nothing is written here; the input is read for sizes and for rows.
     """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", *key)), 1, 3))
+    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", *key)), 1, digits))
     order = [F.col(k).asc_nulls_last() for k in key]
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     shifts = sizes.select(
         "_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_shift")
     )
     step = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    numbered = bucketed.withColumn("_step", step).join(F.broadcast(shifts), "_bucket")
+    numbered = bucketed.withColumn("_step", step).join(shifts, "_bucket")
     new = 1 if batch == "new" else 0
     return numbered.withColumns(
         {
@@ -73,10 +80,9 @@ def numbered_rows(
     key: Sequence[str] = ("case_id",),
     batch: str = "new",
 ) -> DataFrame:
-    """Chosen rows as ledger rows with their ids; the selection runs once and is written narrow."""
+    """Chosen rows as ledger rows with their ids. Building them runs and writes nothing."""
     rows = to_ledger(df, mapping, keep=key).drop("select_id", "batch_id")
-    numbered = assign_ids(written_once(rows, "chosen"), cam_select, key, batch)
-    return numbered.select(*CAM_SELECT.names)
+    return assign_ids(rows, cam_select, key, batch).select(*CAM_SELECT.names)
 
 
 def as_ledger_width(df: DataFrame) -> DataFrame:
@@ -134,7 +140,7 @@ def register_campaign(
         "cam_id": max_id(cam_cam, "cam_id") + F.lit(1),
         "cam_channel": F.lit(channel),
         "cam_name": F.lit(name),
-        "cam_description": F.lit(f"extra call campaign for our follow ups - {name}"),
+        "cam_description": F.lit(CAMPAIGN_DESCRIPTION.format(name)),
         "cam_audience": F.lit(audience),
         "cam_type": F.lit(kind),
         "valid_from": F.lit(valid_from),
@@ -144,6 +150,17 @@ def register_campaign(
     return spark.range(1).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in CAM_CAM.fields])
 
 
+def append_campaign(spark: SparkSession, root: str, name: str, **fields) -> DataFrame:
+    """Write the registry row of a new campaign; a name that is registered already is refused."""
+    path = f"{root}/cam_cam"
+    registry = spark.read.schema(CAM_CAM).parquet(path)
+    if not registry.filter(F.col("cam_name") == name).isEmpty():
+        raise ValueError(f"campaign {name!r} is registered already")
+    with staged(register_campaign(spark, registry, name, **fields), root) as row:
+        row.write.mode("append").parquet(path)
+    return spark.read.schema(CAM_CAM).parquet(path)
+
+
 def list_campaigns(cam_cam: DataFrame, order: str = "cam_name") -> DataFrame:
     return cam_cam.orderBy(F.col(order).asc_nulls_last(), F.col("cam_id").asc_nulls_last())
 
@@ -160,6 +177,18 @@ def current_week_guard(cam_batch: DataFrame, cam_id: int, as_of: date) -> None:
         raise RuntimeError(f"campaign {cam_id} already ran in the week of {as_of}")
 
 
+@contextmanager
+def staged(rows: DataFrame, root: str) -> Iterator[DataFrame]:
+    """Rows computed once into a folder below ``root``, which all executors see; gone afterwards."""
+    spark, path = rows.sparkSession, f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def commit(
     spark: SparkSession,
     chosen: DataFrame,
@@ -169,17 +198,22 @@ def commit(
     as_of: date,
     weekly: bool = False,
 ) -> DataFrame | None:
-    """Write a selection: ledger rows first, then the batch row. Returns the written rows.
+    """Write a selection: ledger rows first, then the batch row. Returns the ledger rows of the batch.
 
     ``chosen`` are ledger rows of a selection. They are written aside before the append, because
-    their ids read the very ledger that grows. One writer per ledger is assumed, as ids are read as
-    maxima. Without rows nothing is written.
+    their ids read the very ledger that grows. Rows for a batch that is open already get no second
+    batch row. One writer per ledger is assumed, as ids are read as maxima. Without rows nothing is
+    written.
     """
     batches = spark.read.schema(CAM_BATCH).parquet(f"{root}/cam_batch")
     if weekly:
         current_week_guard(batches, cam_id, as_of)
-    rows = written_once(chosen, "commit")
-    if not append_select(rows, f"{root}/cam_select"):
-        return None
-    open_batch(spark, rows, cam_id, acceptor, as_of).write.mode("append").parquet(f"{root}/cam_batch")
-    return rows
+    with staged(chosen, root) as rows:
+        if not append_select(rows, f"{root}/cam_select"):
+            return None
+        row = open_batch(spark, rows, cam_id, acceptor, as_of)
+        batch_id = row.first().batch_id
+        if batches.filter(F.col("batch_id") == batch_id).isEmpty():
+            row.write.mode("append").parquet(f"{root}/cam_batch")
+    ledger = spark.read.schema(CAM_SELECT).parquet(f"{root}/cam_select")
+    return ledger.filter(F.col("batch_id") == batch_id)

@@ -16,9 +16,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPREAD = 64
-
-
 def exclude_keys(
     df: DataFrame, exclusion: DataFrame, key: str, exclusion_key: str | None = None, nulls: str = "guarded"
 ) -> DataFrame:
@@ -41,21 +38,20 @@ def exclude_any(df: DataFrame, exclusions: Sequence[DataFrame], key: str, nulls:
     if nulls == "admit":
         return _admit_null_keys(df, known, key)
     if nulls == "sql":
-        null_keys = keys.filter("_x IS NULL").limit(1).agg(F.count(F.lit(1))).scalar()
-        any_keys = keys.limit(1).agg(F.count(F.lit(1))).scalar()
-        kept = df.filter((null_keys == 0) & (F.col(key).isNotNull() | (any_keys == 0)))
+        # One aggregate answers both questions, so the sets are read once for it and once to join.
+        seen = keys.agg(F.struct(F.count_if(F.col("_x").isNull()).alias("nulls"), F.count(F.lit(1)).alias("keys"))).scalar()
+        kept = df.filter((seen["nulls"] == 0) & (F.col(key).isNotNull() | (seen["keys"] == 0)))
         return _admit_null_keys(kept, known, key)
     raise ValueError(f"unknown null rule {nulls!r}")
 
 
 def _admit_null_keys(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Anti join in which rows without key pass. They would all hash to one task, so they carry a
-    second join key that spreads them; the exclusion side has 0 there, like every row with a key."""
-    no_spread = F.pmod(F.xxhash64(F.col(key)), F.lit(1))
-    spread = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SPREAD)) + 1
-    ).otherwise(no_spread)
-    right = known.withColumn("_s", F.pmod(F.xxhash64("_x"), F.lit(1))).distinct()
+    second join key, the hash of the row, that spreads them over as many tasks as there are; the
+    exclusion side has 0 there, like every row with a key."""
+    no_spread = F.xxhash64(F.col(key)) * F.lit(0)
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(no_spread)
+    right = known.withColumn("_s", F.xxhash64("_x") * F.lit(0)).distinct()
     left = df.withColumn("_spread", spread)
     on = (F.col(key) == F.col("_x")) & (F.col("_spread") == F.col("_s"))
     return left.join(right, on, "left_anti").drop("_spread")
@@ -66,7 +62,7 @@ def campaign_ledger(cam_select: DataFrame, cam_batch: DataFrame, cam_cam: DataFr
 
     The small tables meet first, so the ledger is joined once.
     """
-    batches = cam_batch.select("batch_id", "cam_id", "batch_selection_date")
+    batches = cam_batch.select("batch_id", "cam_id", "batch_selection_date").dropDuplicates(["batch_id"])
     if cam_cam is not None:
         batches = batches.join(cam_cam.select("cam_id", "cam_category"), "cam_id", "left")
     return cam_select.select("case_id", "batch_id").join(batches, "batch_id", "left")

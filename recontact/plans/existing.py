@@ -1,4 +1,8 @@
-"""Mail to existing customers."""
+"""Mail to existing customers.
+
+``excluded_channels`` and ``staff_patterns`` name the staff's own channel and clients, which only the
+caller knows, so they have no default.
+"""
 
 from __future__ import annotations
 
@@ -114,7 +118,8 @@ def existing_customer_cube(
     as_of: date,
     first_day: date,
     last_day: date,
-    excluded_channels: Sequence[str] = fv.CUBE_EXCLUDED_CHANNELS,
+    *,
+    excluded_channels: Sequence[str],
     scores_required: bool = False,
     use_ledger: bool = True,
 ) -> DataFrame:
@@ -143,7 +148,8 @@ def existing_customer_two_system(
     keyring: DataFrame,
     first_day: date,
     last_day: date,
-    excluded_channels: Sequence[str] = fv.CUBE_EXCLUDED_CHANNELS,
+    *,
+    excluded_channels: Sequence[str],
 ) -> DataFrame:
     """The scored variant with a contact in either system; the inquiry system's columns are
     decrypted after the selection, so only chosen rows are opened."""
@@ -165,7 +171,7 @@ def existing_customer_two_system(
         *CUSTOMER_COLUMNS,
         *[f"{s}_{c}" for s in ("case", "inquiry") for c in ("first_name", "last_name", "email")],
     )
-    return decrypt_columns(out, ["inquiry_first_name", "inquiry_last_name", "inquiry_email"], keyring)
+    return decrypt_columns(out, ["inquiry_first_name", "inquiry_last_name", "inquiry_email"], keyring, strict=True)
 
 
 # Columns of the union of both case systems; each side fills what it lacks with typed nulls.
@@ -204,11 +210,16 @@ def _aligned(df: DataFrame) -> DataFrame:
     )
 
 
-def inquiry_cases(wh: Warehouse) -> DataFrame:
-    """Cases of the inquiry system in the unified shape."""
+def inquiry_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> DataFrame:
+    """Cases of the inquiry system in the unified shape, sent within ``days``; the last day counts until
+    its first moment."""
     entries = wh["contact_entries"]
     unhappy = entries.filter(F.col("quality").isin(*fv.DETRACTOR_SCORES) & (F.col("contact_type") != "Q1"))
-    inquiries = exclude_keys(wh["inquiries"], unhappy, "id", "inquiry_id", nulls="sql")
+    sent = wh["inquiries"]
+    if days is not None:
+        first, last = (d.cast("timestamp_ntz") for d in days)
+        sent = sent.filter(F.col("results_sent_at").cast("timestamp_ntz").between(first, last))
+    inquiries = exclude_keys(sent, unhappy, "id", "inquiry_id", nulls="sql")
     vouchers = wh["voucher_dim"]
     main = wh["insurance_data"].filter(is_true(F.col("main")))
     insurance = main.select(F.col("inquiry_id").alias("id"), "insurance").dropDuplicates()
@@ -245,6 +256,7 @@ def inquiry_cases(wh: Warehouse) -> DataFrame:
                 "service_id": concat_skip_nulls("case_id", F.lit(":MSS")),
                 "product": F.lit("MSS"),
                 "result_date": F.col("results_sent_at"),
+                "exclude": F.col("exclude_from_reporting"),
             }
         )
     )
@@ -290,6 +302,9 @@ def service_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> D
         (json_text(marker, "$.test_case") == "true") | json_text(marker, "$.deleted").isNotNull(), "true"
     ).otherwise("false")
     markers = wh["case_markers"].select("case_id", excluded.alias("exclude"))
+    companies = wh["insurance_companies"].select(F.col("id").alias("insurance_company_id"), F.col("title").alias("insurance"))
+    insurances = wh["primary_insurance_selections"].join(companies, "insurance_company_id")
+    insurances = insurances.groupBy("case_id").agg(F.min("insurance").alias("insurance"))
     people = wh["patient_facts"].select(
         "case_id",
         "gender",
@@ -312,6 +327,7 @@ def service_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> D
         .join(scores, "id", "left")
         .join(closed, "service_id", "left")
         .join(markers, "case_id", "left")
+        .join(insurances, "case_id", "left")
     )
     return _aligned(
         cases.drop("product")
@@ -382,8 +398,8 @@ def existing_customer_unified(
     ``'additional'`` guards it by itself. With a keyring the inquiry system's columns are opened.
     """
     days = before(as_of, months=48), before(as_of, months=24)
-    recent = inquiry_cases(wh).filter(F.col("result_date").between(*days))
-    cases = recent.unionByName(service_cases(wh, days))
+    cases = inquiry_cases(wh, days).unionByName(service_cases(wh, days))
+    cases = suppression_list(cases, wh["suppression"])
     kept = _client_roles(cases, wh["client_groups"]).filter(all_of(_unified_rule(anonymised, reason_guard)))
     earlier = [fv.CAM_EXISTING_CUSTOMER_CALL, fv.CAM_EXISTING_CUSTOMER_MAIL]
     old = F.col("batch_selection_date") < before(as_of, weeks=4)
@@ -411,10 +427,10 @@ def existing_customer_unified(
     )
     if keyring is None:
         return out
-    return decrypt_columns(out, ["title", "first_name", "last_name", "email"], keyring, F.col("system") == "service")
+    return decrypt_columns(out, ["title", "first_name", "last_name", "email"], keyring, F.col("system") == "service", strict=True)
 
 
-def existing_customer_simple_a(wh: Warehouse, staff_patterns: Sequence[str] = ()) -> DataFrame:
+def existing_customer_simple_a(wh: Warehouse, staff_patterns: Sequence[str]) -> DataFrame:
     """Case-system list by product, payer brand and voucher; one row per case and score."""
     contracts = wh["contracts"].select(F.col("id").alias("contract_id"), "payer_id")
     payers = wh["payers"].select(F.col("id").alias("payer_id"), F.col("name").alias("payer_brand"))
@@ -434,7 +450,7 @@ def existing_customer_simple_a(wh: Warehouse, staff_patterns: Sequence[str] = ()
     )
 
 
-def existing_customer_simple_b(wh: Warehouse, staff_patterns: Sequence[str] = ()) -> DataFrame:
+def existing_customer_simple_b(wh: Warehouse, staff_patterns: Sequence[str]) -> DataFrame:
     """Inquiry-system list by client, voucher, country and score."""
     vouchers = wh["voucher_dim"].select(
         F.col("id").alias("voucher_id"),

@@ -1,4 +1,8 @@
-"""Telephone and postal follow-up of the inquiry system."""
+"""Telephone and postal follow-up of the inquiry system.
+
+``excluded_clients`` names the clients that are never called: ``WEEKLY_EXCLUDED_CLIENTS`` and the staff's
+own, which only the caller knows, so it has no default.
+"""
 
 from __future__ import annotations
 
@@ -19,12 +23,11 @@ from recontact.functions.dates import (
 from recontact.functions.nested import json_list_empty
 from recontact.functions.text import any_of, flag, null_or
 from recontact.operators.dedupe import first_per_key
-from recontact.operators.ledger import numbered_rows
-from recontact.operators.suppress import contacts, exclude_any, exclude_keys, suppress
+from recontact.operators.ledger import commit, numbered_rows, staged
+from recontact.operators.suppress import contacts, exclude_any, exclude_keys, suppress, suppression_list
 from recontact.operators.vouchers import allowed_voucher, first_voucher, head_voucher
 from recontact.plans.common import ledger_of
 from recontact.sources.history import not_deleted
-from recontact.sources.storage import written_once
 from recontact.sources.warehouse import Warehouse
 
 
@@ -116,7 +119,8 @@ def weekly_calls(
     wh: Warehouse,
     as_of: date,
     mode: str = "parity",
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Open second-opinion and surgery cases whose call is due this week."""
     return _weekly_candidates(wh, excluded_clients).filter(weekly_due(as_of, mode))
@@ -214,11 +218,12 @@ def weekly_de_chosen(
     wh: Warehouse,
     as_of: date,
     mode: str = "parity",
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Calls and postal cases of the week, one row per case."""
     none, post = F.lit(None).cast("string").alias("post"), F.lit("post").alias("post")
-    calls = weekly_calls(wh, as_of, mode, excluded_clients).select(*LEDGER_INPUT, none)
+    calls = weekly_calls(wh, as_of, mode, excluded_clients=excluded_clients).select(*LEDGER_INPUT, none)
     postal = postal_cases(wh, as_of, mode).select(*LEDGER_INPUT, post)
     return first_per_key(calls.unionByName(postal), ["case_id"], [F.col("post").asc_nulls_first()])
 
@@ -227,12 +232,14 @@ def weekly_de(wh: Warehouse, as_of: date, mode: str = "parity", **rules) -> Data
     return inquiry_rows(weekly_de_chosen(wh, as_of, mode, **rules), wh, language="de")
 
 
-def weekly_de_cases(wh: Warehouse, as_of: date, mode: str = "parity", **rules) -> DataFrame:
-    """The week's cases with what their cards need from the cube.
+def weekly_de_cases(
+    wh: Warehouse, as_of: date, mode: str = "parity", chosen: DataFrame | None = None, **rules
+) -> DataFrame:
+    """The week's cases with what their cards need from the cube, which the cases filter first.
 
-    The few chosen cases are written once and filter the cube before its rows are compared.
+    ``chosen`` are cases that were selected before, so ledger and cards of a run agree.
     """
-    chosen = written_once(weekly_de_chosen(wh, as_of, mode, **rules), "weekly")
+    chosen = weekly_de_chosen(wh, as_of, mode, **rules) if chosen is None else chosen
     cube = wh["case_cube"].filter(F.col("product") == "MSS")
     cube = cube.select("case_id", "admission_channel", "inquiry_type", "service_id")
     cube = cube.join(chosen.select("case_id"), "case_id", "left_semi")
@@ -241,6 +248,22 @@ def weekly_de_cases(wh: Warehouse, as_of: date, mode: str = "parity", **rules) -
     return chosen.join(cube, "case_id", "left").withColumn("om_flag", online)
 
 
+def weekly_de_run(wh: Warehouse, root: str, as_of: date, mode: str = "parity", **rules) -> tuple[DataFrame, DataFrame] | None:
+    """One weekly run: the cases are selected once, below ``root``; they give the ledger rows, the
+    batch row and the cards' cases. Returns the written ledger rows and those cases, or None without
+    cases. A second run in the week is refused."""
+    with staged(weekly_de_chosen(wh, as_of, mode, **rules), root) as chosen:
+        rows = inquiry_rows(chosen, wh, language="de")
+        written = commit(wh.spark, rows, root, fv.CAM_WEEKLY_DE, fv.ACCEPTOR_PHONE, as_of, weekly=True)
+        if written is None:
+            return None
+        cards = weekly_de_cases(wh, as_of, mode, chosen)
+        # The cards outlive the staged cases as a table beside the ledger, one folder a batch.
+        path = f"{root}/weekly_cards/batch_id={written.first().batch_id}"
+        cards.write.parquet(path)
+        return written, wh.spark.read.schema(cards.schema).parquet(path)
+
+
 def weekly_de_postal(wh: Warehouse, as_of: date, mode: str = "parity") -> DataFrame:
     """Postal part alone, added to the batch that is open already."""
     return inquiry_rows(postal_cases(wh, as_of, mode), wh, batch="append", language="de")
@@ -275,7 +298,8 @@ def telephone_follow_up(
     wh: Warehouse,
     as_of: date,
     mode: str = "parity",
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Earlier weekly form over all vouchers of a case: the first allowed voucher counts."""
     keep = allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS)
@@ -335,7 +359,8 @@ def second_status_survey(
     as_of: date,
     mode: str = "parity",
     nulls: str = "sql",
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Second status survey five weeks after the first result."""
     cases = with_result_date(_second_survey_cases(wh, nulls), wh)
@@ -351,7 +376,8 @@ def reminder_status_survey(
     as_of: date,
     mode: str = "parity",
     nulls: str = "sql",
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Earlier form of the second survey: first allowed voucher, five weeks after sending."""
     keep = allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS)
@@ -363,7 +389,8 @@ def second_try_weekly(
     wh: Warehouse,
     as_of: date,
     nulls: str = "sql",
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Second call for cases of the last six months, nine weeks after their appointment."""
     main, additional = F.col("completion_reason_main"), F.col("completion_reason_additional")
@@ -392,7 +419,8 @@ def _callable_inquiries(wh: Warehouse) -> DataFrame:
         & (F.col("treatment_type") != "second_opinion_before_surgery")
         & null_or(reason, reason == "internal_reason")
     )
-    return exclude_keys(inquiries, answered(wh), "id", nulls="sql")
+    listed = suppression_list(inquiries, wh["suppression"])
+    return exclude_keys(listed, answered(wh), "id", nulls="sql")
 
 
 def _callable_appointments(wh: Warehouse) -> DataFrame:
@@ -432,7 +460,8 @@ def call_legacy(
     payer: str,
     windows: Mapping[str, tuple[Column, Column]] | None = None,
     nulls: str = "sql",
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Calls by payer with a date window per state, without earlier calls or a second survey this week."""
     rows = head_voucher(_callable_inquiries(wh).join(_callable_appointments(wh), "id"), wh["voucher_dim"])
@@ -451,7 +480,8 @@ def call_fixed_dates(
     windows: Mapping[str, tuple[Column, Column]],
     payer: str,
     as_of: date,
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Oldest form of the call list: fixed windows, first allowed voucher, no ledger."""
     channel = wh["patient_data"].select(
@@ -490,6 +520,7 @@ def call_q4_q6(wh: Warehouse, payer: str) -> DataFrame:
     )
     named = head_voucher(rows, wh["voucher_dim"]).filter(F.col("voucher_client").like(payer))
     cases = named.select(
+        "id",
         "case_id",
         "scheduled_date",
         "voucher_id",
@@ -500,7 +531,7 @@ def call_q4_q6(wh: Warehouse, payer: str) -> DataFrame:
         "voucher_client",
         "voucher_code",
     ).distinct()
-    return inquiry_rows(cases, wh, "append", "de", key=("case_id", "scheduled_date", "appointment_type"))
+    return inquiry_rows(cases, wh, "append", "de", key=("case_id", "id", "scheduled_date", "appointment_type"))
 
 
 def weekly_de_fixed_dates(
@@ -508,7 +539,8 @@ def weekly_de_fixed_dates(
     as_of: date,
     call_week: tuple[date, date],
     sent_week: tuple[date, date],
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Weekly process by given weeks and a minimum age, before it followed the calendar."""
     open_cases = not_deleted(_open_second_opinions(wh))
@@ -542,7 +574,8 @@ def status_vs_card_cleaning(
     board: str,
     card_list: str,
     transaction: str = "action_create_card",
-    excluded_clients: Sequence[str] = fv.WEEKLY_EXCLUDED_CLIENTS,
+    *,
+    excluded_clients: Sequence[str],
 ) -> DataFrame:
     """Waiting cases whose appointments are all completed although no card was ever created."""
     every = appointments(wh)

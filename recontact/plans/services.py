@@ -14,7 +14,7 @@ from recontact.functions.nested import json_text
 from recontact.functions.text import any_of, like_any, null_or
 from recontact.operators.dedupe import first_per_key, latest_per_key
 from recontact.operators.ledger import numbered_rows
-from recontact.operators.suppress import contacts, exclude_any
+from recontact.operators.suppress import contacts, exclude_any, suppression_list
 from recontact.operators.surveys import pivot_events, presence_flag, survey_class_of, titled_links
 from recontact.plans.common import ledger_of
 from recontact.plans.inquiries import vip_inquiries
@@ -133,6 +133,7 @@ def _mss_follow_up(
     """First-product cases with a due, unanswered invitation, one row per case."""
     links = links_of(wh)
     services = final_services(wh).filter(payers & F.contains("service_id", F.lit(":MSS")))
+    services = suppression_list(services, wh["suppression"])
     services = exclude_any(services, [surveyed(links), *exclusions], "case_id", nulls="sql")
     facts = _survey_facts(links, as_of, oldest_days).filter(F.col("invited_at").isNotNull())
     rows = services.join(facts, "case_id").withColumn("survey_age", days_since(F.col("invited_at"), as_of))
@@ -181,12 +182,15 @@ def ch_postal_legacy(wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWIS
     return service_rows(dated, wh, "append", key=("case_id", "app_date"))
 
 
-def _moved_cards(wh: Warehouse, board: str, card_list: str, first: str, last: str) -> DataFrame:
-    """Cards moved into a list of a board within a time span."""
+def _moved_cards(
+    wh: Warehouse, board: str, card_list: str, first: str, last: str, case_prefix: str = ""
+) -> DataFrame:
+    """Cards moved into a list of a board within a time span, of cases whose id starts so."""
     return wh["card_log"].filter(
         (F.col("action_type") == "moveCardToBoard")
         & (F.col("board") == board)
         & (F.col("list") == card_list)
+        & F.col("case_id").startswith(case_prefix)
         & F.col("card_create_timestamp").between(
             F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")
         )
@@ -198,7 +202,7 @@ def call_services_mss(
     as_of: date,
     payer: str,
     topic: str = "feedback_follow_up_mss",
-    moved: tuple[str, str, str, str] | None = None,
+    moved: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Calls by payer for first-product cases whose survey stayed unanswered for 16 days."""
     exclusions = [refused(wh), talked(wh, topic), called(wh, [1, 2, 3, 8])]
@@ -251,14 +255,15 @@ def _pms_cases(
         .join(facts, "case_id", "left")
         .withColumn("survey_age", F.greatest(days_since(invited, as_of), final_age))
     )
-    final_day = F.col("final_at").cast("date")
-    in_window = final_day.between(before(as_of, months=oldest_months), before(as_of, months=1))
+    # The last day counts until its first moment only.
+    first, last = before(as_of, months=oldest_months), before(as_of, months=1)
+    in_window = F.col("final_at").between(first.cast("timestamp_ntz"), last.cast("timestamp_ntz"))
     return _per_case(joined.filter((F.col("survey_age") > 16) & in_window))
 
 
-def call_services_pms(wh: Warehouse, as_of: date, payer: str, moved: tuple[str, str, str, str] | None = None) -> DataFrame:
+def call_services_pms(wh: Warehouse, as_of: date, payer: str, moved: tuple[str, ...] | None = None) -> DataFrame:
     """Calls by payer for second-product cases; their classes name no state, so it stays empty."""
-    services = final_services(wh).filter(F.col("payer_name").like(payer))
+    services = suppression_list(final_services(wh).filter(F.col("payer_name").like(payer)), wh["suppression"])
     more = [_moved_cards(wh, *moved)] if moved is not None else []
     chosen = _pms_cases(wh, as_of, services, [1, 2, 3, 8], 12, more_exclusions=more)
     return service_rows(chosen.withColumn("app_state", ledger_state()), wh)
@@ -326,7 +331,7 @@ def weekly_ch(wh: Warehouse, as_of: date) -> DataFrame:
 
 
 def ch_survey_list(
-    wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWISS_SURVEY_PAYERS, topic: str = "feedback_follow_up_mss"
+    wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWISS_LIST_PAYERS, topic: str = "feedback_follow_up_mss"
 ) -> DataFrame:
     """Oldest form of the Swiss survey list: card rows instead of ledger rows."""
     exclusions = [ended(wh), talked(wh, topic)]
@@ -374,26 +379,25 @@ def partial_feedback(wh: Warehouse, product: str = "%MSS%") -> DataFrame:
     services = (
         not_deleted(wh["services"])
         .filter(F.col("product").like(product))
-        .select("id", "case_id", "product", "contract_id")
+        .select("case_id", "product", "contract_id")
         .join(finals, "case_id")
         .filter(product_named)
         .join(contracts, "contract_id", "left")
         .join(payers, "payer_id", "left")
-        .select("case_id", "id", "product", "payer_brand", "results_date")
+        .select("case_id", "product", "payer_brand", "results_date")
         .distinct()
     )
-    service_flags = presence_flag(wh["feedbacks"], "service_id", "nps", "service_score_flag").withColumnRenamed(
-        "service_id", "id"
-    )
+    cases = wh["services"].select(F.col("id").alias("service_id"), "case_id")
+    scored = wh["feedbacks"].select("service_id", "nps").join(cases, "service_id")
+    service_flags = presence_flag(scored, "case_id", "nps", "service_score_flag")
     medic = wh["visits"].filter(F.col("visit_nps").isNotNull())
     medic_flags = presence_flag(medic, "case_id", "visit_nps", "medic_score_flag")
     opinion_flags = presence_flag(wh["opinions"], "case_id", "therapy_decision", "opinion_flag")
     return (
-        services.join(service_flags, "id", "left")
+        services.join(service_flags, "case_id", "left")
         .join(medic_flags, "case_id", "left")
         .filter(F.col("service_score_flag").isNull() & F.col("medic_score_flag").isNull())
         .join(opinion_flags, "case_id", "left")
-        .drop("id")
         .orderBy(F.col("results_date").asc_nulls_last(), "case_id")
     )
 

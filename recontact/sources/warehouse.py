@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,14 +51,17 @@ def frame_warehouse(spark: SparkSession, frames: Mapping[str, DataFrame]) -> War
 def jdbc_warehouse(
     spark: SparkSession,
     options: Mapping[str, str],
-    partitions: Mapping[str, tuple[str, int, int, int]] | None = None,
+    partitions: Mapping[str, tuple[str, int, int, int]],
+    unsplit: Collection[str] = (),
 ) -> Warehouse:
-    """Live database tables. ``partitions[name] = (column, lower, upper, count)`` splits the read,
-    without it a table arrives through one connection."""
+    """Live database tables. ``partitions[name] = (column, lower, upper, count)`` splits the read. A
+    table without a split comes through one connection, so it is refused unless it is in ``unsplit``."""
 
     def load(name: str) -> DataFrame:
+        if name not in partitions and name not in unsplit:
+            raise ValueError(f"table {name!r} needs a split, or has to be named in unsplit")
         reader = spark.read.format("jdbc").options(**options).option("dbtable", name)
-        if partitions and name in partitions:
+        if name in partitions:
             column, lower, upper, count = partitions[name]
             reader = (
                 reader.option("partitionColumn", column)

@@ -95,6 +95,10 @@ def test_protected_columns(spark):
     assert all(r.plain == r.sealed for r in opened.collect())
     odd = spark.createDataFrame([(None,), ("",), ("a@b",)], "mail string")
     assert [r.mail for r in decrypt_columns(odd, ["mail"], keys).collect()] == [None, "", "a@b"]
+    bad = spark.createDataFrame([("Anna",), ("Dr.",), ("AAAA",), ("A" * 22 + "==",)], "name string")
+    assert [r.name for r in decrypt_columns(bad, ["name"], keys).collect()] == [r.name for r in bad.collect()]
+    with pytest.raises(Exception, match="(?i)base64|decrypt|unbase64|CONVERSION|AES|length"):
+        decrypt_columns(bad, ["name"], keys, strict=True).collect()
     plan = opened._jdf.queryExecution().toString()
     assert "kkkk" not in plan and "6b6b6b6b" not in plan.lower()
 

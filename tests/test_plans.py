@@ -5,25 +5,81 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+import __spark_entry__ as entry  # noqa: F401  registers the queries
+from recontact.checks import registry
+from recontact.checks.sample import sample_warehouse
 from recontact.functions import dates as d
 from recontact.operators import dedupe, ledger, suppress
+from recontact.sources.warehouse import jdbc_warehouse
 
-QUERIES = entry.queries()
-LIGHT = [n for n in sorted(QUERIES) if not n.startswith(("ledger_append", "export_"))]
+QUERIES = registry.QUERIES
+SINKS = ("ledger_append", "export_", "commit_", "registry_append")
+LIGHT = [n for n in sorted(QUERIES) if not n.startswith(SINKS)]
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", LIGHT[::6])
-def test_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+def jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+@pytest.mark.parametrize("name", LIGHT)
+def test_building_runs_nothing_and_needs_no_python_or_cross_join(spark, name):
+    sample_warehouse(spark, "/root/testdata/sf0.001")["orders"]
+    QUERIES[name](spark, "/root/testdata/sf0.001")  # opens the files of its tables
+    before = jobs(spark)
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert jobs(spark) == before
+    plan = plan_of(df)
     for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
 
 
+def test_suppression_reads_its_sets_once_to_look_for_nulls(spark, tmp_path):
+    spark.createDataFrame([("a",), (None,)], "case_id string").write.parquet(str(tmp_path / "x"))
+    df = spark.createDataFrame([("a",), ("b",)], "case_id string")
+    out = suppress.exclude_keys(df, spark.read.parquet(str(tmp_path / "x")), "case_id", nulls="sql")
+    tree = out._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("count_if") <= 2 and tree.count("GlobalLimit") == 0
+    assert out.count() == 0
+
+
+class Reader:
+    """Stands in for a session's reader and notes its options."""
+
+    def __init__(self):
+        self.seen = {}
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        return self.option("format", name)
+
+    def options(self, **more):
+        self.seen |= more
+        return self
+
+    def option(self, key, value):
+        self.seen[key] = value
+        return self
+
+    def load(self):
+        return dict(self.seen)
+
+
+def test_live_tables_are_read_in_parts(spark):
+    wh = jdbc_warehouse(Reader(), {"url": "u"}, {"cases": ("id", 1, 900, 30)}, unsplit=["tiny"])
+    got = wh["cases"]
+    assert (got["dbtable"], got["partitionColumn"], got["lowerBound"], got["upperBound"], got["numPartitions"]) == ("cases", "id", 1, 900, 30)
+    with pytest.raises(ValueError, match="other"):
+        wh["other"]
+    assert wh["tiny"]["dbtable"] == "tiny"
+
+
 def test_rolling_window_reaches_the_scan(spark, tmp_path):
     spark.range(10).select(F.lit(date(2024, 1, 1)).alias("day"), F.lit("x").alias("unused")).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t")).filter(F.col("day") >= d.before(date(2024, 5, 1), months=6)).select("day")

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from recontact import fixed_values as fv
 from recontact.functions.pii import encrypt_text
 from recontact.plans import calls, existing, inquiries, reviews, services
 from recontact.plans.single_question import single_question, single_question_list
@@ -204,12 +205,12 @@ def test_weekly_process(spark):
     ]
     entries = [("answered", "ok"), ("answered", None), ("entry without result", None)]
     wh = inquiry_warehouse(spark, cases, appointments, entries=entries, mail=["letter", "sent due"])
-    rows = inquiries.weekly_de_cases(wh, AS_OF).collect()
+    rows = inquiries.weekly_de_cases(wh, AS_OF, excluded_clients=fv.WEEKLY_EXCLUDED_CLIENTS).collect()
     assert sorted(r.case_id for r in rows) == ["call due", "entry without result", "letter", "sent due"]
     assert {r.case_id: r.post for r in rows}["letter"] == "post"
     assert {r.case_id: r.post for r in rows}["sent due"] is None
     assert {r.om_flag for r in rows} == {0}
-    written = inquiries.weekly_de(wh, AS_OF).collect()
+    written = inquiries.weekly_de(wh, AS_OF, excluded_clients=fv.WEEKLY_EXCLUDED_CLIENTS).collect()
     assert sorted(r.select_id for r in written) == [2, 3, 4, 5]
     assert {(r.batch_id, r.preferred_language, r.patient_id) for r in written} == {(2, "de", None)}
 
@@ -218,8 +219,8 @@ def test_weekly_process_across_new_year(spark):
     cases = [dict(case_id="before"), dict(case_id="after")]
     appointments = [("before", "3", "sent", date(2024, 11, 26)), ("after", "3", "sent", date(2024, 11, 28))]
     wh = inquiry_warehouse(spark, cases, appointments)
-    assert ids(inquiries.weekly_de(wh, date(2024, 12, 30))) == ["before"]
-    assert ids(inquiries.weekly_de(wh, date(2024, 12, 30), mode="week_start")) == ["after", "before"]
+    assert ids(inquiries.weekly_de(wh, date(2024, 12, 30), excluded_clients=fv.WEEKLY_EXCLUDED_CLIENTS)) == ["before"]
+    assert ids(inquiries.weekly_de(wh, date(2024, 12, 30), mode="week_start", excluded_clients=fv.WEEKLY_EXCLUDED_CLIENTS)) == ["after", "before"]
 
 
 def test_voucher_choice_depends_on_the_form(spark):
@@ -228,8 +229,8 @@ def test_voucher_choice_depends_on_the_form(spark):
     cases = [dict(case_id="head refused", voucher_ids=[3, 1], **opinion), dict(case_id="vip", voucher_ids=[3, 2], **opinion)]
     appointments = [(c["case_id"], "3", "sent", date(2024, 5, 8)) for c in cases]
     wh = inquiry_warehouse(spark, cases, appointments)
-    assert ids(inquiries.weekly_de(wh, AS_OF)) == []
-    assert ids(inquiries.telephone_follow_up(wh, AS_OF)) == ["head refused", "vip"]
+    assert ids(inquiries.weekly_de(wh, AS_OF, excluded_clients=fv.WEEKLY_EXCLUDED_CLIENTS)) == []
+    assert ids(inquiries.telephone_follow_up(wh, AS_OF, excluded_clients=fv.WEEKLY_EXCLUDED_CLIENTS)) == ["head refused", "vip"]
     assert ids(inquiries.vip_vouchers(wh, AS_OF)) == ["vip"]
 
 
@@ -242,7 +243,7 @@ def test_legacy_calls_and_the_survey_of_this_week(spark):
         ("surveyed before", 8, date(2024, 6, 9)),
     ]
     wh = inquiry_warehouse(spark, cases, appointments, contacts=contacts)
-    assert ids(inquiries.call_legacy(wh, AS_OF, "client")) == ["free", "surveyed before"]
+    assert ids(inquiries.call_legacy(wh, AS_OF, "client", excluded_clients=fv.WEEKLY_EXCLUDED_CLIENTS)) == ["free", "surveyed before"]
 
 
 def test_swiss_weekly_process(spark):
