@@ -218,11 +218,13 @@ def scored(docs: DataFrame, path: str, folds: int = 7, held: int = 2) -> DataFra
     ends = docs.filter("NOT held_out").count()
     tokens = counts.pop(WORDS, 0) + ends
     types = counts.pop(TYPES, 0) + (ends > 0)
+    # The pieces' probabilities, about a megabyte, go to the tasks with the functions below.
+    model = Pieces(path, counts, ends)
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
         total = summed(table)
         index = {w: i for i, w in enumerate(total)}
-        logs = Pieces(path, counts, ends).score(list(total))
+        logs = model.score(list(total))
         numbers = np.fromiter(total.values(), np.int64, len(total))
         rows = {"chunk": table["chunk"].to_pylist(), "bucket": table["bucket"].to_pylist(), "counts": [], "logs": []}
         for words in table["words"]:
@@ -245,13 +247,12 @@ def scored(docs: DataFrame, path: str, folds: int = 7, held: int = 2) -> DataFra
         index = {w: i for i, w in enumerate(words)}
         base = np.log10((count + 1) / (tokens + types + 1))
         base_end = np.log10((ends + 1) / (tokens + types + 1))
-        end = Pieces(path, counts, ends).end
         rows = []
         for text in all_texts:
             at = np.fromiter(map(index.__getitem__, words_of(text)), np.int64)
             rows.append((
                 len(at) + 1, int((count[at] > 0).sum()) + (ends > 0),
-                float(base[at].sum() + base_end), float((log[at].sum() + end) / np.log(10)),
+                float(base[at].sum() + base_end), float((log[at].sum() + model.end) / np.log(10)),
             ))
         n_tokens, n_known, base_score, own_score = zip(*rows, strict=True)
         return pa.table({
