@@ -7,6 +7,15 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recontact.checks.inquiry_selections import (
+    CLIENTS,
+    DAY,
+    POST_DAY,
+    POST_WEEK,
+    WEEK,
+    postal_ctes,
+    weekly_de_sql,
+)
 from recontact.checks.registry import ledger_columns, numbered_sql, register
 from recontact.checks.sample import keyring
 from recontact.functions import dates as d
@@ -15,6 +24,7 @@ from recontact.functions import text as t
 from recontact.functions.pii import decrypt_columns, encrypt_text
 from recontact.operators import dedupe, delivery, ledger, suppress, surveys, vouchers
 from recontact.plans import common, existing, services
+from recontact.plans import inquiries as weekly
 from recontact.sources.history import current_version, not_deleted
 from recontact.sources.schemas import CAM_CAM, CAM_SELECT
 from recontact.sources.storage import fresh_path
@@ -175,6 +185,7 @@ LABELS = {
     "en": "L-en",
     "it": "L-it",
     "pms": "L-pms",
+    "complete": "L-complete",
 }
 
 
@@ -206,6 +217,37 @@ register(
       ELSE '' END AS label_ids
 FROM inquiries AS i JOIN case_cube AS k USING (case_id)""",
 )
+def weekly_run_cards(wh: Warehouse) -> DataFrame:
+    """Cards of one weekly run; each is checked against the ledger row of the same run."""
+    root = fresh_path(wh.spark, "warehouse")
+    ledger.create_tables(wh.spark, root)
+    written, cases = weekly.weekly_de_run(wh, root, WEEK, excluded_clients=CLIENTS)
+    told = cards(cases.withColumnRenamed("voucher_client", "client_name"), delivery.weekly_de_labels())
+    return told.join(written.select(c("case_id").alias("name"), "korb"), "name")
+
+
+register(
+    "weekly_de_run_cards",
+    weekly_run_cards,
+    f"""WITH {weekly_de_sql(DAY)}
+SELECT w.case_id AS name, w.client_name AS description, 'board' AS board_id, 'pipeline' AS list_id, w.korb,
+  'L-call' || CASE WHEN w.korb = 'waiting_q3' THEN ',L-q3' ELSE ',L-q4' END
+    || CASE WHEN k.admission_channel IN ('online_marketing', 'partner_funnel') THEN ',L-online' ELSE '' END
+    || CASE WHEN w.post = 'post' THEN ',L-post' ELSE '' END
+    || CASE k.inquiry_type WHEN 'second_opinion_before_surgery' THEN ',L-second' WHEN 'surgery' THEN ',L-surgery'
+      ELSE '' END AS label_ids
+FROM chosen AS w LEFT JOIN (SELECT * FROM case_cube WHERE product = 'MSS') AS k USING (case_id)""",
+)
+register(
+    "postal_to_complete_cards",
+    lambda wh: cards(weekly.postal_to_complete(wh, POST_WEEK), delivery.postal_complete_labels()),
+    f"""WITH {postal_ctes(POST_DAY)}
+SELECT case_id AS name, client_name AS description, 'board' AS board_id, 'pipeline' AS list_id,
+  'L-complete' AS label_ids FROM letters
+WHERE client_name NOT LIKE '%DAK%' AND treatment_type NOT IN ('second_opinion_before_surgery', 'surgery')
+QUALIFY row_number() OVER (PARTITION BY case_id
+  ORDER BY korb, scheduled_date, appointment_type, voucher) = 1""",
+)
 register(
     "card_payloads_weekly_ch",
     lambda wh: cards(

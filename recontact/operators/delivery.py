@@ -59,6 +59,11 @@ def weekly_ch_labels() -> dict[str, Column | bool]:
     return {"follow_up": True, "q3": True, **languages, **treatment_labels()}
 
 
+def postal_complete_labels() -> dict[str, Column | bool]:
+    """Postal cases to be closed by hand carry one fixed label."""
+    return {"complete": True}
+
+
 def vip_labels() -> dict[str, Column | bool]:
     q3 = F.col("korb").eqNullSafe("waiting_q3")
     return {"follow_up": True, "q3": q3, "pms": ~q3}

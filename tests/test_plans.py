@@ -13,7 +13,7 @@ from recontact.operators import dedupe, ledger, suppress
 from recontact.sources.warehouse import jdbc_warehouse
 
 QUERIES = registry.QUERIES
-SINKS = ("ledger_append", "export_", "commit_", "registry_append")
+SINKS = ("ledger_append", "export_", "commit_", "registry_append", "weekly_de_run")
 LIGHT = [n for n in sorted(QUERIES) if not n.startswith(SINKS)]
 
 
