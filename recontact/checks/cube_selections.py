@@ -285,9 +285,13 @@ register(
     "existing_customer_simple_a",
     lambda wh: existing.existing_customer_simple_a(wh, ["%NATION_7%"]),
     """
-SELECT DISTINCT s.case_id, p.name AS payer_brand, s.voucher_code, f.nps AS provider_nps
+SELECT DISTINCT s.case_id, p.name AS payer_brand, co.title AS insurance_name, s.voucher_code, x.voucher_description,
+  f.nps AS provider_nps, f.free_text AS provider_nps_reason
 FROM services AS s JOIN contracts AS c ON c.id = s.contract_id JOIN payers AS p ON p.id = c.payer_id
   JOIN workflow_events AS e USING (case_id) LEFT JOIN feedbacks AS f ON f.service_id = s.id
+  JOIN primary_insurance_selections AS ps ON ps.case_id = s.case_id
+  JOIN insurance_companies AS co ON co.id = ps.insurance_company_id
+  LEFT JOIN voucher_texts AS x ON x.voucher_code = s.voucher_code
 WHERE e.event_type LIKE '%DID_SEND_FINAL%' AND (s.product = 'RSO' OR s.product LIKE '%PMS%')
   AND NOT regexp_matches(p.name, 'Allianz|BKK24|IKK - Die Inno|Patientenclub|VIP|HDI|NATION_7')
   AND s.voucher_code NOT LIKE '%MA4L%'
@@ -353,18 +357,12 @@ register(
 )
 
 
-def unscored_warehouse(wh: Warehouse) -> Warehouse:
-    """The sample gives both products scores; this list asks for unscored cases, so drop one score."""
-    frames = {"phone_cube": wh["phone_cube"].withColumn("provider_nps", F.lit(None).cast("int"))}
-    return Warehouse(wh.spark, lambda name: frames.get(name) if name in frames else wh[name])
-
-
 register(
     "call_corporate",
-    lambda wh: ledger_columns(calls.call_corporate(unscored_warehouse(wh), AS_OF, "%nation_2%")),
+    lambda wh: ledger_columns(calls.call_corporate(wh, AS_OF, "%nation_2%")),
     call_sql(
         """(lower(product_v2) LIKE '%msn%' OR lower(product_v2) LIKE '%pmn%')
-    AND lower(payer_name) LIKE '%nation_2%' AND medic_nps IS NULL""",
+    AND lower(payer_name) LIKE '%nation_2%' AND medic_nps IS NULL AND provider_nps IS NULL""",
         NEVER,
     ),
 )

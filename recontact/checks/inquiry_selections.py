@@ -99,9 +99,10 @@ register(
 )
 register(
     "weekly_de_cards_input",
-    lambda wh: plans.weekly_de_cases(wh, WEEK, excluded_clients=CLIENTS).select("case_id", "post", "om_flag", "inquiry_type"),
+    lambda wh: plans.weekly_de_cases(wh, WEEK, excluded_clients=CLIENTS),
     f"""WITH {weekly_de_sql(DAY)}
-SELECT w.case_id, w.post, CASE WHEN c.admission_channel IN ('online_marketing', 'partner_funnel') THEN 1 ELSE 0 END
+SELECT w.case_id, w.client_name AS voucher_client, w.code AS voucher_code, w.app_state, w.korb, c.admission_channel,
+  w.post, CASE WHEN c.admission_channel IN ('online_marketing', 'partner_funnel') THEN 1 ELSE 0 END
   AS om_flag, c.inquiry_type
 FROM chosen AS w LEFT JOIN (SELECT * FROM case_cube WHERE product = 'MSS') AS c USING (case_id)""",
 )
@@ -136,6 +137,27 @@ WHERE client_name NOT LIKE '%DAK%' AND treatment_type NOT IN ('second_opinion_be
 QUALIFY row_number() OVER (PARTITION BY case_id
   ORDER BY korb, scheduled_date, appointment_type, voucher) = 1""",
 )
+register(
+    "postal_per_voucher",
+    lambda wh: ledger_columns(plans.postal_per_voucher(wh, POST_WEEK)),
+    numbered_sql(
+        f"""
+chosen AS (
+  SELECT DISTINCT i.case_id, a.scheduled_date, i.voucher AS voucher_id, i.treatment_type, i.state AS korb,
+    a.appointment_type, a.state AS app_state, v.client_name, v.value AS code
+  FROM (SELECT *, unnest(voucher_ids) AS voucher FROM inquiries) AS i JOIN appointments AS a ON a.inquiry_id = i.id
+    JOIN voucher_dim AS v ON v.id = i.voucher
+  WHERE i.state LIKE 'waiting_q%' AND a.appointment_type NOT IN ('1', '2') AND a.state = 'ready_to_send_pdf'
+    AND {in_week('a.scheduled_date', 1, POST_DAY)}
+    AND EXISTS (FROM patient_data AS p WHERE p.inquiry_id = i.id AND p.preferred_communication_channel = 'post')
+    AND EXISTS (FROM insurance_data AS d WHERE d.inquiry_id = i.id AND d.options = '[]')
+    AND v.client_name <> 'AXA Haftpflichtversicherung'
+    AND (v.client_name = 'DAK' OR i.treatment_type = 'second_opinion_before_surgery'))""",
+        "chosen", "client_name", "code", "NULL", "app_state", "korb", "'de'",
+        key=("case_id", "scheduled_date", "voucher_id", "treatment_type", "korb", "appointment_type", "app_state"),
+        new_batch=0,
+    ),
+)
 register(
     "postal_window",
     lambda wh: plans.postal_window(wh, WEEK),
@@ -149,7 +171,8 @@ WITH letters AS (
     AND EXISTS (FROM patient_data AS p WHERE p.inquiry_id = i.id AND p.preferred_communication_channel = 'post')
     AND EXISTS (FROM insurance_data AS d WHERE d.inquiry_id = i.id AND d.options = '[]'))
 SELECT l.case_id, l.scheduled_date AS app_date, v.client_name AS voucher_client_name, v.value AS first_voucher_code,
-  l.treatment_type, l.korb, l.appointment_type, l.app_state
+  l.treatment_type, l.korb, l.appointment_type, l.app_state, 'Tel. Nachbefragung' AS parameter,
+  {DAY} AS card_created, 'de' AS preferred_language
 FROM letters AS l JOIN voucher_dim AS v ON v.id = l.voucher
 WHERE v.client_name <> 'AXA Haftpflichtversicherung'""",
 )
@@ -342,7 +365,7 @@ register(
   AND case_id NOT IN (SELECT case_id FROM card_log WHERE board = 'intake board' AND list = 'inbox'
     AND transaction_name = 'action_create_card'))""",
         "chosen", "client_name", "code", "NULL", "app_state",
-    ),
+    ).replace("AS new_case_id\nFROM", "AS new_case_id, cast(results_sent_at AS date) AS results_sent_at\nFROM"),
 )
 
 # Weekly process by given dates.

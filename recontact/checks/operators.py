@@ -948,7 +948,7 @@ register(
 )
 register(
     "current_week_guard",
-    lambda wh: ledger.batches_this_week(wh["cam_batch"], 4, date(1999, 6, 2)).select("cam_id", "batch_id"),
-    """SELECT cam_id, batch_id FROM cam_batch WHERE cam_id = 4
+    lambda wh: ledger.batches_this_week(wh["cam_batch"], 4, date(1999, 6, 2)),
+    """SELECT cam_id, batch_id, batch_selection_date FROM cam_batch WHERE cam_id = 4
   AND batch_selection_date >= date_trunc('week', DATE '1999-06-02')""",
 )

@@ -305,6 +305,7 @@ FROM case_wide WHERE o_totalprice > 400000"""
 VIEWS["feedbacks"] = """
 SELECT l_orderkey AS service_id, CASE WHEN l_quantity > 48 THEN 'not_specified' WHEN l_quantity > 28 THEN NULL
   ELSE cast(cast(l_quantity AS int) % 11 AS string) END AS nps,
+  CASE WHEN l_quantity > 48 THEN 'free words' ELSE NULL END AS free_text,
   CASE WHEN l_discount > 0.095 THEN l_shipdate ELSE NULL END AS deleted_at
 FROM lineitem"""
 
@@ -348,6 +349,10 @@ SELECT case_id, o_custkey % 25 AS insurance_company_id FROM case_wide WHERE o_to
 VIEWS["insurance_companies"] = """
 SELECT n_nationkey AS id, CASE n_nationkey WHEN 3 THEN 'BIG direkt gesund' ELSE n_name END AS title FROM nation"""
 
+VIEWS["voucher_texts"] = """
+SELECT voucher_code, 'voucher of ' || voucher_code AS voucher_description
+FROM (SELECT DISTINCT voucher_code FROM case_wide WHERE voucher_code IS NOT NULL) AS codes"""
+
 VIEWS["patient_ids"] = "SELECT case_id, patient_id FROM case_wide"
 
 VIEWS["client_groups"] = """

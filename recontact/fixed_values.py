@@ -7,15 +7,9 @@ CAM_EXISTING_CUSTOMER_MAIL = 3
 CAM_WEEKLY_DE = 4
 CAM_WEEKLY_CH = 6
 CAM_SECOND_STATUS_SURVEY = 8
-CAM_VIP = 14
 CAM_SECOND_TRY = 56
-CAM_PMS_CALL = 73
-CAM_SINGLE_QUESTION = 76
-CAM_DIALER = 97
 
-ACCEPTOR_MAIL = "mail_chimp"
 ACCEPTOR_PHONE = "bd_nachtelefonie"
-ACCEPTOR_SECOND_SURVEY = "bd_second_status_survey"
 
 CATEGORY_CALL = "Anrufaktion"
 CATEGORY_WEEKLY = "Regelprozess"

@@ -431,12 +431,16 @@ def existing_customer_unified(
 
 
 def existing_customer_simple_a(wh: Warehouse, staff_patterns: Sequence[str]) -> DataFrame:
-    """Case-system list by product, payer brand and voucher; one row per case and score."""
+    """Case-system list of cases with a primary insurance, by product, payer brand and voucher; one row
+    per case, insurance and score."""
+    companies = wh["insurance_companies"].select(F.col("id").alias("insurance_company_id"), F.col("title").alias("insurance_name"))
+    insured = wh["primary_insurance_selections"].join(companies, "insurance_company_id").select("case_id", "insurance_name")
+    codes = wh["voucher_texts"].select("voucher_code", "voucher_description")
     contracts = wh["contracts"].select(F.col("id").alias("contract_id"), "payer_id")
     payers = wh["payers"].select(F.col("id").alias("payer_id"), F.col("name").alias("payer_brand"))
     services = wh["services"].select("id", "case_id", "product", "contract_id", "voucher_code")
     finals = wh["workflow_events"].filter(F.contains("event_type", F.lit("DID_SEND_FINAL"))).select("case_id")
-    scores = wh["feedbacks"].select(F.col("service_id").alias("id"), "nps").distinct()
+    scores = wh["feedbacks"].select(F.col("service_id").alias("id"), "nps", "free_text").distinct()
     brands = fv.SIMPLE_A_EXCLUDED_BRANDS + tuple(staff_patterns)
     return (
         services.filter((F.col("product") == "RSO") | F.contains("product", F.lit("PMS")))
@@ -445,8 +449,18 @@ def existing_customer_simple_a(wh: Warehouse, staff_patterns: Sequence[str]) ->
         .join(payers, "payer_id")
         .filter(like_none(F.col("payer_brand"), brands))
         .join(finals, "case_id", "left_semi")
+        .join(insured, "case_id")
+        .join(codes, "voucher_code", "left")
         .join(scores, "id", "left")
-        .select("case_id", "payer_brand", "voucher_code", F.col("nps").alias("provider_nps"))
+        .select(
+            "case_id",
+            "payer_brand",
+            "insurance_name",
+            "voucher_code",
+            "voucher_description",
+            F.col("nps").alias("provider_nps"),
+            F.col("free_text").alias("provider_nps_reason"),
+        )
     )
 
 

@@ -25,7 +25,7 @@ from recontact.functions.text import any_of, flag, null_or
 from recontact.operators.dedupe import first_per_key
 from recontact.operators.ledger import commit, numbered_rows, staged
 from recontact.operators.suppress import contacts, exclude_any, exclude_keys, suppress, suppression_list
-from recontact.operators.vouchers import allowed_voucher, first_voucher, head_voucher
+from recontact.operators.vouchers import allowed_voucher, first_voucher, head_voucher, voucher_columns
 from recontact.plans.common import ledger_of
 from recontact.sources.history import not_deleted
 from recontact.sources.warehouse import Warehouse
@@ -175,11 +175,30 @@ def postal_to_complete(wh: Warehouse, as_of: date, mode: str = "parity") -> Data
 def postal_window(wh: Warehouse, as_of: date, days: int = 8) -> DataFrame:
     """Earlier form: any treatment and client, scheduled within the last days."""
     window = F.col("scheduled_date").between(before(as_of, days=days), before(as_of, days=1))
+    rows = _due_letters(wh, window).select(
+        "case_id",
+        F.col("scheduled_date").alias("app_date"),
+        F.col("voucher_client").alias("voucher_client_name"),
+        F.col("voucher_code").alias("first_voucher_code"),
+        "treatment_type",
+        F.col("state").alias("korb"),
+        "appointment_type",
+        "app_state",
+        F.lit("Tel. Nachbefragung").alias("parameter"),
+        F.lit(as_of).alias("card_created"),
+        F.lit("de").alias("preferred_language"),
+        "voucher_id",
+    )
+    return rows.distinct().drop("voucher_id")
+
+
+def _due_letters(wh: Warehouse, when: Column) -> DataFrame:
+    """Open postal cases with a printed questionnaire due in the time, one row per voucher."""
     inquiries = wh["inquiries"].filter(F.col("state").isin(*fv.POSTAL_STATES))
     by_post = wh["patient_data"].filter(F.col("preferred_communication_channel") == "post")
     plain = wh["insurance_data"].filter(json_list_empty(F.col("options")))
     due = appointments(wh).filter(
-        ~F.col("appointment_type").isin("1", "2") & (F.col("app_state") == "ready_to_send_pdf") & window
+        ~F.col("appointment_type").isin("1", "2") & (F.col("app_state") == "ready_to_send_pdf") & when
     )
     rows = (
         inquiries.join(due, "id")
@@ -187,28 +206,18 @@ def postal_window(wh: Warehouse, as_of: date, days: int = 8) -> DataFrame:
         .join(plain.select(F.col("inquiry_id").alias("id")), "id", "left_semi")
         .withColumn("voucher_id", F.explode("voucher_ids"))
     )
-    vouchers = wh["voucher_dim"].select(
-        F.col("id").alias("voucher_id"),
-        F.col("value").alias("first_voucher_code"),
-        F.col("client_name").alias("voucher_client_name"),
-    )
-    return (
-        rows.join(vouchers, "voucher_id")
-        .filter(F.col("voucher_client_name") != fv.POSTAL_EXCLUDED_CLIENT)
-        .select(
-            "case_id",
-            F.col("scheduled_date").alias("app_date"),
-            "voucher_client_name",
-            "first_voucher_code",
-            "treatment_type",
-            F.col("state").alias("korb"),
-            "appointment_type",
-            "app_state",
-            "voucher_id",
-        )
-        .distinct()
-        .drop("voucher_id")
-    )
+    named = rows.join(voucher_columns(wh["voucher_dim"]), "voucher_id")
+    return named.filter(F.col("voucher_client") != fv.POSTAL_EXCLUDED_CLIENT)
+
+
+def postal_per_voucher(wh: Warehouse, as_of: date, mode: str = "parity") -> DataFrame:
+    """Older postal form: last week's letters of one client or for second opinions, a row per voucher,
+    added to the open batch."""
+    rule = F.col("voucher_client").like(fv.POSTAL_CLIENT) | (F.col("treatment_type") == "second_opinion_before_surgery")
+    keys = ["case_id", "scheduled_date", "voucher_id", "treatment_type", "korb", "appointment_type", "app_state"]
+    rows = _due_letters(wh, _last_week(as_of, mode)).filter(rule).withColumn("korb", F.col("state"))
+    rows = rows.select(*keys, "voucher_client", "voucher_code").distinct()
+    return inquiry_rows(rows, wh, "append", "de", key=keys)
 
 
 LEDGER_INPUT = ["case_id", "voucher_client", "voucher_code", "app_state", "korb"]
@@ -591,4 +600,6 @@ def status_vs_card_cleaning(
     keep = allowed_voucher(excluded_clients, fv.WEEKLY_EXCLUDED_VOUCHERS)
     chosen = _by_first_voucher(wh, cases, done, keep).drop("korb")
     late = chosen.filter(F.col("results_sent_at").cast("date") > F.lit(since))
-    return inquiry_rows(late, wh)
+    rows = inquiry_rows(late, wh)
+    # The list shows the result date beside the ledger row; a case has one row.
+    return rows.join(late.select("case_id", F.col("results_sent_at").cast("date").alias("results_sent_at")), "case_id")
