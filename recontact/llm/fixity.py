@@ -95,7 +95,8 @@ def tree(records: DataFrame, depth: int) -> list[DataFrame]:
     """Levels of the volume trees from the leaves to the volumes' roots, one node each at the top."""
     levels = [leaves(records)]
     for _ in range(depth):
-        levels.append(parents(levels[-1]))
+        # Written, so plans stay short; a level has a sixteenth of the nodes below.
+        levels.append(written_once(parents(levels[-1]), "nodes"))
     return levels
 
 
@@ -104,7 +105,7 @@ def roots(level: DataFrame, volumes: int) -> list[DataFrame]:
     above = [level.select(F.lit(0).alias("volume"), F.col("volume").cast("long").alias("node"), F.lit(0).cast("long").alias("start"), F.col("end"), "digest")]
     width = volumes
     while width > 1:
-        above.append(parents(above[-1]))
+        above.append(written_once(parents(above[-1]), "nodes"))
         width = -(-width // FAN)
     return above
 
@@ -146,11 +147,11 @@ def audit(left: DataFrame, right: DataFrame, volumes: int) -> DataFrame:
     found = None
     top = list(zip(roots(a[-1], volumes), roots(b[-1], volumes), strict=True))
     for x, y in reversed(top):
-        found = _differing(x, y, found)
+        found = written_once(_differing(x, y, found), "mismatches")
     # Nodes of the lowest upper level are volumes; their roots have number 0.
     found = found.select(F.col("node").cast("int").alias("volume"), F.lit(0).cast("long").alias("node"))
     for x, y in reversed(list(zip(a[:-1], b[:-1], strict=True))):
-        found = _differing(x, y, found)
+        found = written_once(_differing(x, y, found), "mismatches")
     here = left.select("volume", F.col("seq").alias("node"), F.lit(True).alias("l"))
     there = right.select("volume", F.col("seq").alias("node"), F.lit(True).alias("r"))
     told = found.join(here, ["volume", "node"], "left").join(there, ["volume", "node"], "left")
