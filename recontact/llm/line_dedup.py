@@ -5,6 +5,7 @@ first line, then by 2, 4, ... lines: a suffix's rank for twice the length comes
 its rank and the rank of the suffix that far behind it. Only suffixes whose rank is shared stay in the
 array, as a unique one can repeat nothing. Equal ranks at ``min_lines`` lines are the intervals of the
 array whose longest common prefix has that length; a deeper order would not change what is deleted.
+Where shorter runs qualify by their words, the array grows line by line and each length is looked at.
 Starts next to each other in a document join to maximal repeated runs.
 
 Sorted keys are distinct, so no range is hot, and rows of a frequent line are met by joins that Spark
@@ -18,13 +19,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recontact.llm.common import WORD_GAP
 from recontact.sources.storage import written_once
 
 MIN_LINES = 3
+# Words with which a passage of fewer lines is a run, where passages are asked for.
+PASSAGE_WORDS = 50
 _WORD = re.compile(r"[^\x20\x09-\x0D]")
 _KEY = ["_doc", "_text"]
 
@@ -42,7 +46,12 @@ def ranked(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     keys = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("first"))
     keys = keys.filter("n > 1").drop("n").orderBy(*by).withColumn("_rank", F.monotonically_increasing_id())
     keys = written_once(keys, "ranks")
-    return rows.join(keys, list(by)).select(*_KEY, "at", F.col("_rank").alias("rank"), "first")
+    return rows.join(keys, list(by)).select(*_KEY, "at", *_words(rows), F.col("_rank").alias("rank"), "first")
+
+
+def _words(rows: DataFrame) -> list[str]:
+    """Columns for the words of the first line and of the run, where passages are asked for."""
+    return [n for n in ("own", "words") if n in rows.columns]
 
 
 def _ahead(rows: DataFrame, lines: int) -> DataFrame:
@@ -51,17 +60,22 @@ def _ahead(rows: DataFrame, lines: int) -> DataFrame:
     If a line between is missing from the array, no run goes across it.
     """
     order = Window.partitionBy(*_KEY).orderBy("at")
-    rows = rows.withColumns({"next": F.lead("rank", lines).over(order), "_to": F.lead("at", lines).over(order)})
-    return rows.filter(F.col("_to") == F.col("at") + lines).select(*_KEY, "at", "rank", "next")
+    more = {"words": F.col("own") + F.lead("words", lines).over(order)} if _words(rows) else {}
+    rows = rows.withColumns({"next": F.lead("rank", lines).over(order), "_to": F.lead("at", lines).over(order), **more})
+    return rows.filter(F.col("_to") == F.col("at") + lines).select(*_KEY, "at", *_words(rows), "rank", "next")
 
 
-def repeated_starts(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """``_doc``, ``_text`` and ``_starts``: where runs of ``min_lines`` lines begin that came before.
+def repeated_starts(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+    """``_doc``, ``_text``, ``_starts`` and ``_ends``: where runs begin and end that came before.
 
-    Places count lines with a word. Documents come in the order of their ids.
+    A run has ``min_lines`` lines, or fewer with ``min_words`` words. Places count lines with a word.
+    Documents come in the order of their ids.
     """
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(_WORD.pattern))
-    rows = _keyed(docs.select("doc_id", "text")).select(*_KEY, F.transform(lines, lambda x: F.xxhash64(x)).alias("l"))
+    rows = _keyed(docs.select("doc_id", "text"))
+    if min_words is not None:
+        return _repeated_passages(rows, lines, min_lines, min_words)
+    rows = rows.select(*_KEY, F.transform(lines, lambda x: F.xxhash64(x)).alias("l"))
     # Rows that repeat a document are one document.
     rows = rows.dropDuplicates(_KEY).select(*_KEY, F.posexplode("l").alias("at", "rank"))
     rows = written_once(ranked(rows, ["rank"]), "suffixes")
@@ -72,22 +86,46 @@ def repeated_starts(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     if length < min_lines:
         # The first and the last ``length`` lines of a run overlap and tell it.
         rows = written_once(ranked(_ahead(rows, min_lines - length), ["rank", "next"]), "suffixes")
-    later = rows.filter(F.struct(*_KEY, "at") != F.col("first"))
-    return later.groupBy(*_KEY).agg(F.sort_array(F.collect_list("at")).alias("_starts"))
+    return _collected(_later(rows, min_lines))
+
+
+def _repeated_passages(rows: DataFrame, lines: Column, min_lines: int, min_words: int) -> DataFrame:
+    count = F.transform(lines, lambda x: F.size(F.filter(F.split(x, WORD_GAP), lambda w: w != "")).cast("long"))
+    hashes = F.transform(lines, lambda x: F.xxhash64(x))
+    rows = rows.select(*_KEY, F.arrays_zip(hashes.alias("rank"), count.alias("own")).alias("l"))
+    rows = rows.dropDuplicates(_KEY).select(*_KEY, F.posexplode("l").alias("at", "_line"))
+    rows = rows.select(*_KEY, "at", "_line.own", F.col("_line.own").alias("words"), "_line.rank")
+    rows = written_once(ranked(rows, ["rank"]), "suffixes")
+    later = _later(rows, 1) if min_lines == 1 else _later(rows.filter(F.col("words") >= min_words), 1)
+    for length in range(2, min_lines + 1):
+        rows = written_once(ranked(_ahead(rows, 1), ["rank", "next"]), "suffixes")
+        later = later.union(_later(rows if length == min_lines else rows.filter(F.col("words") >= min_words), length))
+    return _collected(later)
 
 
-def deduped(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def _later(rows: DataFrame, lines: int) -> DataFrame:
+    """Where runs of so many lines begin and end, other than the first of their kind."""
+    rows = rows.filter(F.struct(*_KEY, "at") != F.col("first"))
+    return rows.select(*_KEY, "at", (F.col("at") + lines).alias("to"))
+
+
+def _collected(runs: DataFrame) -> DataFrame:
+    return runs.groupBy(*_KEY).agg(F.collect_list("at").alias("_starts"), F.collect_list("to").alias("_ends"))
+
+
+def deduped(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``docs`` with the repeated runs cut from ``text``, ``_n_lines``, ``_n_deleted`` and ``_runs``.
 
     A line with a word is deleted if it lies in a run of at least ``min_lines`` such lines, in one
     document, that also starts at an earlier place: in an earlier document by id, or further up in the
-    same one, overlapping or not. The first copy stays. Lines without words take no part and stay; a
+    same one, overlapping or not. With ``min_words`` a run of fewer lines, single lines included, is one
+    too if it has that many words. The first copy stays. Lines without words take no part and stay; a
     text that loses its last line with a word becomes empty. A null text stays null. Documents without
     id go by a hash of their text, and rows that repeat a document are cut alike. ``_runs`` holds the
     maximal deleted runs as ranges of places.
     """
     names = docs.columns
-    starts = repeated_starts(docs, min_lines)
+    starts = repeated_starts(docs, min_lines, min_words)
     rows = _keyed(docs).join(starts, _KEY, "left").drop(*_KEY)
     run_type = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([
@@ -100,11 +138,8 @@ def deduped(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                at = {n: part.schema.get_field_index(n) for n in (*names, "_starts")}
-                told = [
-                    _cut(t, s, min_lines)
-                    for t, s in zip(part.column(at["text"]).to_pylist(), part.column(at["_starts"]).to_pylist(), strict=True)
-                ]
+                at = {n: part.schema.get_field_index(n) for n in (*names, "_starts", "_ends")}
+                told = list(map(_cut, *(part.column(at[n]).to_pylist() for n in ("text", "_starts", "_ends"))))
                 columns = [part.column(at[n]) if n != "text" else pa.array([x[0] for x in told], pa.string()) for n in names]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -119,7 +154,7 @@ def deduped(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return rows.mapInArrow(cut, schema)
 
 
-def _cut(text: str | None, starts: list[int] | None, min_lines: int) -> tuple:
+def _cut(text: str | None, starts: list[int] | None, ends: list[int] | None) -> tuple:
     lines = (text or "").split("\n")
     full = np.array([bool(_WORD.search(x)) for x in lines])
     n = int(full.sum())
@@ -127,7 +162,7 @@ def _cut(text: str | None, starts: list[int] | None, min_lines: int) -> tuple:
         return text, n, 0, []
     depth = np.zeros(n + 1, np.int64)
     np.add.at(depth, starts, 1)
-    np.add.at(depth, np.array(starts) + min_lines, -1)
+    np.add.at(depth, ends, -1)
     gone = np.cumsum(depth[:-1]) > 0
     edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).reshape(-1, 2)
     keep = np.ones(len(lines), bool)
@@ -136,14 +171,14 @@ def _cut(text: str | None, starts: list[int] | None, min_lines: int) -> tuple:
     return kept, n, int(gone.sum()), [{"start": int(a), "end": int(b)} for a, b in edges]
 
 
-def without_repeats(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def without_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``docs`` with cut texts; documents that lose their last line with a word go."""
-    rows = deduped(docs, min_lines).filter("_n_deleted = 0 OR _n_deleted < _n_lines")
+    rows = deduped(docs, min_lines, min_words).filter("_n_deleted = 0 OR _n_deleted < _n_lines")
     return rows.select(*docs.columns)
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    rows = deduped(docs.select("doc_id", "text"))
+def digests(docs: DataFrame, min_words: int | None = None) -> DataFrame:
+    rows = deduped(docs.select("doc_id", "text"), min_words=min_words)
     return rows.select(
         "doc_id",
         F.col("_n_lines").alias("n_lines"),
@@ -172,3 +207,19 @@ t AS (SELECT doc_id, count_if(has_word) AS n_lines, count_if(cut) AS n_deleted,
 SELECT doc_id, n_lines::BIGINT AS n_lines, n_deleted::BIGINT AS n_deleted, coalesce(n_runs, 0)::BIGINT AS n_runs,
   sha256(CASE WHEN n_deleted > 0 AND n_deleted = n_lines THEN '' ELSE kept END) AS kept_sha256
 FROM t LEFT JOIN r USING (doc_id)"""
+
+# The same with passages: runs of one or two lines of ``PASSAGE_WORDS`` words and more.
+PASSAGE_SQL = SQL.replace(
+    SQL[SQL.index("w AS (") : SQL.index("r AS (SELECT doc_id, count")],
+    rf"""m AS (SELECT doc_id, p, line,
+    len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words FROM nb),
+w AS (SELECT doc_id, p, 1 AS n, [line] AS run, words FROM m
+  UNION ALL SELECT a.doc_id, a.p, 2, [a.line, b.line], a.words + b.words
+  FROM m a JOIN m b ON b.doc_id = a.doc_id AND b.p = a.p + 1
+  UNION ALL SELECT a.doc_id, a.p, 3, [a.line, b.line, c.line], a.words + b.words + c.words
+  FROM m a JOIN m b ON b.doc_id = a.doc_id AND b.p = a.p + 1 JOIN m c ON c.doc_id = a.doc_id AND c.p = a.p + 2),
+later AS (SELECT doc_id, p, n FROM w WHERE n = 3 OR words >= {PASSAGE_WORDS}
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, p + i AS p FROM later, range(3) AS t(i) WHERE i < n),
+""",
+)

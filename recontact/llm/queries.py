@@ -70,6 +70,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line runs and the long passages of one or two lines that came before."""
+    return line_dedup.digests(table(spark, sf_dir, "documents"), line_dedup.PASSAGE_WORDS)
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and read back from its token ids."""
     turns = chat.with_sample(table(spark, sf_dir, "conversations"))
@@ -94,6 +99,7 @@ _RUNS = [
     op5_quality,
     op6_fixity,
     op7_line_dedup,
+    op7_passage_dedup,
     op8_chat,
     op9_substring,
     op10_lattice,
@@ -109,4 +115,9 @@ def _registered(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 
 
 QUERIES = {run.__name__: _registered(run) for run in _RUNS}
-ORACLE = {"op3_mixing": mixing.mixing_sql(), "op6_fixity": fixity.audit_sql(), "op7_line_dedup": line_dedup.SQL}
+ORACLE = {
+    "op3_mixing": mixing.mixing_sql(),
+    "op6_fixity": fixity.audit_sql(),
+    "op7_line_dedup": line_dedup.SQL,
+    "op7_passage_dedup": line_dedup.PASSAGE_SQL,
+}

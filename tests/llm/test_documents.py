@@ -113,6 +113,26 @@ def test_line_dedup_by_windows(spark, min_lines):
         assert got[i] == ("" if len(gone) == len(full) else "\n".join(x for k, x in enumerate(lines) if k not in gone))
 
 
+def test_long_passages_of_few_lines_are_cut(spark):
+    long, half = " ".join(f"w{i}" for i in range(60)), " ".join(f"h{i}" for i in range(30))
+    texts = [f"{long}\nx\n{half}\n{half}y", f"a\n{long}\nb", long, f"{half}\n\n{half}y\nc", f"{half}\nd", "x\nd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r._n_deleted) for r in line_dedup.deduped(docs, min_words=50).collect()}
+    want = [(texts[0], 0), ("a\nb", 1), ("", 1), ("\nc", 2), (texts[4], 0), (texts[5], 0)]
+    assert got == dict(enumerate(want))
+
+
+def test_passage_dedup_equals_sql(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    docs = spark.read.parquet(path)
+    problem, n = difference(line_dedup.digests(docs, line_dedup.PASSAGE_WORDS), con, line_dedup.PASSAGE_SQL)
+    assert problem is None, problem
+    cut = "SELECT sum(n_deleted) FROM ({})"
+    assert con.execute(cut.format(line_dedup.PASSAGE_SQL)).fetchone() > con.execute(cut.format(line_dedup.SQL)).fetchone()
+
+
 def shingles(text):
     w = (text or "").encode().split()
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or frozenset([tuple(w)] if w else [])
