@@ -90,18 +90,23 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def row_key() -> Column:
     """The id of a document; without one, a hash of its text."""
-    return F.coalesce(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))))
+    return F.coalesce(F.col("doc_id"), text_key())
+
+
+def text_key() -> Column:
+    """A hash of the text, to tell apart the rows of one id."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """Narrow rows: ``row_key``, ``doc_id``, ``cls`` (a 128-bit digest of the shingle set, null
-    without words), ``size``, ``sig`` and ``bands``."""
+    """Narrow rows: ``row_key``, ``doc_id``, ``text_key`` (a hash of the text), ``cls`` (a 128-bit digest
+    of the shingle set, null without words), ``size``, ``sig`` and ``bands``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                sets = shingle_sets(part.column(2).to_pylist())
+                sets = shingle_sets(part.column(3).to_pylist())
                 full = [i for i, s in enumerate(sets) if len(s)]
                 cls, sigs, bands = [None] * len(sets), [None] * len(sets), [None] * len(sets)
                 if full:
@@ -113,16 +118,19 @@ def _signed(docs: DataFrame) -> DataFrame:
                     [
                         part.column(0),
                         part.column(1),
+                        part.column(2),
                         pa.array(cls, pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(sigs, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                     ],
-                    names=["row_key", "doc_id", "cls", "size", "sig", "bands"],
+                    names=["row_key", "doc_id", "text_key", "cls", "size", "sig", "bands"],
                 )
 
-    rows = docs.select(row_key().alias("row_key"), "doc_id", whole_text().alias("text"))
-    return rows.mapInArrow(run, "row_key long, doc_id long, cls binary, size long, sig binary, bands array<long>")
+    rows = docs.select(row_key().alias("row_key"), "doc_id", text_key().alias("text_key"), whole_text().alias("text"))
+    return rows.mapInArrow(
+        run, "row_key long, doc_id long, text_key long, cls binary, size long, sig binary, bands array<long>"
+    )
 
 
 def blocks(rows: DataFrame, group: str, sizes: DataFrame) -> DataFrame:
@@ -274,6 +282,11 @@ def joined(docs: DataFrame) -> DataFrame:
     empty and null texts link with nothing. A document without id goes by a hash of its text. Rows
     that repeat a document share its class. Only ``doc_id`` and ``text`` are read.
     """
+    return _grouped(docs).drop("text_key", "label")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """The rows of ``joined`` with ``text_key`` and ``label``, the group itself, null without words."""
     signed = written_once(_signed(docs), "signed")
     classes = written_once(
         signed.filter("cls IS NOT NULL").groupBy("cls").agg(
@@ -304,21 +317,27 @@ def joined(docs: DataFrame) -> DataFrame:
     known = classes.select("cls", "copy_id").join(links, "cls", "left").join(group, "cls", "left")
     known = known.withColumn("label", F.coalesce("label", "cls"))
     smallest = known.groupBy("label").agg(F.min("copy_id").alias("class_id"))
-    known = known.join(smallest, "label").select("cls", "copy_id", "n_links", "class_id")
-    out = signed.select("row_key", "doc_id", "cls").join(known, "cls", "left")
+    known = known.join(smallest, "label").select("cls", "label", "copy_id", "n_links", "class_id")
+    out = signed.select("row_key", "doc_id", "text_key", "cls").join(known, "cls", "left")
     out = out.withColumns({
         "copy_id": F.coalesce("copy_id", "row_key"), "class_id": F.coalesce("class_id", "row_key"),
         "n_links": F.coalesce("n_links", F.lit(0)).cast("long"),
     })
     kept = (F.col("row_key") == F.col("class_id")).alias("kept")
-    return out.select("doc_id", "row_key", "copy_id", "n_links", "class_id", kept)
+    return out.select("doc_id", "row_key", "text_key", "label", "copy_id", "n_links", "class_id", kept)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with one document of each group; rows that repeat it count as one."""
-    kept = joined(docs).filter("kept").select(F.col("row_key").alias("_key")).distinct()
-    rows = docs.withColumn("_key", row_key())
-    rows = rows.join(kept, "_key", "left_semi").withColumn(
-        "_row", F.expr("row_number() OVER (PARTITION BY _key ORDER BY text)")
+    """Rows of ``docs`` with one document of each group; rows that repeat it count as one.
+
+    Rows of one id go by their own texts: each stays or goes with the group of its text. Texts
+    without words have no group, and one of them stays for each key.
+    """
+    kept = _grouped(docs).filter("kept").select(
+        F.col("row_key").alias("_key"), F.col("text_key").alias("_text"), F.col("label").alias("_label")
+    ).distinct()
+    rows = docs.withColumns({"_key": row_key(), "_text": text_key()})
+    rows = rows.join(kept, ["_key", "_text"]).withColumn(
+        "_row", F.expr("row_number() OVER (PARTITION BY _key, _label ORDER BY text)")
     )
     return rows.filter("_row = 1").select(*docs.columns)

@@ -196,6 +196,22 @@ def test_one_document_of_each_group_stays(clashing):
     assert max(texts.values()) == 1
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:30], "changed", *words[31:]])
+    other, third = (" ".join(f"{c}{i}" for i in range(20)) for c in "xy")
+    rows = [(0, " ".join(words)), (3, near), (3, other), (3, other), (3, third), (3, third + " end"), (4, None), (4, ""), (4, "word"), (None, other)]
+    got = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by_id = defaultdict(list)
+    for r in got:
+        by_id[r.doc_id].append(r.text)
+    assert by_id[0] == [" ".join(words)]
+    # The hash that stands for a missing id decides whether that row or the one of id 3 stays.
+    assert len(by_id[None]) + by_id[3].count(other) == 1
+    assert sorted(set(by_id[3]) - {other}) == [third]
+    assert len(by_id[4]) == 2 and "word" in by_id[4]
+
+
 def test_posterior_bounds_are_tight():
     least = ngram_join.least_matches()
     assert least == sorted(least) and all(m <= (i + 1) * ngram_join.LOOK for i, m in enumerate(least))
