@@ -6,7 +6,8 @@ its rank and the rank of the suffix that far behind it. Only suffixes whose rank
 array, as a unique one can repeat nothing. Equal ranks at ``min_lines`` lines are the intervals of the
 array whose longest common prefix has that length; a deeper order would not change what is deleted.
 Where shorter runs qualify by their words, the array grows line by line and each length is looked at.
-Starts next to each other in a document join to maximal repeated runs.
+Starts next to each other in a document join to one deleted run, also where its parts came before in
+different places, so a run as a whole need not occur elsewhere.
 
 Sorted keys are distinct, so no range is hot, and rows of a frequent line are met by joins that Spark
 can split. Nothing but counts and keys is aggregated.
@@ -122,7 +123,7 @@ def deduped(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None =
     too if it has that many words. The first copy stays. Lines without words take no part and stay; a
     text that loses its last line with a word becomes empty. A null text stays null. Documents without
     id go by a hash of their text, and rows that repeat a document are cut alike. ``_runs`` holds the
-    maximal deleted runs as ranges of places.
+    unions of adjacent or overlapping deleted runs as ranges of places; a union need not occur elsewhere.
     """
     names = docs.columns
     starts = repeated_starts(docs, min_lines, min_words)
