@@ -180,6 +180,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return label
 
 
+def looked_up(
+    rows: DataFrame, table: DataFrame, key: Sequence[str], count: str, spread: str, share: int = 256
+) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has each key once and in ``count`` how many rows have it.
+
+    At most ``share`` keys can hold more than that part of all rows; these come by broadcast. The rest
+    is a join on the key, and rows already served are spread over it by the column ``spread``.
+    """
+    most = table.agg((F.coalesce(F.sum(count), F.lit(0)) / share).alias("n")).scalar()
+    values = [c for c in table.columns if c not in key]
+    of = F.struct(*values).alias("_of")
+    flagged = table.withColumn("_hot", F.col(count) > most)
+    hot = flagged.filter("_hot").select(*[F.col(k).alias(f"_h{k}") for k in key], of)
+    cold = flagged.filter("NOT _hot").select(*[F.col(k).alias(f"_c{k}") for k in key], F.lit(0).alias("_c"), of.alias("_cold"))
+    served = rows.join(F.broadcast(hot), [F.col(k).eqNullSafe(F.col(f"_h{k}")) for k in key], "left")
+    salt = F.when(F.col("_of").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(spread), F.lit(4096)))
+    served = served.withColumn("_salt", salt.cast("int"))
+    met = served.join(cold, [F.col(k).eqNullSafe(F.col(f"_c{k}")) for k in key] + [F.col("_salt") == F.col("_c")], "left")
+    return met.select(*rows.columns, *[F.coalesce(f"_of.{v}", f"_cold.{v}").alias(v) for v in values if v != count])
+
+
 def reachable(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it."""
     root = str(Path(__file__).resolve().parents[2])

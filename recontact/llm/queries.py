@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recontact.llm import (
+    angular_negatives,
     bpe,
     chat,
     cover_tree,
@@ -19,6 +20,8 @@ from recontact.llm import (
     mixing,
     ngram_join,
     quality,
+    reputation,
+    simplex_clusters,
     substring,
 )
 from recontact.llm.common import reachable
@@ -91,6 +94,21 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.scored(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op11_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's address by rules and host reputation."""
+    return reputation.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op12_simplex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding after five rounds."""
+    return simplex_clusters.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_angular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding among all of them."""
+    return angular_negatives.mined(angular_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 _RUNS = [
     op1_bpe,
     op2_ngram_join,
@@ -103,6 +121,9 @@ _RUNS = [
     op8_chat,
     op9_substring,
     op10_lattice,
+    op11_reputation,
+    op12_simplex,
+    op13_angular,
 ]
 
 
@@ -120,4 +141,7 @@ ORACLE = {
     "op6_fixity": fixity.audit_sql(),
     "op7_line_dedup": line_dedup.SQL,
     "op7_passage_dedup": line_dedup.PASSAGE_SQL,
+    "op11_reputation": reputation.judged_sql(),
+    "op12_simplex": simplex_clusters.clustered_sql(),
+    "op13_angular": angular_negatives.mined_sql(),
 }
