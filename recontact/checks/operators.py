@@ -25,7 +25,13 @@ from recontact.functions.pii import decrypt_columns, encrypt_text
 from recontact.operators import dedupe, delivery, ledger, suppress, surveys, vouchers
 from recontact.plans import common, existing, services
 from recontact.plans import inquiries as weekly
-from recontact.sources.history import current_version, not_deleted
+from recontact.sources.history import (
+    current_version,
+    ledger_as_of,
+    not_deleted,
+    version_as_of,
+    warehouse_as_of,
+)
 from recontact.sources.schemas import CAM_CAM, CAM_SELECT
 from recontact.sources.storage import fresh_path
 from recontact.sources.warehouse import Warehouse, parquet_warehouse
@@ -64,11 +70,28 @@ register(
     from_view("payer_history", lambda df: current_version(df).drop("valid_to")),
     "SELECT client_id, client_name, client_group, coop_status FROM payer_history WHERE valid_to = '2999-12-31'",
 )
+register(
+    "version_as_of",
+    from_view("client_history", lambda df: version_as_of(df, ["client_id"], AS_OF)),
+    f"""SELECT client_id, client_name, client_group, coop_status, valid_to FROM client_history WHERE valid_to > {NOW}
+QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY valid_to, client_name, client_group, coop_status) = 1""",
+)
 register(
     "not_deleted",
     from_view("services", lambda df: not_deleted(df).select("case_id", "product")),
     "SELECT case_id, product FROM services WHERE deleted_at IS NULL",
 )
+register(
+    "not_deleted_as_of",
+    from_view("feedbacks", lambda df: not_deleted(df, as_of=AS_OF).select("service_id", "nps")),
+    f"SELECT service_id, nps FROM feedbacks WHERE deleted_at IS NULL OR deleted_at >= {NOW}",
+)
+register(
+    "ledger_as_of",
+    lambda wh: ledger_as_of(wh["cam_select"], wh["cam_batch"], AS_OF)[0],
+    f"""SELECT select_id, batch_id, case_id FROM cam_select
+WHERE batch_id IN (SELECT batch_id FROM cam_batch WHERE batch_selection_date < {NOW})""",
+)
 
 
 # Sinks, read back after the write.
@@ -84,12 +107,12 @@ def ledger_round_trip(wh: Warehouse) -> DataFrame:
 
 
 def new_then_append(wh: Warehouse) -> DataFrame:
-    """Two commits into one batch, read back through the ledger view."""
+    """Two commits into one batch that hold the whole view, read back through the ledger view."""
     root, spark = fresh_path(wh.spark, "warehouse"), wh.spark
     ledger.create_tables(spark, root)
-    for group, batch in (("gkv", "new"), ("pkv", "append")):
-        chosen = wh["case_cube"].filter(c("payer_group") == group)
-        rows = case_rows(chosen, parquet_warehouse(spark, root)["cam_select"], batch)
+    first = c("payer_group").eqNullSafe("gkv")
+    for chosen, batch in ((first, "new"), (~first, "append")):
+        rows = case_rows(wh["case_cube"].filter(chosen), parquet_warehouse(spark, root)["cam_select"], batch)
         ledger.commit(spark, rows, root, 97, "bd_nachtelefonie", AS_OF)
     written = parquet_warehouse(spark, root)
     seen = suppress.campaign_ledger(written["cam_select"], written["cam_batch"])
@@ -99,16 +122,28 @@ def new_then_append(wh: Warehouse) -> DataFrame:
     )
 
 
-def registered_twice(wh: Warehouse) -> DataFrame:
-    """The registry after two campaigns were appended to it."""
-    root = fresh_path(wh.spark, "warehouse")
-    ledger.create_tables(wh.spark, root)
-    ledger.append_campaign(wh.spark, root, "spring calls")
-    ledger.append_campaign(wh.spark, root, "autumn mail", channel="mail", category=None)
-    payers = wh["payers"].select(c("name").alias("cam_name"))
-    return wh.spark.read.schema(CAM_CAM).parquet(f"{root}/cam_cam").withColumn(
-        "payers", payers.agg(F.count(F.lit(1))).scalar()
-    )
+def after_stop(wh: Warehouse) -> DataFrame:
+    """The ledger after a run that stopped before its batch row, and a later run of all cases.
+
+    The stopped run had written every case twice, under the same batch."""
+    root, spark = fresh_path(wh.spark, "warehouse"), wh.spark
+    ledger.create_tables(spark, root)
+    stopped = case_rows(wh["case_cube"], parquet_warehouse(spark, root)["cam_select"])
+    ledger.write_batch(stopped.unionByName(stopped).withColumn("client_name", F.lit("stopped")), f"{root}/cam_select")
+    rows = case_rows(wh["case_cube"], parquet_warehouse(spark, root)["cam_select"])
+    ledger.commit(spark, rows, root, 97, "bd_nachtelefonie", AS_OF)
+    return ledger_columns(parquet_warehouse(spark, root)["cam_select"])
+
+
+def registered_parts(wh: Warehouse) -> DataFrame:
+    """The registry of the warehouse after one campaign for each part was appended to it."""
+    root, names = fresh_path(wh.spark, "warehouse"), [f.name for f in CAM_CAM.fields]
+    known = wh["cam_cam"]
+    known.select(*[
+        (c(f.name) if f.name in known.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in CAM_CAM.fields
+    ]).write.parquet(f"{root}/cam_cam")
+    parts = wh["part"].select(F.concat(F.lit("call part "), c("p_partkey").cast("string")).alias("cam_name"))
+    return ledger.append_campaigns(wh.spark, root, parts, channel="mail").select(*names)
 
 
 register(
@@ -123,16 +158,25 @@ register(
     "commit_new_then_append",
     new_then_append,
     f"""SELECT case_id, 1 AS contacts, cast(1 AS bigint) AS batch_id, cast(97 AS int) AS cam_id,
-  {NOW} AS batch_selection_date FROM case_cube WHERE payer_group IN ('gkv', 'pkv')""",
+  {NOW} AS batch_selection_date FROM case_cube""",
+)
+register(
+    "commit_after_stop",
+    after_stop,
+    numbered_sql(
+        "chosen AS (SELECT * FROM case_cube)",
+        "chosen", "payer_name", "voucher_code", "patient_id", language="preferred_language", empty_ledger=True,
+    ),
 )
 register(
     "registry_append",
-    registered_twice,
-    """SELECT n AS cam_id, channel AS cam_channel, name AS cam_name,
-  'extra call campaign for our follow ups - ' || name AS cam_description, 'bd_patients' AS cam_audience,
-  'information' AS cam_type, DATE '2022-01-01' AS valid_from, DATE '2999-12-31' AS valid_to, category AS cam_category,
-  (SELECT count(*) FROM payers) AS payers
-FROM (VALUES (1, 'phone', 'spring calls', 'Anrufaktion'), (2, 'mail', 'autumn mail', NULL)) AS t(n, channel, name, category)""",
+    registered_parts,
+    """SELECT cast(cam_id AS int) AS cam_id, cast(NULL AS string) AS cam_channel, cam_name,
+  cast(NULL AS string) AS cam_description, cast(NULL AS string) AS cam_audience, cast(NULL AS string) AS cam_type,
+  cast(NULL AS date) AS valid_from, cast(NULL AS date) AS valid_to, cam_category FROM cam_cam
+UNION ALL SELECT cast((SELECT max(cam_id) FROM cam_cam) + row_number() OVER (ORDER BY md5(name), name) AS int), 'mail', name,
+  'extra call campaign for our follow ups - ' || name, 'bd_patients', 'information', DATE '2022-01-01',
+  DATE '2999-12-31', 'Anrufaktion' FROM (SELECT 'call part ' || p_partkey AS name FROM part)""",
 )
 register(
     "open_batch",
@@ -523,6 +567,15 @@ register(
     f"""SELECT case_id FROM case_cube WHERE NOT EXISTS (FROM contact_ledger AS l WHERE l.case_id = case_cube.case_id
   AND l.cam_category IN ('Anrufaktion', 'Regelprozess') AND l.batch_selection_date >= {NOW} - INTERVAL 1 MONTH)""",
 )
+register(
+    "anti_join_as_of",
+    lambda wh: suppress.suppress(
+        wh["case_cube"].select("case_id"), common.ledger_of(warehouse_as_of(wh, AS_OF)),
+        cam_ids=[1, 97], when=c("batch_selection_date") >= d.before(AS_OF, years=2),
+    ),
+    f"""SELECT case_id FROM case_cube WHERE NOT EXISTS (FROM contact_ledger AS l WHERE l.case_id = case_cube.case_id
+  AND l.cam_id IN (1, 97) AND l.batch_selection_date >= {NOW} - INTERVAL 2 YEAR AND l.batch_selection_date < {NOW})""",
+)
 register(
     "anti_join_null_admitted",
     lambda wh: suppress.suppress(
@@ -645,7 +698,7 @@ register(
     ),
     """SELECT case_id, payer_name, (SELECT max(batch_id) + 1 FROM cam_select) AS batch_id,
   (SELECT max(select_id) FROM cam_select)
-    + row_number() OVER (ORDER BY substr(md5(case_id), 1, 3), case_id) AS select_id FROM case_cube""",
+    + row_number() OVER (ORDER BY md5(case_id), case_id) AS select_id FROM case_cube""",
 )
 register(
     "running_number_append",
@@ -654,7 +707,7 @@ register(
     ),
     """SELECT case_id, product_v2, (SELECT max(batch_id) FROM cam_select) AS batch_id,
   (SELECT max(select_id) FROM cam_select) + row_number() OVER (ORDER BY
-    substr(md5(product_v2 || '|' || case_id), 1, 3), product_v2, case_id) AS select_id FROM phone_cube""",
+    md5(product_v2 || '|' || case_id), product_v2, case_id) AS select_id FROM phone_cube""",
 )
 register(
     "random_order",
@@ -778,7 +831,7 @@ register(
         ["case_id", "branch"],
     ).select("select_id", "case_id", "branch"),
     """SELECT (SELECT max(select_id) FROM cam_select) + row_number() OVER (ORDER BY
-  substr(md5(case_id || '|' || branch), 1, 3), case_id, branch) AS select_id, case_id, branch
+  md5(case_id || '|' || branch), case_id, branch) AS select_id, case_id, branch
 FROM (SELECT case_id, 'mail' AS branch FROM case_cube UNION ALL SELECT case_id, 'phone' FROM phone_cube)""",
 )
 

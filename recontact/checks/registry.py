@@ -39,13 +39,17 @@ def numbered_sql(
     language: str = "NULL",
     key: Sequence[str] = ("case_id",),
     new_batch: int = 1,
+    empty_ledger: bool = False,
 ) -> str:
     """SQL that numbers the rows of ``chosen`` after the ledger, in the order of the library."""
-    order = f"substr(md5(concat_ws('|', {', '.join(key)})), 1, 3), " + ", ".join(f"{k} NULLS LAST" for k in key)
+    last_id, last_batch = (
+        "0" if empty_ledger else f"(SELECT coalesce(max({n}), 0) FROM cam_select)" for n in ("select_id", "batch_id")
+    )
+    order = f"md5(concat_ws('|', {', '.join(key)})), " + ", ".join(f"{k} NULLS LAST" for k in key)
     prefix = f"WITH {ctes} " if ctes.strip() else ""
     return f"""{prefix}
-SELECT (SELECT coalesce(max(select_id), 0) FROM cam_select) + row_number() OVER (ORDER BY {order}) AS select_id,
-  (SELECT coalesce(max(batch_id), 0) FROM cam_select) + {new_batch} AS batch_id, case_id,
+SELECT {last_id} + row_number() OVER (ORDER BY {order}) AS select_id,
+  cast({last_batch} + {new_batch} AS bigint) AS batch_id, case_id,
   {client} AS client_name, {voucher} AS first_voucher_code, cast({patient} AS string) AS patient_id,
   0 AS control_flag, 1 AS count_cases_patient, cast({app_state} AS string) AS app_state,
   cast({korb} AS string) AS korb, cast({language} AS string) AS preferred_language,

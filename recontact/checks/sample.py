@@ -134,6 +134,18 @@ SELECT client_id, client_name, client_group, coop_status, cast('2999-12-31' AS d
 UNION ALL
 SELECT client_id, client_name, client_group, NOT coop_status, cast('1998-12-31' AS date) FROM payer_dim"""
 
+# Clients with up to three versions: changed once or twice, ended, or of one day that ends two of them.
+VIEWS["client_history"] = """
+SELECT c_custkey AS client_id, c_name AS client_name, c_mktsegment AS client_group, c_acctbal > 0 AS coop_status,
+  CASE WHEN c_nationkey < 5 THEN cast('1999-12-31' AS date) ELSE cast('2999-12-31' AS date) END AS valid_to FROM customer
+UNION ALL
+SELECT c_custkey, c_name || ' old', c_mktsegment, NULL, cast('1999-06-30' AS date) FROM customer WHERE c_nationkey < 20
+UNION ALL
+SELECT c_custkey, c_name || ' new', c_mktsegment, true,
+  CASE WHEN c_acctbal < 0 THEN cast('2000-01-01' AS date) WHEN c_acctbal < 5000 THEN cast('2000-01-02' AS date)
+    WHEN c_acctbal < 7000 THEN cast('2999-12-31' AS date) END
+FROM customer WHERE c_nationkey > 10"""
+
 # Ledger: returned line items. The line number names the campaign, the ship month the batch.
 CAM_OF_LINE = """CASE WHEN l_linenumber = 5 THEN 8 WHEN l_linenumber = 6 AND l_linestatus = 'O' THEN 56
     WHEN l_linenumber = 7 THEN 97 ELSE l_linenumber END"""

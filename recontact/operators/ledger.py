@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from recontact.fixed_values import CAMPAIGN_DESCRIPTION, CATEGORY_CALL, OPEN_END
 from recontact.sources.schemas import CAM_BATCH, CAM_CAM, CAM_SELECT, CAMPAIGN_TABLES
+from recontact.sources.storage import delete, folders, is_prepared, mark_prepared
 
-
-# Hex digits that name a numbering bucket: 4096 buckets.
-BUCKET_DIGITS = 3
+# Sizes are counted by the first five hex digits of the order hash, about 10^6 at most; a numbering
+# bucket takes so many of them that it holds about this many rows.
+FINE_DIGITS, BUCKET_ROWS = 5, 50_000
 
 
 def max_id(df: DataFrame, col: str) -> Column:
@@ -23,31 +24,46 @@ def max_id(df: DataFrame, col: str) -> Column:
     return df.agg(F.coalesce(F.max(col), F.lit(0)).cast("long")).scalar()
 
 
+def numbered(df: DataFrame, key: Sequence[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``df`` with ``_number``, dense from 1, in the order of the MD5 of ``key`` and then ``key``.
+
+    Rows fall into even buckets by the first digits of that hash, which are numbered in parallel and
+    shifted by the sizes before them. One aggregate gives the sizes and, by their sum, how many digits
+    name a bucket; the numbers do not depend on it. Sizes are summed in two levels: at most 256 groups
+    meet in one task, and the buckets of a group in another. Recomputed tasks give the same numbers.
+    """
+    hashed = df.withColumn("_order", F.md5(F.concat_ws("|", *key)))
+    fine = hashed.groupBy(F.substring("_order", 1, FINE_DIGITS).alias("_fine")).agg(F.count(F.lit(1)).alias("_n"))
+    wide = F.ceil(F.log(16.0, F.sum("_n") / bucket_rows))
+    digits = fine.agg(F.greatest(F.lit(1), F.least(F.lit(FINE_DIGITS), F.coalesce(wide, F.lit(1)))).cast("int")).scalar()
+    sizes = fine.groupBy(F.substr(F.col("_fine"), F.lit(1), digits).alias("_bucket")).agg(F.sum("_n").alias("_n"))
+    sizes = sizes.withColumn("_group", F.substring("_bucket", 1, 2))
+    groups = sizes.groupBy("_group").agg(F.sum("_n").alias("_all"))
+    groups = groups.select("_group", (F.sum("_all").over(Window.orderBy("_group")) - F.col("_all")).alias("_before"))
+    within = F.sum("_n").over(Window.partitionBy("_group").orderBy("_bucket")) - F.col("_n")
+    shifts = sizes.select("_group", "_bucket", within.alias("_within")).join(groups, "_group")
+    shifts = shifts.select("_bucket", (F.col("_before") + F.col("_within")).alias("_shift"))
+    order = [F.col("_order"), *[F.col(k).asc_nulls_last() for k in key]]
+    step = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    rows = hashed.withColumn("_bucket", F.substr(F.col("_order"), F.lit(1), digits)).withColumn("_step", step)
+    return rows.join(shifts, "_bucket").withColumn("_number", F.col("_shift") + F.col("_step")).select(*df.columns, "_number")
+
+
 def assign_ids(
-    df: DataFrame, ledger: DataFrame, key: Sequence[str], batch: str = "new", digits: int = BUCKET_DIGITS
+    df: DataFrame, ledger: DataFrame, key: Sequence[str], batch: str = "new", bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """Dense ``select_id`` above the ledger's maximum, and the ``batch_id``.
 
-    The reference order is open, so the order is chosen for scale: 16^digits even buckets by the MD5
-    of the unique key, then the key. Buckets are numbered in parallel and shifted by the running
-    bucket sizes; ``digits`` grows with the selection, and the sizes stay small beside it. Recomputed
-    tasks give the same numbers. Nothing is written here; the input is read for sizes and for rows.
+    The order of ids is open, so it is the one of ``numbered``. Nothing is written here; the input
+    is read for sizes and for rows.
     """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", *key)), 1, digits))
-    order = [F.col(k).asc_nulls_last() for k in key]
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    shifts = sizes.select(
-        "_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_shift")
-    )
-    step = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    numbered = bucketed.withColumn("_step", step).join(shifts, "_bucket")
     new = 1 if batch == "new" else 0
-    return numbered.withColumns(
+    return numbered(df, key, bucket_rows).withColumns(
         {
-            "select_id": max_id(ledger, "select_id") + F.col("_shift") + F.col("_step"),
+            "select_id": max_id(ledger, "select_id") + F.col("_number"),
             "batch_id": max_id(ledger, "batch_id") + F.lit(new),
         }
-    ).drop("_bucket", "_shift", "_step")
+    ).drop("_number")
 
 
 def to_ledger(
@@ -79,10 +95,11 @@ def numbered_rows(
     mapping: Mapping[str, Column] | None = None,
     key: Sequence[str] = ("case_id",),
     batch: str = "new",
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Chosen rows as ledger rows with their ids. Building them runs and writes nothing."""
     rows = to_ledger(df, mapping, keep=key).drop("select_id", "batch_id")
-    return assign_ids(rows, cam_select, key, batch).select(*CAM_SELECT.names)
+    return assign_ids(rows, cam_select, key, batch, bucket_rows).select(*CAM_SELECT.names)
 
 
 def as_ledger_width(df: DataFrame) -> DataFrame:
@@ -107,6 +124,17 @@ def append_select(rows: DataFrame, path: str) -> bool:
     return True
 
 
+def write_batch(rows: DataFrame, path: str) -> None:
+    """Put the rows of a batch into its folder, in place of whatever a stopped run left there."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch_id").parquet(path)
+
+
+def mark_batch(row: DataFrame, root: str) -> None:
+    """Append the batch row. From here on readers see the rows of the batch."""
+    row.write.mode("append").parquet(f"{root}/cam_batch")
+
+
 def open_batch(
     spark: SparkSession, cam_select: DataFrame, cam_id: int, acceptor: str, as_of: date, run_days: int = 30
 ) -> DataFrame:
@@ -124,43 +152,72 @@ def open_batch(
     return row.select(*[F.col(f.name).cast(f.dataType) for f in CAM_BATCH.fields])
 
 
-def register_campaign(
-    spark: SparkSession,
-    cam_cam: DataFrame,
-    name: str,
+def _registry_row(
+    name: Column,
+    cam_id: Column,
     *,
     channel: str = "phone",
     audience: str = "bd_patients",
     kind: str = "information",
     valid_from: str = "2022-01-01",
     category: str | None = CATEGORY_CALL,
-) -> DataFrame:
-    """Registry row of a new campaign, numbered after the largest id."""
+) -> list[Column]:
+    described = [F.lit(part) for part in CAMPAIGN_DESCRIPTION.split("{}")]
     values = {
-        "cam_id": max_id(cam_cam, "cam_id") + F.lit(1),
+        "cam_id": cam_id,
         "cam_channel": F.lit(channel),
-        "cam_name": F.lit(name),
-        "cam_description": F.lit(CAMPAIGN_DESCRIPTION.format(name)),
+        "cam_name": name,
+        "cam_description": F.concat(described[0], name, *described[1:]),
         "cam_audience": F.lit(audience),
         "cam_type": F.lit(kind),
         "valid_from": F.lit(valid_from),
         "valid_to": F.lit(OPEN_END),
         "cam_category": F.lit(category),
     }
-    return spark.range(1).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in CAM_CAM.fields])
+    return [values[f.name].cast(f.dataType).alias(f.name) for f in CAM_CAM.fields]
 
 
-def append_campaign(spark: SparkSession, root: str, name: str, **fields) -> DataFrame:
-    """Write the registry row of a new campaign; a name that is registered already is refused."""
+def register_campaign(spark: SparkSession, cam_cam: DataFrame, name: str, **fields) -> DataFrame:
+    """Registry row of a new campaign, numbered after the largest id."""
+    return spark.range(1).select(*_registry_row(F.lit(name), max_id(cam_cam, "cam_id") + F.lit(1), **fields))
+
+
+def append_campaigns(spark: SparkSession, root: str, campaigns: DataFrame, **fields) -> DataFrame:
+    """Write one registry row for each row of ``campaigns`` (``cam_name``), in one write, numbered after
+    the largest id in the order of ``numbered``. ``fields`` are those of ``register_campaign``.
+
+    A name that is registered already, given twice or missing is refused, and nothing is written.
+    """
     path = f"{root}/cam_cam"
     registry = spark.read.schema(CAM_CAM).parquet(path)
-    if not registry.filter(F.col("cam_name") == name).isEmpty():
-        raise ValueError(f"campaign {name!r} is registered already")
-    with staged(register_campaign(spark, registry, name, **fields), root) as row:
-        row.write.mode("append").parquet(path)
+    with staged(campaigns.select("cam_name"), root) as names:
+        known = registry.select("cam_name").unionByName(names).groupBy("cam_name").agg(F.count(F.lit(1)).alias("n"))
+        bad = known.join(names.distinct(), "cam_name", "left_semi").filter("n > 1").orderBy("cam_name").first()
+        if bad is not None:
+            raise ValueError(f"campaign {bad.cam_name!r} is registered already")
+        if not names.filter("cam_name IS NULL").isEmpty():
+            raise ValueError("a campaign needs a name")
+        rows = numbered(names, ["cam_name"]).select(
+            *_registry_row(F.col("cam_name"), max_id(registry, "cam_id") + F.col("_number"), **fields))
+        # Ids are read from the registry that grows, so the rows are computed before the append.
+        with staged(rows, root) as ready:
+            ready.write.mode("append").parquet(path)
     return spark.read.schema(CAM_CAM).parquet(path)
 
 
+def append_campaign(spark: SparkSession, root: str, name: str, **fields) -> DataFrame:
+    """Write the registry row of one new campaign."""
+    return append_campaigns(spark, root, spark.range(1).select(F.lit(name).alias("cam_name")), **fields)
+
+
+def campaign_id(cam_cam: DataFrame, name: str) -> int:
+    """Id of a registered campaign; an unknown name, and one that is registered twice, are refused."""
+    found = cam_cam.filter(F.col("cam_name") == name).select("cam_id").distinct().limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"campaign {name!r} is registered {'twice' if found else 'nowhere'}")
+    return found[0].cam_id
+
+
 def list_campaigns(cam_cam: DataFrame, order: str = "cam_name") -> DataFrame:
     return cam_cam.orderBy(F.col(order).asc_nulls_last(), F.col("cam_id").asc_nulls_last())
 
@@ -185,35 +242,69 @@ def staged(rows: DataFrame, root: str) -> Iterator[DataFrame]:
         rows.write.parquet(path)
         yield spark.read.schema(rows.schema).parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, path)
 
 
 def commit(
     spark: SparkSession,
     chosen: DataFrame,
     root: str,
-    cam_id: int,
+    cam_id: int | str,
     acceptor: str,
     as_of: date,
     weekly: bool = False,
 ) -> DataFrame | None:
     """Write a selection: ledger rows first, then the batch row. Returns the ledger rows of the batch.
 
-    ``chosen`` are ledger rows of a selection. They are written aside before the append, because
-    their ids read the very ledger that grows. Rows for a batch that is open already get no second
-    batch row. One writer per ledger is assumed, as ids are read as maxima. Without rows nothing is
-    written.
+    ``chosen`` are ledger rows of one batch; ``cam_id`` is the number of the campaign or its registered
+    name. The rows are written aside before, because their ids read the very ledger that grows.
+    One writer per ledger is assumed, as ids are read as maxima. Without rows nothing is written.
+
+    A run may stop anywhere. Rows of a new batch count from its batch row on, which is written last;
+    until then readers do not see them, and the next batch takes their id and their place. Rows
+    added to an open batch are written aside together with those it has, marked as prepared, and then
+    take its place; a stopped one is finished by the next commit, which then asks to select again.
     """
+    if finished := finish_appends(spark, root):
+        raise RuntimeError(f"a stopped addition to batch {finished} was finished; select again")
+    if isinstance(cam_id, str):
+        cam_id = campaign_id(spark.read.schema(CAM_CAM).parquet(f"{root}/cam_cam"), cam_id)
     batches = spark.read.schema(CAM_BATCH).parquet(f"{root}/cam_batch")
     if weekly:
         current_week_guard(batches, cam_id, as_of)
+    path = f"{root}/cam_select"
     with staged(chosen, root) as rows:
-        if not append_select(rows, f"{root}/cam_select"):
+        low, batch_id = rows.agg(F.min("batch_id"), F.max("batch_id")).first()
+        if batch_id is None:
             return None
-        row = open_batch(spark, rows, cam_id, acceptor, as_of)
-        batch_id = row.first().batch_id
-        if batches.filter(F.col("batch_id") == batch_id).isEmpty():
-            row.write.mode("append").parquet(f"{root}/cam_batch")
-    ledger = spark.read.schema(CAM_SELECT).parquet(f"{root}/cam_select")
-    return ledger.filter(F.col("batch_id") == batch_id)
+        if low != batch_id:
+            raise ValueError(f"rows of batches {low} to {batch_id} in one commit")
+        opened = batches.filter(F.col("batch_id") == batch_id).select("cam_id").distinct().collect()
+        if opened and [r.cam_id for r in opened] != [cam_id]:
+            raise ValueError(f"batch {batch_id} belongs to another campaign")
+        if opened:
+            _prepare_append(rows, root, batch_id)
+            finish_appends(spark, root)
+        else:
+            write_batch(rows, path)
+            mark_batch(open_batch(spark, rows, cam_id, acceptor, as_of), root)
+    return spark.read.schema(CAM_SELECT).parquet(path).filter(F.col("batch_id") == batch_id)
+
+
+def _prepare_append(rows: DataFrame, root: str, batch_id: int) -> None:
+    spark, path = rows.sparkSession, f"{root}/_appends/{batch_id}"
+    known = spark.read.schema(CAM_SELECT).parquet(f"{root}/cam_select").filter(F.col("batch_id") == batch_id)
+    known.unionByName(rows.select(*CAM_SELECT.names)).write.mode("overwrite").parquet(path)
+    mark_prepared(spark, path)
+
+
+def finish_appends(spark: SparkSession, root: str) -> list[int]:
+    """Finish prepared additions to open batches and drop unprepared ones; the batches finished."""
+    finished = []
+    for name in folders(spark, f"{root}/_appends"):
+        path = f"{root}/_appends/{name}"
+        if is_prepared(spark, path):
+            write_batch(spark.read.schema(CAM_SELECT).parquet(path), f"{root}/cam_select")
+            finished.append(int(name))
+        delete(spark, path)
+    return finished

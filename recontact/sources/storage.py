@@ -26,6 +26,40 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """File system and path, of whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library with all it holds; one that is not there is no error."""
+    files, place = _hadoop(spark, path)
+    files.delete(place, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``, sorted; none if it is not there."""
+    files, place = _hadoop(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory())
+
+
+PREPARED = "_prepared"
+
+
+def mark_prepared(spark: SparkSession, path: str) -> None:
+    """Note in a folder that it was written to its end. Readers of the table skip the mark."""
+    files, place = _hadoop(spark, f"{path.rstrip('/')}/{PREPARED}")
+    files.create(place, True).close()
+
+
+def is_prepared(spark: SparkSession, path: str) -> bool:
+    files, place = _hadoop(spark, f"{path.rstrip('/')}/{PREPARED}")
+    return files.exists(place)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

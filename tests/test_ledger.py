@@ -1,5 +1,6 @@
 """Ids, the ledger on disk, the weekly guard, and repeated runs."""
 
+import hashlib
 from datetime import date
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from recontact.functions.pii import decrypt_columns, encrypt_text
 from recontact.operators import delivery, ledger
 from recontact.operators.suppress import campaign_ledger, suppress
+from recontact.sources.history import version_as_of, warehouse_as_of
 from recontact.sources.schemas import CAM_SELECT
 from recontact.sources.warehouse import frame_warehouse, parquet_warehouse
 
@@ -53,6 +55,127 @@ def test_commit_then_second_run_selects_nothing(spark, store):
     assert parquet_warehouse(spark, store)["cam_batch"].count() == 1
 
 
+def contents(spark, root):
+    wh = parquet_warehouse(spark, root)
+    return sorted((r.select_id, r.batch_id, r.case_id) for r in wh["cam_select"].collect())
+
+
+def stop(*_, **__):
+    raise OSError("stopped")
+
+
+def test_a_run_that_stops_before_its_batch_row_leaves_no_rows(spark, store, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "mark_batch", stop)
+        with pytest.raises(OSError, match="stopped"):
+            ledger.commit(spark, choose(spark, store), store, 4, "phone", AS_OF)
+    assert spark.read.parquet(f"{store}/cam_select").count() == 100
+    assert contents(spark, store) == [] and parquet_warehouse(spark, store)["cam_batch"].count() == 0
+    fewer = choose(spark, store).filter("case_id < '5'")
+    ledger.commit(spark, fewer, store, 4, "phone", AS_OF)
+    rows = contents(spark, store)
+    assert {b for _, b, _ in rows} == {1} and len(rows) == fewer.count() < 100
+    assert spark.read.parquet(f"{store}/cam_select").count() == len(rows)
+    ledger.commit(spark, choose(spark, store), store, 4, "phone", AS_OF)
+    assert sorted(s for s, _, _ in contents(spark, store)) == sorted(set(s for s, _, _ in contents(spark, store)))
+    assert len(contents(spark, store)) == 100
+
+
+def added(spark, root):
+    rows = cases(spark).withColumn("case_id", F.concat(F.lit("x"), "case_id"))
+    return ledger.numbered_rows(rows, parquet_warehouse(spark, root)["cam_select"], batch="append")
+
+
+@pytest.mark.parametrize("place", ["write_batch", "mark_prepared"])
+def test_a_stopped_addition_is_finished_or_dropped(spark, store, monkeypatch, place):
+    ledger.commit(spark, choose(spark, store), store, 4, "phone", AS_OF)
+    before = contents(spark, store)
+    with monkeypatch.context() as m:
+        m.setattr(ledger, place, stop)
+        with pytest.raises(OSError, match="stopped"):
+            ledger.commit(spark, added(spark, store), store, 4, "phone", AS_OF)
+    assert contents(spark, store) == before
+    if place == "write_batch":
+        with pytest.raises(RuntimeError, match="select again"):
+            ledger.commit(spark, added(spark, store), store, 4, "phone", AS_OF)
+    else:
+        ledger.commit(spark, added(spark, store), store, 4, "phone", AS_OF)
+    rows = contents(spark, store)
+    assert [s for s, _, _ in rows] == list(range(1, 201)) and {b for _, b, _ in rows} == {1}
+    assert rows[:100] == before
+    assert ledger.finish_appends(spark, store) == []
+    assert parquet_warehouse(spark, store)["cam_batch"].count() == 1
+
+
+def test_a_batch_is_of_one_campaign_and_a_commit_of_one_batch(spark, store):
+    ledger.commit(spark, choose(spark, store), store, 4, "phone", AS_OF)
+    with pytest.raises(ValueError, match="another campaign"):
+        ledger.commit(spark, added(spark, store), store, 5, "phone", AS_OF)
+    two = added(spark, store).withColumn("batch_id", F.col("select_id"))
+    with pytest.raises(ValueError, match="in one commit"):
+        ledger.commit(spark, two, store, 4, "phone", AS_OF)
+    assert len(contents(spark, store)) == 100
+
+
+def test_campaigns_are_found_by_name(spark, store):
+    ledger.append_campaign(spark, store, "spring")
+    more = spark.createDataFrame([("autumn",), ("winter",)], "cam_name string")
+    rows = {r.cam_name: r.cam_id for r in ledger.append_campaigns(spark, store, more, channel="mail").collect()}
+    assert rows["spring"] == 1 and sorted(rows.values()) == [1, 2, 3]
+    ledger.commit(spark, choose(spark, store), store, "winter", "phone", AS_OF)
+    assert parquet_warehouse(spark, store)["cam_batch"].first().cam_id == rows["winter"]
+    for names in (["spring"], ["new", "new"], ["fresh", None]):
+        with pytest.raises(ValueError, match="registered already|needs a name"):
+            ledger.append_campaigns(spark, store, spark.createDataFrame([(n,) for n in names], "cam_name string"))
+    with pytest.raises(ValueError, match="nowhere"):
+        ledger.commit(spark, added(spark, store), store, "summer", "phone", AS_OF)
+    assert spark.read.parquet(f"{store}/cam_cam").count() == 3
+
+
+def test_a_repeated_day_chooses_the_same(spark, store):
+    ledger.commit(spark, choose(spark, store).filter("case_id < '3'"), store, 4, "phone", date(2024, 5, 1))
+
+    def chosen(wh):
+        fresh = suppress(cases(spark), campaign_ledger(wh["cam_select"], wh["cam_batch"]), cam_ids=[4])
+        return ledger.numbered_rows(fresh, wh["cam_select"])
+
+    first = chosen(warehouse_as_of(parquet_warehouse(spark, store), AS_OF)).collect()
+    ledger.commit(spark, spark.createDataFrame(first, CAM_SELECT), store, 4, "phone", AS_OF)
+    ledger.commit(spark, added(spark, store).withColumn("batch_id", F.lit(3).cast("long")), store, 9, "phone", date(2024, 6, 1))
+    again = chosen(warehouse_as_of(parquet_warehouse(spark, store), AS_OF))
+    assert sorted(again.collect()) == sorted(first)
+    assert chosen(parquet_warehouse(spark, store)).isEmpty()
+    later = warehouse_as_of(parquet_warehouse(spark, store), date(2024, 6, 1), before_batch=2)
+    assert sorted(chosen(later).collect()) == sorted(first)
+    assert chosen(warehouse_as_of(parquet_warehouse(spark, store), AS_OF, before_batch=3)).isEmpty()
+
+
+def test_versions_valid_on_a_day(spark):
+    rows = [
+        ("changed", "new", "2999-12-31"), ("changed", "old", "2024-05-16"), ("changed", "older", "2024-05-15"),
+        ("ended", "x", "2024-05-15"), ("open", None, "2999-12-31"), (None, "n", "2999-12-31"), ("tie", "b", "2025-01-01"),
+        ("tie", "a", "2025-01-01"), ("no end", "x", None),
+    ]
+    df = spark.createDataFrame(rows, "client string, label string, valid_to string").withColumn("valid_to", F.col("valid_to").cast("date"))
+    got = {(r.client, r.label) for r in version_as_of(df, ["client"], AS_OF).collect()}
+    assert got == {("changed", "old"), ("open", None), (None, "n"), ("tie", "a")}
+    assert version_as_of(df, ["client"], AS_OF).columns == df.columns
+    began = df.withColumn("valid_from", F.when(F.col("label") == "old", F.lit(date(2024, 5, 16))))
+    got = {(r.client, r.label) for r in version_as_of(began, ["client"], AS_OF, valid_from="valid_from").collect()}
+    assert ("changed", "new") in got
+    wh = warehouse_as_of(frame_warehouse(spark, {"history": df}), AS_OF, versions={"history": ["client"]})
+    assert wh["history"].count() == 4
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 7, 100, 50_000])
+def test_buckets_grow_and_ids_stay(spark, bucket_rows):
+    last = spark.createDataFrame([(0, 0)], "select_id long, batch_id long")
+    df = cases(spark, 3000)
+    ids = {r.case_id: r.select_id for r in ledger.assign_ids(df, last, ["case_id"], bucket_rows=bucket_rows).collect()}
+    want = sorted(ids, key=lambda k: (hashlib.md5(k.encode()).hexdigest(), k))
+    assert [ids[k] for k in want] == list(range(1, 3001))
+
+
 def test_weekly_run_is_refused_in_the_same_week(spark, store):
     ledger.commit(spark, choose(spark, store), store, 4, "phone", AS_OF, weekly=True)
     with pytest.raises(RuntimeError):

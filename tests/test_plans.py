@@ -2,6 +2,7 @@
 
 from datetime import date
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from recontact.checks import registry
 from recontact.checks.sample import sample_warehouse
 from recontact.functions import dates as d
 from recontact.operators import dedupe, ledger, suppress
-from recontact.sources.warehouse import jdbc_warehouse
+from recontact.sources.warehouse import hash_predicates, jdbc_warehouse
 
 QUERIES = registry.QUERIES
 SINKS = ("ledger_append", "export_", "commit_", "registry_append", "weekly_de_run")
@@ -80,6 +81,38 @@ def test_live_tables_are_read_in_parts(spark):
     assert wh["tiny"]["dbtable"] == "tiny"
 
 
+def test_live_tables_are_split_by_a_hash_of_a_text_key(spark):
+    class Jdbc(Reader):
+        def jdbc(self, url, table, predicates, properties):
+            return url, table, predicates, properties
+
+    wh = jdbc_warehouse(Jdbc(), {"url": "u", "user": "me"}, {}, hashed={"cases": ("case_id", 5)})
+    url, table, predicates, properties = wh["cases"]
+    assert (url, table, len(predicates), properties) == ("u", "cases", 5, {"user": "me"})
+    keys = [None, "", *map(str, range(2000))]
+    for parts in (1, 5, 16, 40, 256):
+        for run in (
+            lambda sql: spark.sql(sql, df=spark.createDataFrame([(k,) for k in keys], "case_id string")).collect(),
+            duckdb_rows(keys),
+        ):
+            conditions = hash_predicates("case_id", parts)
+            counted = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in conditions)
+            assert {r[0] for r in run(f"SELECT {counted} AS n FROM {{df}}")} == {1}
+    sizes = [spark.range(4096).selectExpr("cast(id AS string) AS case_id").filter(p).count() for p in hash_predicates("case_id", 16)]
+    assert max(sizes) < 1.3 * 256
+    with pytest.raises(ValueError, match="twice"):
+        jdbc_warehouse(Reader(), {}, {"a": ("id", 1, 2, 3)}, hashed={"a": ("k", 2)})
+    with pytest.raises(ValueError, match="parts"):
+        hash_predicates("k", 5000)
+
+
+def duckdb_rows(keys):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE df (case_id VARCHAR)")
+    con.executemany("INSERT INTO df VALUES (?)", [(k,) for k in keys])
+    return lambda sql: con.execute(sql.format(df="df")).fetchall()
+
+
 def test_rolling_window_reaches_the_scan(spark, tmp_path):
     spark.range(10).select(F.lit(date(2024, 1, 1)).alias("day"), F.lit("x").alias("unused")).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t")).filter(F.col("day") >= d.before(date(2024, 5, 1), months=6)).select("day")

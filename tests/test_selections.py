@@ -142,7 +142,7 @@ def test_single_question_and_a_contact_without_case(spark, rule, kept):
     assert again == [r.random_order for r in single_question_list(wh, AS_OF, nulls="guarded").collect()]
 
 
-def inquiry_warehouse(spark, cases, appointments, contacts=(("x", 97, date(2020, 1, 1)),), entries=(), mail=()):
+def inquiry_warehouse(spark, cases, appointments, contacts=(("x", 97, date(2020, 1, 1)),), entries=(), mail=(), listed=()):
     schema = (
         "id long, case_id string, service_id string, state string, treatment_type string, results_sent_at date, "
         "voucher_ids array<long>, completion_reason_main string, completion_reason_additional string, deleted_at date"
@@ -172,6 +172,7 @@ def inquiry_warehouse(spark, cases, appointments, contacts=(("x", 97, date(2020,
                 [(number[c], "post") for c in mail], "inquiry_id long, preferred_communication_channel string"
             ),
             "insurance_data": spark.createDataFrame([(number[c], "[]") for c in mail], "inquiry_id long, options string"),
+            "suppression": spark.createDataFrame([(c, "objection") for c in listed], "case_id string, reason string"),
             "case_cube": spark.createDataFrame(
                 [], "case_id string, product string, admission_channel string, inquiry_type string, service_id string"
             ),
@@ -235,14 +236,14 @@ def test_voucher_choice_depends_on_the_form(spark):
 
 
 def test_legacy_calls_and_the_survey_of_this_week(spark):
-    cases = [dict(case_id=c, results_sent_at=date(2024, 4, 1)) for c in ("free", "called", "surveyed", "surveyed before")]
+    cases = [dict(case_id=c, results_sent_at=date(2024, 4, 1)) for c in ("free", "called", "surveyed", "surveyed before", "listed")]
     appointments = [(c["case_id"], "3", "call_patient", None) for c in cases]
     contacts = [
         ("called", 97, date(2020, 1, 1)),
         ("surveyed", 8, date(2024, 6, 10)),
         ("surveyed before", 8, date(2024, 6, 9)),
     ]
-    wh = inquiry_warehouse(spark, cases, appointments, contacts=contacts)
+    wh = inquiry_warehouse(spark, cases, appointments, contacts=contacts, listed=["listed"])
     assert ids(inquiries.call_legacy(wh, AS_OF, "client", excluded_clients=fv.WEEKLY_EXCLUDED_CLIENTS)) == ["free", "surveyed before"]
 
 
