@@ -64,11 +64,35 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: dict[str, list[tuple[DataFrame, str]]] = {}
+
+
 def written_once(df: DataFrame, label: str = "rows") -> DataFrame:
     """Rows computed once and read back from a table in the shared folder, without lineage.
 
-    A lost executor costs a re-read, and later passes read only the columns they need.
+    A lost executor costs a re-read, and later passes read only the columns they need. The table stays
+    until ``release`` or ``release_all``, as results read it when they run.
     """
-    path = fresh_path(df.sparkSession, label)
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append((read, path))
+    return read
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the tables of frames that ``written_once`` returned and that nothing reads any more."""
+    for df in frames:
+        own = _WRITTEN.get(df.sparkSession.sparkContext.applicationId, [])
+        for entry in [e for e in own if e[0] is df]:
+            delete(df.sparkSession, entry[1])
+            own.remove(entry)
+
+
+def release_all(spark: SparkSession) -> int:
+    """Delete all tables that this session wrote and did not release, at the end of a job whose
+    results are stored; their number."""
+    own = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for _, path in own:
+        delete(spark, path)
+    return len(own)
