@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recontact.sources.storage import written_once
+from recontact.sources.storage import release, written_once
 
 # A word is a run of characters other than these six; equal to what ``bytes.split()`` cuts at.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -160,9 +160,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     both = edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
     both = written_once(both.union(both.select("dst", "src")).filter("src != dst").distinct(), "edges")
-    label = written_once(both.groupBy(F.col("src").alias("node")).agg(
+    table = written_once(both.groupBy(F.col("src").alias("node")).agg(
         F.least(F.col("node"), F.min("dst")).alias("label")), "labels")
     while True:
+        label = table.select("node", "label")
         near = both.join(label, both.src == label.node).groupBy("dst").agg(F.min("label").alias("low"))
         step = label.join(near, label.node == near.dst, "left").select(
             "node", F.col("label").alias("was"), F.least("label", F.coalesce("low", "label")).alias("label")
@@ -175,9 +176,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             ),
             "labels",
         )
-        label = jumped.select("node", "label")
-        if jumped.filter("label != was").isEmpty():
-            return label
+        release(table, step)
+        table = jumped
+        if table.filter("label != was").isEmpty():
+            release(both)
+            return table.select("node", "label")
 
 
 def looked_up(

@@ -44,27 +44,108 @@ def vectors(seed=3, n=150):
     return [*out, out[0], out[3]]
 
 
-@pytest.mark.parametrize("block", [4096, 16])
-def test_links_equal_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(cover_tree, "BLOCK", block)
+def sizes(monkeypatch, **more):
+    for name, value in more.items():
+        monkeypatch.setattr(cover_tree, name, value)
+
+
+SMALL_SIZES = dict(BLOCK=24, SMALL=8, LEAF=4, _CHUNK=16, _TILE=8, CELLS=12)
+
+
+@pytest.mark.parametrize("more", [{}, SMALL_SIZES, {**SMALL_SIZES, "SAMPLE": 30, "DENSE": 2}, {"SMALL": 16, "SPLIT": 40}])
+def test_links_equal_brute_force(spark, monkeypatch, more):
+    sizes(monkeypatch, **more)
     rows = vectors()
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"v": F.lit(1), "h": F.lit(2), "n": F.lit(3), "cell": F.lit(4)})
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({n: F.lit(1) for n in ("v", "h", "n", "cell", "width", "block", "kind", "far")})
     got = Counter(tuple(r) for r in cover_tree.linked(table).collect())
     assert got == brute_links(rows, 0.95)
 
 
+def near_the_threshold(width, seed, gap=1e-5):
+    """Two tight groups whose cosines lie within ``gap`` of 0.95, and a few such pairs apart."""
+    rng = np.random.default_rng(seed)
+
+    def unit(v):
+        return v / np.sqrt(v @ v)
+
+    rows = []
+    for _ in range(3):
+        a, b = unit(rng.normal(size=width)), rng.normal(size=width)
+        b = unit(b - (a @ b) * a)
+        for spread in (gap, gap / 10, 0.0):
+            angle = np.arccos(0.95)
+            rows += [a + rng.normal(size=width) * spread / width for _ in range(6)]
+            rows += [np.cos(angle) * a + np.sin(angle) * b + rng.normal(size=width) * spread for _ in range(6)]
+    return [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize("width", [2, 8, 64, 300])
+def test_links_near_the_threshold(spark, monkeypatch, width):
+    sizes(monkeypatch, LEAF=4, _CHUNK=16, DENSE=3, SMALL=40)
+    for seed in range(3):
+        rows = near_the_threshold(width, seed)
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = Counter(tuple(r) for r in cover_tree.linked(table).collect())
+        units = np.array([v for _, v in rows])
+        units /= np.sqrt((units * units).sum(1, keepdims=True))
+        cosines = units @ units.T
+        edge = np.abs(cosines - 0.95)
+        # The last bits of a product depend on its order, so pairs within them may go either way.
+        if edge.min() > 1e-15:
+            assert got == brute_links(rows, 0.95)
+        by_id = {r[0]: r[1] for r in got}
+        sure, maybe = (cosines >= 0.95 + 1e-14).sum(1) - 1, (cosines >= 0.95 - 1e-14).sum(1) - 1
+        assert all(sure[i] <= by_id[i] <= maybe[i] for i in by_id)
+
+
+def test_tight_groups_are_linked_as_wholes(monkeypatch):
+    rng = np.random.default_rng(0)
+    points = rng.normal(size=(900, 32))
+    points[:300] = points[0] + rng.normal(size=(300, 32)) * 0.003
+    points /= np.sqrt((points * points).sum(1, keepdims=True))
+    asked = []
+    plain = cover_tree.compare
+    monkeypatch.setattr(cover_tree, "compare", lambda *a: (asked.append(len(a[2]) * len(a[3])), plain(*a)))
+    rows = rng.permutation(900)
+    tree = cover_tree.Tree(points[rows])
+    links = cover_tree.Links(np.ones(900, np.int64))
+    cover_tree.traverse(tree, tree, 0, links, 0.95)
+    assert (np.sort(links.count) == np.sort((points @ points.T >= 0.95).sum(1) - 1)).all()
+    assert sum(asked) <= 600 * 600 + 9000
+
+
+def test_far_cells_are_dropped_before_vectors_are_copied():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 64))
+    points = np.repeat(centres, 50, 0) + rng.normal(size=(2000, 64)) * 0.005
+    points /= np.sqrt((points * points).sum(1, keepdims=True))
+    top = cover_tree.Top(rng.permutation(points)[:1000])
+    cell, far = top.descend(points)
+    reach = {}
+    for c, row in zip(cell.tolist(), far, strict=True):
+        for node, d in zip(top.paths[c], row, strict=False):
+            reach[node] = max(reach.get(node, 0.0), d)
+    pairs = top.linked_cells(reach, 0.95)
+    used = set(cell.tolist())
+    assert len(used) >= 40 and len(pairs & {(a, b) for a in used for b in used}) < 3 * len(used)
+    near = {(int(cell[i]), int(cell[j])) for i, j in zip(*np.nonzero(points @ points.T >= 0.95), strict=True)}
+    assert near <= pairs
+
+
 def test_trees_nest_and_cover():
     rng = np.random.default_rng(1)
-    points = np.concatenate([rng.normal(size=(300, 4)), np.zeros((50, 4)), rng.normal(size=(200, 4)) * 0.01])
+    points = np.concatenate([rng.normal(size=(300, 4)), np.ones((50, 4)), 1 + rng.normal(size=(200, 4)) * 0.01])
+    points /= np.sqrt((points * points).sum(1, keepdims=True))
     tree = cover_tree.Tree(points)
     assert sorted(tree.order) == list(range(len(points)))
+    assert sum(c is not None for c in tree.children) > 1
     for node, children in enumerate(tree.children):
         own = tree.members(node)
         assert cover_tree.distances(points[tree.centre[node]][None], points[own]).max() <= tree.radius[node] + 1e-9
         if children:
             parts = np.concatenate([tree.members(c) for c in range(*children)])
             assert sorted(parts) == sorted(own)
-            assert all(tree.radius[c] <= tree.radius[node] / 2 + 1e-6 for c in range(*children))
+            assert all(tree.radius[c] <= tree.radius[node] / 2 + 1e-6 or tree.closed[c] for c in range(*children))
             assert tree.centre[children[0]] == tree.centre[node]
 
 
