@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -22,9 +23,19 @@ from recontact.functions import dates as d
 from recontact.functions import nested as n
 from recontact.functions import text as t
 from recontact.functions.pii import decrypt_columns, encrypt_text
-from recontact.operators import dedupe, delivery, ledger, suppress, surveys, vouchers
+from recontact.operators import (
+    dedupe,
+    delivery,
+    event_facts,
+    ledger,
+    outbox,
+    suppress,
+    surveys,
+    vouchers,
+)
 from recontact.plans import common, existing, services
 from recontact.plans import inquiries as weekly
+from recontact.sources import bucketed
 from recontact.sources.history import (
     current_version,
     ledger_as_of,
@@ -320,6 +331,33 @@ register(
   'cases.example/open?case_id=' || case_id AS case_link FROM phone_cube""",
 )
 
+
+def open_after_two_runs(wh: Warehouse) -> DataFrame:
+    """Cards still open after two runs of the sender, the first of which was recorded twice."""
+    path = fresh_path(wh.spark, "attempts")
+    for run in ("first", "second", "first"):
+        outbox.record(wh["card_attempts"].filter(c("run") == run).drop("run"), path, run)
+    cards = wh["cam_select"].select("batch_id", c("case_id").alias("name"))
+    return outbox.cards_still_open(cards, outbox.attempts(wh.spark, path), most_attempts=2)
+
+
+STATE_SQL = """states AS (SELECT batch_id, name, arg_max(state, attempted_on) AS state, max(attempted_on) AS attempted_on,
+    count(*) AS attempts, count(*) FILTER (state = 'failed') AS failures, bool_or(state = 'delivered') AS delivered
+  FROM card_attempts WHERE name IS NOT NULL GROUP BY batch_id, name)"""
+register(
+    "cards_still_open",
+    open_after_two_runs,
+    f"""WITH {STATE_SQL}
+SELECT DISTINCT l.batch_id, l.case_id AS name, coalesce(attempts, 0) AS attempts FROM cam_select AS l
+  LEFT JOIN states AS s ON s.batch_id = l.batch_id AND s.name = l.case_id
+WHERE l.case_id IS NOT NULL AND (s.name IS NULL OR NOT (delivered OR state = 'given up' OR attempts >= 2))""",
+)
+register(
+    "card_states",
+    lambda wh: outbox.latest_state(wh["card_attempts"].withColumn("detail", F.lit(None).cast("string")).filter("name IS NOT NULL")).drop("detail"),
+    f"WITH {STATE_SQL} SELECT * FROM states",
+)
+
 # Projections.
 register(
     "project_rename_constant",
@@ -519,6 +557,22 @@ register(
     """SELECT case_id, patient_id FROM case_cube
 WHERE case_id NOT IN (SELECT case_id FROM cam_select WHERE case_id IS NOT NULL)""",
 )
+
+
+def suppressed_by_buckets(wh: Warehouse) -> DataFrame:
+    """The guarded suppression against a copy of the ledger that is kept in buckets of the case."""
+    table = f"ledger_{uuid.uuid4().hex}"
+    bucketed.store(wh["cam_select"].filter("case_id IS NOT NULL"), table, buckets=16, path=fresh_path(wh.spark, table))
+    copies = bucketed.bucketed_warehouse(wh.spark, wh, {"cam_select": table})
+    return suppress.exclude_keys(copies["case_cube"].select("case_id", "patient_id"), copies["cam_select"], "case_id")
+
+
+register(
+    "anti_join_bucketed",
+    suppressed_by_buckets,
+    """SELECT case_id, patient_id FROM case_cube
+WHERE case_id NOT IN (SELECT case_id FROM cam_select WHERE case_id IS NOT NULL)""",
+)
 register(
     "anti_join_unguarded",
     lambda wh: suppress.suppress(
@@ -641,6 +695,32 @@ register(
   max(event_date) FILTER (upper(event_type) = 'DID_SEND_PREM_SURVEY') AS prem_sent
 FROM workflow_events WHERE upper(event_type) IN ('DID_SEND_STATUS_SURVEY', 'DID_SEND_PREM_SURVEY') GROUP BY case_id""",
 )
+FACTS = {
+    "status_sent": ("latest", event_facts.of_type("DID_SEND_STATUS_SURVEY", "event_time")),
+    "prem_sent": ("latest", event_facts.of_type("DID_SEND_PREM_SURVEY", "event_time")),
+    "first_final": ("first", event_facts.of_type("DID_SEND_FINAL_RESULT", "event_time")),
+    "closed": ("any", event_facts.of_type("DID_CLOSE_CASE")),
+    "n_events": ("count", lambda: c("event_type")),
+}
+
+
+def advanced_facts(wh: Warehouse) -> DataFrame:
+    """The table of facts after three runs; the events of many cases came long after they happened."""
+    path = fresh_path(wh.spark, "event_facts")
+    for day in (date(1997, 12, 31), date(1999, 12, 31), date(2003, 12, 31)):
+        told = event_facts.advance(wh.spark, path, wh["arrived_events"], FACTS, day)
+    return told.withColumn("closed", F.coalesce("closed", F.lit(False)))
+
+
+register(
+    "event_facts_advanced",
+    advanced_facts,
+    """SELECT case_id, max(event_time) FILTER (upper(event_type) = 'DID_SEND_STATUS_SURVEY') AS status_sent,
+  max(event_time) FILTER (upper(event_type) = 'DID_SEND_PREM_SURVEY') AS prem_sent,
+  min(event_time) FILTER (upper(event_type) = 'DID_SEND_FINAL_RESULT') AS first_final,
+  bool_or(upper(event_type) = 'DID_CLOSE_CASE') AS closed, count(event_type) AS n_events
+FROM workflow_events GROUP BY case_id""",
+)
 register(
     "count_having",
     from_view("cam_select", lambda df: suppress.selected_more_than(df.filter("case_id IS NOT NULL"), 1)),

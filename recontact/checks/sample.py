@@ -291,6 +291,20 @@ SELECT cast(l_orderkey AS string) AS case_id,
   CASE WHEN l_discount > 0.095 THEN l_shipdate ELSE NULL END AS deleted_at
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
+# Events as they arrive: of some cases long after they happened.
+VIEWS["arrived_events"] = """
+SELECT case_id, event_type, event_time, CASE WHEN case_id LIKE '%7' THEN cast(event_time + interval '500' day AS date)
+    ELSE cast(event_time + interval '1' day AS date) END AS arrived_on
+FROM workflow_events"""
+
+# Tries to deliver the cards of the ledger, some cards once, some twice, some never.
+VIEWS["card_attempts"] = """
+SELECT 'first' AS run, batch_id, case_id AS name, CASE WHEN select_id % 3 = 0 THEN 'failed' WHEN select_id % 3 = 1 THEN 'delivered'
+    ELSE 'lost' END AS state, cast('1999-01-04' AS date) AS attempted_on FROM cam_select WHERE select_id % 5 <> 0
+UNION ALL
+SELECT 'second', batch_id, case_id, CASE WHEN select_id % 4 = 0 THEN 'given up' WHEN select_id % 7 = 1 THEN 'delivered'
+    ELSE 'failed' END, cast('1999-01-05' AS date) FROM cam_select WHERE select_id % 2 = 0"""
+
 VIEWS["survey_links"] = """
 SELECT cast(l_orderkey AS string) AS case_id, l_suppkey AS survey_id, l_shipdate AS created_at,
   CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'complete' ELSE NULL END AS response_status

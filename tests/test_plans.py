@@ -10,11 +10,21 @@ import __spark_entry__ as entry  # noqa: F401  registers the queries
 from recontact.checks import registry
 from recontact.checks.sample import sample_warehouse
 from recontact.functions import dates as d
-from recontact.operators import dedupe, ledger, suppress
-from recontact.sources.warehouse import hash_predicates, jdbc_warehouse
+from recontact.operators import dedupe, event_facts, ledger, outbox, suppress
+from recontact.sources import bucketed
+from recontact.sources.history import warehouse_as_of
+from recontact.sources.warehouse import (
+    frame_warehouse,
+    hash_predicates,
+    jdbc_warehouse,
+    parquet_warehouse,
+)
 
 QUERIES = registry.QUERIES
-SINKS = ("ledger_append", "export_", "commit_", "registry_append", "weekly_de_run")
+SINKS = (
+    "ledger_append", "export_", "commit_", "registry_append", "weekly_de_run", "cards_still_open", "event_facts_advanced",
+    "anti_join_bucketed",
+)
 LIGHT = [n for n in sorted(QUERIES) if not n.startswith(SINKS)]
 
 
@@ -168,3 +178,92 @@ def test_first_row_does_not_depend_on_partitions(spark, partitions):
     want = {(r.k, r.id) for r in dedupe.first_per_key(df, ["k"], order).collect()}
     have = {(r.k, r.id) for r in dedupe.first_per_key(df.repartition(partitions), ["k"], order).collect()}
     assert want == have
+
+
+def test_suppression_against_a_bucketed_ledger_does_not_shuffle_it(spark, tmp_path):
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("case_id"), (F.col("id") % 9).alias("batch_id"))
+    bucketed.store(rows.filter("id % 3 = 0"), "ledger_in_buckets", buckets=8, path=str(tmp_path / "b"))
+    copies = bucketed.bucketed_warehouse(spark, frame_warehouse(spark, {}), {"cam_select": "ledger_in_buckets"})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = suppress.exclude_keys(rows, copies["cam_select"], "case_id")
+        plan = plan_of(out)
+        # Of the two sides the selection is dealt to the buckets; the ledger is read as it lies.
+        assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan
+        ledger_side = plan[plan.index("ledger_in_buckets") - 3000 : plan.index("ledger_in_buckets")]
+        assert "HashAggregate" in ledger_side
+        assert out.count() == 5000 - len(range(0, 5000, 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.sql("DROP TABLE ledger_in_buckets")
+
+
+def test_batches_of_a_time_prune_the_folders_of_the_ledger(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("case_id"), (F.col("id") % 40).alias("batch_id"))
+    as_rows = ledger.to_ledger(rows)
+    ledger.write_batch(as_rows, f"{root}/cam_select")
+    batches = spark.range(40).selectExpr(
+        "4 AS cam_id", "id AS batch_id", "'phone' AS batch_acceptor", "date_add(date'2024-01-01', cast(id AS int)) AS batch_selection_date",
+        "date'2024-01-01' AS batch_transfer_date", "date'2024-01-01' AS batch_start", "date'2024-01-01' AS batch_stop",
+    )
+    batches.write.parquet(f"{root}/cam_batch")
+    wh = parquet_warehouse(spark, root)
+    seen = suppress.campaign_ledger(wh["cam_select"], wh["cam_batch"])
+    recent = suppress.contacts(seen, when=F.col("batch_selection_date") > F.lit(date(2024, 2, 4)))
+    plan = plan_of(recent.select("case_id"))
+    scan = plan[plan.index("PartitionFilters"):]
+    assert "dynamicpruning" in scan
+    assert recent.count() == 5 * 100
+    past = warehouse_as_of(wh, date(2024, 1, 11))
+    assert "dynamicpruning" in plan_of(past["cam_select"].select("case_id"))
+    assert past["cam_select"].count() == 10 * 100
+
+
+def test_new_days_of_events_alone_are_read(spark, tmp_path):
+    facts = {"last": ("latest", event_facts.of_type("X", "at")), "n": ("count", lambda: F.col("at"))}
+    rows = [("a", "x", 5, date(2024, 1, 1)), ("a", "X", 3, date(2024, 1, 9)), ("b", "y", 1, date(2024, 1, 2)), ("c", "x", 9, None)]
+    events = spark.createDataFrame(rows, "case_id string, event_type string, at int, arrived_on date")
+    events.write.parquet(str(tmp_path / "events"))
+    events = spark.read.parquet(str(tmp_path / "events"))
+    path = str(tmp_path / "facts")
+    assert event_facts.current(spark, path) == (None, None)
+    first = event_facts.advance(spark, path, events, facts, date(2024, 1, 5))
+    assert sorted(map(tuple, first.collect())) == [("a", 5, 1), ("b", None, 1)]
+    again = event_facts.advance(spark, path, events, facts, date(2024, 1, 4))
+    assert sorted(map(tuple, again.collect())) == [("a", 5, 1), ("b", None, 1)]
+    # A stopped run left a folder without its mark.
+    spark.range(1).write.parquet(f"{path}/through=2024-02-01")
+    late = event_facts.advance(spark, path, events, facts, date(2024, 1, 31))
+    assert sorted(map(tuple, late.collect())) == [("a", 5, 2), ("b", None, 1)]
+    full = event_facts.event_facts(events.filter("arrived_on IS NOT NULL"), facts)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, late.collect()))
+    assert event_facts.current(spark, path)[1] == date(2024, 1, 31)
+    new = events.filter((F.col("arrived_on") <= F.lit(date(2024, 1, 31))) & (F.col("arrived_on") > F.lit(date(2024, 1, 5))))
+    assert "GreaterThan(arrived_on,2024-01-05)" in plan_of(event_facts.event_facts(new, facts))
+
+
+def test_cards_are_sent_until_delivered_or_given_up(spark, tmp_path):
+    path, day = str(tmp_path / "attempts"), date(2024, 5, 1)
+
+    def outcomes(*rows):
+        return spark.createDataFrame([(1, n, s, d) for n, s, d in rows], "batch_id long, name string, state string, attempted_on date")
+
+    cards = spark.createDataFrame([(1, n) for n in ("a", "b", "c", "d", "d")] + [(None, "e"), (2, "a"), (1, None)], "batch_id long, name string")
+    outbox.record(outcomes(("a", "delivered", day), ("b", "failed", day), ("c", "failed", day)), path, "1")
+
+    def due(**most):
+        return {(r.batch_id, r.name): r.attempts for r in outbox.cards_still_open(cards, outbox.attempts(spark, path), **most).collect()}
+
+    first = due()
+    assert first == {(1, "b"): 1, (1, "c"): 1, (1, "d"): 0, (2, "a"): 0}
+    outbox.record(outcomes(("a", "delivered", day), ("b", "failed", day), ("c", "failed", day)), path, "1")
+    assert due() == first
+    outbox.record(outcomes(("b", "delivered", day), ("c", "failed", date(2024, 5, 2)), ("a", "failed", date(2024, 5, 2))), path, "2")
+    assert due() == {(1, "c"): 2, (1, "d"): 0, (2, "a"): 0} and (1, "c") not in due(most_attempts=2)
+    ends = outbox.give_up(outbox.attempts(spark, path), 2, date(2024, 5, 3))
+    assert [(r.name, r.detail) for r in ends.collect()] == [("c", "failed 2 times")]
+    outbox.record(ends, path, "3")
+    assert due() == {(1, "d"): 0, (2, "a"): 0}
