@@ -8,6 +8,7 @@ Ranks of pairs with a new symbol are above the rank that made it, so a round nev
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import unicodedata
@@ -19,7 +20,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Regex
 from tokenizers.normalizers import NFC, Lowercase
@@ -47,8 +47,8 @@ def _one_of(chars: Iterable[str]) -> re.Pattern:
     return re.compile("[" + "".join(f"{chr(r[0])}-{chr(r[-1])}" for r in runs) + "]")
 
 
-#: Characters of text that are encoded at a time, and pieces of text whose ids a task remembers.
-SLICE, MEMORY = 1 << 20, 100_000
+#: Characters of text that are encoded at a time, and pieces of text in a generation of a task's memory.
+SLICE, MEMORY = 1 << 20, 200_000
 
 
 def byte_symbols() -> list[str]:
@@ -132,9 +132,13 @@ class Vocabulary:
     def words_of(self, piece: str) -> list[bytes]:
         """Words of a piece without white space: composed, lower-cased by character, then cut."""
         if piece.isascii():
-            return [w.encode() for w in self.pattern.findall(piece.lower())]
+            plain = piece.lower()
+            return [plain.encode()] if plain.isalpha() else [w.encode() for w in self.pattern.findall(plain)]
         # The capital sigma is lowered without regard to its place in the word.
         plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+        # Below U+0370 all tables agree on what a letter is, and letters alone are one word.
+        if max(plain) < "\u0370":
+            return [plain.encode()] if plain.isalpha() else [w.encode() for w in self.pattern.findall(plain)]
         unknown, symbols = young()
         if unknown.search(piece):
             plain = Sequence_([NFC(), Lowercase()]).normalize_str(piece)
@@ -143,48 +147,82 @@ class Vocabulary:
 
 
 class Encoder:
-    """Ids of texts; remembers the ids of pieces between white space, up to ``MEMORY`` of them."""
+    """Ids of texts. Remembers the ids of pieces between white space in two generations of ``MEMORY``
+    pieces: a full one becomes the old one, and what is met again moves to the young one."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         return SPACE.split(text) if ODD_SPACE.search(text) else text.split()
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: Iterable[str]) -> None:
         """Encode the words of unseen pieces together."""
         vocabulary = self.vocabulary
         words: dict[bytes, int] = {}
+        whole: list[tuple[str, int]] = []
         parts: list[tuple[str, list[int]]] = []
         for piece in pieces:
-            own = []
-            for part in vocabulary.cut.split(piece) if "<|" in piece else [piece]:
-                if part in vocabulary.special:
-                    own.append(-1 - vocabulary.special[part])
-                else:
-                    own += [words.setdefault(w, len(words)) for w in vocabulary.words_of(part)]
-            parts.append((piece, own))
+            if "<|" in piece:
+                own = []
+                for part in vocabulary.cut.split(piece):
+                    if part in vocabulary.special:
+                        own.append(-1 - vocabulary.special[part])
+                    elif part:
+                        own += [words.setdefault(w, len(words)) for w in vocabulary.words_of(part)]
+                parts.append((piece, own))
+                continue
+            cut = vocabulary.words_of(piece) if piece else []
+            if len(cut) == 1:
+                whole.append((piece, words.setdefault(cut[0], len(words))))
+            else:
+                parts.append((piece, [words.setdefault(w, len(words)) for w in cut]))
         ids, counts = vocabulary.encode_words(list(words))
         ends = np.cumsum(counts)
         raw = ids.tobytes()
         blobs = [raw[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+        known = self.known
+        for piece, w in whole:
+            known[piece] = blobs[w]
         for piece, own in parts:
-            self.known[piece] = b"".join(
-                blobs[w] if w >= 0 else np.int32(-1 - w).tobytes() for w in own
-            )
+            known[piece] = b"".join([blobs[w] if w >= 0 else np.int32(-1 - w).tobytes() for w in own])
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as bytes of 32-bit numbers."""
         if len(self.known) > MEMORY:
-            self.known.clear()
+            self.known, self.old = {}, self.known
         split = [self.pieces(t) for t in texts]
-        new = set()
-        for pieces in split:
-            new.update(pieces)
-        self.learn(new - self.known.keys())
+        new = set().union(*split)
+        new -= self.known.keys()
+        old = self.old
+        again = [p for p in new if p in old]
+        self.known.update(zip(again, map(old.__getitem__, again), strict=True))
+        new.difference_update(again)
+        self.learn(new)
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
 
+    def encode_lists(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of each text of a column; null counts as empty."""
+        blobs = self.encode([t or "" for t in texts.to_pylist()])
+        offsets = np.concatenate(([0], np.cumsum([len(b) // 4 for b in blobs]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
+
+
+def decode_lists(lists: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """The tokens of each list of ids joined by one space; unknown ids are skipped, null is empty."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    numbers = lists.flatten()
+    known = pc.and_kleene(pc.greater_equal(numbers, 0), pc.less(numbers, len(tokens)))
+    names = tokens.take(pc.if_else(known, numbers, None))
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    if names.null_count:
+        keep = names.is_valid().to_numpy(zero_copy_only=False)
+        offsets = np.concatenate(([0], np.cumsum(keep)))[offsets]
+        names = names.drop_null()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), names), " ")
+
 
 def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges whose sizes add up to ``most`` or a little more."""
@@ -212,14 +250,9 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             column = batch.column(batch.schema.get_field_index(text))
             sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
             for start, end in _runs(sizes, SLICE):
-                blobs = encoder.encode([t or "" for t in column.slice(start, end - start).to_pylist()])
-                offsets = np.concatenate(([0], np.cumsum([len(b) // 4 for b in blobs]))).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(blobs), np.int32))
                 part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.ListArray.from_arrays(pa.array(offsets), values)],
-                    names=[*batch.schema.names, ids],
-                )
+                lists = encoder.encode_lists(column.slice(start, end - start))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*batch.schema.names, ids])
 
     return kept.mapInArrow(run, schema)
 
@@ -240,28 +273,38 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
             sizes = pc.fill_null(pc.list_value_length(whole), 0).to_numpy(zero_copy_only=False)
             for start, end in _runs(sizes, SLICE):
                 part = batch.slice(start, end - start)
-                numbers = whole.slice(start, end - start).flatten()
-                known = pc.and_kleene(pc.greater_equal(numbers, 0), pc.less(numbers, len(tokens)))
-                names = tokens.take(pc.if_else(known, numbers, None))
-                offsets = np.concatenate(([0], np.cumsum(sizes[start:end])))
-                if names.null_count:
-                    keep = names.is_valid().to_numpy(zero_copy_only=False)
-                    offsets = np.concatenate(([0], np.cumsum(keep)))[offsets]
-                    names = names.drop_null()
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), names)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pc.binary_join(lists, " ")], names=[*part.schema.names, out]
-                )
+                text = decode_lists(whole.slice(start, end - start), tokens)
+                yield pa.RecordBatch.from_arrays([*part.columns, text], names=[*part.schema.names, out])
 
     return kept.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and the digests of ids and decoded text of each document."""
-    back = decoded(encoded(docs.select("doc_id", "text"), path).drop("text"), path)
-    return back.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """``doc_id``, ``n_tokens`` and the digests of ids and decoded text of each document.
+
+    A slice of texts is encoded, decoded from its ids and digested in one pass, so neither ids nor
+    decoded texts leave the task.
+    """
+
+    def hashed(joined: pa.Array) -> pa.Array:
+        return pa.array([hashlib.sha256(b).hexdigest() for b in joined.cast(pa.binary()).to_pylist()], pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(path)
+        tokens = pa.array(encoder.vocabulary.tokens, pa.string())
+        for batch in batches:
+            column = batch["text"]
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+            for start, end in _runs(sizes, SLICE):
+                lists = encoder.encode_lists(column.slice(start, end - start))
+                numbers = pa.ListArray.from_arrays(lists.offsets, lists.values.cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(start, end - start), pc.list_value_length(lists).cast(pa.int64()),
+                     hashed(pc.binary_join(numbers, " ")), hashed(decode_lists(lists, tokens))],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    own = docs.select("doc_id", "text")
+    schema = T.StructType([own.schema["doc_id"], *(T.StructField(n, t) for n, t in (
+        ("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())))])
+    return own.mapInArrow(run, schema)

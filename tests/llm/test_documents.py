@@ -60,6 +60,18 @@ def test_overlapping_pairs_merge_from_the_left(word):
     assert np.frombuffer(bpe.Encoder(PATH).encode([word])[0], np.int32).tolist() == ids
 
 
+@pytest.mark.parametrize("memory", [0, 3, 200_000])
+def test_ids_do_not_depend_on_what_is_remembered(monkeypatch, memory):
+    monkeypatch.setattr(bpe, "MEMORY", memory)
+    library, encoder = Tokenizer.from_file(PATH), bpe.Encoder(PATH)
+    texts = [t or "" for _, t, *_ in edge_rows()] + ["ÀÉ, É. É, don't DON'T x'S", "ΑΣ σ ς ͰͰ", "a<|endoftext|>b <|startoftext|>", "\x1c \x1d"]
+    for _ in range(3):
+        for text in texts:
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(encoder.encode([text])[0], np.int32).tolist() == ids
+    assert len(encoder.old) <= memory + 20_000
+
+
 def brute_windows(texts, width):
     words = [(t or "").encode().split() for t in texts]
     seen = Counter(tuple(w[i : i + width]) for w in words for i in range(len(w) - width + 1))
