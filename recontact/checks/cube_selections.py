@@ -11,7 +11,7 @@ from recontact.checks.registry import ledger_columns, numbered_sql, register
 from recontact.checks.sample import keyring
 from recontact.functions.pii import encrypt_text
 from recontact.plans import calls, existing, reviews
-from recontact.plans.single_question import single_question
+from recontact.plans.single_question import single_question, single_question_list
 from recontact.sources.warehouse import Warehouse
 
 AS_OF = date(2000, 1, 1)
@@ -85,13 +85,7 @@ QUALIFY row_number() OVER (PARTITION BY lower(email) ORDER BY case_id) = 1""",
 )
 
 # C4: single question.
-register(
-    "single_question",
-    lambda wh: ledger_columns(single_question(wh, AS_OF)),
-    numbered_sql(
-        f"""
-chosen AS (
-  SELECT * FROM single_question
+QUESTIONED = f"""SELECT * FROM single_question
   WHERE payer_group IN ('gkv', 'pkv') AND product = 'MSS'
     AND result_date BETWEEN {NOW} - INTERVAL 7 MONTH AND {NOW} - INTERVAL 3 MONTH
     AND coalesce(reporting_bool, false) AND result IS NULL
@@ -100,9 +94,13 @@ chosen AS (
     AND inquiry_type IN ('surgery', 'second_opinion_before_surgery')
     AND inquiries_state = 'waiting_q3' AND appointment_type = '3'
     AND appointment_state IN ('sent', 'call_patient')
-    AND coalesce(channel_reach_email, false) AND preferred_channel = 'email'
-    AND case_id NOT IN (SELECT case_id FROM contact_ledger
-      WHERE batch_selection_date > {NOW} - INTERVAL 1 MONTH))""",
+    AND coalesce(channel_reach_email, false) AND preferred_channel = 'email'"""
+RECENT = f"(SELECT batch_id FROM cam_batch WHERE batch_selection_date > {NOW} - INTERVAL 1 MONTH)"
+register(
+    "single_question",
+    lambda wh: ledger_columns(single_question(wh, AS_OF)),
+    numbered_sql(
+        f"chosen AS ({QUESTIONED} AND case_id NOT IN (SELECT case_id FROM cam_select WHERE batch_id IN {RECENT}))",
         "chosen",
         "payer_name",
         "voucher_code",
@@ -110,6 +108,26 @@ chosen AS (
     ),
 )
 
+
+def questioned_beside_a_nameless_contact(wh: Warehouse):
+    """How many cases each null rule chooses once a recent contact has no case."""
+    nameless = Warehouse(wh.spark, lambda name: wh["cam_select_nameless" if name == "cam_select" else name])
+    counts = [
+        single_question_list(nameless, AS_OF, rule).agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("cases"))
+        for rule in ("sql", "guarded")
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+register(
+    "single_question_nameless_contact",
+    questioned_beside_a_nameless_contact,
+    f"""SELECT 'sql' AS rule, count(*) AS cases FROM ({QUESTIONED}
+  AND case_id NOT IN (SELECT case_id FROM cam_select_nameless WHERE batch_id IN {RECENT}))
+UNION ALL SELECT 'guarded', count(*) FROM ({QUESTIONED}
+  AND case_id NOT IN (SELECT case_id FROM cam_select_nameless WHERE batch_id IN {RECENT} AND case_id IS NOT NULL))""",
+)
+
 # Existing customers by mail.
 MAIL_COLUMNS = "case_id, patient_id, product, result_date, payer_name, voucher_code, email".split(", ")
 register(
@@ -359,10 +377,10 @@ register(
 
 register(
     "call_corporate",
-    lambda wh: ledger_columns(calls.call_corporate(wh, AS_OF, "%nation_2%")),
+    lambda wh: ledger_columns(calls.call_corporate(wh, AS_OF, "%nation%")),
     call_sql(
         """(lower(product_v2) LIKE '%msn%' OR lower(product_v2) LIKE '%pmn%')
-    AND lower(payer_name) LIKE '%nation_2%' AND medic_nps IS NULL AND provider_nps IS NULL""",
+    AND lower(payer_name) LIKE '%nation%' AND medic_nps IS NULL AND provider_nps IS NULL""",
         NEVER,
     ),
 )

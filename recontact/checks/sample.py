@@ -24,8 +24,29 @@ GIVEN = (
 PAYER_GROUP = """CASE r_name WHEN 'AMERICA' THEN 'gkv' WHEN 'EUROPE' THEN 'pkv' WHEN 'ASIA' THEN 'kv'
     WHEN 'AFRICA' THEN 'corporate' ELSE 'other' END"""
 
-SHIP_DAY = """lpad(cast(day(l_shipdate) AS string), 2, '0') || '-' ||
-    lpad(cast(month(l_shipdate) AS string), 2, '0') || '-' || cast(year(l_shipdate) AS string)"""
+# Half of the cases have their result in 1999, on the day of the year of their order.
+IN_1999 = """CASE year(o_orderdate) WHEN 1995 THEN o_orderdate + interval '48' month
+    WHEN 1996 THEN o_orderdate + interval '36' month WHEN 1997 THEN o_orderdate + interval '24' month
+    WHEN 1998 THEN o_orderdate + interval '12' month WHEN 2000 THEN o_orderdate - interval '12' month
+    WHEN 2001 THEN o_orderdate - interval '24' month ELSE o_orderdate END"""
+RESULT_DAY = f"cast(CASE WHEN o_orderkey % 2 = 1 THEN o_orderdate ELSE {IN_1999} END AS date)"
+
+
+def some_days(first: str, days: int) -> str:
+    """SQL for a time on one of a few days, by the number of a line."""
+    step = " ".join(f"WHEN {i} THEN interval '{i}' day" for i in range(days))
+    return f"cast('{first}' AS timestamp) + CASE l_linenumber % {days} {step} END"
+
+
+# When something happened to a line. Some cases had theirs in the weeks that short windows look at.
+LINE_TIME = f"""CASE WHEN l_orderkey % 8 = 1 THEN {some_days('1999-06-07 00:00:00', 5)}
+    WHEN l_orderkey % 8 = 3 THEN {some_days('1998-11-02 00:00:00', 7)} ELSE l_shipdate END"""
+LINE_DAY = f"""lpad(cast(day({LINE_TIME}) AS string), 2, '0') || '-' ||
+    lpad(cast(month({LINE_TIME}) AS string), 2, '0') || '-' || cast(year({LINE_TIME}) AS string)"""
+INVITED_TIME = f"CASE WHEN l_orderkey % 8 = 5 THEN {some_days('1999-12-11 00:00:00', 6)} ELSE l_shipdate END"
+
+APPOINTED_TIME = f"""CASE WHEN l_orderkey % 8 = 7 THEN {some_days('1999-01-04 00:00:00', 7)}
+    WHEN l_orderkey % 16 = 5 THEN {some_days('1996-06-17 00:00:00', 7)} ELSE l_shipdate END"""
 
 VIEWS: dict[str, str] = {}
 
@@ -35,14 +56,15 @@ SELECT o_orderkey AS id, cast(o_orderkey AS string) AS case_id, o_custkey, o_ord
   CASE WHEN c_acctbal < 0 THEN NULL ELSE o_custkey END AS patient_id,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'MSS' WHEN '2-HIGH' THEN 'MSS' WHEN '3-MEDIUM' THEN 'PMS'
     WHEN '4-NOT SPECIFIED' THEN 'MSN' ELSE 'RSO' END AS product,
-  CASE WHEN o_totalprice > 490000 THEN NULL ELSE cast(o_orderdate AS date) END AS result_date,
+  CASE WHEN o_totalprice > 490000 THEN NULL ELSE {RESULT_DAY} END AS result_date,
   cast(c_nationkey AS bigint) AS payer_id, n_name AS payer_name, {PAYER_GROUP} AS payer_group,
   CASE WHEN o_totalprice < 10000 THEN NULL WHEN o_totalprice < 15000 THEN ''
-    WHEN o_totalprice < 40000 THEN 'VRTC-' || cast(c_nationkey AS string)
+    WHEN o_totalprice < 40000 OR (o_orderkey % 8 = 3 AND o_totalprice < 300000) THEN 'VRTC-' || cast(c_nationkey AS string)
     WHEN o_totalprice < 50000 THEN 'GADS-LF22'
     ELSE 'STD-' || cast(c_nationkey AS string) END AS voucher_code,
   CASE WHEN o_totalprice > 450000 THEN true WHEN o_totalprice > 440000 THEN NULL ELSE false END AS goodwill,
   CASE WHEN c_mktsegment = 'HOUSEHOLD' AND o_orderstatus = 'P' THEN NULL
+    WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') AND o_orderstatus = 'F' THEN NULL
     ELSE cast(cast(floor(o_totalprice) AS bigint) % 11 AS int) END AS provider_nps,
   CASE WHEN o_orderstatus = 'F' OR c_mktsegment = 'HOUSEHOLD' THEN NULL
     ELSE cast(cast(floor(o_totalprice / 7) AS bigint) % 11 AS int) END AS medic_nps,
@@ -100,8 +122,8 @@ SELECT case_id, patient_id, result_date, payer_name, payer_group, voucher_code,
   '+49-' || cast(o_custkey AS string) AS primary_phone
 FROM case_wide"""
 
-VIEWS["single_question"] = """
-SELECT case_id, case_id || ':' || product AS service_id, product, patient_id, result_date, payer_name,
+VIEWS["single_question"] = f"""
+SELECT case_id, case_id || ':' || product AS service_id, product, patient_id, cast({IN_1999} AS date) AS result_date, payer_name,
   payer_group, voucher_code, admission_channel, preferred_channel, inquiry_type,
   CASE preferred_channel WHEN 'email' THEN true WHEN 'phone' THEN NULL ELSE false END AS channel_reach_email,
   CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Fuß' WHEN 'BUILDING' THEN 'Hüfte' WHEN 'MACHINERY' THEN 'Schulter'
@@ -151,11 +173,20 @@ CAM_OF_LINE = """CASE WHEN l_linenumber = 5 THEN 8 WHEN l_linenumber = 6 AND l_l
     WHEN l_linenumber = 7 THEN 97 ELSE l_linenumber END"""
 BATCH_OF_LINE = f"(year(l_shipdate) * 12 + month(l_shipdate)) * 100 + {CAM_OF_LINE}"
 
+# Rows without case lie in a batch that no campaign opened.
+NAMELESS = "l_linenumber = 1 AND l_quantity = 1 AND l_shipdate > cast('2000-06-01' AS date)"
+
 VIEWS["cam_select"] = f"""
-SELECT cast(l_orderkey * 10 + l_linenumber AS bigint) AS select_id, cast({BATCH_OF_LINE} AS bigint) AS batch_id,
-  CASE WHEN l_linenumber = 1 AND l_quantity = 1 AND l_shipdate > cast('2000-06-01' AS date) THEN NULL ELSE cast(l_orderkey AS string) END AS case_id
+SELECT cast(l_orderkey * 10 + l_linenumber AS bigint) AS select_id,
+  CASE WHEN {NAMELESS} THEN cast(7 AS bigint) ELSE cast({BATCH_OF_LINE} AS bigint) END AS batch_id,
+  CASE WHEN {NAMELESS} THEN NULL ELSE cast(l_orderkey AS string) END AS case_id
 FROM lineitem WHERE l_returnflag = 'R'"""
 
+# The ledger with a contact of no known case in its last batch.
+VIEWS["cam_select_nameless"] = """
+SELECT select_id, batch_id, case_id FROM cam_select
+UNION ALL SELECT cast(0 AS bigint), max(batch_id), cast(NULL AS string) FROM cam_batch WHERE cam_id = 97"""
+
 VIEWS["cam_batch"] = f"""
 SELECT DISTINCT {CAM_OF_LINE} AS cam_id, cast({BATCH_OF_LINE} AS bigint) AS batch_id,
   cast(date_trunc('month', l_shipdate) AS date) AS batch_selection_date
@@ -214,14 +245,14 @@ VIEWS["inquiry_results"] = """
 SELECT case_id || ':' || product AS service_id, cast(date_trunc('year', o_orderdate) AS date)
   AS least_result_date FROM case_wide"""
 
-VIEWS["appointments"] = """
+VIEWS["appointments"] = f"""
 SELECT l_orderkey AS inquiry_id,
   CASE WHEN l_linenumber = 7 THEN CASE l_linestatus WHEN 'O' THEN '4' ELSE '2' END
     WHEN l_linenumber IN (3, 4) THEN '3' ELSE '1' END AS appointment_type,
   CASE WHEN l_returnflag = 'A' THEN CASE l_linestatus WHEN 'F' THEN 'call_patient' ELSE 'sent' END
     WHEN l_returnflag = 'N' THEN CASE l_linestatus WHEN 'F' THEN 'sent' ELSE 'ready_to_send_pdf' END
     ELSE CASE l_linestatus WHEN 'F' THEN 'completed' ELSE 'deleted' END END AS state,
-  CASE WHEN l_tax = 0 THEN NULL ELSE cast(l_shipdate AS date) END AS scheduled_date
+  CASE WHEN l_tax = 0 THEN NULL ELSE cast({APPOINTED_TIME} AS date) END AS scheduled_date
 FROM lineitem"""
 
 VIEWS["contact_entries"] = """
@@ -283,8 +314,8 @@ SELECT cast(l_orderkey AS string) AS case_id,
     ELSE CASE l_returnflag WHEN 'A' THEN 'DID_CLOSE_CASE' ELSE 'DID_NOTE' END END AS event_type,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'MSS' WHEN '2-HIGH' THEN 'MSS' WHEN '3-MEDIUM' THEN 'PMS'
     WHEN '4-NOT SPECIFIED' THEN 'MSN' ELSE 'RSO' END AS service,
-  cast(l_shipdate AS date) AS event_date, l_shipdate AS event_time,
-  '{{"properties":{{"date":"' || {SHIP_DAY} || '","reason":"' ||
+  cast({LINE_TIME} AS date) AS event_date, {LINE_TIME} AS event_time,
+  '{{"properties":{{"date":"' || {LINE_DAY} || '","reason":"' ||
     CASE WHEN l_quantity < 10 THEN 'Keine weitere Befragung gewünscht' WHEN l_quantity < 20 THEN 'Sonstige'
       ELSE 'Kontaktadresse fehlt' END || '","product":"' ||
     CASE l_linestatus WHEN 'F' THEN 'Spezialistensuche' ELSE 'Erstmeinung' END || '"}}}}' AS event_body,
@@ -305,8 +336,8 @@ UNION ALL
 SELECT 'second', batch_id, case_id, CASE WHEN select_id % 4 = 0 THEN 'given up' WHEN select_id % 7 = 1 THEN 'delivered'
     ELSE 'failed' END, cast('1999-01-05' AS date) FROM cam_select WHERE select_id % 2 = 0"""
 
-VIEWS["survey_links"] = """
-SELECT cast(l_orderkey AS string) AS case_id, l_suppkey AS survey_id, l_shipdate AS created_at,
+VIEWS["survey_links"] = f"""
+SELECT cast(l_orderkey AS string) AS case_id, l_suppkey AS survey_id, {INVITED_TIME} AS created_at,
   CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'complete' ELSE NULL END AS response_status
 FROM lineitem"""
 
