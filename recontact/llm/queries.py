@@ -69,12 +69,12 @@ def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the line runs that came before."""
+    """Every document without the line runs that came before: of three lines, of ten words, or whole."""
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
 def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the line runs and the long passages of one or two lines that came before."""
+    """The same where runs of one or two lines need fifty words, or are whole documents."""
     return line_dedup.digests(table(spark, sf_dir, "documents"), line_dedup.PASSAGE_WORDS)
 
 
@@ -139,8 +139,8 @@ QUERIES = {run.__name__: _registered(run) for run in _RUNS}
 ORACLE = {
     "op3_mixing": mixing.mixing_sql(),
     "op6_fixity": fixity.audit_sql(),
-    "op7_line_dedup": line_dedup.SQL,
-    "op7_passage_dedup": line_dedup.PASSAGE_SQL,
+    "op7_line_dedup": line_dedup.digests_sql(),
+    "op7_passage_dedup": line_dedup.digests_sql(line_dedup.PASSAGE_WORDS),
     "op11_reputation": reputation.judged_sql(),
     "op12_simplex": simplex_clusters.clustered_sql(),
     "op13_angular": angular_negatives.mined_sql(),

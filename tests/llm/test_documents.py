@@ -100,29 +100,64 @@ def test_line_dedup_equals_sql(clashing, edge, con):
     # SQL knows documents by their id alone, so ids must be unique and present there.
     unique = edge.filter("doc_id IS NOT NULL").filter("text IS NULL OR text != 'other text of a known id'").dropDuplicates(["doc_id"])
     con.execute("CREATE OR REPLACE VIEW all_documents AS SELECT DISTINCT * FROM documents WHERE doc_id IS NOT NULL AND (text IS NULL OR text != 'other text of a known id')")
-    problem, n = difference(line_dedup.digests(unique), con, line_dedup.SQL.replace("FROM documents", "FROM all_documents"))
+    problem, n = difference(line_dedup.digests(unique), con, line_dedup.digests_sql().replace("FROM documents", "FROM all_documents"))
     assert problem is None, problem
     assert n == 23
     rows = line_dedup.deduped(clashing)
-    assert rows.columns == [*clashing.columns, "_n_lines", "_n_deleted", "_runs"]
+    assert rows.columns == [*clashing.columns, "_n_lines", "_n_deleted", "_n_gaps", "_runs"]
     assert rows.count() == clashing.count()
 
 
-@pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
-def test_line_dedup_by_windows(spark, min_lines):
-    texts = ["a\nb\nc\nd\ne\nf", "x\nb\nc\nd\ne\nf\ny", "z\nz\nz\nz\nz\nz\nz", "b\n\nc\nd\nq\ne\nf"]
-    got = {r.doc_id: r.text for r in line_dedup.deduped(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), min_lines).collect()}
-    seen = set()
-    for i, text in enumerate(texts):
+def plain_runs(texts, min_lines, min_words):
+    """Kept text and maximal deleted runs of each text, by looking up every run of every length."""
+    docs = []
+    for text in texts:
         lines = text.split("\n")
-        full = [k for k, x in enumerate(lines) if x]
-        gone = set()
-        for p in range(len(full) - min_lines + 1):
-            key = tuple(lines[k] for k in full[p : p + min_lines])
-            if key in seen:
-                gone |= set(full[p : p + min_lines])
-            seen.add(key)
-        assert got[i] == ("" if len(gone) == len(full) else "\n".join(x for k, x in enumerate(lines) if k not in gone))
+        docs.append((lines, [k for k, x in enumerate(lines) if x.encode().split()]))
+    seen, out = set(), []
+    for lines, full in docs:
+        n, own, longest = len(full), [lines[k] for k in full], {}
+        for p in range(n):
+            for m in range(1, n - p + 1):
+                run = tuple(own[p : p + m])
+                words = sum(len(x.encode().split()) for x in run)
+                if run in seen and (m >= min_lines or m == n or (min_words is not None and words >= min_words)):
+                    longest[p] = m
+            # Overlapping copies count, so a start's runs are known to the next start.
+            seen.update(tuple(own[p : p + m]) for m in range(1, n - p + 1))
+        gone = {k for p, m in longest.items() for k in range(p, p + m)}
+        runs = []
+        for p, m in sorted(longest.items()):
+            if not runs or p + m > runs[-1][1]:
+                runs.append((p, p + m))
+        kept = "" if n and len(gone) == n else "\n".join(x for k, x in enumerate(lines) if k not in {full[g] for g in gone})
+        out.append((kept, len(gone), runs))
+    return out
+
+
+RUNS = [
+    "a\nb\nc\nd\ne\nf", "x\nb\nc\nd\ne\nf\ny", "z\nz\nz\nz\nz\nz\nz", "b\n\nc\nd\nq\ne\nf", "a\nb", "a\nb", "q\na\nb", "one", "one",
+    "\n".join(f"l{i}" for i in range(40)), "k\n" + "\n".join(f"l{i}" for i in range(3, 38)) + "\nb\nc\nd", "l5\nl6\nl7\nl8\nl20\nl21\nl22",
+    "", " \n\t", "w1 w2 w3 w4 w5 w6\nshort", "new\nw1 w2 w3 w4 w5 w6\nshort",
+]
+
+
+@pytest.mark.parametrize("min_words", [None, 6])
+@pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
+def test_line_dedup_equals_plain_runs(spark, min_lines, min_words):
+    docs = spark.createDataFrame(list(enumerate(RUNS)), "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.deduped(docs, min_lines, min_words).collect()}
+    for i, (kept, n, _) in enumerate(plain_runs(RUNS, min_lines, min_words)):
+        assert (got[i].text, got[i]._n_deleted) == (kept, n)
+        own = [x for x in RUNS[i].split("\n") if x.split()]
+        covered = {k for a, b in got[i]._runs for k in range(a, b)}
+        assert len(covered) == n
+        # Each run occurs before as a whole.
+        for a, b in got[i]._runs:
+            run = own[a:b]
+            others = [[x for x in t.split("\n") if x.split()] for t in RUNS[: i + 1]]
+            assert any(o[k : k + b - a] == run for j, o in enumerate(others) for k in range(len(o) - (b - a) + 1) if (j, k) < (i, a))
+    assert [tuple(r) for r in got[10]._runs] == [(1, 36)] + [(36, 39)] * (min_lines <= 3)
 
 
 def test_long_passages_of_few_lines_are_cut(spark):
@@ -134,15 +169,29 @@ def test_long_passages_of_few_lines_are_cut(spark):
     assert got == dict(enumerate(want))
 
 
-def test_passage_dedup_equals_sql(spark):
-    path = "/root/testdata/sf0.01/documents.parquet"
+@pytest.mark.parametrize("min_words", [line_dedup.MIN_WORDS, line_dedup.PASSAGE_WORDS])
+def test_line_dedup_of_the_documents_equals_sql(spark, sf_dir, min_words):
+    path = f"{sf_dir}/documents.parquet"
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
     docs = spark.read.parquet(path)
-    problem, n = difference(line_dedup.digests(docs, line_dedup.PASSAGE_WORDS), con, line_dedup.PASSAGE_SQL)
+    problem, _ = difference(line_dedup.digests(docs, min_words), con, line_dedup.digests_sql(min_words))
     assert problem is None, problem
-    cut = "SELECT sum(n_deleted) FROM ({})"
-    assert con.execute(cut.format(line_dedup.PASSAGE_SQL)).fetchone() > con.execute(cut.format(line_dedup.SQL)).fetchone()
+
+
+def test_no_line_of_ten_words_stays_twice(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    lines = Counter(
+        line for r in line_dedup.deduped(docs).select("text").collect() for line in (r.text or "").split("\n") if len(line.encode().split()) >= 10
+    )
+    assert max(lines.values()) == 1
+
+
+def test_passage_form_on_odd_rows(clashing, none):
+    rows = line_dedup.deduped(clashing, min_words=line_dedup.PASSAGE_WORDS)
+    assert rows.columns[: len(clashing.columns)] == clashing.columns
+    assert rows.count() == clashing.count()
+    assert line_dedup.digests(none, line_dedup.PASSAGE_WORDS).count() == 0
 
 
 def shingles(text):

@@ -39,15 +39,20 @@ def good(docs):
 
 
 def without_runs(docs):
+    """Lines of runs that came before: of three lines, of ten words, or whole documents."""
     seen = set()
     for doc_id, text, source in sorted(docs):
         lines = text.split("\n")
         full = [k for k, x in enumerate(lines) if x.encode().split()]
         gone = set()
-        for p in range(len(full) - 2):
-            key = tuple(lines[k] for k in full[p : p + 3])
-            gone |= set(full[p : p + 3]) if key in seen else set()
-            seen.add(key)
+        for p in range(len(full)):
+            for n in (1, 2, 3):
+                if p + n > len(full):
+                    break
+                key = tuple(lines[k] for k in full[p : p + n])
+                enough = n == 3 or n == len(full) or sum(len(x.encode().split()) for x in key) >= 10
+                gone |= set(full[p : p + n]) if enough and key in seen else set()
+                seen.add(key)
         if len(gone) < len(full) or not full:
             yield doc_id, "\n".join(x for k, x in enumerate(lines) if k not in gone), source
 
@@ -81,5 +86,12 @@ def test_pipeline_equals_its_plain_version(spark):
     for doc_id, text, source in rows:
         ids = library.encode(text, add_special_tokens=False).ids
         want[doc_id, source, tuple(ids), library.decode(ids, skip_special_tokens=False)] += 1
-    got = corpus_pipeline.run(spark, path)
-    assert Counter((r.doc_id, r.source, tuple(r.ids), r.decoded) for r in got.collect()) == want
+    got = corpus_pipeline.run(spark, path).collect()
+    assert Counter((r.doc_id, r.source, tuple(r.ids), r.decoded) for r in got) == want
+    # The places tell copies apart and give back the order of the mix.
+    assert len({(r.part, r.row) for r in got}) == len(got)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", first_of_groups(list(without_runs(list(good(docs))))))
+    order = con.execute(f"SELECT doc_id FROM ({mixing.mixing_sql()}) ORDER BY \"at\", doc_id, copy").fetchall()
+    assert [r.doc_id for r in sorted(got, key=lambda r: (r.part, r.row))] == [r[0] for r in order]
