@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recontact.llm import bpe, line_dedup, mixing, ngram_join, quality
 from recontact.llm.common import reachable
@@ -34,10 +36,20 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_sources(docs).select(*docs.columns)
 
 
+def in_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``part`` and ``row``, their place in the files of a written stage; null for rows that
+    come from elsewhere. Readers pack files by size, so these alone keep the order and tell copies apart."""
+    place = ("_metadata.file_name", "_metadata.row_index")
+    try:
+        return docs.select("*", F.col(place[0]).alias("part"), F.col(place[1]).alias("row"))
+    except AnalysisException:
+        return docs.select("*", F.lit(None).cast("string").alias("part"), F.lit(None).cast("long").alias("row"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the text they decode to."""
+    """Token ids of every document, the text they decode to, and its place ``part``, ``row`` in the mix."""
     reachable(spark)
-    ids = bpe.encoded(docs.select("doc_id", "source", "text"), WORD_BPE).drop("text")
+    ids = bpe.encoded(in_order(docs.select("doc_id", "source", "text")), WORD_BPE).drop("text")
     return bpe.decoded(ids, WORD_BPE)
 
 
