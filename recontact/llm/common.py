@@ -19,7 +19,11 @@ from recontact.sources.storage import release, written_once
 
 # A word is a run of characters other than these six; equal to what ``bytes.split()`` cuts at.
 WORD_GAP = r"[\x20\x09-\x0D]+"
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
+#: Chunks and buckets exchange a cell each, so there are fewer, larger buckets than chunks beyond these.
+LEAST_BUCKETS, CHUNKS_A_BUCKET = 16, 4
+#: Rows of a table that is sent to all tasks, at about 40 bytes.
+MOST_SENT = 200_000
 
 
 def whole_text(name: str = "text") -> Column:
@@ -33,6 +37,37 @@ def chunk_count(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BY
     return max(1, -(-(total or 0) // chunk_bytes))
 
 
+def bucket_count(chunks: int) -> int:
+    """Number of hash buckets that the chunks exchange cells with."""
+    return max(min(chunks, LEAST_BUCKETS), -(-chunks // CHUNKS_A_BUCKET))
+
+
+def with_times(docs: DataFrame, *more: str, group_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``doc_id``, ``text`` and the columns named of all rows, where rows that repeat both and would fill
+    ``group_bytes`` alone are one row; ``times`` says of how many.
+
+    Sizes of groups come from hashes, without shuffling texts; most tables have no such group and
+    are returned as they are. There are at most as many as the texts have ``group_bytes``.
+    """
+    own = docs.select("doc_id", "text", *more)
+    text_hash = F.xxhash64("text").alias("_h")
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 64)
+    groups = docs.groupBy("doc_id", text_hash).agg(F.count(F.lit(1)).alias("times"), size.alias("_size"))
+    large = written_once(groups.filter((F.col("_size") > group_bytes) & (F.col("times") > 1)).drop("_size"), "groups")
+    n = large.count()
+    if not n:
+        release(large)
+        return own.withColumn("times", F.lit(1).cast("long"))
+    large = large.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_large"), "times")
+    if n <= MOST_SENT:
+        large = F.broadcast(large)
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_large"))
+    rest = own.join(large, on, "left_anti").withColumn("times", F.lit(1).cast("long"))
+    # Equal rows are put together before they are shuffled. Equal hashes of unequal texts stay apart.
+    met = own.join(large, on).groupBy("doc_id", "text", *more).agg(F.count(F.lit(1)).alias("times"))
+    return rest.unionByName(met.select(rest.columns))
+
+
 def chunked(docs: DataFrame, chunks: int, *more: str) -> DataFrame:
     """Columns ``doc_id``, ``text`` (bytes), those named, and ``chunk``, which the row alone decides.
 
@@ -42,6 +77,11 @@ def chunked(docs: DataFrame, chunks: int, *more: str) -> DataFrame:
     return docs.select("doc_id", whole_text().alias("text"), *more, chunk.alias("chunk"))
 
 
+def as_often(rows: DataFrame) -> DataFrame:
+    """Each row as often as its ``times`` says, without that column."""
+    return rows.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("_k", "times")
+
+
 class WordHashes(dict):
     """64-bit hash of each word seen; emptied by the caller when it has grown large."""
 

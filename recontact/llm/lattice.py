@@ -22,7 +22,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recontact.llm.common import bucket_of, by_bucket, chunk_count, chunked
+from recontact.llm.common import (
+    as_often,
+    bucket_count,
+    bucket_of,
+    by_bucket,
+    chunk_count,
+    chunked,
+    with_times,
+)
 from recontact.sources.storage import written_once
 
 SPACE = "▁"
@@ -167,15 +175,18 @@ def scored(docs: DataFrame, path: str, folds: int = 7, held: int = 2) -> DataFra
     """
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
     docs = docs.select("doc_id", "text", F.coalesce(fold == held, F.lit(False)).alias("held_out"))
-    buckets = chunks = chunk_count(docs)
-    texts = chunked(docs, chunks, "held_out")
+    chunks = chunk_count(docs)
+    buckets = bucket_count(chunks)
+    texts = chunked(with_times(docs, "held_out"), chunks, "held_out", "times")
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        held_out, counts = table["held_out"].to_pylist(), Counter()
+        held_out, times, counts = table["held_out"].to_pylist(), table["times"].to_pylist(), Counter()
         all_texts = table["text"].to_pylist()
-        for text, out in zip(all_texts, held_out, strict=True):
-            if not out:
+        for text, out, n in zip(all_texts, held_out, times, strict=True):
+            if not out and n == 1:
                 counts.update(words_of(text))
+            elif not out:
+                counts.update({w: k * n for w, k in Counter(words_of(text)).items()})
         words, hashes = _in_order(list(_distinct(all_texts)))
         rows = {"bucket": [], "chunk": [], "words": [], "counts": []}
         for bucket, own in by_bucket(hashes, buckets):
@@ -259,9 +270,10 @@ def scored(docs: DataFrame, path: str, folds: int = 7, held: int = 2) -> DataFra
             "doc_id": table["doc_id"], "held_out": table["held_out"],
             "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
             "train_tokens": pa.array([tokens] * len(rows), pa.int64()),
-            "base_score": pa.array(base_score), "score": pa.array(own_score),
+            "base_score": pa.array(base_score), "score": pa.array(own_score), "times": table["times"],
         })
 
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    told = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, times long"
     )
+    return as_often(told)

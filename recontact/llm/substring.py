@@ -5,7 +5,8 @@ document. These non-overlapping blocks are the index; every rolling window of 18
 A block that is met at a second place is an anchor. Around anchors, and only there, whole windows are
 compared; windows met twice join to the maximal exact repeats, whose words are removed.
 
-Documents form chunks of a few MB by a hash of id and text. Chunks and hash buckets exchange sorted,
+Documents form chunks of a few MB by a hash of id and text; many equal rows are one row that counts
+as often. Chunks and hash buckets exchange sorted,
 packed hash sets in which a chunk names each hash twice at most, so a passage that a third of all
 documents share costs a bucket a few bytes for each chunk. A bucket answers each chunk with the hashes
 that it asked about and that occur twice. Texts are shuffled once; the exchange is reused.
@@ -24,7 +25,9 @@ from pyspark.sql import functions as F
 
 from recontact.llm.common import (
     WordHashes,
+    as_often,
     at_most_twice,
+    bucket_count,
     by_bucket,
     chunk_count,
     chunked,
@@ -32,6 +35,7 @@ from recontact.llm.common import (
     mixed,
     pack,
     unpack,
+    with_times,
 )
 
 WINDOW = 35
@@ -46,13 +50,14 @@ _SQL = {_ASK: "bucket int, chunk int, probes binary, blocks binary", _TOLD: "chu
 class Words:
     """Word hashes of the documents of a chunk, end to end."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], times: np.ndarray | None = None):
         known = WordHashes()
         hashes = [known.of(t.split()) for t in texts]
         self.sizes = np.array([len(h) for h in hashes], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)))
         self.own = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         n = len(self.own)
+        self.again = np.zeros(n, bool) if times is None else np.repeat(times > 1, self.sizes)
         # Position and words left of each word within its document.
         self.at = np.arange(n) - np.repeat(self.starts[:-1], self.sizes)
         self.left = np.repeat(self.sizes, self.sizes) - self.at
@@ -76,9 +81,12 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _asking(hashes: np.ndarray, wanted: np.ndarray, chunk: int, buckets: int, cut: np.uint64) -> pa.Table:
-    """For each bucket the hashes that occur in a chunk and those it wants to know about."""
-    hashes, wanted = np.sort(hashes), np.unique(wanted)
+def _asking(
+    hashes: np.ndarray, again: np.ndarray, wanted: np.ndarray, chunk: int, buckets: int, cut: np.uint64
+) -> pa.Table:
+    """For each bucket the hashes that occur in a chunk and those it wants to know about. Hashes of rows
+    that count several times occur twice."""
+    hashes, wanted = np.sort(np.concatenate((hashes, hashes[again]))), np.unique(wanted)
     asked = {b: wanted[s] for b, s in by_bucket(wanted, buckets)}
     none = wanted[:0]
     rows = [
@@ -128,18 +136,19 @@ def repeated_words(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     Only ``doc_id`` (null allowed) and ``text`` are read, so other columns cannot clash.
     """
     chunks = chunk_count(docs)
-    buckets, cut, block = chunks, _cut(chunks), (width + 1) // 2
-    texts = chunked(docs, chunks)
+    buckets, block = bucket_count(chunks), (width + 1) // 2
+    cut = _cut(buckets)
+    texts = chunked(with_times(docs), chunks, "times")
 
     def ask_blocks(key: tuple, table: pa.Table) -> pa.Table:
-        words = Words(table["text"].to_pylist())
+        words = Words(table["text"].to_pylist(), table["times"].to_numpy())
         start, hashes = words.windows(block)
-        return _asking(hashes, hashes[words.at[start] % block == 0], key[0].as_py(), buckets, cut)
+        return _asking(hashes, words.again[start], hashes[words.at[start] % block == 0], key[0].as_py(), buckets, cut)
 
     def ask_windows(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
-        words = Words(table["text"].to_pylist())
-        _, hashes = _candidates(words, _told(told), width, cut)
-        return _asking(hashes, hashes, key[0].as_py(), buckets, np.uint64(0))
+        words = Words(table["text"].to_pylist(), table["times"].to_numpy())
+        start, hashes = _candidates(words, _told(told), width, cut)
+        return _asking(hashes, words.again[start], hashes, key[0].as_py(), buckets, np.uint64(0))
 
     def remove(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         return pa.Table.from_batches(_removed(table, _told(told), width), schema=_RESULT)
@@ -152,20 +161,21 @@ def repeated_words(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     by_chunk = texts.groupBy("chunk")
     asked = by_chunk.cogroup(anchors.groupBy("chunk")).applyInArrow(ask_windows, _SQL[_ASK])
     repeats = asked.groupBy("bucket").applyInArrow(answer, _SQL[_TOLD])
-    return by_chunk.cogroup(repeats.groupBy("chunk")).applyInArrow(
-        remove, "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept_text string"
+    told = by_chunk.cogroup(repeats.groupBy("chunk")).applyInArrow(
+        remove, "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept_text string, times long"
     )
+    return as_often(told)
 
 
 _RANGE = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 _RESULT = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("removed", pa.list_(_RANGE)), ("kept_text", pa.string())]
+    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("removed", pa.list_(_RANGE)), ("kept_text", pa.string()), ("times", pa.int64())]
 )
 
 
 def _removed(table: pa.Table, repeats: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
-    texts = table["text"].to_pylist()
-    words = Words(texts)
+    texts, times = table["text"].to_pylist(), table["times"].to_numpy()
+    words = Words(texts, times)
     start, hashes = words.windows(width)
     hit = start[found_in(hashes, repeats)]
     depth = np.zeros(len(words.own) + 1, np.int64)
@@ -181,7 +191,7 @@ def _removed(table: pa.Table, repeats: np.ndarray, width: int) -> Iterator[pa.Re
             edges = np.flatnonzero(np.diff(np.concatenate(([0], own.astype(np.int8), [0]))))
             ranges = [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
             kept = split if not ranges else [split[k] for k in np.flatnonzero(~own)]
-            rows.append((ids[i], len(split), ranges, b" ".join(kept).decode()))
+            rows.append((ids[i], len(split), ranges, b" ".join(kept).decode(), int(times[i])))
         yield from _rows(_RESULT, rows).to_batches()
 
 

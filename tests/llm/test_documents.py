@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recontact.llm import bpe, lattice, line_dedup, mixing, ngram_join, quality, queries, substring
+from recontact.llm import bpe, common, lattice, line_dedup, mixing, ngram_join, quality, queries, substring
 from tests.compare import difference
 from tests.llm.conftest import edge_rows
 
@@ -108,6 +108,45 @@ def test_line_dedup_equals_sql(clashing, edge, con):
     assert rows.count() == clashing.count()
 
 
+def many_equal_rows(spark):
+    """A third of the rows repeat one document, another third one text without id."""
+    rows = edge_rows()
+    copies = [(77, "w1 w2 w3 " * 20 + "end", "en", "src0", 1)] * 90 + [(None, "v1 v2 v3 " * 20, "en", None, None)] * 90
+    return [*rows, *copies], spark.createDataFrame([*rows, *copies], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+@pytest.mark.parametrize("sent", [200_000, 0])
+def test_many_equal_rows_are_one_row_of_a_chunk(spark, monkeypatch, sent):
+    monkeypatch.setattr(common, "MOST_SENT", sent)
+    rows, docs = many_equal_rows(spark)
+    told = common.with_times(docs, group_bytes=5000)
+    assert sorted(r.times for r in told.filter("times > 1").collect()) == [90, 90]
+    assert told.agg(F.sum("times")).first()[0] == len(rows)
+    assert bag(common.as_often(told), "doc_id", "text") == Counter((r[0], r[1]) for r in rows)
+    sizes = common.chunked(told, 4).groupBy("chunk").agg(F.sum(F.octet_length("text")).alias("n")).select("n").toPandas()["n"]
+    assert sizes.max() < 1.2 * sum(len((t or "").encode()) for _, t, *_ in edge_rows())
+
+
+def test_operators_count_equal_rows_as_often(spark, monkeypatch):
+    rows, docs = many_equal_rows(spark)
+    plain = common.with_times
+    for module in (substring, lattice):
+        monkeypatch.setattr(module, "with_times", lambda *a: plain(*a, group_bytes=5000))
+        monkeypatch.setattr(module, "chunk_count", lambda docs: 5)
+    want = Counter()
+    for (doc_id, *_), (w, gone) in zip(rows, brute_windows([r[1] for r in rows], 35), strict=True):
+        kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        want[doc_id, len(w), sum(gone), sha(kept)] += 1
+    assert bag(substring.digests(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == want
+    have = Counter((*r[:5], round(r.base_score, 6)) for r in lattice.scored(docs, PIECES).drop("score").collect())
+    assert have == Counter(brute_scores(rows))
+
+
+def test_cells_grow_with_the_input():
+    cells = [common.bucket_count(c) * c for c in (13, 64, 3750)]
+    assert cells[0] == 13 * 13 and cells[1] == 64 * 16 and cells[2] == 3750 * 938
+
+
 def plain_runs(texts, min_lines, min_words):
     """Kept text and maximal deleted runs of each text, by looking up every run of every length."""
     docs = []
