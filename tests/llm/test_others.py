@@ -1,5 +1,6 @@
 """Embeddings, archives, conversations, shared parts and the pipeline."""
 
+import gzip
 import hashlib
 from collections import Counter, defaultdict
 
@@ -155,44 +156,78 @@ def test_no_vectors(spark):
     assert sorted(tuple(r) for r in cover_tree.linked(bad).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
 
 
-PAGES = [(i, f"http://h/{i}", f"<p>{'é' * (i % 7)}{i}") for i in range(700)] + [(800, None, None), (801, "u", ""), (None, "n", "<x"), (3, "http://h/3", "<p>again")]
+PAGES = [(i, f"http://h/{i}", f"<p>{'é' * (i % 7)}{i}") for i in range(700)] + [
+    (800, None, None), (801, "u", ""), (None, "n", "<x"), (3, "http://h/3", "<p>again"), (802, "a\r\n\r\nWARC/1.1", "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n"),
+]
+PAGE_SCHEMA = "page_id long, url string, html string"
 
 
-def test_audit_equals_sql(spark, monkeypatch):
-    monkeypatch.setattr(fixity, "volume_count", lambda pages: 7)
-    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumns({"volume": F.lit("x"), "digest": F.lit("y")})
+@pytest.mark.parametrize("volumes", [1, 5, 7])
+def test_audit_equals_sql(spark, monkeypatch, volumes):
+    monkeypatch.setattr(fixity, "volume_count", lambda pages: volumes)
+    pages = spark.createDataFrame(PAGES, PAGE_SCHEMA).withColumns({"volume": F.lit("x"), "digest": F.lit("y")})
     con = duckdb.connect()
     con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
     con.executemany("INSERT INTO pages VALUES (?, ?, ?)", PAGES)
     total = sum(len((h or "").encode()) for *_, h in PAGES)
-    problem, n = difference(fixity.audited_pages(pages), con, fixity.audit_sql(-(-total // 7)))
+    problem, n = difference(fixity.audited_pages(pages), con, fixity.audit_sql(-(-total // volumes)))
     assert problem is None, problem
     assert n == len(PAGES)
+    if volumes == 5:
+        told = con.execute(f"SELECT DISTINCT status FROM ({fixity.audit_sql(-(-total // volumes))})").fetchall()
+        assert {s for s, in told} == {"missing", "corrupt", "moved", "intact"}
+
+
+def archived(spark, rows, path, volumes=3):
+    fixity.write_archive(spark.createDataFrame(rows, PAGE_SCHEMA), path, volumes)
+    return fixity.read_archive(spark, path)
 
 
-def test_equal_replicas_have_equal_roots_and_extra_records_show(spark):
-    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
-    a, more = fixity.archive(pages, 3), fixity.archive(pages.unionByName(spark.createDataFrame([(9999, "zz", "<p>")], pages.schema)), 3)
-    assert fixity.audit(a, a, 3).isEmpty()
+def test_equal_replicas_have_equal_roots_and_extra_records_show(spark, tmp_path):
+    a = archived(spark, PAGES, f"{tmp_path}/a")
+    again = archived(spark, PAGES[::-1], f"{tmp_path}/b")
+    more = archived(spark, [*PAGES, (9999, "zz", "<p>")], f"{tmp_path}/c")
+    assert fixity.audit(a, again, 3).isEmpty()
     assert [r.status for r in fixity.audit(a, more, 3).collect()] == ["extra"]
     assert [r.status for r in fixity.audit(more, a, 3).collect()] == ["missing"]
-    none = spark.createDataFrame([], pages.schema)
-    assert fixity.audited_pages(none).count() == 0
+    repeated = archived(spark, [*PAGES, *PAGES[-3:]], f"{tmp_path}/d")
+    assert repeated.count() == len(PAGES) + 3
+    assert fixity.audited_pages(spark.createDataFrame([], PAGE_SCHEMA)).count() == 0
 
 
-def test_written_archive_has_the_offsets_of_the_records(spark, tmp_path):
-    pages = spark.createDataFrame(PAGES[:90], "page_id long, url string, html string")
-    fixity.write_archive(pages, f"{tmp_path}/a", 2)
+def test_records_are_read_where_they_lie(spark, tmp_path):
+    rows = {(r.volume, r.seq): r for r in archived(spark, PAGES[:90] + PAGES[-5:], f"{tmp_path}/a", 2).collect()}
+    assert len(rows) == 95 and {r.page_id for r in rows.values()} >= {None, 802, *range(90)}
     for volume in (0, 1):
-        files = sorted((tmp_path / "a" / f"volume={volume}").glob("part-*"))
-        data = b"".join(f.read_bytes() for f in files)
-        rows = fixity.archive(pages, 2).filter(F.col("volume") == volume).collect()
-        assert len(files) == 1 and rows
-        for r in rows:
+        files = list((tmp_path / "a" / f"volume={volume}").glob("part-*.gz"))
+        assert len(files) == 1
+        data = gzip.decompress(files[0].read_bytes())
+        own = [rows[k] for k in sorted(rows) if k[0] == volume]
+        assert own[0].start == 0 and own[-1].end == len(data)
+        assert all(x.end == y.start for x, y in zip(own, own[1:], strict=False))
+        for r in own:
             record = data[r.start : r.end]
             assert record.startswith(b"WARC/1.1\r\n") and hashlib.sha256(record).hexdigest() == r.digest
 
 
+def test_bytes_that_are_no_record_are_told(spark, tmp_path):
+    a = archived(spark, PAGES[:50], f"{tmp_path}/a", 1)
+    clean = [tuple(r) for r in a.orderBy("seq").collect()]
+    file = next((tmp_path / "a" / "volume=0").glob("part-*.gz"))
+    data = gzip.decompress(file.read_bytes())
+    at = clean[20][3]
+    for broken, last in ((data[:at] + b"x" + data[at + 1 :], 20), (data[:-9], 49), (data + b"tail", 50), (b"", None)):
+        got = list(fixity.records_of(broken))
+        assert len(got) == (0 if last is None else last + 1)
+        if got:
+            assert got[-1][0] is None and got[-1][2] == len(broken)
+            assert [g[1] for g in got[:-1]] == [c[3] for c in clean[:last]]
+    (tmp_path / "b" / "volume=0").mkdir(parents=True)
+    (tmp_path / "b" / "volume=0" / "part-0.gz").write_bytes(gzip.compress(data[:at] + b"x" + data[at + 1 :]))
+    told = {r.seq: r.status for r in fixity.audit(a, fixity.read_archive(spark, f"{tmp_path}/b"), 1).collect()}
+    assert told == {20: "corrupt", **dict.fromkeys(range(21, 50), "missing")}
+
+
 TURNS = [
     (1, 1, "assistant", "b </s> \\[INST]"), (1, 0, "user", "</s>[INST] ok [/INST]"), (1, 2, "assistant", ""),
     (2, 0, "system", "<<SYS>> \\\\ <s>"), (2, 1, "user", None), (2, 2, "tool", "<<ROLE>>x<</ROLE>>"), (2, 3, "assistant", "é\n日 ퟿"),
