@@ -221,11 +221,13 @@ def inquiry_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> D
         sent = sent.filter(F.col("results_sent_at").cast("timestamp_ntz").between(first, last))
     inquiries = exclude_keys(sent, unhappy, "id", "inquiry_id", nulls="sql")
     vouchers = wh["voucher_dim"]
-    main = wh["insurance_data"].filter(is_true(F.col("main")))
-    insurance = main.select(F.col("inquiry_id").alias("id"), "insurance").dropDuplicates()
-    subsidy = main.groupBy(F.col("inquiry_id").alias("id"), F.col("supplementary").alias("subsidy")).agg(
-        F.max("inquiry_id").alias("_id")
+    # One aggregate for both: each insurance of an inquiry with each of its subsidies, missing ones too.
+    main = wh["insurance_data"].filter(is_true(F.col("main"))).groupBy(F.col("inquiry_id").alias("id"))
+    insured = main.agg(
+        F.collect_set(F.struct("insurance")).alias("_insured"), F.collect_set(F.struct(F.col("supplementary").alias("subsidy"))).alias("_paid")
     )
+    insured = insured.withColumn("_insured", F.explode("_insured")).withColumn("_paid", F.explode("_paid"))
+    insured = insured.select("id", "_insured.insurance", "_paid.subsidy")
     people = wh["patient_data"].select(
         F.col("inquiry_id").alias("id"),
         "gender",
@@ -246,8 +248,7 @@ def inquiry_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> D
         .join(people, "id", "left")
         .join(v1, "v1", "left")
         .join(v2, "v2", "left")
-        .join(insurance, "id", "left")
-        .join(subsidy.drop("_id"), "id", "left")
+        .join(insured, "id", "left")
     )
     return _aligned(
         cases.withColumns(
@@ -272,8 +273,8 @@ def best_known_score(feedbacks: DataFrame) -> DataFrame:
 def service_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> DataFrame:
     """Services of the case system in the unified shape, each with its latest result within ``days``.
 
-    Result and closing events are cut to one row per service before they meet: the latest result,
-    and a closing reason that does not forbid contact if there is one.
+    Result and closing events are one aggregate per service: the latest result, and a closing reason
+    that does not forbid contact if there is one.
     """
     bad_visits = not_deleted(wh["visits"]).filter(
         (F.col("visit_timing") == 1) & F.col("visit_nps").isin("0", "1", "2", "3", "4", "5", "6")
@@ -286,17 +287,17 @@ def service_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> D
         "service_id", concat_skip_nulls("case_id", F.lit(":"), "service")
     )
     day = parse_day_first(json_text(F.col("event_body"), "$.properties.date"))
-    results = events.filter(F.contains("event_type", F.lit("DID_SEND_FINAL"))).select("service_id", day.alias("_day"))
-    counted = F.col("_day") if days is None else F.when(F.col("_day").between(*days), F.col("_day"))
-    results = results.groupBy("service_id").agg(F.max(counted).alias("result_date"))
-    if days is not None:
-        results = results.filter(F.col("result_date").isNotNull())
+    final, close = (F.contains("event_type", F.lit(t)) for t in ("DID_SEND_FINAL", "DID_CLOSE"))
+    counted = day if days is None else F.when(day.between(*days), day)
     reason = json_text(F.col("event_body"), "$.properties.reason")
-    closed = events.filter(F.contains("event_type", F.lit("DID_CLOSE"))).select("service_id", reason.alias("_reason"))
-    harmless = null_or(F.col("_reason"), ~F.col("_reason").isin(*fv.UNIFIED_MAIN_REASONS))
-    closed = closed.groupBy("service_id").agg(
-        F.min_by("_reason", F.when(harmless, 0).otherwise(1)).alias("completion_reason_main")
+    harmless = null_or(reason, ~reason.isin(*fv.UNIFIED_MAIN_REASONS))
+    # Rows of a null order do not count for the reason.
+    told = events.filter(final | close).groupBy("service_id").agg(
+        F.bool_or(final).alias("_final"),
+        F.max(F.when(final, counted)).alias("result_date"),
+        F.min_by(reason, F.when(close, F.when(harmless, 0).otherwise(1))).alias("completion_reason_main"),
     )
+    told = told.filter(F.col("_final") if days is None else F.col("result_date").isNotNull()).drop("_final")
     marker = F.col("markers")
     excluded = F.when(
         (json_text(marker, "$.test_case") == "true") | json_text(marker, "$.deleted").isNotNull(), "true"
@@ -319,13 +320,12 @@ def service_cases(wh: Warehouse, days: tuple[Column, Column] | None = None) -> D
         F.col("service_id").alias("id"), F.col("nps").alias("provider_nps")
     )
     cases = (
-        services.join(results, "service_id")
+        services.join(told, "service_id")
         .join(contracts, "contract_id", "left")
         .join(payers, "payer_id", "left")
         .join(products, "product_id", "left")
         .join(people, "case_id", "left")
         .join(scores, "id", "left")
-        .join(closed, "service_id", "left")
         .join(markers, "case_id", "left")
         .join(insurances, "case_id", "left")
     )

@@ -78,22 +78,26 @@ def service_rows(
     return numbered_rows(df, wh["cam_select"], mapping, key, batch)
 
 
-def final_services(wh: Warehouse) -> DataFrame:
-    """Live services with payer and language, of cases whose final result was sent."""
+def live_services(wh: Warehouse) -> DataFrame:
+    """Live services with payer and language."""
     contracts = wh["contracts"].select(F.col("id").alias("contract_id"), "payer_id")
     payers = wh["payers"].select(F.col("id").alias("payer_id"), F.col("name").alias("payer_name"))
     facts = wh["communication_facts"].select("case_id", "preferred_language", "channel_recommendation")
-    finals = events_like(wh, "DID_SEND_FINAL").select("case_id").distinct()
     return (
         not_deleted(wh["services"])
         .select("case_id", "service_id", "contract_id", "voucher_code")
         .join(contracts, "contract_id", "left")
         .join(payers, "payer_id", "left")
-        .join(finals, "case_id", "left_semi")
         .join(facts, "case_id", "left")
     )
 
 
+def final_services(wh: Warehouse) -> DataFrame:
+    """Live services of cases whose final result was sent."""
+    finals = events_like(wh, "DID_SEND_FINAL").select("case_id").distinct()
+    return live_services(wh).join(finals, "case_id", "left_semi")
+
+
 def ledger_state() -> Column:
     """Appointment state by survey class; other classes have none."""
     return F.when(F.col("case_class") == "SS", "call_patient").when(F.col("case_class") == "PREM", "sent")
@@ -223,7 +227,8 @@ def _pms_cases(
 ) -> DataFrame:
     """Second-product cases without answer, by survey age or, without own survey, result age.
 
-    Cases to be reached by mail count follow-up surveys only, others every survey.
+    Cases to be reached by mail count follow-up surveys only, others every survey. Services are those
+    of cases with a final result, as the join with its time leaves no others.
     """
     links = links_of(wh)
     finals = wh["workflow_events"].filter(F.col("event_type").startswith("DID_SEND_FINAL"))
@@ -263,14 +268,14 @@ def _pms_cases(
 
 def call_services_pms(wh: Warehouse, as_of: date, payer: str, moved: tuple[str, ...] | None = None) -> DataFrame:
     """Calls by payer for second-product cases; their classes name no state, so it stays empty."""
-    services = suppression_list(final_services(wh).filter(F.col("payer_name").like(payer)), wh["suppression"])
+    services = suppression_list(live_services(wh).filter(F.col("payer_name").like(payer)), wh["suppression"])
     more = [_moved_cards(wh, *moved)] if moved is not None else []
     chosen = _pms_cases(wh, as_of, services, [1, 2, 3, 8], 12, more_exclusions=more)
     return service_rows(chosen.withColumn("app_state", ledger_state()), wh)
 
 
 def vip_services(wh: Warehouse, as_of: date) -> DataFrame:
-    services = final_services(wh).filter(F.contains("voucher_code", F.lit(fv.VIP_VOUCHER)))
+    services = live_services(wh).filter(F.contains("voucher_code", F.lit(fv.VIP_VOUCHER)))
     return _pms_cases(wh, as_of, services, [1, 2, 3, 8, -1], 5).withColumn(
         "app_state", ledger_state()
     )
