@@ -19,6 +19,7 @@ from recontact.checks.inquiry_selections import (
 )
 from recontact.checks.registry import ledger_columns, numbered_sql, register
 from recontact.checks.sample import keyring
+from recontact.checks.service_selections import WEEKLY_CH_CTES
 from recontact.functions import dates as d
 from recontact.functions import nested as n
 from recontact.functions import text as t
@@ -281,6 +282,25 @@ def weekly_run_cards(wh: Warehouse) -> DataFrame:
     return told.join(written.select(c("case_id").alias("name"), "korb"), "name")
 
 
+def weekly_ch_run_cards(wh: Warehouse) -> DataFrame:
+    """Cards of one Swiss run; each is checked against the ledger row of the same run."""
+    root = fresh_path(wh.spark, "warehouse")
+    ledger.create_tables(wh.spark, root)
+    written, cases = services.weekly_ch_run(wh, root, AS_OF)
+    told = cards(cases.withColumnRenamed("payer_name", "client_name"), delivery.weekly_ch_labels())
+    return told.join(written.select(c("case_id").alias("name"), "first_voucher_code"), "name")
+
+
+register(
+    "weekly_ch_run_cards",
+    weekly_ch_run_cards,
+    f"""WITH {WEEKLY_CH_CTES}
+SELECT case_id AS name, payer_name AS description, 'board' AS board_id, 'pipeline' AS list_id, voucher_code AS first_voucher_code,
+  'L-call,L-q3' || CASE WHEN preferred_language IN ('fr', 'en', 'it') THEN ',L-' || preferred_language ELSE '' END
+    || CASE inquiry_type WHEN 'second_opinion_before_surgery' THEN ',L-second' WHEN 'surgery' THEN ',L-surgery'
+      ELSE '' END AS label_ids
+FROM chosen""",
+)
 register(
     "weekly_de_run_cards",
     weekly_run_cards,

@@ -62,17 +62,13 @@ SWISS = "regexp_matches(x.payer, 'NATION|^CSS')"
 MSS_TOPIC = not_talked("feedback_follow_up_mss")
 
 # Swiss weekly process.
-register(
-    "weekly_ch",
-    lambda wh: ledger_columns(plans.weekly_ch(wh, AS_OF)),
-    numbered_sql(
-        f"""{LINKS},
+WEEKLY_CH_CTES = f"""{LINKS},
 sends AS (
   SELECT case_id, greatest(max(event_date) FILTER (upper(event_type) = 'DID_SEND_STATUS_SURVEY'),
     max(event_date) FILTER (upper(event_type) = 'DID_SEND_PREM_SURVEY')) AS last_sent
   FROM workflow_events GROUP BY case_id),
 chosen AS (
-  SELECT c.case_id, c.payer_name, c.voucher_code, p.preferred_language
+  SELECT c.case_id, c.payer_name, c.voucher_code, p.preferred_language, c.inquiry_type
   FROM case_cube AS c LEFT JOIN report_flags AS r USING (service_id) LEFT JOIN pii AS p USING (service_id)
     LEFT JOIN sends AS s USING (case_id)
   WHERE c.payer_group = 'kv' AND c.result_date > {NOW} - INTERVAL 6 MONTH AND c.product = 'MSS'
@@ -84,7 +80,12 @@ chosen AS (
       WHERE event_type LIKE '%DID_CLOSE%' OR event_type LIKE '%DID_RECEIVE%')
     AND (({NOW} - s.last_sent >= 17 AND coalesce(r.qualimed, 'nein') = 'nein')
       OR (p.preferred_channel = 'postal' AND c.result_date < {NOW} - INTERVAL 2 WEEK))
-  QUALIFY row_number() OVER (PARTITION BY c.case_id ORDER BY c.result_date DESC NULLS FIRST, c.service_id) = 1)""",
+  QUALIFY row_number() OVER (PARTITION BY c.case_id ORDER BY c.result_date DESC NULLS FIRST, c.service_id) = 1)"""
+register(
+    "weekly_ch",
+    lambda wh: ledger_columns(plans.weekly_ch(wh, AS_OF)),
+    numbered_sql(
+        WEEKLY_CH_CTES,
         "chosen", "payer_name", "voucher_code", language="preferred_language",
     ),
 )

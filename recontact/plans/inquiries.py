@@ -23,10 +23,10 @@ from recontact.functions.dates import (
 from recontact.functions.nested import json_list_empty
 from recontact.functions.text import any_of, flag, null_or
 from recontact.operators.dedupe import first_per_key
-from recontact.operators.ledger import commit, numbered_rows, staged
+from recontact.operators.ledger import numbered_rows
 from recontact.operators.suppress import contacts, exclude_any, exclude_keys, suppress, suppression_list
 from recontact.operators.vouchers import allowed_voucher, first_voucher, head_voucher, voucher_columns
-from recontact.plans.common import ledger_of
+from recontact.plans.common import ledger_of, weekly_run
 from recontact.sources.history import not_deleted
 from recontact.sources.warehouse import Warehouse
 
@@ -258,19 +258,12 @@ def weekly_de_cases(
 
 
 def weekly_de_run(wh: Warehouse, root: str, as_of: date, mode: str = "parity", **rules) -> tuple[DataFrame, DataFrame] | None:
-    """One weekly run: the cases are selected once, below ``root``; they give the ledger rows, the
-    batch row and the cards' cases. Returns the written ledger rows and those cases, or None without
-    cases. A second run in the week is refused."""
-    with staged(weekly_de_chosen(wh, as_of, mode, **rules), root) as chosen:
-        rows = inquiry_rows(chosen, wh, language="de")
-        written = commit(wh.spark, rows, root, fv.CAM_WEEKLY_DE, fv.ACCEPTOR_PHONE, as_of, weekly=True)
-        if written is None:
-            return None
-        cards = weekly_de_cases(wh, as_of, mode, chosen)
-        # The cards outlive the staged cases as a table beside the ledger, one folder a batch.
-        path = f"{root}/weekly_cards/batch_id={written.first().batch_id}"
-        cards.write.parquet(path)
-        return written, wh.spark.read.schema(cards.schema).parquet(path)
+    """One weekly run: written ledger rows and the cases of its cards, or None without cases."""
+    return weekly_run(
+        wh, root, as_of, fv.CAM_WEEKLY_DE, weekly_de_chosen(wh, as_of, mode, **rules),
+        lambda chosen: inquiry_rows(chosen, wh, language="de"),
+        lambda chosen: weekly_de_cases(wh, as_of, mode, chosen),
+    )
 
 
 def weekly_de_postal(wh: Warehouse, as_of: date, mode: str = "parity") -> DataFrame:

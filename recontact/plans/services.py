@@ -16,7 +16,7 @@ from recontact.operators.dedupe import first_per_key, latest_per_key
 from recontact.operators.ledger import numbered_rows
 from recontact.operators.suppress import contacts, exclude_any, suppression_list
 from recontact.operators.surveys import pivot_events, presence_flag, survey_class_of, titled_links
-from recontact.plans.common import ledger_of
+from recontact.plans.common import ledger_of, weekly_run
 from recontact.plans.inquiries import vip_inquiries
 from recontact.sources.history import not_deleted
 from recontact.sources.warehouse import Warehouse
@@ -335,6 +335,12 @@ def weekly_ch(wh: Warehouse, as_of: date) -> DataFrame:
     return service_rows(weekly_ch_cases(wh, as_of), wh)
 
 
+def weekly_ch_run(wh: Warehouse, root: str, as_of: date) -> tuple[DataFrame, DataFrame] | None:
+    """One Swiss weekly run: written ledger rows and the cases of its cards, or None without cases."""
+    chosen = weekly_ch_cases(wh, as_of)
+    return weekly_run(wh, root, as_of, fv.CAM_WEEKLY_CH, chosen, lambda cases: service_rows(cases, wh), cards="weekly_cards_ch")
+
+
 def ch_survey_list(
     wh: Warehouse, as_of: date, payers: Sequence[str] = fv.SWISS_LIST_PAYERS, topic: str = "feedback_follow_up_mss"
 ) -> DataFrame:

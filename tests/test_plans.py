@@ -22,7 +22,7 @@ from recontact.sources.warehouse import (
 
 QUERIES = registry.QUERIES
 SINKS = (
-    "ledger_append", "export_", "commit_", "registry_append", "weekly_de_run", "cards_still_open", "event_facts_advanced",
+    "ledger_append", "export_", "commit_", "registry_append", "weekly_de_run", "weekly_ch_run", "cards_still_open", "event_facts_advanced",
     "anti_join_bucketed",
 )
 LIGHT = [n for n in sorted(QUERIES) if not n.startswith(SINKS)]
