@@ -14,9 +14,8 @@ from recontact.fixed_values import CAMPAIGN_DESCRIPTION, CATEGORY_CALL, OPEN_END
 from recontact.sources.schemas import CAM_BATCH, CAM_CAM, CAM_SELECT, CAMPAIGN_TABLES
 from recontact.sources.storage import delete, folders, is_prepared, mark_prepared
 
-# Sizes are counted by the first five hex digits of the order hash, about 10^6 at most; a numbering
-# bucket takes so many of them that it holds about this many rows.
-FINE_DIGITS, BUCKET_ROWS = 5, 50_000
+# Hex digits of the order hash that name a numbering bucket: as many buckets as rows, up to a million.
+BUCKET_DIGITS = 5
 
 
 def max_id(df: DataFrame, col: str) -> Column:
@@ -24,33 +23,29 @@ def max_id(df: DataFrame, col: str) -> Column:
     return df.agg(F.coalesce(F.max(col), F.lit(0)).cast("long")).scalar()
 
 
-def numbered(df: DataFrame, key: Sequence[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def numbered(df: DataFrame, key: Sequence[str], digits: int = BUCKET_DIGITS) -> DataFrame:
     """``df`` with ``_number``, dense from 1, in the order of the MD5 of ``key`` and then ``key``.
 
     Rows fall into even buckets by the first digits of that hash, which are numbered in parallel and
-    shifted by the sizes before them. One aggregate gives the sizes and, by their sum, how many digits
-    name a bucket; the numbers do not depend on it. Sizes are summed in two levels: at most 256 groups
-    meet in one task, and the buckets of a group in another. Recomputed tasks give the same numbers.
+    shifted by the sizes before them. Buckets are as many as their rows need, up to 16^digits, and the
+    numbers do not depend on them. Sizes are summed in two levels: at most 256 groups meet in one task,
+    and the buckets of a group in another. Recomputed tasks give the same numbers.
     """
-    hashed = df.withColumn("_order", F.md5(F.concat_ws("|", *key)))
-    fine = hashed.groupBy(F.substring("_order", 1, FINE_DIGITS).alias("_fine")).agg(F.count(F.lit(1)).alias("_n"))
-    wide = F.ceil(F.log(16.0, F.sum("_n") / bucket_rows))
-    digits = fine.agg(F.greatest(F.lit(1), F.least(F.lit(FINE_DIGITS), F.coalesce(wide, F.lit(1)))).cast("int")).scalar()
-    sizes = fine.groupBy(F.substr(F.col("_fine"), F.lit(1), digits).alias("_bucket")).agg(F.sum("_n").alias("_n"))
-    sizes = sizes.withColumn("_group", F.substring("_bucket", 1, 2))
+    hashed = df.withColumn("_order", F.md5(F.concat_ws("|", *key))).withColumn("_bucket", F.substring("_order", 1, digits))
+    sizes = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn("_group", F.substring("_bucket", 1, 2))
     groups = sizes.groupBy("_group").agg(F.sum("_n").alias("_all"))
     groups = groups.select("_group", (F.sum("_all").over(Window.orderBy("_group")) - F.col("_all")).alias("_before"))
     within = F.sum("_n").over(Window.partitionBy("_group").orderBy("_bucket")) - F.col("_n")
-    shifts = sizes.select("_group", "_bucket", within.alias("_within")).join(groups, "_group")
+    shifts = sizes.withColumn("_within", within).join(groups, "_group")
     shifts = shifts.select("_bucket", (F.col("_before") + F.col("_within")).alias("_shift"))
     order = [F.col("_order"), *[F.col(k).asc_nulls_last() for k in key]]
     step = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    rows = hashed.withColumn("_bucket", F.substr(F.col("_order"), F.lit(1), digits)).withColumn("_step", step)
-    return rows.join(shifts, "_bucket").withColumn("_number", F.col("_shift") + F.col("_step")).select(*df.columns, "_number")
+    rows = hashed.withColumn("_step", step).join(shifts, "_bucket")
+    return rows.withColumn("_number", F.col("_shift") + F.col("_step")).select(*df.columns, "_number")
 
 
 def assign_ids(
-    df: DataFrame, ledger: DataFrame, key: Sequence[str], batch: str = "new", bucket_rows: int = BUCKET_ROWS
+    df: DataFrame, ledger: DataFrame, key: Sequence[str], batch: str = "new", digits: int = BUCKET_DIGITS
 ) -> DataFrame:
     """Dense ``select_id`` above the ledger's maximum, and the ``batch_id``.
 
@@ -58,7 +53,7 @@ def assign_ids(
     is read for sizes and for rows.
     """
     new = 1 if batch == "new" else 0
-    return numbered(df, key, bucket_rows).withColumns(
+    return numbered(df, key, digits).withColumns(
         {
             "select_id": max_id(ledger, "select_id") + F.col("_number"),
             "batch_id": max_id(ledger, "batch_id") + F.lit(new),
@@ -95,11 +90,11 @@ def numbered_rows(
     mapping: Mapping[str, Column] | None = None,
     key: Sequence[str] = ("case_id",),
     batch: str = "new",
-    bucket_rows: int = BUCKET_ROWS,
+    digits: int = BUCKET_DIGITS,
 ) -> DataFrame:
     """Chosen rows as ledger rows with their ids. Building them runs and writes nothing."""
     rows = to_ledger(df, mapping, keep=key).drop("select_id", "batch_id")
-    return assign_ids(rows, cam_select, key, batch, bucket_rows).select(*CAM_SELECT.names)
+    return assign_ids(rows, cam_select, key, batch, digits).select(*CAM_SELECT.names)
 
 
 def as_ledger_width(df: DataFrame) -> DataFrame:
