@@ -17,15 +17,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 def exclude_keys(
-    df: DataFrame, exclusion: DataFrame, key: str, exclusion_key: str | None = None, nulls: str = "guarded"
+    df: DataFrame,
+    exclusion: DataFrame,
+    key: str,
+    exclusion_key: str | None = None,
+    nulls: str = "guarded",
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not among the keys of ``exclusion``."""
-    return exclude_any(df, [exclusion.select(F.col(exclusion_key or key).alias(key))], key, nulls)
+    return exclude_any(df, [exclusion.select(F.col(exclusion_key or key).alias(key))], key, nulls, spread)
 
 
-def exclude_any(df: DataFrame, exclusions: Sequence[DataFrame], key: str, nulls: str = "guarded") -> DataFrame:
+def exclude_any(
+    df: DataFrame, exclusions: Sequence[DataFrame], key: str, nulls: str = "guarded", spread: Sequence[str] | None = None
+) -> DataFrame:
     """Rows whose ``key`` is in none of the exclusion sets, by one anti join on their union.
 
+    ``spread`` names columns that tell rows without key apart, so wide ones need no hash of all columns.
+
     A chain of ``NOT IN`` conditions equals one over the union, also in its null rule, and the rows
     are shuffled once instead of once per set.
     """
@@ -36,23 +45,23 @@ def exclude_any(df: DataFrame, exclusions: Sequence[DataFrame], key: str, nulls:
             known.distinct(), F.col(key) == F.col("_x"), "left_anti"
         )
     if nulls == "admit":
-        return _admit_null_keys(df, known, key)
+        return _admit_null_keys(df, known, key, spread)
     if nulls == "sql":
         # One aggregate answers both questions, so the sets are read once for it and once to join.
         seen = keys.agg(F.struct(F.count_if(F.col("_x").isNull()).alias("nulls"), F.count(F.lit(1)).alias("keys"))).scalar()
         kept = df.filter((seen["nulls"] == 0) & (F.col(key).isNotNull() | (seen["keys"] == 0)))
-        return _admit_null_keys(kept, known, key)
+        return _admit_null_keys(kept, known, key, spread)
     raise ValueError(f"unknown null rule {nulls!r}")
 
 
-def _admit_null_keys(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Anti join in which rows without key pass. They would all hash to one task, so they carry a
-    second join key, the hash of the row, that spreads them over as many tasks as there are; the
-    exclusion side has 0 there, like every row with a key."""
+def _admit_null_keys(df: DataFrame, known: DataFrame, key: str, spread: Sequence[str] | None) -> DataFrame:
+    """Anti join in which rows without key pass. They would all hash to one task, so they carry a second
+    join key, a hash of the row or of its ``spread``, that deals them to as many tasks as there are;
+    the exclusion side has 0 there, like every row with a key."""
     no_spread = F.xxhash64(F.col(key)) * F.lit(0)
-    spread = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(no_spread)
+    apart = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in spread or df.columns])).otherwise(no_spread)
     right = known.withColumn("_s", F.xxhash64("_x") * F.lit(0)).distinct()
-    left = df.withColumn("_spread", spread)
+    left = df.withColumn("_spread", apart)
     on = (F.col(key) == F.col("_x")) & (F.col("_spread") == F.col("_s"))
     return left.join(right, on, "left_anti").drop("_spread")
 

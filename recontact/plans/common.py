@@ -39,7 +39,7 @@ def one_per_patient(
     rows = df if admit_missing else df.filter(F.col("patient_id").isNotNull())
     chosen = first_per_key(rows, ["patient_id"], order)
     patients = contacted_patients(contacted, cube)
-    return exclude_keys(chosen, patients, "patient_id", nulls="admit" if admit_missing else "guarded")
+    return exclude_keys(chosen, patients, "patient_id", nulls="admit" if admit_missing else "guarded", spread=["case_id"])
 
 
 def weekly_run(

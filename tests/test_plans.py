@@ -157,13 +157,14 @@ def test_skewed_suppression_against_brute_force(spark, rule):
     assert got == want
 
 
-def test_rows_without_key_are_spread(spark):
+@pytest.mark.parametrize("spread", [None, ["i"]])
+def test_rows_without_key_are_spread(spark, spread):
     df = spark.range(2000).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("i"))
     exclusion = spark.createDataFrame([(1,)], "k long")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = suppress.exclude_keys(df, exclusion, "k", nulls="admit")
+        out = suppress.exclude_keys(df, exclusion, "k", nulls="admit", spread=spread)
         tasks = out.select(F.spark_partition_id().alias("p")).distinct().count()
         assert tasks > 4 and out.count() == 2000
     finally:
