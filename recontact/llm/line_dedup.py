@@ -30,6 +30,8 @@ from recontact.sources.storage import release, written_once
 
 #: A run is deleted if it has so many lines, or so many words, or is the whole document.
 MIN_LINES, MIN_WORDS = 3, 10
+#: A document goes if that share of its words, or more, lies in deleted lines: it is a near copy.
+COPIED = 0.8
 # Words of a run of fewer lines in the form for long passages alone.
 PASSAGE_WORDS = 50
 _WORD = re.compile(r"[^\x20\x09-\x0D]")
@@ -122,7 +124,8 @@ def _later(rows: DataFrame, lines: int, min_lines: int, min_words: int | None) -
 
 
 def deduped(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = MIN_WORDS) -> DataFrame:
-    """``docs`` with the repeated runs cut from ``text``, ``_n_lines``, ``_n_deleted``, ``_n_gaps`` and ``_runs``.
+    """``docs`` with the repeated runs cut from ``text``, ``_n_lines``, ``_n_deleted``, ``_n_gaps``, ``_n_words``,
+    ``_n_cut`` and ``_runs``.
 
     A line with a word is deleted if it lies in a run of such lines, in one document, that also
     starts at an earlier place (in an earlier document by id, or further up in the same one,
@@ -131,13 +134,14 @@ def deduped(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None =
     take no part and stay; a text that loses its last line with a word becomes empty. A null text stays
     null. Documents without id go by a hash of their text, and rows that repeat a document are cut alike.
     ``_runs`` holds the maximal deleted runs as ranges of places; each occurs earlier as a whole, and they
-    may overlap. ``_n_gaps`` counts the stretches that they leave out of the text.
+    may overlap. ``_n_gaps`` counts the stretches that they leave out of the text, ``_n_words`` and ``_n_cut``
+    the words of a document that loses lines and those it loses.
     """
     names = docs.columns
     windows = repeated_windows(docs, min_lines, min_words)
     rows = _keyed(docs).join(windows, _KEY, "left").drop(*_KEY)
     run_type = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    counts = ["_n_lines", "_n_deleted", "_n_gaps"]
+    counts = ["_n_lines", "_n_deleted", "_n_gaps", "_n_words", "_n_cut"]
     schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in counts), T.StructField("_runs", run_type)])
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
@@ -148,9 +152,9 @@ def deduped(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None =
                 at = {n: part.schema.get_field_index(n) for n in (*names, "_windows")}
                 told = list(map(_cut, *(part.column(at[n]).to_pylist() for n in ("text", "_windows"))))
                 columns = [part.column(at[n]) if n != "text" else pa.array([x[0] for x in told], pa.string()) for n in names]
-                more = [pa.array([x[k] for x in told], pa.int64()) for k in (1, 2, 3)]
+                more = [pa.array([x[k] for x in told], pa.int64()) for k in range(1, 6)]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, *more, pa.array([x[4] for x in told], pa.list_(span))], names=[*names, *counts, "_runs"])
+                    [*columns, *more, pa.array([x[6] for x in told], pa.list_(span))], names=[*names, *counts, "_runs"])
 
     return rows.mapInArrow(cut, schema)
 
@@ -179,7 +183,7 @@ def _cut(text: str | None, windows: list[dict] | None) -> tuple:
     full = np.array([bool(_WORD.search(x)) for x in lines])
     n = int(full.sum())
     if not windows:
-        return text, n, 0, 0, []
+        return text, n, 0, 0, 0, 0, []
     runs = maximal_runs(windows)
     depth = np.zeros(n + 1, np.int64)
     np.add.at(depth, [r[0] for r in runs], 1)
@@ -189,12 +193,16 @@ def _cut(text: str | None, windows: list[dict] | None) -> tuple:
     keep = np.ones(len(lines), bool)
     keep[np.flatnonzero(full)[gone]] = False
     kept = "" if gone.all() else "\n".join(x for x, k in zip(lines, keep, strict=True) if k)
-    return kept, n, int(gone.sum()), gaps, [{"start": a, "end": b} for a, b in runs]
+    words = np.array([len(x.encode().split()) for x, f in zip(lines, full, strict=True) if f])
+    return kept, n, int(gone.sum()), gaps, int(words.sum()), int(words[gone].sum()), [{"start": a, "end": b} for a, b in runs]
 
 
-def without_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = MIN_WORDS) -> DataFrame:
-    """``docs`` with cut texts; documents that lose their last line with a word go."""
-    rows = deduped(docs, min_lines, min_words).filter("_n_deleted = 0 OR _n_deleted < _n_lines")
+def without_repeats(
+    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = MIN_WORDS, copied: float = COPIED
+) -> DataFrame:
+    """``docs`` with cut texts. Documents that lose ``copied`` of their words or more go: they are copies or
+    near copies, and what is left of them is no document."""
+    rows = deduped(docs, min_lines, min_words).filter(F.col("_n_cut") < F.greatest(F.lit(1.0), copied * F.col("_n_words")))
     return rows.select(*docs.columns)
 
 

@@ -104,7 +104,7 @@ def test_line_dedup_equals_sql(clashing, edge, con):
     assert problem is None, problem
     assert n == 23
     rows = line_dedup.deduped(clashing)
-    assert rows.columns == [*clashing.columns, "_n_lines", "_n_deleted", "_n_gaps", "_runs"]
+    assert rows.columns == [*clashing.columns, "_n_lines", "_n_deleted", "_n_gaps", "_n_words", "_n_cut", "_runs"]
     assert rows.count() == clashing.count()
 
 

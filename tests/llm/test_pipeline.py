@@ -39,7 +39,7 @@ def good(docs):
 
 
 def without_runs(docs):
-    """Lines of runs that came before: of three lines, of ten words, or whole documents."""
+    """Without lines of runs that came before: of three lines, of fifty words, or whole documents."""
     seen = set()
     for doc_id, text, source in sorted(docs):
         lines = text.split("\n")
@@ -50,10 +50,12 @@ def without_runs(docs):
                 if p + n > len(full):
                     break
                 key = tuple(lines[k] for k in full[p : p + n])
-                enough = n == 3 or n == len(full) or sum(len(x.encode().split()) for x in key) >= 10
+                enough = n == 3 or n == len(full) or sum(len(x.encode().split()) for x in key) >= 50
                 gone |= set(full[p : p + n]) if enough and key in seen else set()
                 seen.add(key)
-        if len(gone) < len(full) or not full:
+        words = {k: len(lines[k].encode().split()) for k in full}
+        # A document that loses four fifths of its words goes.
+        if not gone or 5 * sum(words[k] for k in gone) < 4 * sum(words.values()):
             yield doc_id, "\n".join(x for k, x in enumerate(lines) if k not in gone), source
 
 
