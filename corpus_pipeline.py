@@ -19,9 +19,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the line runs that came before; those that consist of them go."""
+    """Documents without the line runs that came before: of three lines, of fifty words, or whole documents.
+    Those that consist of them by four fifths of their words go. Shorter single lines stay, as cutting
+    them would hide near copies from the next stage."""
     reachable(spark)
-    return line_dedup.without_repeats(docs)
+    return line_dedup.without_repeats(docs, min_words=line_dedup.PASSAGE_WORDS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
