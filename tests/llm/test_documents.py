@@ -181,8 +181,7 @@ RUNS = [
 ]
 
 
-@pytest.mark.parametrize("min_words", [None, 6])
-@pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
+@pytest.mark.parametrize(("min_lines", "min_words"), [(1, None), (2, 6), (3, None), (3, 6), (5, 6)])
 def test_line_dedup_equals_plain_runs(spark, min_lines, min_words):
     docs = spark.createDataFrame(list(enumerate(RUNS)), "doc_id long, text string")
     got = {r.doc_id: r for r in line_dedup.deduped(docs, min_lines, min_words).collect()}
