@@ -320,6 +320,19 @@ def test_review_list_of_old_form(spark):
     assert [(r.case_id, r.email) for r in got.collect()] == [("a", "x@gmail.com")]
 
 
+def test_review_list_of_old_form_opens_a_mail_once_a_step_and_other_columns_of_chosen_rows(spark, tmp_path):
+    keys = spark.createDataFrame([(b"k" * 16, b"v" * 16)], "key binary, iv binary")
+    rows = [("b", "Bo", "x@gmail.com"), ("a", None, "x@gmail.com"), ("c", "", "y@web.de"), ("d", "Di", None), (None, "No", "z@googlemail.com")]
+    people = spark.createDataFrame(rows, "case_id string, first_name string, email string")
+    people.withColumns({c: encrypt_text(F.col(c), keys) for c in ("first_name", "email")}).write.parquet(f"{tmp_path}/people")
+    previous = spark.createDataFrame([("d", 3)], "case_id string, cam_id int")
+    got = reviews.review_request_legacy(spark.read.parquet(f"{tmp_path}/people"), keys, previous, columns=["first_name", "email"])
+    assert sorted(map(tuple, got.collect()), key=str) == [("a", None, "x@gmail.com"), (None, "No", "z@googlemail.com")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    chosen, before = plan.split("Window", 1)
+    assert (chosen.count("aesDecrypt"), before.count("aesDecrypt")) == (1, 2)
+
+
 def test_latest_unanswered_outcome_survey(spark):
     body = '{"properties":{"date":"01-01-2020"}}'
     wh = frame_warehouse(
