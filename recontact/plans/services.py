@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recontact import fixed_values as fv
 from recontact.functions.dates import before, days_since, in_iso_week_of, parse_day_first, prom_age_bucket
-from recontact.functions.nested import json_text
+from recontact.functions.nested import json_text, with_value
 from recontact.functions.text import any_of, like_any, null_or
 from recontact.operators.dedupe import first_per_key, latest_per_key
 from recontact.operators.ledger import numbered_rows
@@ -361,8 +361,16 @@ def ch_survey_list(
 
 
 def product_matches_event(product: Column, event_product: Column) -> Column:
-    """The result event names the product of the service."""
-    return any_of(product.like(p) & event_product.like(e) for p, e in fv.PRODUCT_EVENTS)
+    """The result event names the product of the service.
+
+    The body is opened once a row, and only where a rule knows the product. The rule on the product
+    alone follows from the whole one; it is named for joins, which apply it before they meet the body.
+    """
+    known = any_of(product.like(p) for p, _ in fv.PRODUCT_EVENTS)
+    names = F.struct(product.alias("product"), event_product.alias("event"))
+    return known & with_value(
+        names, lambda n: any_of(n["product"].like(p) & n["event"].like(e) for p, e in fv.PRODUCT_EVENTS)
+    )
 
 
 def partial_feedback(wh: Warehouse, product: str = "%MSS%") -> DataFrame:

@@ -355,3 +355,24 @@ def test_latest_unanswered_outcome_survey(spark):
         },
     )
     assert [(r.case_id, r.prom_type) for r in services.latest_prom(wh).collect()] == [("a", "prom_12")]
+
+
+def test_product_rule_opens_a_body_once(spark, tmp_path):
+    products = ["MSS", "MSS_PMS", "MSSX", "RSO", "SPC", "PMS", "x", None]
+    named = ["Spezialist", "Weiteres", "ein Remote", "Frei", "Erst", "Spez", None]
+    rows = [(f"{p}-{e}", p, f'{{"product":"{e}"}}' if e else "{}") for p in products for e in named]
+    spark.createDataFrame(rows, "case_id string, service string, body string").write.parquet(f"{tmp_path}/events")
+    events = spark.read.parquet(f"{tmp_path}/events")
+    rule = services.product_matches_event(F.col("service"), F.get_json_object("body", "$.product"))
+    each = [F.col("service").like(p) & F.get_json_object("body", "$.product").like(e) for p, e in fv.PRODUCT_EVENTS]
+    plain = each[0] | each[1] | each[2] | each[3] | each[4]
+    told = events.select("case_id", rule.alias("rule"), plain.alias("plain")).collect()
+    assert [r.case_id for r in told if r.rule != r.plain] == []
+    got = events.filter(rule)
+    assert ids(got) == sorted(
+        ["MSS-Spezialist", "MSS_PMS-Weiteres", "MSS_PMS-Erst", "MSSX-Weiteres", "RSO-ein Remote", "SPC-Frei", "PMS-Erst"]
+    )
+    # Joined to their service, the bodies are not opened on the way either.
+    joined = events.drop("service").join(events.select("case_id", "service"), "case_id").filter(rule)
+    for df in (got, joined):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
