@@ -376,3 +376,61 @@ def test_product_rule_opens_a_body_once(spark, tmp_path):
     joined = events.drop("service").join(events.select("case_id", "service"), "case_id").filter(rule)
     for df in (got, joined):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
+
+
+def days_of_list():
+    return F.lit(date(1996, 1, 1)), F.lit(date(1997, 12, 31))
+
+
+def test_unified_list_computes_people_of_the_days_only(spark, tmp_path):
+    inquiries = [(1, "a", date(1997, 1, 1)), (2, "b", date(1999, 1, 1)), (3, "c", date(1996, 1, 1)), (None, "d", date(1997, 1, 1))]
+    people = [(1, "Ann"), (2, "Bo"), (None, "No")]
+    spark.createDataFrame(people, "inquiry_id long, first_name string").write.parquet(f"{tmp_path}/people")
+    opened = spark.read.parquet(f"{tmp_path}/people").withColumns(
+        {"first_name": F.upper("first_name"), **{c: F.lit("x") for c in ("gender", "last_name", "email", "country_code")}}
+    )
+    frames = {
+        "inquiries": spark.createDataFrame(inquiries, "id long, case_id string, results_sent_at date").withColumns(
+            {"service_id": F.lit("s"), "voucher_ids": F.array(F.lit(1)), "exclude_from_reporting": F.lit(False)}
+        ),
+        "contact_entries": spark.createDataFrame([(9, 7, "Q3")], "inquiry_id long, quality int, contact_type string"),
+        "voucher_dim": spark.createDataFrame([(1, "V", "client")], "id int, value string, client_name string"),
+        "insurance_data": spark.createDataFrame(
+            [(1, True, False, "i")], "inquiry_id long, main boolean, supplementary boolean, insurance string"
+        ),
+        "patient_data": opened,
+    }
+    got = existing.inquiry_cases(frame_warehouse(spark, frames), days_of_list())
+    assert sorted(((r.case_id, r.first_name) for r in got.collect()), key=str) == [("a", "ANN"), ("c", None), ("d", None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("upper(") < plan.index("LeftSemi")
+
+
+def test_unified_list_drops_results_of_other_days_before_the_events_are_joined(spark, tmp_path):
+    body = '{{"properties":{{"date":"{}","reason":"{}"}}}}'.format
+    lines = [
+        ("a", "DID_SEND_FINAL", body("01-02-1996", "x"), None), ("a", "DID_SEND_FINAL", body("01-03-1997", "x"), None),
+        ("a", "DID_CLOSE", body("01-01-1999", "why"), None), ("b", "DID_SEND_FINAL", body("01-01-1999", "x"), None),
+        ("c", "DID_SEND_FINAL", body("no day", "x"), None), ("d", "DID_CLOSE", body("01-02-1996", "x"), None),
+        ("e", "DID_CLOSE_DID_SEND_FINAL", body("01-01-1999", "late"), None), ("e", "DID_SEND_FINAL", body("31-12-1997", "x"), None),
+        ("f", "DID_SEND_FINAL", body("01-02-1996", "x"), date(1999, 1, 1)),
+    ]
+    spark.createDataFrame(lines, "case_id string, event_type string, event_body string, deleted_at date").write.parquet(f"{tmp_path}/lines")
+    spark.createDataFrame([(c, "MSS") for c in "abcdef"], "case_id string, service string").write.parquet(f"{tmp_path}/orders")
+    events = spark.read.parquet(f"{tmp_path}/lines").join(spark.read.parquet(f"{tmp_path}/orders"), "case_id")
+    none = spark.createDataFrame([], "case_id string, visit_timing int, visit_nps string, deleted_at date, service_id long, nps string, markers string, insurance_company_id int, gender string, title string, first_name string, last_name string, county string, email string, country_code string")
+    names = spark.createDataFrame([(1, 1, "n", "n")], "id int, payer_id int, name string, title string")
+    services_of = [(i, c, f"{c}:MSS", "MSS", 1, 1, "V", None) for i, c in enumerate("abcdef")]
+    frames = dict.fromkeys(["visits", "case_markers", "primary_insurance_selections", "patient_facts", "feedbacks"], none)
+    frames |= dict.fromkeys(["contracts", "payers", "products", "insurance_companies"], names)
+    frames["workflow_events"] = events
+    frames["services"] = spark.createDataFrame(
+        services_of,
+        "id long, case_id string, service_id string, product string, contract_id int, product_id int, voucher_code string, deleted_at date",
+    )
+    got = existing.service_cases(frame_warehouse(spark, frames), days_of_list())
+    assert sorted((r.case_id, str(r.result_date), r.completion_reason_main) for r in got.collect()) == [
+        ("a", "1997-03-01", "why"), ("e", "1997-12-31", "late")
+    ]
+    plan = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "$.properties.date" in x and "Filter" in x]
+    assert len(plan) == 1 and plan[0].count("$.properties.date") == 1
